@@ -34,8 +34,8 @@ def attach(
         hot = find_hot_keys(asking.select(hashed.alias("h")), splitter)
         mine = F.when(col(request_columns[0]).isNull(), F.lit(splitter.parts)).otherwise(hot.parts(hashed))
         requests = salt_rows(requests, mine)
-        picked = copy_to_salts(picked, hot.parts(key_hash([col(c) for c in picked_columns])))
-        picked = picked.withColumnRenamed(SALT, SALT + "_p")
+        theirs = hot.parts(key_hash([col(c) for c in picked_columns]))
+        picked = copy_to_salts(picked, theirs, SALT + "_p")
     if single_row:
         picked = F.broadcast(picked)  # one row by construction
     condition = F.lit(True)

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from lookfuse.constants import SALT
 from lookfuse.functions.names import col
-from lookfuse.operators.skew import Splitter, copy_to_salts, find_hot_keys, key_hash, salt_rows
+from lookfuse.operators.skew import Splitter, copy_to_salts, find_hot_grid, key_hash, salt_rows
+
+_PROBE_SALT = SALT + "_probe"
 
 
 def matching_pairs(
@@ -19,32 +21,30 @@ def matching_pairs(
     lookup_keys: Sequence[str],
     residual: Column | None,
     splitter: Splitter,
-    all_hot: bool = False,
     how: str = "inner",
 ) -> tuple[DataFrame, list[str]]:
-    """Pairs (``how="inner"``) or lookup rows with any partner (``how="left_semi"``) with equal keys that pass the residual test, and the names of the salt columns they carry.
+    """Pairs (``how="inner"``) or lookup rows with any partner (``how="left_semi"``) with equal keys that pass the
+    residual test, and the names of the salt columns they carry.
 
-    A hot key's lookup rows are spread over salts and its probes, which are narrow and distinct, repeated for
-    each: the tests of one key then run in many tasks, and a pick is made first within a salt, then over all.
+    A hot key's rows form a grid: parts of its probes by parts of its lookup rows, one task for each cell. Its
+    tests then run in many tasks, and a pick is made first within a part of the lookup, then over all. For a
+    semi-join only the probes are repeated, so that no lookup row comes out twice.
     """
     salts: list[str] = []
-    if splitter.enabled:
-        hashed_probe = key_hash([col(k) for k in probe_keys])
-        hashed_lookup = key_hash([col(k) for k in lookup_keys])
-        if all_hot:
-            probe_parts = lookup_parts = F.lit(splitter.parts)
-        else:
-            hashes = probes.select(hashed_probe.alias("h")).unionByName(lookup.select(hashed_lookup.alias("h")))
-            hot = find_hot_keys(hashes, splitter)
-            probe_parts, lookup_parts = hot.parts(hashed_probe), hot.parts(hashed_lookup)
-        probes = copy_to_salts(probes, probe_parts)
-        lookup = salt_rows(lookup, lookup_parts).withColumnRenamed(SALT, SALT + "_l")
-        salts = [SALT]
     condition = F.lit(True)
     for mine, theirs in zip(probe_keys, lookup_keys):
         condition = condition & (col(mine) == col(theirs))
-    if salts:
-        condition = condition & (col(SALT) == col(SALT + "_l"))
+    if splitter.enabled:
+        by_probe, by_lookup = key_hash([col(k) for k in probe_keys]), key_hash([col(k) for k in lookup_keys])
+        probe_parts, lookup_parts = find_hot_grid(
+            probes.select(by_probe.alias("h")), lookup.select(by_lookup.alias("h")), splitter, how == "inner"
+        )
+        probes = salt_rows(probes, probe_parts.parts(by_probe), _PROBE_SALT)
+        probes = copy_to_salts(probes, lookup_parts.parts(by_probe), f"{SALT}_probe_at")
+        lookup = salt_rows(lookup, lookup_parts.parts(by_lookup))
+        lookup = copy_to_salts(lookup, probe_parts.parts(by_lookup), f"{SALT}_at")
+        condition = condition & (col(SALT) == col(f"{SALT}_probe_at")) & (col(f"{SALT}_at") == col(_PROBE_SALT))
+        salts = [SALT]
     if residual is not None:
         condition = condition & residual
     return lookup.join(probes, condition, how), salts

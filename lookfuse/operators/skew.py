@@ -101,8 +101,16 @@ class HotKeys:
         return chain.otherwise(F.lit(1))
 
 
-def find_hot_keys(hashes: DataFrame, splitter: Splitter) -> HotKeys:
-    """Keys with more than one part's share of the rows of a one-column DataFrame of hashes.
+def _from_parts(parts_of: dict[int, float]) -> HotKeys:
+    classes: dict[int, list[int]] = {}
+    for item, parts in parts_of.items():
+        if parts > 1:
+            classes.setdefault(1 << math.ceil(math.log2(parts)), []).append(item)
+    return HotKeys(tuple((p, tuple(h)) for p, h in sorted(classes.items(), reverse=True)))
+
+
+def _frequent(hashes: DataFrame) -> tuple[dict[int, int], int]:
+    """Counts of the most frequent values of a one-column DataFrame, and the number of its rows.
 
     A frequent-items sketch finds them in one pass with map-side merging. Its counts are estimates; they decide
     how evenly the work is spread, not what comes out.
@@ -111,13 +119,33 @@ def find_hot_keys(hashes: DataFrame, splitter: Splitter) -> HotKeys:
     found = hashes.agg(
         F.expr(f"approx_top_k(`{name}`, {MAX_PARTS}, {_TRACKED_KEYS})").alias("top"), F.count("*").alias("n")
     ).first()
-    classes: dict[int, list[int]] = {}
-    for entry in found["top"] or []:
-        shares = entry["count"] * splitter.parts / max(found["n"], 1)
-        if entry["item"] is not None and shares > 1:
-            parts = 1 << math.ceil(math.log2(2 * shares))
-            classes.setdefault(parts, []).append(entry["item"])
-    return HotKeys(tuple((p, tuple(h)) for p, h in sorted(classes.items(), reverse=True)))
+    return {e["item"]: e["count"] for e in found["top"] or [] if e["item"] is not None}, found["n"]
+
+
+def find_hot_keys(hashes: DataFrame, splitter: Splitter) -> HotKeys:
+    """Keys with more than one part's share of the rows; each gets twice its share of the parts."""
+    counts, total = _frequent(hashes)
+    shares = {h: n * splitter.parts / total for h, n in counts.items()}
+    return _from_parts({h: 2 * s for h, s in shares.items() if s > 1})
+
+
+def find_hot_grid(left: DataFrame, right: DataFrame, splitter: Splitter, split_left: bool) -> tuple[HotKeys, HotKeys]:
+    """Parts of the left and of the right side of hot keys, for joins that test every pair of a key.
+
+    Rows of one side are repeated for each part of the other, so parts are in proportion to the sides' sizes,
+    which keeps the repeated rows fewest for a given number of tasks.
+    """
+    (mine, my_total), (theirs, their_total) = _frequent(left), _frequent(right)
+    floor = (my_total + their_total) / splitter.parts
+    rows, columns = {}, {}
+    for item in {*mine, *theirs}:
+        a, b = max(mine.get(item, 0), 1), max(theirs.get(item, 0), 1)
+        if a + b <= floor:
+            continue
+        tasks = 2 * (a + b) / floor
+        rows[item] = min(max(math.sqrt(tasks * a / b), 1), tasks) if split_left else 1
+        columns[item] = tasks / rows[item]
+    return _from_parts(rows), _from_parts(columns)
 
 
 def spread(df: DataFrame, parts: Column) -> Column:
@@ -126,14 +154,14 @@ def spread(df: DataFrame, parts: Column) -> Column:
     return F.pmod(F.xxhash64(*hashable) + F.spark_partition_id(), parts).cast("int")
 
 
-def salt_rows(df: DataFrame, parts: Column) -> DataFrame:
+def salt_rows(df: DataFrame, parts: Column, name: str = SALT) -> DataFrame:
     """Spread the rows of a key over its parts; a key with one part gets salt 0."""
-    return df.withColumn(SALT, F.when(parts > 1, spread(df, parts)).otherwise(F.lit(0)))
+    return df.withColumn(name, F.when(parts > 1, spread(df, parts)).otherwise(F.lit(0)))
 
 
-def copy_to_salts(df: DataFrame, parts: Column) -> DataFrame:
+def copy_to_salts(df: DataFrame, parts: Column, name: str = SALT) -> DataFrame:
     """Repeat each row once for each part of its key on the other side."""
-    return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), parts - 1)))
+    return df.withColumn(name, F.explode(F.sequence(F.lit(0), parts - 1)))
 
 
 def range_cuts(values: DataFrame, parts: int) -> tuple[int, list[float]]:

@@ -288,7 +288,7 @@ class _Plan:
         probes = distinct_probes(_all_present(rows, [*self.request_keys, *bounds]), probe)
         lookup = self.lookup_side(everything=True)
         pairs, salts = matching_pairs(
-            probes, self.request_keys, lookup, self.lookup_keys, test, splitter, all_hot=self.constant_key
+            probes, self.request_keys, lookup, self.lookup_keys, test, splitter
         )
         pairs = pairs.select(*[col(c) for c in [*probe, *salts, *self._payload_columns]])
         return pairs, probe, null_safe, _without_condition_columns(rows, keep=probe)
@@ -469,7 +469,5 @@ def _admitted(plan: _Plan, template: Condition, rows: DataFrame, splitter: Split
             bounds.append(f"{BOUND}{i}")
         read = [c for c in rows.columns if c in template.residual_columns]
         probes = distinct_probes(_all_present(rows, [*keys, *bounds]), [*keys, *bounds, *read])
-    admitted, _ = matching_pairs(
-        probes, keys, lookup, asking.lookup_keys, test, splitter, all_hot=asking.constant_key, how="left_semi"
-    )
+    admitted, _ = matching_pairs(probes, keys, lookup, asking.lookup_keys, test, splitter, "left_semi")
     return admitted.select(*[col(c) for c in plan._lookup.columns])
