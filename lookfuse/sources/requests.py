@@ -27,8 +27,10 @@ def requests_from_files(
     max_files_per_batch: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """A stream of requests from files; ``max_files_per_batch`` bounds a micro-batch."""
+    """A stream of requests from a folder or a single file; ``max_files_per_batch`` bounds a micro-batch."""
     reader = spark.readStream.format(format).schema(schema).options(**options)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    return reader.load(path)
+    # A file source takes a single file only by way of a pattern; this one matches just the path itself.
+    path = path.rstrip("/")
+    return reader.load(f"{path[:-1]}[{path[-1]}]" if path[-1].isalnum() else path)
