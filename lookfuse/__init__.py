@@ -70,5 +70,9 @@ def enrich(requests: DataFrame, lookup: DataFrame | str, **options) -> DataFrame
         key statistics when the plan is built; ``True`` and ``False`` force it.
         ``semi_reduce``: cut the lookup to requested keys before reducing it; ``"auto"`` does so when the keys
         are small enough to be broadcast and the lookup is not.
+        ``pushdown_keys``: send the keys to the lookup's source as a literal list if there are at most this many.
+
+    Plans for large inputs read their sources once for the result and, narrowly, for key statistics; store
+    requests that are expensive to compute, or say ``split=False``.
     """
     return build(requests, resolve_lookup(requests.sparkSession, lookup), Options(**options))

@@ -131,6 +131,20 @@ def enrich_overwrite(t):
     return enrich(requests, t.labels, join_key="doc_id", mode="overwrite")
 
 
+@query(f"""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, p_name, p_brand, p_retailprice,
+           {status_sql("p_partkey IS NOT NULL")}
+    FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 5) ON p_partkey = l_partkey
+""")
+def enrich_lineitem_part(t):
+    return enrich(
+        t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"),
+        t.part.where("p_size > 5"),
+        join_key="l_partkey",
+        column_names=["p_partkey as l_partkey", "p_name", "p_brand", "p_retailprice"],
+    )
+
+
 @query("""
     SELECT d.doc_id, lang, l.doc_id AS response_doc_id, quality, l.doc_id IS NULL AS no_response
     FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id

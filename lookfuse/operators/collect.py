@@ -62,22 +62,28 @@ def select_from_groups(
     row: Column,
     choose: Callable[[Column], Column],
     decomposable: bool,
+    by_partition: bool,
     chunk_rows: int = CHUNK_ROWS,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Apply ``choose`` (array of rows to one row or NULL) to each group: ``keys``, HIT, CHOSEN, COUNT.
 
     A decomposable selector (best of a group = best of the bests of its parts) runs over chunks, then over the
-    chunks' choices. Any other selector needs its group whole; a group above ``max_group_rows`` fails the job
+    chunks' choices; ``by_partition`` does both within each input partition first, which spreads a hot key over
+    the tasks that read it and sends one row of it from each. Any other selector needs its group whole; a group above ``max_group_rows`` fails the job
     before it is gathered, rather than being cut.
     """
     df = df.withColumn(_PARTITION, F.spark_partition_id()).withColumn(COUNT, F.lit(1).cast("bigint"))
     if not decomposable:
         return _choose(_whole_groups(df, keys, sort, max_group_rows), keys, row, choose)
-    local = [*keys, _PARTITION]
-    chunks = _choose(_number(df, local, sort, chunk_rows), [*local, _CHUNK], row, choose)
-    partitions = _choose_again(chunks, local, _CHUNK, choose)
-    chunks = _choose_again(_number(partitions, keys, [col(_PARTITION)], chunk_rows), [*keys, _CHUNK], _RANK, choose)
+    if by_partition:
+        local = [*keys, _PARTITION]
+        chunks = _choose(_number(df, local, sort, chunk_rows), [*local, _CHUNK], row, choose)
+        partitions = _choose_again(chunks, local, _CHUNK, choose)
+        numbered = _number(partitions, keys, [col(_PARTITION)], chunk_rows)
+        chunks = _choose_again(numbered, [*keys, _CHUNK], _RANK, choose)
+    else:
+        chunks = _choose(_number(df, keys, sort, chunk_rows), [*keys, _CHUNK], row, choose)
     return _choose_again(chunks, keys, _CHUNK, choose)
 
 

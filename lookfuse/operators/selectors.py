@@ -7,9 +7,11 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lookfuse.operators.collect import CHUNK_ROWS, MAX_GROUP_ROWS
 
@@ -53,7 +55,7 @@ class ColumnSelector:
 class PythonSelector:
     """``fn(rows[, request])`` as a Python function over a list of rows.
 
-    ``rows_as`` gives the rows as dicts or as ``Row`` objects. A function that raises, or returns something that
+    ``rows_as`` gives the rows as dicts or as ``Row`` objects; the request is a ``Row``. A function that raises, or returns something that
     is no row, falls back to the first row; an empty dict declines; ``None`` does what ``none_means`` says.
     ``decomposable=True`` promises that the best of a group is the best of the bests of its parts (true for
     latest, largest, cheapest and the like); then groups of any size work. ``schema`` is the type of the returned
@@ -88,12 +90,12 @@ class PythonSelector:
         result = self.result_type(schema)
         names = result.names
 
-        def pick(rows: list[Row] | None, *request: Row) -> tuple | None:
+        def pick(rows: list[dict] | None, *request: dict) -> dict | None:
             if not rows:
                 return None
-            offered = [r.asDict() for r in rows] if as_dict else list(rows)
+            offered = rows if as_dict else [Row(**r) for r in rows]
             try:
-                chosen = fn(offered, *request)
+                chosen = fn(offered, *[Row(**r) for r in request])
             except Exception:
                 chosen = offered[0]
             if chosen is None:
@@ -101,7 +103,11 @@ class PythonSelector:
             elif not isinstance(chosen, (Mapping, Row)):
                 chosen = offered[0]
             values = chosen.asDict() if isinstance(chosen, Row) else chosen
-            return tuple(values.get(n) for n in names) if values else None
+            return {n: values.get(n) for n in names} if values else None
 
-        # Arrow batches carry whole groups, so the function sees lists without per-row pickling.
-        return F.udf(pick, result, useArrow=True)
+        def pick_all(groups: pa.Array, *requests: pa.Array) -> pa.Array:
+            columns = [c.to_pylist() for c in (groups, *requests)]
+            return pa.array([pick(*args) for args in zip(*columns)], to_arrow_type(result))
+
+        # Whole groups travel as Arrow lists; rows become dicts at once, without one pickle for each.
+        return F.arrow_udf(pick_all, result)

@@ -99,13 +99,15 @@ def condition_values(requests: DataFrame, options: Options) -> dict[str, Column]
     return {n: col(index.find(n)) if n in index else F.lit(None).cast("string") for n in names}
 
 
-def with_condition_columns(requests: DataFrame, options: Options) -> tuple[DataFrame, dict[str, T.DataType]]:
-    """Requests plus one column for each condition value and for each field callbacks may read."""
+def with_condition_columns(
+    requests: DataFrame, options: Options, reads_fields: bool = True
+) -> tuple[DataFrame, dict[str, T.DataType]]:
+    """Requests plus one column for each condition value and, if callbacks read fields, for each field."""
     values = condition_values(requests, options)
     side = requests.select(
         "*",
         *[v.alias(VALUE_PREFIX + n) for n, v in values.items()],
-        *[col(c).alias(FIELD_PREFIX + c) for c in requests.columns],
+        *[col(c).alias(FIELD_PREFIX + c) for c in (requests.columns if reads_fields else [])],
     )
     return side, {n: side.schema[VALUE_PREFIX + n].dataType for n in values}
 

@@ -94,7 +94,8 @@ def _build_one(requests: DataFrame, lookup: DataFrame, options: Options, matchle
         )
         return merge(joined, requests.columns, schema, options)
 
-    side, value_types = with_condition_columns(requests, options)
+    reads_fields = callable(options.restriction) or (selector is not None and selector.with_request)
+    side, value_types = with_condition_columns(requests, options, reads_fields)
     condition = build_condition(side, lookup, keys, value_types, options.restriction, options)
     if not condition.equalities and not options.allow_theta:
         raise ValueError(
@@ -206,6 +207,7 @@ class _Plan:
             rows = rows.withColumn(LIMIT, limit.request)
         rows = _without_condition_columns(rows)
         lookup = self.lookup_side(*extra).where(col(LOOKUP_BOUND).isNotNull())
+        lookup = self._reduced_to(rows, lookup)
         if not splitter.enabled:
             found = pick_by_bound(
                 rows, self.request_keys, BOUND, bound.op, lookup, self.lookup_keys, payload, splitter
@@ -252,6 +254,7 @@ class _Plan:
             self.payload.row(),
             lambda array: choose(array, *arguments),
             selector.decomposable,
+            splitter.enabled,
             selector.chunk_rows,
             selector.max_group_rows,
         )
@@ -286,7 +289,7 @@ class _Plan:
         null_safe = [c for c in rows.columns if c in read]
         probe = [*self.request_keys, *bounds, *null_safe]
         probes = distinct_probes(_all_present(rows, [*self.request_keys, *bounds]), probe)
-        lookup = self.lookup_side(everything=True)
+        lookup = self._reduced_to(rows, self.lookup_side(everything=True))
         pairs, salts = matching_pairs(
             probes, self.request_keys, lookup, self.lookup_keys, test, splitter
         )
@@ -314,13 +317,19 @@ class _Plan:
         return joined.drop(*picked_columns)
 
     def _reduced_to(self, rows: DataFrame, lookup: DataFrame) -> DataFrame:
-        """Lookup rows with a key some request has, when the requests' keys are few enough to be broadcast."""
-        wanted = self.options.semi_reduce
-        if wanted is False or self.constant_key or rows.isStreaming:
+        """Lookup rows with a key some request has, when the requests' keys are few enough to be sent to them."""
+        wanted, most = self.options.semi_reduce, self.options.pushdown_keys
+        if self.constant_key or rows.isStreaming or (wanted is False and not most):
             return lookup
         asked = distinct_probes(_all_present(rows, self.request_keys), self.request_keys)
-        small = fits_broadcast(asked)
-        if wanted == "auto" and (not small or fits_broadcast(self._lookup)):
+        if most:
+            found = asked.limit(most + 1).collect()
+            if len(found) <= most:
+                # Literal lists reach the source; with several key columns they are a superset the join narrows.
+                for i, name in enumerate(self.lookup_keys):
+                    lookup = lookup.where(col(name).isin(list({r[i] for r in found})))
+                return lookup
+        if wanted is False or wanted == "auto" and (not fits_broadcast(asked) or fits_broadcast(self._lookup)):
             return lookup
         same = reduce(
             lambda a, b: a & b, [col(m) == col(t) for m, t in zip(self.request_keys, self.lookup_keys)]

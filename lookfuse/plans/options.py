@@ -44,6 +44,7 @@ class Options:
     status: bool | None = None
     match_count: bool = False
     semi_reduce: bool | str = "auto"
+    pushdown_keys: int = 0
     split: bool | str = "auto"
 
     def __post_init__(self):
@@ -53,6 +54,8 @@ class Options:
         _one_of("duplicates", self.duplicates, ("all", "first"))
         _one_of("semi_reduce", self.semi_reduce, ("auto", True, False))
         _one_of("split", self.split, ("auto", True, False))
+        if self.pushdown_keys < 0:
+            raise ValueError("`pushdown_keys` is the largest number of keys sent to the source, or 0")
         if self.mode == ADD_NESTED and not self.nested_key:
             raise ValueError("`nested_key` must be given with mode 'add_nested'")
         if self.join_key is not None and self.keys is not None:

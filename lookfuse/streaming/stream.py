@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from lookfuse.operators.skew import fits_broadcast
 from lookfuse.plans.enrich import build, needs_micro_batches
 from lookfuse.plans.options import Options
 from lookfuse.session import scratch_folder
 
 CONSOLE = "console"
+BATCH_KEYS = 1000  # the largest batch the request side sends in one go
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
 
 Lookup = DataFrame | Callable[[], DataFrame]
@@ -33,13 +35,18 @@ def enrich_stream(
     (batch DataFrame, batch id), which may see a batch again after a failure. ``trigger`` takes the arguments of
     ``DataStreamWriter.trigger``. ``lookup`` as a function is called for each batch, so changes of the table are
     seen; as a DataFrame it is planned once. The lookup must not be a stream.
+
+    A lookup that can be broadcast and is matched on keys alone is joined as a static side. Otherwise each
+    micro-batch runs the batch plan, and its keys, if there are at most ``pushdown_keys`` (1000) of them, go to the
+    lookup's source as a filter.
     """
     if not requests.isStreaming:
         raise ValueError("`requests` is not a stream; use enrich()")
-    chosen = Options(**options)
+    chosen = Options(**{"pushdown_keys": BATCH_KEYS, **options})
     spark = requests.sparkSession
     sample = lookup() if callable(lookup) else lookup
-    by_batch = callable(lookup) or callable(sink) or needs_micro_batches(requests, sample, chosen)
+    by_batch = callable(lookup) or callable(sink) or not fits_broadcast(sample)
+    by_batch = by_batch or needs_micro_batches(requests, sample, chosen)
     checkpoint = checkpoint or scratch_folder(spark, "stream-checkpoint")
     trigger = trigger or DEFAULT_TRIGGER
 
