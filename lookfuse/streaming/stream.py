@@ -56,14 +56,18 @@ def enrich_stream(
     else:
 
         def run(batch: DataFrame, batch_id: int) -> None:
-            enriched = build(batch, lookup() if callable(lookup) else lookup, chosen)
-            if callable(sink):
-                sink(enriched, batch_id)
-            elif sink == CONSOLE:
-                enriched.show()
-            else:
-                # A repeated batch replaces its own folder, so a restart adds no row twice.
-                enriched.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/{_BATCH}={batch_id}")
+            batch = batch.persist()  # planning may look at the keys before the result does
+            try:
+                enriched = build(batch, lookup() if callable(lookup) else lookup, chosen)
+                if callable(sink):
+                    sink(enriched, batch_id)
+                elif sink == CONSOLE:
+                    enriched.show()
+                else:
+                    # A repeated batch replaces its own folder, so a restart adds no row twice.
+                    enriched.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/{_BATCH}={batch_id}")
+            finally:
+                batch.unpersist()
 
         writer = requests.writeStream.foreachBatch(run)
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
