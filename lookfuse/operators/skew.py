@@ -26,6 +26,8 @@ MAX_PARTS = 16384
 MIN_PARTS = 8
 _TRACKED_KEYS = 100_000  # the sketch's error, 3.5 / 131072 of the rows, is then below one part
 
+_UNKNOWN_SIZE = 1 << 60
+_FEW_ROWS = 10_000
 _UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -37,11 +39,20 @@ def _bytes_setting(spark: SparkSession, key: str) -> int:
 
 
 def plan_bytes(df: DataFrame) -> int | None:
-    """Spark's own size estimate, or None where the session does not offer one."""
+    """Spark's own size estimate; None where there is none, as for data that come from an RDD."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     except AttributeError:
         return None
+    return size if size < _UNKNOWN_SIZE else None
+
+
+def _small_or_unknown(df: DataFrame) -> int | None:
+    """The estimate, or 0 for an input without one that turns out to have few rows."""
+    size = plan_bytes(df)
+    if size is None and df.select(F.lit(1)).limit(_FEW_ROWS + 1).count() <= _FEW_ROWS:
+        return 0
+    return size
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -63,14 +74,15 @@ class Splitter:
             return cls(False)  # a micro-batch is bounded by the rate options of its source
         if split not in (True, "auto"):
             raise ValueError("split must be 'auto', True or False")
-        threshold = _bytes_setting(
-            inputs[0].sparkSession, "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
-        )
-        sizes = [plan_bytes(df) for df in inputs]
-        total = None if None in sizes else sum(sizes)
-        if split == "auto" and total is not None and total <= threshold:
+        spark = inputs[0].sparkSession
+        threshold = _bytes_setting(spark, "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+        sizes = [(_small_or_unknown if split == "auto" else plan_bytes)(df) for df in inputs]
+        known = sum(size for size in sizes if size is not None)
+        if split == "auto" and None not in sizes and known <= threshold:
             return cls(False)
-        parts = MAX_PARTS if total is None else -(-total // max(threshold, 1))
+        parts = -(-known // max(threshold, 1))
+        if None in sizes:
+            parts += int(spark.conf.get("spark.sql.shuffle.partitions"))
         return cls(True, max(MIN_PARTS, min(MAX_PARTS, parts)))
 
 
@@ -178,7 +190,7 @@ def range_cuts(values: DataFrame, parts: int) -> tuple[int, list[float]]:
         a, b = ends["a"].encode(), ends["b"].encode()
         while skip < min(len(a), len(b)) and a[skip] == b[skip]:
             skip += 1
-    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    shares = _numbers(i / parts for i in range(1, parts))
     number = _range_number(col(field.name), field.dataType, skip)
     cuts = values.agg(F.percentile_approx(number, shares, F.lit(4 * parts)).alias("cuts")).first()["cuts"]
     return skip, sorted({c for c in cuts or [] if c == c})
@@ -189,7 +201,7 @@ def range_part(value: Column, dtype: T.DataType, cuts: tuple[int, list[float]])
     skip, points = cuts
     if not points:
         return F.lit(0)
-    table = F.lit(points)
+    table = _numbers(points)
     number = _range_number(value, dtype, skip)
     steps = []
     step = 1 << (len(points).bit_length() - 1)
@@ -206,6 +218,11 @@ def range_part(value: Column, dtype: T.DataType, cuts: tuple[int, list[float]])
     return F.when(number.isNull(), F.lit(0)).otherwise(found)
 
 
+def _numbers(values) -> Column:
+    """A literal array; thousands of numbers are parsed faster than made one by one."""
+    return F.expr("array(" + ", ".join(f"cast('{v!r}' as double)" for v in values) + ")")
+
+
 def _range_number(value: Column, dtype: T.DataType, skip: int) -> Column:
     if isinstance(dtype, T.StringType):
         digits = F.rpad(F.substring(F.hex(value), 2 * skip + 1, 12), 12, "0")

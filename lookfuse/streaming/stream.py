@@ -56,7 +56,8 @@ def enrich_stream(
     else:
 
         def run(batch: DataFrame, batch_id: int) -> None:
-            batch = batch.persist()  # planning may look at the keys before the result does
+            batch = batch.persist()
+            batch.count()  # planning looks at the size and the keys before the result does
             try:
                 enriched = build(batch, lookup() if callable(lookup) else lookup, chosen)
                 if callable(sink):
