@@ -62,21 +62,22 @@ def select_from_groups(
     row: Column,
     choose: Callable[[Column], Column],
     decomposable: bool,
-    by_partition: bool,
+    hot: Column | None,
     chunk_rows: int = CHUNK_ROWS,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Apply ``choose`` (array of rows to one row or NULL) to each group: ``keys``, HIT, CHOSEN, COUNT.
 
     A decomposable selector (best of a group = best of the bests of its parts) runs over chunks, then over the
-    chunks' choices; ``by_partition`` does both within each input partition first, which spreads a hot key over
-    the tasks that read it and sends one row of it from each. Any other selector needs its group whole; a group above ``max_group_rows`` fails the job
+    chunks' choices; for groups that are ``hot`` both happen within each input partition first, so that a hot key
+    is spread over the tasks that read it and sends one row from each. Any other selector needs its group whole; a group above ``max_group_rows`` fails the job
     before it is gathered, rather than being cut.
     """
-    df = df.withColumn(_PARTITION, F.spark_partition_id()).withColumn(COUNT, F.lit(1).cast("bigint"))
+    partition = F.lit(-1) if hot is None else F.when(hot, F.spark_partition_id()).otherwise(F.lit(-1))
+    df = df.withColumn(_PARTITION, partition).withColumn(COUNT, F.lit(1).cast("bigint"))
     if not decomposable:
-        return _choose(_whole_groups(df, keys, sort, max_group_rows), keys, row, choose)
-    if by_partition:
+        return _choose(_whole_groups(df, keys, sort, max_group_rows, hot is not None), keys, row, choose)
+    if hot is not None:
         local = [*keys, _PARTITION]
         chunks = _choose(_number(df, local, sort, chunk_rows), [*local, _CHUNK], row, choose)
         partitions = _choose_again(chunks, local, _CHUNK, choose)
@@ -94,23 +95,23 @@ def _number(df: DataFrame, group: Sequence[str], sort: Sequence[Column], chunk_r
     )
 
 
-def _whole_groups(df: DataFrame, keys: Sequence[str], sort: Sequence[Column], limit: int) -> DataFrame:
-    # Ranks beyond the limit already go within each partition; one of them is kept as evidence.
-    in_partition = Window.partitionBy(*[col(k) for k in keys], col(_PARTITION)).orderBy(*sort)
-    window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*sort)
+def _whole_groups(
+    df: DataFrame, keys: Sequence[str], sort: Sequence[Column], limit: int, by_partition: bool
+) -> DataFrame:
     message = (
         f"A group has more than {limit} matching rows. Use an order, a selector declared decomposable, "
         "or a larger max_group_rows."
     )
-    return (
-        df.withColumn(_RANK_IN_PARTITION, F.row_number().over(in_partition))
-        .where(col(_RANK_IN_PARTITION) <= limit + 1)
-        .withColumn(_RANK, F.row_number().over(window))
-        .where(col(_RANK) <= limit + 1)
-        .withColumn(
-            _RANK, F.when(col(_RANK) > limit, F.raise_error(F.lit(message)).cast("int")).otherwise(col(_RANK))
+    if by_partition:
+        # Ranks beyond the limit go within each partition already; one of them is kept as evidence.
+        local = Window.partitionBy(*[col(k) for k in keys], col(_PARTITION)).orderBy(*sort)
+        df = df.withColumn(_RANK_IN_PARTITION, F.row_number().over(local)).where(
+            col(_RANK_IN_PARTITION) <= limit + 1
         )
-    )
+    window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*sort)
+    ranked = df.withColumn(_RANK, F.row_number().over(window)).where(col(_RANK) <= limit + 1)
+    too_many = F.raise_error(F.lit(message)).cast("int")
+    return ranked.withColumn(_RANK, F.when(col(_RANK) > limit, too_many).otherwise(col(_RANK)))
 
 
 def _gather(df: DataFrame, group: Sequence[str], row: Column, place: str = _RANK) -> DataFrame:

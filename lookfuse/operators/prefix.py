@@ -34,12 +34,13 @@ def pick_by_bound(
     lookup_keys: Sequence[str],
     payload: Payload,
     splitter: Splitter,
+    undistinct: DataFrame | None = None,
 ) -> DataFrame:
     """All columns of ``requests`` plus HIT, COUNT and the payload columns.
 
     ``lookup`` holds its keys, ``LOOKUP_BOUND`` and the payload and order columns, all keys and bounds
     non-NULL and of the types of the request side. With splitting on, request bounds have to be non-NULL too,
-    and requests distinct.
+    and requests distinct; ``undistinct`` are the rows they come from, for key statistics without a shuffle.
     """
     keys = [f"__key{i}" for i in range(len(lookup_keys))]
     ascending = op in ("<", "<=")
@@ -59,9 +60,14 @@ def pick_by_bound(
     part = F.lit(0)
     carried = None
     if splitter.enabled:
+        raw = candidates.select(*keys, _AT).unionByName(
+            (requests if undistinct is None else undistinct).select(
+                *[col(k).alias(n) for k, n in zip(request_keys, keys)], col(bound).alias(_AT)
+            )
+        )
         # Copies of a lookup row are merged before they meet in one task.
         candidates = _merge(candidates, [*keys, _AT], payload)
-        part, carried = _split_hot_keys(candidates, asking, keys, payload, ascending, splitter)
+        part, carried = _split_hot_keys(candidates, raw, keys, payload, ascending, splitter)
 
     run = (
         candidates.select("*", part.alias(_PART), F.lit(lookup_side).alias(_SIDE))
@@ -99,7 +105,7 @@ def _merge(df: DataFrame, keys: Sequence[str], payload: Payload) -> DataFrame:
 
 def _split_hot_keys(
     candidates: DataFrame,
-    asking: DataFrame,
+    raw: DataFrame,
     keys: Sequence[str],
     payload: Payload,
     ascending: bool,
@@ -111,13 +117,12 @@ def _split_hot_keys(
     Carried rows exist for hot keys only, one for each part.
     """
     hashed = key_hash([col(k) for k in keys])
-    narrow = candidates.select(*keys, _AT).unionByName(asking.select(*keys, _AT))
-    hot = find_hot_keys(narrow.select(hashed.alias("h")), splitter)
+    hot = find_hot_keys(raw.select(hashed.alias("h")), splitter)
     if not hot:
         return F.lit(0), None
-    cuts = range_cuts(narrow.where(hot.has(hashed)).select(_AT), splitter.parts)
+    cuts = range_cuts(raw.where(hot.has(hashed)).select(_AT), splitter.parts)
     fine_parts = len(cuts[1]) + 1
-    fine = range_part(col(_AT), asking.schema[_AT].dataType, cuts)
+    fine = range_part(col(_AT), raw.schema[_AT].dataType, cuts)
     parts = F.least(hot.parts(hashed), F.lit(fine_parts))
     # A key with fewer parts than there are cuts joins neighbours.
     part = F.when(parts > 1, F.floor(fine.cast("bigint") * parts / F.lit(fine_parts)).cast("int")).otherwise(F.lit(0))

@@ -69,13 +69,15 @@ class Splitter:
     parts: int = 1
 
     @classmethod
-    def plan(cls, split: bool | str, *inputs: DataFrame) -> "Splitter":
+    def plan(cls, split: bool | str, *inputs: DataFrame, one_group: bool = False) -> "Splitter":
+        """``one_group``: all rows have the same key, so that without splitting there would be one task."""
         if split is False or any(df.isStreaming for df in inputs):
             return cls(False)  # a micro-batch is bounded by the rate options of its source
         if split not in (True, "auto"):
             raise ValueError("split must be 'auto', True or False")
         spark = inputs[0].sparkSession
         threshold = _bytes_setting(spark, "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+        threshold = threshold // 16 if one_group else threshold
         sizes = [(_small_or_unknown if split == "auto" else plan_bytes)(df) for df in inputs]
         known = sum(size for size in sizes if size is not None)
         if split == "auto" and None not in sizes and known <= threshold:

@@ -38,7 +38,7 @@ from lookfuse.operators.prefix import pick_by_bound
 from lookfuse.operators.reduce import count_per_key, first_per_key
 from lookfuse.operators.requests import distinct_probes, mark_first, total_order
 from lookfuse.operators.selectors import ColumnSelector, PythonSelector
-from lookfuse.operators.skew import Splitter, fits_broadcast
+from lookfuse.operators.skew import Splitter, find_hot_keys, fits_broadcast, key_hash
 from lookfuse.plans.condition import (
     Bound,
     Condition,
@@ -103,7 +103,7 @@ def _build_one(requests: DataFrame, lookup: DataFrame, options: Options, matchle
             "add one, or say allow_theta=True"
         )
     plan = _Plan(options, lookup, payload, payload_columns, order_source, condition, selector)
-    splitter = Splitter.plan(options.split, requests, lookup)
+    splitter = Splitter.plan(options.split, requests, lookup, one_group=not condition.equalities)
     wanted = requests.columns
 
     if options.duplicates == "first":
@@ -214,9 +214,10 @@ class _Plan:
             )
         else:
             probe = [*self.request_keys, BOUND]
-            probes = distinct_probes(_all_present(rows, probe), probe)
+            present = _all_present(rows, probe)
+            probes = distinct_probes(present, probe)
             picked = pick_by_bound(
-                probes, self.request_keys, BOUND, bound.op, lookup, self.lookup_keys, payload, splitter
+                probes, self.request_keys, BOUND, bound.op, lookup, self.lookup_keys, payload, splitter, present
             )
             found = self._attach(rows, probe, *_as_lookup_keys(picked, probe), splitter)
         if limit is not None:
@@ -239,6 +240,13 @@ class _Plan:
             null_safe: list[str] = []
         else:
             groups, keys, null_safe, rows = self._pairs(rows, splitter, selector.with_request)
+        hot = None
+        if splitter.enabled:
+            # Only a key with many lookup rows can have many matches.
+            own = key_hash([col(k) for k in self.lookup_keys])
+            found = find_hot_keys(self.lookup_side().select(own.alias("h")), splitter)
+            grouped_by = self.lookup_keys if keys is self.lookup_keys else self.request_keys
+            hot = found.has(key_hash([col(k) for k in grouped_by])) if found else None
         choose = selector.bind(self.payload.schema)
         arguments = []
         if selector.with_request:
@@ -254,7 +262,7 @@ class _Plan:
             self.payload.row(),
             lambda array: choose(array, *arguments),
             selector.decomposable,
-            splitter.enabled,
+            hot,
             selector.chunk_rows,
             selector.max_group_rows,
         )
