@@ -28,14 +28,12 @@ def attach(
     """
     salted = splitter.enabled and not single_row and not fits_broadcast(picked)
     if salted:
-        hashed = key_hash([col(c) for c in request_columns])
         # xxhash64 skips NULLs, so requests without a first column are told apart here.
         asking = requests.where(col(request_columns[0]).isNotNull())
-        hot = find_hot_keys(asking.select(hashed.alias("h")), splitter)
-        mine = F.when(col(request_columns[0]).isNull(), F.lit(splitter.parts)).otherwise(hot.parts(hashed))
+        hot = find_hot_keys(asking.select(key_hash(request_columns).alias("h")), splitter)
+        mine = F.when(col(request_columns[0]).isNull(), F.lit(splitter.parts)).otherwise(hot.parts(request_columns))
         requests = salt_rows(requests, mine)
-        theirs = hot.parts(key_hash([col(c) for c in picked_columns]))
-        picked = copy_to_salts(picked, theirs, SALT + "_p")
+        picked = copy_to_salts(picked, hot.parts(picked_columns), SALT + "_p")
     if single_row:
         picked = F.broadcast(picked)  # one row by construction
     condition = F.lit(True)

@@ -70,8 +70,8 @@ def select_from_groups(
 
     A decomposable selector (best of a group = best of the bests of its parts) runs over chunks, then over the
     chunks' choices; for groups that are ``hot`` both happen within each input partition first, so that a hot key
-    is spread over the tasks that read it and sends one row from each. Any other selector needs its group whole; a group above ``max_group_rows`` fails the job
-    before it is gathered, rather than being cut.
+    is spread over the tasks that read it and sends one row from each. Any other selector needs its group whole;
+    a group above ``max_group_rows`` fails the job before it is gathered, rather than being cut.
     """
     partition = F.lit(-1) if hot is None else F.when(hot, F.spark_partition_id()).otherwise(F.lit(-1))
     df = df.withColumn(_PARTITION, partition).withColumn(COUNT, F.lit(1).cast("bigint"))

@@ -35,14 +35,16 @@ def matching_pairs(
     for mine, theirs in zip(probe_keys, lookup_keys):
         condition = condition & (col(mine) == col(theirs))
     if splitter.enabled:
-        by_probe, by_lookup = key_hash([col(k) for k in probe_keys]), key_hash([col(k) for k in lookup_keys])
         probe_parts, lookup_parts = find_hot_grid(
-            probes.select(by_probe.alias("h")), lookup.select(by_lookup.alias("h")), splitter, how == "inner"
+            probes.select(key_hash(probe_keys).alias("h")),
+            lookup.select(key_hash(lookup_keys).alias("h")),
+            splitter,
+            how == "inner",
         )
-        probes = salt_rows(probes, probe_parts.parts(by_probe), _PROBE_SALT)
-        probes = copy_to_salts(probes, lookup_parts.parts(by_probe), f"{SALT}_probe_at")
-        lookup = salt_rows(lookup, lookup_parts.parts(by_lookup))
-        lookup = copy_to_salts(lookup, probe_parts.parts(by_lookup), f"{SALT}_at")
+        probes = salt_rows(probes, probe_parts.parts(probe_keys), _PROBE_SALT)
+        probes = copy_to_salts(probes, lookup_parts.parts(probe_keys), f"{SALT}_probe_at")
+        lookup = salt_rows(lookup, lookup_parts.parts(lookup_keys))
+        lookup = copy_to_salts(lookup, probe_parts.parts(lookup_keys), f"{SALT}_at")
         condition = condition & (col(SALT) == col(f"{SALT}_probe_at")) & (col(f"{SALT}_at") == col(_PROBE_SALT))
         salts = [SALT]
     if residual is not None:

@@ -116,18 +116,17 @@ def _split_hot_keys(
     Every part is a run of its own; a carried row at its start stands for all lookup rows of the parts before.
     Carried rows exist for hot keys only, one for each part.
     """
-    hashed = key_hash([col(k) for k in keys])
-    hot = find_hot_keys(raw.select(hashed.alias("h")), splitter)
+    hot = find_hot_keys(raw.select(key_hash(keys).alias("h")), splitter)
     if not hot:
         return F.lit(0), None
-    cuts = range_cuts(raw.where(hot.has(hashed)).select(_AT), splitter.parts)
+    cuts = range_cuts(raw.where(hot.has(keys)).select(_AT), splitter.parts)
     fine_parts = len(cuts[1]) + 1
     fine = range_part(col(_AT), raw.schema[_AT].dataType, cuts)
-    parts = F.least(hot.parts(hashed), F.lit(fine_parts))
+    parts = F.least(hot.parts(keys), F.lit(fine_parts))
     # A key with fewer parts than there are cuts joins neighbours.
     part = F.when(parts > 1, F.floor(fine.cast("bigint") * parts / F.lit(fine_parts)).cast("int")).otherwise(F.lit(0))
 
-    sums = _merge(candidates.where(hot.has(hashed)).withColumn(_PART, part), [*keys, _PART], payload)
+    sums = _merge(candidates.where(hot.has(keys)).withColumn(_PART, part), [*keys, _PART], payload)
     every_part = (
         sums.select(*keys)
         .distinct()

@@ -23,7 +23,9 @@ def takes_request(fn: Callable) -> bool:
     except (TypeError, ValueError):
         return False
     positional = [
-        p for p in parameters if p.kind in (p.POSITIONAL_ONLY, p.POSITIONAL_OR_KEYWORD) and p.default is p.empty
+        p
+        for p in parameters
+        if p.kind in (p.POSITIONAL_ONLY, p.POSITIONAL_OR_KEYWORD) and p.default is p.empty
     ]
     return len(positional) >= 2
 
@@ -55,8 +57,9 @@ class ColumnSelector:
 class PythonSelector:
     """``fn(rows[, request])`` as a Python function over a list of rows.
 
-    ``rows_as`` gives the rows as dicts or as ``Row`` objects; the request is a ``Row``. A function that raises, or returns something that
-    is no row, falls back to the first row; an empty dict declines; ``None`` does what ``none_means`` says.
+    ``rows_as`` gives the rows as dicts or as ``Row`` objects; the request is a ``Row``. A function that raises, or
+    returns something that is no row, falls back to the first row; an empty dict declines; ``None`` does what
+    ``none_means`` says.
     ``decomposable=True`` promises that the best of a group is the best of the bests of its parts (true for
     latest, largest, cheapest and the like); then groups of any size work. ``schema`` is the type of the returned
     row if it is not the type of the lookup rows.

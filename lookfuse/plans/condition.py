@@ -67,7 +67,9 @@ class Condition:
     def residual_test(self) -> Column | None:
         return reduce(lambda a, b: a & b, self.residual) if self.residual else None
 
-    def split_bounds(self, terms: Sequence[OrderTerm], order_source: Callable[[str], str]) -> tuple[Bound | None, Bound | None]:
+    def split_bounds(
+        self, terms: Sequence[OrderTerm], order_source: Callable[[str], str]
+    ) -> tuple[Bound | None, Bound | None]:
         """The bound to sort by and, for a two-sided range, the one to test on the picked row.
 
         The second is exact only when the order takes the row nearest to the first; then a picked row beyond
@@ -197,8 +199,9 @@ def _add(condition: Condition, side, lookup, item, value_types, covered) -> None
         return
     parsed = read_template(part, value_types, {n: VALUE_PREFIX + n for n in value_types})
     used = {VALUE_PREFIX + n for n in parsed.fields}
+    index = NameIndex.of(lookup)
     for comparison in parsed.comparisons:
-        if (comparison.value_sql.strip("`"), NameIndex.of(lookup).find(comparison.column)) in covered and comparison.op == "=":
+        if comparison.op == "=" and (comparison.value_sql.strip("`"), index.find(comparison.column)) in covered:
             continue  # says again what the key says
         _add_comparison(
             condition, side, lookup, comparison.column, comparison.op, F.expr(comparison.value_sql), used, covered

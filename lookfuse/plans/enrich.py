@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, replace
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -67,15 +67,6 @@ def build(requests: DataFrame, lookup: DataFrame, options: Options) -> DataFrame
     return reduce(lambda a, b: a.unionByName(b), branches)
 
 
-@dataclass(frozen=True)
-class _Side:
-    """Request rows with their match columns."""
-
-    rows: DataFrame
-    keys: list[str]
-    anchor_is_constant: bool
-
-
 def _build_one(requests: DataFrame, lookup: DataFrame, options: Options, matchless: bool = False) -> DataFrame:
     parsed = parse_column_names(options.column_names)
     keys = declared_keys(requests, lookup, parsed, options)
@@ -202,7 +193,8 @@ class _Plan:
         rows = rows.withColumn(BOUND, bound.request)
         extra = [col(bound.column).cast(bound.dtype).alias(LOOKUP_BOUND)]
         if limit is not None:
-            payload = replace(payload, schema=T.StructType([*payload.schema.fields, T.StructField(_LIMIT_FIELD, limit.dtype)]))
+            limit_field = T.StructField(_LIMIT_FIELD, limit.dtype)
+            payload = replace(payload, schema=T.StructType([*payload.schema.fields, limit_field]))
             extra.append(col(limit.column).cast(limit.dtype).alias(LOOKUP_PREFIX + _LIMIT_FIELD))
             rows = rows.withColumn(LIMIT, limit.request)
         rows = _without_condition_columns(rows)
@@ -243,10 +235,9 @@ class _Plan:
         hot = None
         if splitter.enabled:
             # Only a key with many lookup rows can have many matches.
-            own = key_hash([col(k) for k in self.lookup_keys])
-            found = find_hot_keys(self.lookup_side().select(own.alias("h")), splitter)
+            found = find_hot_keys(self.lookup_side().select(key_hash(self.lookup_keys).alias("h")), splitter)
             grouped_by = self.lookup_keys if keys is self.lookup_keys else self.request_keys
-            hot = found.has(key_hash([col(k) for k in grouped_by])) if found else None
+            hot = found.has(grouped_by) if found else None
         choose = selector.bind(self.payload.schema)
         arguments = []
         if selector.with_request:
@@ -298,9 +289,7 @@ class _Plan:
         probe = [*self.request_keys, *bounds, *null_safe]
         probes = distinct_probes(_all_present(rows, [*self.request_keys, *bounds]), probe)
         lookup = self._reduced_to(rows, self.lookup_side(everything=True))
-        pairs, salts = matching_pairs(
-            probes, self.request_keys, lookup, self.lookup_keys, test, splitter
-        )
+        pairs, salts = matching_pairs(probes, self.request_keys, lookup, self.lookup_keys, test, splitter)
         pairs = pairs.select(*[col(c) for c in [*probe, *salts, *self._payload_columns]])
         return pairs, probe, null_safe, _without_condition_columns(rows, keep=probe)
 

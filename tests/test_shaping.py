@@ -66,14 +66,14 @@ def test_handler_example(spark, names):
         table_name=names,
         fields=["name"],
         row_restriction_template="name = '{name}'",
-        column_names=["name as bq_name", "number", "state"],
+        column_names=["name as found_name", "number", "state"],
     )
     pairs = handler(requests).orderBy("request.source_year").collect()
     assert [p.request.name for p in pairs] == ["Mary", "John", None, "NonExistentName"]
-    assert pairs[0].response == Row(bq_name="Mary", number=3, state="NY")
+    assert pairs[0].response == Row(found_name="Mary", number=3, state="NY")
     assert [p.response is None for p in pairs] == [False, False, True, True]
     merged = handler(requests, mode="overwrite").orderBy("source_year")
-    assert rows(merged.select("name", "bq_name", "number"))[0] == ("Mary", "Mary", 3)
+    assert rows(merged.select("name", "found_name", "number"))[0] == ("Mary", "Mary", 3)
 
 
 def test_profiles_example(spark):
@@ -117,11 +117,11 @@ def test_nested_example(spark):
     enriched = enrich(
         requests, lookup, join_key="user_id", fields=["user_id"], restriction="id = {user_id}",
         column_names=["id as user_id", "email", "status", "timestamp_field"],
-        select=["timestamp_field desc"], mode="add_nested", nested_key="bq_info",
+        select=["timestamp_field desc"], mode="add_nested", nested_key="found",
     )
     first, second = enriched.orderBy("user_id").collect()
-    assert first.bq_info == Row(user_id=1, email="b@x", status="off", timestamp_field=dt.datetime(2024, 2, 1))
-    assert second.bq_info is None and second[STATUS] == "NO_BQ_DATA"
+    assert first.found == Row(user_id=1, email="b@x", status="off", timestamp_field=dt.datetime(2024, 2, 1))
+    assert second.found is None and second[STATUS] == "NO_BQ_DATA"
 
 
 def test_signup_example(spark):
