@@ -80,6 +80,27 @@ def restrict_dispatch(t):
     )
 
 
+@query(f"""
+    SELECT o_orderkey, o_custkey, o_orderstatus, c_name, c_acctbal, {status_sql("c_custkey IS NOT NULL")}
+    FROM orders LEFT JOIN customer
+      ON c_custkey = o_custkey
+      AND CASE o_orderstatus WHEN 'F' THEN c_acctbal > 0 WHEN 'O' THEN c_mktsegment = 'BUILDING' ELSE FALSE END
+""")
+def restrict_dispatch_keys(t):
+    return enrich(
+        t.orders.select("o_orderkey", "o_custkey", "o_orderstatus"),
+        t.customer,
+        join_key="o_custkey",
+        restriction={
+            "F": "c_custkey = {o_custkey} AND c_acctbal > 0",
+            "O": "c_custkey = {o_custkey} AND c_mktsegment = 'BUILDING'",
+        },
+        template_id="o_orderstatus",
+        fields=["o_custkey"],
+        column_names=_COLUMNS,
+    )
+
+
 _OPTIONAL_FLOOR_SQL = f"""
     SELECT event_id, user_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value * 10 END AS floor FROM ({EVENTS_SQL})
 """

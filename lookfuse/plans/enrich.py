@@ -49,42 +49,96 @@ from lookfuse.plans.condition import (
 from lookfuse.plans.options import Options, check_request_columns
 
 _LIMIT_FIELD = "__limit"
+_TEMPLATE = KEY_PREFIX + "template"
+_LOOKUP_TEMPLATE = LOOKUP_KEY_PREFIX + "template"
 _RAW_KEY = "__rqk_raw"
 _FIRST = "__rqk_first"
 
 
 def build(requests: DataFrame, lookup: DataFrame, options: Options) -> DataFrame:
     check_request_columns(requests)
-    if not isinstance(options.restriction, Mapping):
-        return _build_one(requests, lookup, options)
-    branches, chosen = [], col(options.template_id)
+    if isinstance(options.restriction, Mapping):
+        return _build_choice(requests, lookup, options)
+    rows, side, plan = _prepare(requests, lookup, options)
+    splitter = Splitter.plan(options.split, requests, lookup, one_group=plan.constant_key)
+    if options.duplicates == "first":
+        side = _mark_first_of_key(side, plan.condition, rows, options, splitter)
+    if options.scope == "any_request":
+        joined = _any_request(plan, side, splitter)
+    elif options.representative:
+        joined = _by_representative(plan, side, rows, splitter)
+    else:
+        joined = plan.enrich(side, splitter)
+    return merge(joined, rows.columns, plan.result_schema, options)
+
+
+def _build_choice(requests: DataFrame, lookup: DataFrame, options: Options) -> DataFrame:
+    """Each request has its own template out of several."""
+    chosen, plans = col(options.template_id), {}
+    for identity, template in options.restriction.items():
+        one = replace(options, restriction=template, template_id=None)
+        rows, side, plans[identity] = _prepare(requests, lookup, one)
+    same_types = len({plan.key_types(side) for plan in plans.values()}) == 1
+    if same_types and all(plan.by_key_alone for plan in plans.values()):
+        splitter = Splitter.plan(options.split, requests, lookup)
+        joined = _by_key_and_template(plans, side, chosen, splitter)
+        return merge(joined, rows.columns, _schema_of(plans), options)
+    branches = []
     for identity, template in options.restriction.items():
         one = replace(options, restriction=template, template_id=None)
-        branches.append(_build_one(requests.where(chosen == F.lit(identity)), lookup, one))
-    others = requests.where(chosen.isNull() | ~chosen.isin(list(options.restriction)))
-    none = replace(options, restriction=None, template_id=None)
-    branches.append(_build_one(others, lookup, none, matchless=True))
+        branches.append(build(requests.where(chosen == F.lit(identity)), lookup, one))
+    none = rows.where(chosen.isNull() | ~chosen.isin(list(plans))).select(
+        "*",
+        F.lit(None).cast("boolean").alias(HIT),
+        F.lit(0).cast("bigint").alias(COUNT),
+        *[F.lit(None).cast(f.dataType).alias(LOOKUP_PREFIX + f.name) for f in _schema_of(plans).fields],
+    )
+    branches.append(merge(none, rows.columns, _schema_of(plans), options))
     return reduce(lambda a, b: a.unionByName(b), branches)
 
 
-def _build_one(requests: DataFrame, lookup: DataFrame, options: Options, matchless: bool = False) -> DataFrame:
+def _schema_of(plans: Mapping) -> T.StructType:
+    return next(iter(plans.values())).result_schema
+
+
+def _by_key_and_template(plans: Mapping, side: DataFrame, chosen: Column, splitter: Splitter) -> DataFrame:
+    """Templates that only state equal keys: one pass over the requests, with the template as a further key."""
+    first = next(iter(plans.values()))
+    keys = {identity: plan.request_key_values() for identity, plan in plans.items()}
+
+    def by_template(values: Mapping) -> Column:
+        chain = None
+        for identity, value in values.items():
+            test = chosen == F.lit(identity)
+            chain = F.when(test, value) if chain is None else chain.when(test, value)
+        return chain
+
+    rows = side.select(
+        "*",
+        *[by_template({t: k[i] for t, k in keys.items()}).alias(n) for i, n in enumerate(first.request_keys)],
+        by_template({t: F.lit(i) for i, t in enumerate(plans)}).alias(_TEMPLATE),
+    )
+    picked = [
+        plan.picked_by_key(rows, splitter).withColumn(_LOOKUP_TEMPLATE, F.lit(i))
+        for i, plan in enumerate(plans.values())
+    ]
+    return first._attach(
+        _without_condition_columns(rows),
+        [*first.request_keys, _TEMPLATE],
+        reduce(lambda a, b: a.unionByName(b), picked),
+        [*first.lookup_keys, _LOOKUP_TEMPLATE],
+        splitter,
+    )
+
+
+def _prepare(requests: DataFrame, lookup: DataFrame, options: Options) -> tuple[DataFrame, DataFrame, "_Plan"]:
+    """Requests that take part, the same with the columns conditions read, and the plan."""
     parsed = parse_column_names(options.column_names)
     keys = declared_keys(requests, lookup, parsed, options)
     selector = _selector(options.select)
     payload, payload_columns, order_source = _payload(lookup, parsed, options, keys, selector)
     if keys and options.null_keys == "drop":
         requests = requests.where(reduce(lambda a, b: a & b, [mine.isNotNull() for _, mine, _ in keys]))
-
-    schema = selector.result_type(payload.schema) if selector else payload.schema
-    if matchless:
-        joined = requests.select(
-            "*",
-            F.lit(None).cast("boolean").alias(HIT),
-            F.lit(0).cast("bigint").alias(COUNT),
-            *[F.lit(None).cast(f.dataType).alias(LOOKUP_PREFIX + f.name) for f in schema.fields],
-        )
-        return merge(joined, requests.columns, schema, options)
-
     reads_fields = callable(options.restriction) or (selector is not None and selector.with_request)
     side, value_types = with_condition_columns(requests, options, reads_fields)
     condition = build_condition(side, lookup, keys, value_types, options.restriction, options)
@@ -94,18 +148,7 @@ def _build_one(requests: DataFrame, lookup: DataFrame, options: Options, matchle
             "add one, or say allow_theta=True"
         )
     plan = _Plan(options, lookup, payload, payload_columns, order_source, condition, selector)
-    splitter = Splitter.plan(options.split, requests, lookup, one_group=not condition.equalities)
-    wanted = requests.columns
-
-    if options.duplicates == "first":
-        side = _mark_first_of_key(side, condition, requests, options, splitter)
-    if options.scope == "any_request":
-        joined = _any_request(plan, side, splitter)
-    elif options.representative:
-        joined = _by_representative(plan, side, requests, splitter)
-    else:
-        joined = plan.enrich(side, splitter)
-    return merge(joined, wanted, schema, options)
+    return requests, side, plan
 
 
 def needs_micro_batches(requests: DataFrame, lookup: DataFrame, options: Options) -> bool:
@@ -114,15 +157,11 @@ def needs_micro_batches(requests: DataFrame, lookup: DataFrame, options: Options
     With equal keys alone the lookup is reduced on its own, and a stream-static join does; anything that ranks or
     collects per request cannot run on a stream.
     """
-    selector = _selector(options.select)
     if options.representative or options.duplicates == "first" or options.scope == "any_request":
         return True
-    if isinstance(options.restriction, Mapping) or (selector is not None and selector.with_request):
+    if isinstance(options.restriction, Mapping):
         return True
-    keys = declared_keys(requests, lookup, parse_column_names(options.column_names), options)
-    side, value_types = with_condition_columns(requests, options)
-    condition = build_condition(side, lookup, keys, value_types, options.restriction, options)
-    return bool(condition.bounds or condition.residual or not condition.equalities)
+    return not _prepare(requests, lookup, options)[2].by_key_alone
 
 
 class _Plan:
@@ -140,6 +179,19 @@ class _Plan:
         self._payload_columns = payload_columns
         self._lookup = lookup
 
+    @property
+    def by_key_alone(self) -> bool:
+        """Whether equal keys are all that matters, so that the lookup can be reduced on its own."""
+        test_pairs = self.condition.bounds or self.condition.residual or self.constant_key
+        return not test_pairs and not (self.selector is not None and self.selector.with_request)
+
+    @property
+    def result_schema(self) -> T.StructType:
+        return self.selector.result_type(self.payload.schema) if self.selector else self.payload.schema
+
+    def key_types(self, side: DataFrame) -> tuple[str, ...]:
+        return tuple(f.dataType.simpleString() for f in side.select(*self.request_key_values()).schema.fields)
+
     # The two sides.
 
     def lookup_side(self, *extra: Column, everything: bool = False) -> DataFrame:
@@ -159,12 +211,17 @@ class _Plan:
         return rows
 
     def request_side(self, side: DataFrame, extra_valid: Column | None = None) -> DataFrame:
-        """Requests with their key columns; the first is NULL where no match is possible."""
+        """Requests with their key columns."""
+        values = self.request_key_values(extra_valid)
+        return side.select("*", *[k.alias(n) for k, n in zip(values, self.request_keys)])
+
+    def request_key_values(self, extra_valid: Column | None = None) -> list[Column]:
+        """The first one is NULL where no match is possible."""
         keys = [e.request for e in self.condition.equalities] or [F.lit(1)]
         valid = [v for v in (self.condition.valid, extra_valid) if v is not None]
         if valid:
             keys[0] = F.when(reduce(lambda a, b: a & b, valid), keys[0])
-        return side.select("*", *[k.alias(n) for k, n in zip(keys, self.request_keys)])
+        return keys
 
     # Matching and picking.
 
@@ -172,10 +229,11 @@ class _Plan:
         """All columns of ``side`` plus HIT, COUNT (if asked for) and the payload."""
         first = col(_FIRST) if _FIRST in side.columns else None
         rows = self.request_side(side, first)
-        if self.selector is not None:
-            return self._with_selector(rows, splitter)
-        if not self.condition.bounds and not self.condition.residual:
+        simple = not self.condition.bounds and not self.condition.residual
+        if simple and (self.selector is None or not self.selector.with_request):
             return self._by_key(rows, splitter)
+        if self.selector is not None:
+            return self._by_chosen_pairs(rows, splitter)
         bound, limit = self.condition.split_bounds(self.payload.terms, self.order_source)
         usable = bound is not None and not self.condition.residual and self.payload.can_take_minimum()
         if usable and not (limit is not None and self.options.match_count):
@@ -183,11 +241,17 @@ class _Plan:
         return self._by_pairs(rows, splitter)
 
     def _by_key(self, rows: DataFrame, splitter: Splitter) -> DataFrame:
-        lookup = self._reduced_to(rows, self.lookup_side())
-        picked = self._first(lookup, self.lookup_keys)
+        picked = self.picked_by_key(rows, splitter)
         rows = _without_condition_columns(rows)
         return self._attach(rows, self.request_keys, picked, self.lookup_keys, splitter)
 
+    def picked_by_key(self, rows: DataFrame, splitter: Splitter) -> DataFrame:
+        """One lookup row for each key. ``rows`` only serve to leave out keys nobody asks for."""
+        lookup = self._reduced_to(rows, self.lookup_side())
+        if self.selector is not None:
+            return self._chosen(lookup, self.lookup_keys, self.lookup_keys, splitter)
+        return self._first(lookup, self.lookup_keys)
+
     def _by_bound(self, rows: DataFrame, bound: Bound, limit: Bound | None, splitter: Splitter) -> DataFrame:
         payload = self.payload
         rows = rows.withColumn(BOUND, bound.request)
@@ -224,30 +288,26 @@ class _Plan:
         picked = self._first(pairs, probe)
         return self._attach(rows, probe, *_as_lookup_keys(picked, probe), splitter, null_safe)
 
-    def _with_selector(self, rows: DataFrame, splitter: Splitter) -> DataFrame:
-        selector = self.selector
-        simple = not self.condition.bounds and not self.condition.residual
-        if simple and not selector.with_request:
-            groups, keys = self._reduced_to(rows, self.lookup_side()), self.lookup_keys
-            null_safe: list[str] = []
-        else:
-            groups, keys, null_safe, rows = self._pairs(rows, splitter, selector.with_request)
-        hot = None
+    def _by_chosen_pairs(self, rows: DataFrame, splitter: Splitter) -> DataFrame:
+        pairs, probe, null_safe, rows = self._pairs(rows, splitter, self.selector.with_request)
+        picked = self._chosen(pairs, probe, self.request_keys, splitter)
+        return self._attach(rows, probe, *_as_lookup_keys(picked, probe), splitter, null_safe)
+
+    def _chosen(
+        self, matches: DataFrame, keys: list[str], match_keys: list[str], splitter: Splitter
+    ) -> DataFrame:
+        """The selector's choice for each group; ``match_keys`` are those of ``keys`` that equal lookup keys."""
+        selector, hot = self.selector, None
         if splitter.enabled:
             # Only a key with many lookup rows can have many matches.
             found = find_hot_keys(self.lookup_side().select(key_hash(self.lookup_keys).alias("h")), splitter)
-            grouped_by = self.lookup_keys if keys is self.lookup_keys else self.request_keys
-            hot = found.has(grouped_by) if found else None
-        choose = selector.bind(self.payload.schema)
-        arguments = []
+            hot = found.has(match_keys) if found else None
+        choose, arguments = selector.bind(self.payload.schema), []
         if selector.with_request:
-            arguments = [
-                F.struct(
-                    *[col(c).alias(c[len(FIELD_PREFIX) :]) for c in keys if c.startswith(FIELD_PREFIX)]
-                )
-            ]
+            fields = [c for c in keys if c.startswith(FIELD_PREFIX)]
+            arguments = [F.struct(*[col(c).alias(c[len(FIELD_PREFIX) :]) for c in fields])]
         picked = select_from_groups(
-            groups,
+            matches,
             keys,
             self.payload.sort_order(),
             self.payload.row(),
@@ -257,18 +317,13 @@ class _Plan:
             selector.chunk_rows,
             selector.max_group_rows,
         )
-        schema = selector.result_type(self.payload.schema)
-        picked = picked.select(
+        return picked.select(
             *[col(k) for k in keys],
             HIT,
             COUNT,
             col(CHOSEN).isNotNull().alias(CHOSEN),
-            *[col(CHOSEN).getField(n).alias(LOOKUP_PREFIX + n) for n in schema.names],
+            *[col(CHOSEN).getField(n).alias(LOOKUP_PREFIX + n) for n in self.result_schema.names],
         )
-        if keys is self.lookup_keys:
-            rows = _without_condition_columns(rows)
-            return self._attach(rows, self.request_keys, picked, keys, splitter)
-        return self._attach(rows, keys, *_as_lookup_keys(picked, keys), splitter, null_safe)
 
     def _pairs(self, rows: DataFrame, splitter: Splitter, with_request: bool):
         """Matching pairs, reduced to probe and lookup columns, with the probe columns and NULL-tolerant ones."""

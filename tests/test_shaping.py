@@ -331,3 +331,39 @@ def test_lookup_from_catalog_and_path(spark, names, tmp_path):
     names.createOrReplaceTempView("ignored")
     with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
         resolve_lookup(spark, "spark_catalog.default.no_such_table").collect()
+
+
+@pytest.mark.parametrize("split", [False, True])
+@pytest.mark.parametrize("templates", ["keys", "bounds"])
+def test_choice_of_templates(spark, no_broadcast, split, templates):
+    requests = spark.createDataFrame(
+        [(i, i % 4, "abcd"[i % 4] if i % 5 else None, i % 3) for i in range(40)], "id int, k bigint, t string, m int"
+    )
+    lookup = spark.createDataFrame([(i % 4, i % 3, i) for i in range(24)], "k bigint, m int, v int")
+    choices = {
+        "keys": {"a": "m = {m}", "b": "m = {m} AND v > 12", "c": "m = {m} AND v < 3"},
+        "bounds": {"a": "m = {m}", "b": "v > 12", "c": "v < {m}"},
+    }[templates]
+    enriched = enrich(
+        requests, lookup, join_key="k", restriction=choices, template_id="t", fields=["m"], select=["v desc"],
+        column_names=["k", "v"], split=split, match_count=True,
+    )
+    tests = {
+        "keys": {"a": lambda q, r: r[1] == q[3], "b": lambda q, r: r[1] == q[3] and r[2] > 12, "c": lambda q, r: r[1] == q[3] and r[2] < 3},
+        "bounds": {"a": lambda q, r: r[1] == q[3], "b": lambda q, r: r[2] > 12, "c": lambda q, r: r[2] < q[3]},
+    }[templates]
+    entries, want = [tuple(r) for r in lookup.collect()], []
+    for q in sorted(tuple(r) for r in requests.fillna({"t": "-"}).collect()):
+        found = [r[2] for r in entries if r[0] == q[1] and q[2] in tests and tests[q[2]](q, r)]
+        want.append((q[0], max(found) if found else None, len(found)))
+    assert rows(enriched.select("id", "v", "__match_count"), "id") == want
+
+
+def test_failed_casts_leave_a_request_unmatched(spark):
+    requests = spark.createDataFrame([("1",), ("oops",)], "k string")
+    lookup = spark.createDataFrame([(1, "x")], "id bigint, v string")
+    enriched = enrich(
+        requests, lookup, condition_value_fn=lambda r: {"n": r.k.try_cast("bigint")}, restriction="id = {n}",
+        column_names=["v"],
+    )
+    assert rows(enriched.select("k", "v"), "k") == [("1", "x"), ("oops", None)]
