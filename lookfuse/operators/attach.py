@@ -23,15 +23,19 @@ def attach(
 ) -> DataFrame:
     """Left join with at most one picked row for each combination of ``picked_columns``.
 
-    The first request column is NULL for requests that cannot match; these, and requests with a hot key, are
-    spread over salts, unless the picked side is small enough to be broadcast.
+    The first request column is NULL for requests that cannot match. If these are many, or a key is hot, their
+    requests are spread over salts, unless the picked side is small enough to be broadcast. Without either, the
+    picked side keeps the partitioning it has.
     """
     salted = splitter.enabled and not single_row and not fits_broadcast(picked)
     if salted:
-        # xxhash64 skips NULLs, so requests without a first column are told apart here.
-        asking = requests.where(col(request_columns[0]).isNotNull())
-        hot = find_hot_keys(asking.select(key_hash(request_columns).alias("h")), splitter)
-        mine = F.when(col(request_columns[0]).isNull(), F.lit(splitter.parts)).otherwise(hot.parts(request_columns))
+        # xxhash64 skips NULLs, so requests that cannot match are told apart here.
+        hashed = F.when(col(request_columns[0]).isNotNull(), key_hash(request_columns))
+        hot = find_hot_keys(requests.select(hashed.alias("h")), splitter)
+        salted = bool(hot) or hot.null_is_hot
+    if salted:
+        unmatched = col(request_columns[0]).isNull()
+        mine = F.when(unmatched, F.lit(splitter.parts)).otherwise(hot.parts(request_columns))
         requests = salt_rows(requests, mine)
         picked = copy_to_salts(picked, hot.parts(picked_columns), SALT + "_p")
     if single_row:

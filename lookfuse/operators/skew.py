@@ -102,6 +102,7 @@ class HotKeys:
     """Hashes of hot keys, grouped by the number of parts (a power of two) each is split into."""
 
     classes: tuple[tuple[int, tuple[int, ...]], ...] = ()
+    null_is_hot: bool = False
 
     def __bool__(self) -> bool:
         return bool(self.classes)
@@ -124,32 +125,35 @@ def _in_sql(keys: Sequence[str], hashes: Sequence[int]) -> str:
     return f"{_hash_sql(keys)} IN ({', '.join(f'{h}L' for h in hashes)})"
 
 
-def _from_parts(parts_of: dict[int, float]) -> HotKeys:
+def _from_parts(parts_of: dict[int, float], null_is_hot: bool = False) -> HotKeys:
     classes: dict[int, list[int]] = {}
     for item, parts in parts_of.items():
         if parts > 1:
             classes.setdefault(1 << math.ceil(math.log2(parts)), []).append(item)
-    return HotKeys(tuple((p, tuple(h)) for p, h in sorted(classes.items(), reverse=True)))
+    return HotKeys(tuple((p, tuple(h)) for p, h in sorted(classes.items(), reverse=True)), null_is_hot)
 
 
-def _frequent(hashes: DataFrame) -> tuple[dict[int, int], int]:
-    """Counts of the most frequent values of a one-column DataFrame, and the number of its rows.
+def _frequent(hashes: DataFrame) -> tuple[dict[int, int], int, int]:
+    """Counts of the most frequent values of a one-column DataFrame, the number of its rows, and of its NULLs.
 
     A frequent-items sketch finds them in one pass with map-side merging. Its counts are estimates; they decide
     how evenly the work is spread, not what comes out.
     """
     (name,) = hashes.columns
     found = hashes.agg(
-        F.expr(f"approx_top_k(`{name}`, {MAX_PARTS}, {_TRACKED_KEYS})").alias("top"), F.count("*").alias("n")
+        F.expr(f"approx_top_k(`{name}`, {MAX_PARTS}, {_TRACKED_KEYS})").alias("top"),
+        F.count("*").alias("n"),
+        F.count(F.when(col(name).isNull(), 1)).alias("nulls"),
     ).first()
-    return {e["item"]: e["count"] for e in found["top"] or [] if e["item"] is not None}, found["n"]
+    counts = {e["item"]: e["count"] for e in found["top"] or [] if e["item"] is not None}
+    return counts, found["n"], found["nulls"]
 
 
 def find_hot_keys(hashes: DataFrame, splitter: Splitter) -> HotKeys:
     """Keys with more than one part's share of the rows; each gets twice its share of the parts."""
-    counts, total = _frequent(hashes)
+    counts, total, nulls = _frequent(hashes)
     shares = {h: n * splitter.parts / total for h, n in counts.items()}
-    return _from_parts({h: 2 * s for h, s in shares.items() if s > 1})
+    return _from_parts({h: 2 * s for h, s in shares.items() if s > 1}, nulls * splitter.parts > total)
 
 
 def find_hot_grid(left: DataFrame, right: DataFrame, splitter: Splitter, split_left: bool) -> tuple[HotKeys, HotKeys]:
@@ -158,7 +162,7 @@ def find_hot_grid(left: DataFrame, right: DataFrame, splitter: Splitter, split_l
     Rows of one side are repeated for each part of the other, so parts are in proportion to the sides' sizes,
     which keeps the repeated rows fewest for a given number of tasks.
     """
-    (mine, my_total), (theirs, their_total) = _frequent(left), _frequent(right)
+    (mine, my_total, _), (theirs, their_total, _) = _frequent(left), _frequent(right)
     floor = (my_total + their_total) / splitter.parts
     rows, columns = {}, {}
     for item in {*mine, *theirs}:

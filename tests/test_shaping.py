@@ -367,3 +367,25 @@ def test_failed_casts_leave_a_request_unmatched(spark):
         column_names=["v"],
     )
     assert rows(enriched.select("k", "v"), "k") == [("1", "x"), ("oops", None)]
+
+
+def test_python_selectors_pass_all_types(spark):
+    lookup = spark.sql(
+        "select 1 k, cast(1.5 as decimal(38,9)) d, X'00ff' b, date'2024-01-01' dd, timestamp'2024-01-01 01:02:03' t,"
+        " timestamp_ntz'2024-01-01 01:02:03' n, array(1, null) a, struct(1 x, 'y' y) s, true f, cast(null as string) z"
+    )
+    earlier = lookup.withColumn("t", F.expr("t - interval 1 day"))
+    requests = spark.range(1, 3).withColumnRenamed("id", "k")
+    latest = PythonSelector(lambda found: max(found, key=lambda r: r["t"]), decomposable=True, chunk_rows=1)
+    got = enrich(requests, lookup.union(earlier), join_key="k", select=latest).where("k = 1").drop("__enrichment_status")
+    assert got.collect() == lookup.withColumn("k", F.lit(1).cast("bigint")).collect()
+
+
+def test_results_can_be_enriched_again(spark):
+    requests = spark.createDataFrame([(1, 1), (2, 9)], "k bigint, j bigint")
+    lookup = spark.createDataFrame([(1, "x")], "k bigint, v string")
+    once = enrich(requests, lookup, join_key="k", match_count=True)
+    twice = enrich(once, lookup, keys={"j": "k"}, column_names=["v as w"], select=["v"])
+    assert rows(twice.select("k", "v", "w", STATUS), "k") == [(1, "x", "x", "SUCCESS"), (2, None, None, "NO_BQ_DATA")]
+    back = enrich(lookup, twice, join_key="k", column_names=["w", "j"])
+    assert rows(back.select("k", "w")) == [(1, "x")]

@@ -255,3 +255,65 @@ def test_decomposable_selectors_in_small_chunks(spark, no_broadcast, split, pyth
         b = best(m) if m else dict(o_x=None, o_v=None, o_p=None)
         want[q["id"]] = (b["o_v"], b["o_p"], "SUCCESS" if m else "NO_BQ_DATA", len(m))
     assert {i: (w[1], w[2], w[3], w[4]) for i, w in rows(got).items()} == want
+
+
+@pytest.mark.parametrize("split", [False, True])
+@pytest.mark.parametrize("template", ["x < {b}", "v = {m} AND x < {b}"])
+def test_any_request_with_representatives(spark, no_broadcast, split, template):
+    """One request of each key states the restriction; every row any of them admits goes to its key."""
+    requests, lookup, rq, lk = tables(spark, "bigint", 9)
+    got = enrich(
+        rq, lk, restriction=template, fields=["b"], additional_condition_fields=["m"], scope="any_request",
+        representative=["id desc"], select=["o_v desc"], split=split, **COMMON,
+    )
+    reps = {}
+    for q in sorted((q for q in requests if q["k"] is not None), key=lambda q: -q["id"]):
+        reps.setdefault(q["k"], q)
+    valid = [q for q in reps.values() if q["b"] is not None]
+    below = lambda q, r: r["x"] is not None and r["x"] < q["b"]
+    test = below if template == "x < {b}" else lambda q, r: r["v"] == q["m"] and below(q, r)
+    admitted = [r for r in lookup if any(test(q, r) for q in valid)]
+    assert rows(got) == expected(requests, admitted, lambda q, r: r["k"] == q["k"], [("v", True)])
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_any_request_with_first_duplicates(spark, no_broadcast, split):
+    requests, lookup, rq, lk = tables(spark, "bigint", 10)
+    got = enrich(
+        rq, lk, restriction="x < {b}", fields=["b"], scope="any_request", duplicates="first", request_order=["id"],
+        select=["o_v desc"], split=split, **COMMON,
+    )
+    first = {}
+    for q in sorted((q for q in requests if None not in (q["k"], q["b"])), key=lambda q: q["id"]):
+        first.setdefault(q["k"], q)
+    admitted = [r for r in lookup if any(r["x"] is not None and r["x"] < q["b"] for q in first.values())]
+    want = expected(
+        requests, admitted, lambda q, r: r["k"] == q["k"] and first.get(q["k"], {}).get("id") == q["id"], [("v", True)]
+    )
+    assert rows(got) == want
+
+
+@pytest.mark.parametrize("seed", range(20, 24))
+def test_nothing_hot(spark, no_broadcast, seed):
+    """Splitting is on, but no key calls for it; also many requests without a key."""
+    requests, lookup, rq, lk = tables(spark, "bigint", seed)
+    if seed % 2:
+        keyed = rq.withColumn("k", F.col("id") % 50)
+        requests = [dict(q, k=q["id"] % 50) for q in requests]
+    else:
+        keyed = rq.withColumn("k", F.when(F.col("id") % 2 == 0, F.col("id") % 50))
+        requests = [dict(q, k=q["id"] % 50 if q["id"] % 2 == 0 else None) for q in requests]
+    for restriction, test in (
+        (None, lambda q, r: True),
+        ("x < {b}", lambda q, r: None not in (r["x"], q["b"]) and r["x"] < q["b"]),
+    ):
+        fields = dict(restriction=restriction, fields=["b"]) if restriction else {}
+        got = enrich(keyed, lk, select=["o_v desc"], split=True, null_keys="keep", **fields, **COMMON)
+        found = pick(
+            requests, lookup, lambda q, r: q["k"] is not None and r["k"] == q["k"] and test(q, r),
+            [("v", True)], ["x", "v", "p"],
+        )
+        assert rows(got) == {
+            q["id"]: (m and m["x"], m and m["v"], m and m["p"], "SUCCESS" if m else "NO_BQ_DATA", n)
+            for q, m, n in found
+        }
