@@ -19,6 +19,7 @@ from lookfuse.operators.lookup import Payload
 from lookfuse.operators.skew import Splitter, find_hot_keys, key_hash, range_cuts, range_part
 
 _AT = "__at"
+_FROM, _TO = "__from", "__to"
 _SIDE = "__side"
 _PART = "__part"
 _REQUEST = "__request"
@@ -97,6 +98,49 @@ def pick_by_bound(
     )
 
 
+def best_intervals(lookup: DataFrame, lookup_keys: Sequence[str], op: str, payload: Payload) -> DataFrame:
+    """The same answers as a table: for each key, ranges of the bound with the best lookup row for each.
+
+    A request's bound lies in at most one range of its key (:func:`in_interval`). Where this table can be broadcast,
+    requests are answered as they are read, without a shuffle.
+    """
+    ascending = op in ("<", "<=")
+    candidates = _merge(
+        lookup.select(
+            *[col(k) for k in lookup_keys],
+            col(LOOKUP_BOUND),
+            *payload.minimum_columns(),
+            F.lit(1).cast("bigint").alias(COUNT),
+        ),
+        [*lookup_keys, LOOKUP_BOUND],
+        payload,
+    )
+    order = col(LOOKUP_BOUND).asc() if ascending else col(LOOKUP_BOUND).desc()
+    run = Window.partitionBy(*[col(k) for k in lookup_keys]).orderBy(order)
+    before = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return candidates.select(
+        *[col(k) for k in lookup_keys],
+        col(LOOKUP_BOUND).alias(_FROM),
+        F.lead(col(LOOKUP_BOUND)).over(run).alias(_TO),
+        *[a.over(before).alias(n) for n, a in payload.minimum()],
+        F.sum(col(COUNT)).over(before).alias(COUNT),
+    ).select(
+        *[col(k) for k in lookup_keys], _FROM, _TO, F.lit(True).alias(HIT), col(COUNT), *payload.unpack()
+    )
+
+
+def in_interval(bound: str, op: str) -> Column:
+    """Whether a request's bound lies in a range of :func:`best_intervals`."""
+    value, start, end = col(bound), col(_FROM), col(_TO)
+    started, ended = {
+        "<=": (start <= value, end <= value),
+        "<": (start < value, end < value),
+        ">=": (start >= value, end >= value),
+        ">": (start > value, end > value),
+    }[op]
+    return started & (end.isNull() | ~ended)
+
+
 def _merge(df: DataFrame, keys: Sequence[str], payload: Payload) -> DataFrame:
     return df.groupBy(*[col(k) for k in keys]).agg(
         *[a.alias(n) for n, a in payload.minimum()], F.sum(col(COUNT)).alias(COUNT)

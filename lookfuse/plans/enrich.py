@@ -34,7 +34,7 @@ from lookfuse.operators.collect import select_from_groups
 from lookfuse.operators.lookup import Payload, best_per_key
 from lookfuse.operators.merge import merge
 from lookfuse.operators.pairs import matching_pairs
-from lookfuse.operators.prefix import pick_by_bound
+from lookfuse.operators.prefix import best_intervals, in_interval, pick_by_bound
 from lookfuse.operators.reduce import count_per_key, first_per_key
 from lookfuse.operators.requests import distinct_probes, mark_first, total_order
 from lookfuse.operators.selectors import ColumnSelector, PythonSelector
@@ -49,6 +49,7 @@ from lookfuse.plans.condition import (
 from lookfuse.plans.options import Options, check_request_columns
 
 _LIMIT_FIELD = "__limit"
+_MAX_INTERVALS = 1000
 _TEMPLATE = KEY_PREFIX + "template"
 _LOOKUP_TEMPLATE = LOOKUP_KEY_PREFIX + "template"
 _RAW_KEY = "__rqk_raw"
@@ -264,7 +265,12 @@ class _Plan:
         rows = _without_condition_columns(rows)
         lookup = self.lookup_side(*extra).where(col(LOOKUP_BOUND).isNotNull())
         lookup = self._reduced_to(rows, lookup)
-        if not splitter.enabled:
+        intervals = self._small_intervals(lookup, bound, payload) if splitter.enabled else None
+        if intervals is not None:
+            same = [col(m) == col(t) for m, t in zip(self.request_keys, self.lookup_keys)]
+            condition = reduce(lambda a, b: a & b, same) & in_interval(BOUND, bound.op)
+            found = rows.join(intervals, condition, "left").drop(*self.lookup_keys)
+        elif not splitter.enabled:
             found = pick_by_bound(
                 rows, self.request_keys, BOUND, bound.op, lookup, self.lookup_keys, payload, splitter
             )
@@ -281,6 +287,16 @@ class _Plan:
             found = found.withColumn(HIT, F.when(inside, col(HIT)))
         return found
 
+    def _small_intervals(self, lookup: DataFrame, bound: Bound, payload: Payload) -> DataFrame | None:
+        """Ranges to broadcast to large requests, if they are small and no key has many (a request tests them all)."""
+        if self.constant_key:
+            return None
+        intervals = best_intervals(lookup, self.lookup_keys, bound.op, payload)
+        if not fits_broadcast(intervals):
+            return None
+        most = intervals.groupBy(*[col(k) for k in self.lookup_keys]).count().agg(F.max("count")).first()[0]
+        return intervals if (most or 0) <= _MAX_INTERVALS else None
+
     def _by_pairs(self, rows: DataFrame, splitter: Splitter) -> DataFrame:
         pairs, probe, null_safe, rows = self._pairs(rows, splitter, with_request=False)
         if SALT in pairs.columns and not self.options.match_count:

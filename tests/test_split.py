@@ -317,3 +317,27 @@ def test_nothing_hot(spark, no_broadcast, seed):
             q["id"]: (m and m["x"], m and m["v"], m and m["p"], "SUCCESS" if m else "NO_BQ_DATA", n)
             for q, m, n in found
         }
+
+
+@pytest.mark.parametrize("kind,op,order", [
+    ("bigint", "<=", "o_x desc"), ("bigint", ">", "o_v"), ("double", ">=", "o_x"), ("string", "<", "o_v desc"),
+    ("timestamp_ntz", "<", "o_x desc"), ("date", ">=", "o_p desc"),
+])
+def test_bound_with_a_lookup_small_enough_to_broadcast(spark, tmp_path, kind, op, order):
+    requests, lookup, rq, lk = tables(spark, kind, hash_seed(op, kind))
+    lk.write.parquet(str(tmp_path / "lookup"))
+    rq.write.parquet(str(tmp_path / "requests"))
+    got = enrich(
+        spark.read.parquet(str(tmp_path / "requests")), spark.read.parquet(str(tmp_path / "lookup")),
+        restriction=lambda v, row: ("x", op, v["b"]), condition_value_fn=lambda r: {"b": r.b}, select=[order],
+        split=True, **COMMON,
+    )
+    text = got._jdf.queryExecution().toString()
+    assert "__from" in text and "BroadcastHashJoin" in text
+    name, _, direction = order.partition(" ")
+    want = expected(
+        requests, lookup,
+        lambda q, r: r["k"] == q["k"] and None not in (r["x"], q["b"]) and OPS[op](r["x"], q["b"]),
+        [(name[2:], direction == "desc")],
+    )
+    assert rows(got) == want
