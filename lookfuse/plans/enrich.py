@@ -155,14 +155,14 @@ def _prepare(requests: DataFrame, lookup: DataFrame, options: Options) -> tuple[
 def needs_micro_batches(requests: DataFrame, lookup: DataFrame, options: Options) -> bool:
     """Whether a stream of requests has to be enriched batch by batch.
 
-    With equal keys alone the lookup is reduced on its own, and a stream-static join does; anything that ranks or
-    collects per request cannot run on a stream.
+    With equal keys alone, or a bound on a small lookup, the lookup is reduced on its own, and a stream-static join
+    does; anything that ranks or collects per request cannot run on a stream.
     """
     if options.representative or options.duplicates == "first" or options.scope == "any_request":
         return True
     if isinstance(options.restriction, Mapping):
         return True
-    return not _prepare(requests, lookup, options)[2].by_key_alone
+    return not _prepare(requests, lookup, options)[2].can_stream()
 
 
 class _Plan:
@@ -235,12 +235,23 @@ class _Plan:
             return self._by_key(rows, splitter)
         if self.selector is not None:
             return self._by_chosen_pairs(rows, splitter)
-        bound, limit = self.condition.split_bounds(self.payload.terms, self.order_source)
-        usable = bound is not None and not self.condition.residual and self.payload.can_take_minimum()
-        if usable and not (limit is not None and self.options.match_count):
+        bound, limit = self._usable_bounds()
+        if bound is not None:
             return self._by_bound(rows, bound, limit, splitter)
         return self._by_pairs(rows, splitter)
 
+    def _usable_bounds(self) -> tuple[Bound | None, Bound | None]:
+        """The bound that alone decides beside the keys, and the one to test on the picked row."""
+        bound, limit = self.condition.split_bounds(self.payload.terms, self.order_source)
+        if self.selector is not None or self.condition.residual or not self.payload.can_take_minimum():
+            return None, None
+        return (None, None) if limit is not None and self.options.match_count else (bound, limit)
+
+    def can_stream(self) -> bool:
+        """Whether a stream of requests can join the lookup side as it stands, without micro-batches."""
+        bound, limit = self._usable_bounds()
+        return self.by_key_alone or (bound is not None and self._small_intervals(*self._bounded(bound, limit)) is not None)
+
     def _by_key(self, rows: DataFrame, splitter: Splitter) -> DataFrame:
         picked = self.picked_by_key(rows, splitter)
         rows = _without_condition_columns(rows)
@@ -254,18 +265,14 @@ class _Plan:
         return self._first(lookup, self.lookup_keys)
 
     def _by_bound(self, rows: DataFrame, bound: Bound, limit: Bound | None, splitter: Splitter) -> DataFrame:
-        payload = self.payload
         rows = rows.withColumn(BOUND, bound.request)
-        extra = [col(bound.column).cast(bound.dtype).alias(LOOKUP_BOUND)]
         if limit is not None:
-            limit_field = T.StructField(_LIMIT_FIELD, limit.dtype)
-            payload = replace(payload, schema=T.StructType([*payload.schema.fields, limit_field]))
-            extra.append(col(limit.column).cast(limit.dtype).alias(LOOKUP_PREFIX + _LIMIT_FIELD))
             rows = rows.withColumn(LIMIT, limit.request)
         rows = _without_condition_columns(rows)
-        lookup = self.lookup_side(*extra).where(col(LOOKUP_BOUND).isNotNull())
+        lookup, bound, payload = self._bounded(bound, limit)
         lookup = self._reduced_to(rows, lookup)
-        intervals = self._small_intervals(lookup, bound, payload) if splitter.enabled else None
+        wanted = splitter.enabled or rows.isStreaming
+        intervals = self._small_intervals(lookup, bound, payload) if wanted else None
         if intervals is not None:
             same = [col(m) == col(t) for m, t in zip(self.request_keys, self.lookup_keys)]
             condition = reduce(lambda a, b: a & b, same) & in_interval(BOUND, bound.op)
@@ -287,6 +294,15 @@ class _Plan:
             found = found.withColumn(HIT, F.when(inside, col(HIT)))
         return found
 
+    def _bounded(self, bound: Bound, limit: Bound | None) -> tuple[DataFrame, Bound, Payload]:
+        """The lookup side with its bound, and with the second bound's column as part of the payload."""
+        payload, extra = self.payload, [col(bound.column).cast(bound.dtype).alias(LOOKUP_BOUND)]
+        if limit is not None:
+            limit_field = T.StructField(_LIMIT_FIELD, limit.dtype)
+            payload = replace(payload, schema=T.StructType([*payload.schema.fields, limit_field]))
+            extra.append(col(limit.column).cast(limit.dtype).alias(LOOKUP_PREFIX + _LIMIT_FIELD))
+        return self.lookup_side(*extra).where(col(LOOKUP_BOUND).isNotNull()), bound, payload
+
     def _small_intervals(self, lookup: DataFrame, bound: Bound, payload: Payload) -> DataFrame | None:
         """Ranges to broadcast to large requests, if they are small and no key has many (a request tests them all)."""
         if self.constant_key:

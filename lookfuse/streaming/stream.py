@@ -36,7 +36,7 @@ def enrich_stream(
     ``DataStreamWriter.trigger``. ``lookup`` as a function is called for each batch, so changes of the table are
     seen; as a DataFrame it is planned once. The lookup must not be a stream.
 
-    A lookup that can be broadcast and is matched on keys alone is joined as a static side. Otherwise each
+    A lookup that can be broadcast and is matched on keys, or on keys and a bound, is joined as a static side. Otherwise each
     micro-batch runs the batch plan, and its keys, if there are at most ``pushdown_keys`` (1000) of them, go to the
     lookup's source as a filter.
     """

@@ -25,6 +25,10 @@ CASES = {
     "keys": dict(join_key="k", select=["v desc"], match_count=True),
     "template_keys": dict(join_key="k", restriction="k = {k} AND x > 3", fields=["k"], select=["v"]),
     "bound": dict(join_key="k", restriction="x <= {b}", fields=["b"], select=["x desc"], null_keys="keep"),
+    "two_sided": dict(
+        join_key="k", restriction="x <= {b} AND x > {a}", select=["x desc"],
+        condition_value_fn=lambda r: {"b": r.b, "a": r.b - 5},
+    ),
     "residual": dict(join_key="k", restriction="x % 2 = {b} % 2", fields=["b"]),
     "pairs": dict(keys=["k"], mode="pairs", null_keys="keep"),
     "selector": dict(join_key="k", select=lambda found: F.get(found, F.size(found) - 1)),
@@ -40,7 +44,7 @@ def same(a, b):
 @pytest.mark.parametrize("case", sorted(CASES))
 @pytest.mark.parametrize("large", [False, True])
 def test_stream_equals_batch(spark, tables, tmp_path, case, large):
-    if large and case not in ("keys", "bound", "composite"):
+    if large and case not in ("keys", "bound", "two_sided", "composite"):
         pytest.skip("the same micro-batch path as for a small lookup")
     requests, path, lookup = tables
     sink = str(tmp_path / "sink")
@@ -89,10 +93,10 @@ def test_lookup_read_again_for_each_batch(spark, tables, tmp_path):
 
 def test_console(spark, tables, tmp_path, capfd):
     requests, path, lookup = tables
-    for options in (CASES["keys"], CASES["bound"]):
+    for case in ("keys", "residual"):
         stream = requests_from_files(spark, path, requests.schema)
         enrich_stream(
-            stream, lookup, sink="console", checkpoint=str(tmp_path / options["select"][0]), trigger=ALL, **options
+            stream, lookup, sink="console", checkpoint=str(tmp_path / case), trigger=ALL, **CASES[case]
         ).awaitTermination()
     assert "__enrichment_status" in capfd.readouterr().out
 
