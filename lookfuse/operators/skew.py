@@ -61,6 +61,11 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size is not None and size <= _bytes_setting(df.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
 
 
+def too_large_to_broadcast(df: DataFrame) -> bool:
+    """Whether the side is known to be above what Spark would broadcast."""
+    return plan_bytes(df) is not None and not fits_broadcast(df)
+
+
 @dataclass(frozen=True)
 class Splitter:
     """Whether, and into how many parts, a hot group is split."""

@@ -38,7 +38,7 @@ from lookfuse.operators.prefix import best_intervals, in_interval, pick_by_bound
 from lookfuse.operators.reduce import count_per_key, first_per_key
 from lookfuse.operators.requests import distinct_probes, mark_first, total_order
 from lookfuse.operators.selectors import ColumnSelector, PythonSelector
-from lookfuse.operators.skew import Splitter, find_hot_keys, fits_broadcast, key_hash
+from lookfuse.operators.skew import Splitter, find_hot_keys, fits_broadcast, key_hash, too_large_to_broadcast
 from lookfuse.plans.condition import (
     Bound,
     Condition,
@@ -250,7 +250,9 @@ class _Plan:
     def can_stream(self) -> bool:
         """Whether a stream of requests can join the lookup side as it stands, without micro-batches."""
         bound, limit = self._usable_bounds()
-        return self.by_key_alone or (bound is not None and self._small_intervals(*self._bounded(bound, limit)) is not None)
+        if self.by_key_alone or bound is None:
+            return self.by_key_alone
+        return self._small_intervals(*self._bounded(bound, limit)) is not None
 
     def _by_key(self, rows: DataFrame, splitter: Splitter) -> DataFrame:
         picked = self.picked_by_key(rows, splitter)
@@ -271,7 +273,7 @@ class _Plan:
         rows = _without_condition_columns(rows)
         lookup, bound, payload = self._bounded(bound, limit)
         lookup = self._reduced_to(rows, lookup)
-        wanted = splitter.enabled or rows.isStreaming
+        wanted = splitter.enabled or rows.isStreaming or too_large_to_broadcast(rows)
         intervals = self._small_intervals(lookup, bound, payload) if wanted else None
         if intervals is not None:
             same = [col(m) == col(t) for m, t in zip(self.request_keys, self.lookup_keys)]
