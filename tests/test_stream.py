@@ -41,11 +41,12 @@ def same(a, b):
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-@pytest.mark.parametrize("case", sorted(CASES))
-@pytest.mark.parametrize("large", [False, True])
+# Without broadcasting only these take another way than for a small lookup.
+LARGE = [(case, True) for case in ("keys", "bound", "two_sided", "composite")]
+
+
+@pytest.mark.parametrize("case,large", [(case, False) for case in sorted(CASES)] + LARGE)
 def test_stream_equals_batch(spark, tables, tmp_path, case, large):
-    if large and case not in ("keys", "bound", "two_sided", "composite"):
-        pytest.skip("the same micro-batch path as for a small lookup")
     requests, path, lookup = tables
     sink = str(tmp_path / "sink")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
