@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lookfuse.llm import decontamination, language, line_dedup, mixture, quality, token_counts, warc
+from lookfuse.llm import decontamination, html_text, language, line_dedup, lm, mixture, ngram_join, quality, token_counts, warc
 from lookfuse.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share four-word shingles, similarity 0.85."""
+    return ngram_join.link_components(_table(spark, sf_dir, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
 @_query
 def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's share in the mix, and when it is first due."""
@@ -30,6 +36,12 @@ def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+@_query
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main texts of all pages."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to archives and read back."""
@@ -52,6 +64,13 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, profiles, keep=["doc_id", "held_out"])
 
 
+@_query
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents under a model of those that are not held out."""
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id"), 7, 2))
+    return lm.score(docs, docs.where(~F.col("held_out")), keep=["doc_id", "held_out"])
+
+
 @_query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items they contain."""
@@ -86,6 +105,18 @@ def _shingles_sql(table: str, key: str, width: int) -> str:
         FROM (SELECT {key}, {found} AS w FROM {table} WHERE text IS NOT NULL)"""
 
 
+ORACLES["op1_ngram_join"] = f"""
+    WITH RECURSIVE s AS ({_shingles_sql("documents", "doc_id", 4)}),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM p JOIN n k ON k.doc_id = a JOIN n m ON m.doc_id = b WHERE 100 * i >= 85 * (k.n + m.n - i)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT a AS doc_id, a AS other FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other)
+    SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
+    FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+    LEFT JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) c ON c.doc_id = d.doc_id"""
+
+
 def _mixture_sql() -> str:
     pieces = []
     for number, densities in enumerate(mixture.SCHEDULES):
