@@ -13,9 +13,9 @@ Empty contents say nothing and have value 0; a document that doesn't reach its s
 goes on under further hash functions, and in the end with each element by itself, which misses nothing.
 
 Documents with equal contents meet in a bucket. Copies are one document from the start. In a bucket documents are
-compared with one of them, then, as far as they are not yet connected, with those of other components, and each
-comparison takes both whole texts and counts the common n-grams themselves. Large groups of copies thus cost
-comparisons in proportion to their size, not its square.
+compared with one of them, then, as far as they are not yet connected, with members of other components that could be
+linked by a parity sketch, which never rules out a linked pair. Each comparison takes both whole texts and counts the
+common n-grams themselves. Large groups of copies thus cost comparisons in proportion to their size, not its square.
 """
 
 from __future__ import annotations
@@ -39,6 +39,12 @@ SPARE = 0.12
 #: Cost model: documents that a content of no element would bring together, and how much fewer each element leaves,
 #: in units of one signature.
 CHANCE, FALL = 64.0, 0.25
+#: Bits of a sketch for sets of up to so many elements, and beyond the last.
+SKETCH_BITS = ((400, 1 << 10), (1600, 1 << 12), (6400, 1 << 14), (1 << 62, 1 << 16))
+#: Strays of a bucket that a task holds at once, about.
+STRAYS = 1024
+#: Partners of a stray that are compared first.
+LIKELIEST = 2
 #: Rows of signatures handed to Spark at once.
 CHUNK = 1 << 18
 #: Texts of one task that are remembered so that copies give no signatures again.
@@ -260,6 +266,121 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.where(apart).select("a", "b")
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """The parity of how many elements fall on each bit: two sketches differ in no more bits than the sets in elements.
+
+    Larger sets have longer sketches; a longer one is folded to the length of a shorter one by exclusive or.
+    """
+    bits = next((b for n, b in SKETCH_BITS if len(tokens) <= n), SKETCH_BITS[-1][1])
+    parity = np.bincount((mixed(tokens) >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _sketched(texts: DataFrame, width: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [sketch(shingle_hashes(t.as_py(), width)) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["node", "sketch"])
+
+    return texts.select("node", "text").mapInArrow(run, "node bigint, sketch binary")
+
+
+class _Strays:
+    """Strays of one bucket, held against its members as they come by."""
+
+    def __init__(self, percent: int, likeliest: int | None):
+        self.percent, self.likeliest = percent, likeliest
+        self.reset(None)
+
+    def reset(self, group) -> None:
+        self.group, self.node, self.c, self.n, self.sketch = group, [], [], [], []
+        self.best: dict[int, list[tuple[int, int]]] = {}
+
+    def settle(self, out: list[tuple[int, int]]) -> None:
+        for x, found in self.best.items():
+            out.extend((min(x, y), max(x, y)) for _, y in found)
+        self.best = {}
+
+    def against(self, node: np.ndarray, c: np.ndarray, n: np.ndarray, sketches: list[bytes], out: list[tuple[int, int]]) -> None:
+        lengths = np.array([len(s) for s in sketches])
+        own = np.array([len(s) for s in self.sketch])
+        mine = [np.array(x, np.int64) for x in (self.node, self.c, self.n)]
+        for long in np.unique(lengths):
+            those = np.flatnonzero(lengths == long)
+            right = np.frombuffer(b"".join(sketches[i] for i in those), np.uint64).reshape(len(those), -1)
+            for other in np.unique(own):
+                strays = np.flatnonzero(own == other)
+                left = np.frombuffer(b"".join(self.sketch[i] for i in strays), np.uint64).reshape(len(strays), -1)
+                words_ = min(left.shape[1], right.shape[1])
+                folded = [np.bitwise_xor.reduce(x.reshape(len(x), -1, words_), 1) for x in (left, right)]
+                step = max(1, (1 << 21) // (len(strays) * words_))
+                for i in range(0, len(those), step):
+                    at = those[i : i + step]
+                    apart = np.bitwise_count(folded[0][:, None] ^ folded[1][None, i : i + step]).sum(2, dtype=np.int64)
+                    a, b = mine[2][strays][:, None], n[at][None]
+                    near = apart <= (a + b) * (100 - self.percent) // (100 + self.percent)
+                    near &= (100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)) & (mine[1][strays][:, None] != c[at][None])
+                    for x, y in np.argwhere(near).tolist():
+                        pair = int(mine[0][strays[x]]), int(node[at[y]])
+                        if self.likeliest is None:
+                            out.append((min(pair), max(pair)))
+                            continue
+                        held = self.best.setdefault(pair[0], [])
+                        held.append((int(apart[x, y]), pair[1]))
+                        held.sort()
+                        del held[self.likeliest :]
+
+
+def _near(member: DataFrame, sketches: DataFrame, percent: int, likeliest: int | None) -> DataFrame:
+    """Pairs (a, b) of unconnected members of a bucket that could be linked by their sketches.
+
+    A bucket's strays are its members outside its largest component. They are held in memory, in shares of about
+    ``STRAYS``, and all members of the bucket pass by in blocks, so pairs that can't be linked are never rows. With
+    ``likeliest`` only so many of the nearest partners of each stray and bucket are given.
+    """
+    by_part = member.groupBy("sig", "c").agg(F.count("*").alias("share"))
+    by_sig = by_part.groupBy("sig").agg(F.max_by("c", F.struct("share", "c")).alias("main"), (F.sum("share") - F.max("share")).alias("strays")).withColumnRenamed("sig", "s")
+    marked = member.join(by_sig, F.col("sig") == F.col("s")).drop("s").withColumn("shares", F.ceil(F.col("strays") / STRAYS).cast("long"))
+    marked = marked.join(sketches.withColumnRenamed("node", "of"), F.col("node") == F.col("of")).drop("of")
+    names = ["sig", "part", "role", "node", "c", "n", "sketch"]
+    strays = marked.where("c <> main").withColumn("part", F.pmod(F.xxhash64("node"), "shares")).withColumn("role", F.lit(0)).select(names)
+    others = marked.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))).withColumn("role", F.lit(1)).select(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        strays = _Strays(percent, likeliest)
+
+        def rows(out: list[tuple[int, int]]) -> pa.RecordBatch:
+            pairs = np.array(out, np.int64).reshape(len(out), 2)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            sig, part, role, node, c, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+            made = batch.column(6).to_pylist()
+            change = (sig[1:] != sig[:-1]) | (part[1:] != part[:-1]) | (role[1:] != role[:-1])
+            edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+            for i, k in zip(edges, edges[1:]):  # noqa: B905
+                if i == k:
+                    continue
+                if strays.group != (sig[i], part[i]):
+                    strays.settle(out)
+                    strays.reset((sig[i], part[i]))
+                if role[i] == 0:
+                    strays.node.extend(node[i:k].tolist())
+                    strays.c.extend(c[i:k].tolist())
+                    strays.n.extend(n[i:k].tolist())
+                    strays.sketch.extend(made[i:k])
+                elif strays.node:
+                    strays.against(node[i:k], c[i:k], n[i:k].astype(np.int64), made[i:k], out)
+            yield rows(out)
+        out = []
+        strays.settle(out)
+        yield rows(out)
+
+    dealt = strays.unionByName(others).repartition("sig", "part").sortWithinPartitions("sig", "part", "role", "node")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
+
+
 def link_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, key, n_shingles, component_id): one row for each row of ``docs``.
 
@@ -313,19 +434,24 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataF
     links, tested = links.unionByName(new), tested.unionByName(more)
     labels = stored(components(links), "ngram-labels")
 
-    member = buckets.select("sig", "key", "n").join(nodes, F.col("key") == F.col("k")).join(labels.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left")
-    member = stored(member.select("sig", "n", "node", F.coalesce("component", "node").alias("c")), "ngram-members")
-    open_ = member.groupBy("sig").agg(F.min("c").alias("c_low"), F.max("c").alias("c_high"), F.count("*").alias("g")).where("c_low <> c_high and g > 2").select("sig")
-    left = member.join(open_, "sig", "left_semi")
-    # Members outside a bucket's largest component, each against those of other components.
-    shares = left.groupBy("sig", "c").agg(F.count("*").alias("share")).groupBy("sig").agg(F.max_by("c", F.struct("share", "c")).alias("main")).withColumnRenamed("sig", "s")
-    marked = left.join(shares, F.col("sig") == F.col("s")).drop("s")
-    strays = marked.where(F.col("c") != F.col("main")).select(F.col("sig").alias("sig_x"), F.col("n").alias("n_x"), F.col("node").alias("x"), F.col("c").alias("c_x"))
-    rest = marked.join(strays, (F.col("sig") == F.col("sig_x")) & (F.col("c") != F.col("c_x")) & _close("n", "n_x", percent))
-    rest = rest.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    rest = stored(rest, "ngram-tested")
-    new = stored(_verified(rest, texts, width, percent), "ngram-links")
-    labels = stored(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new)), "ngram-labels")
+    # What is left are buckets whose members are not all connected. Each of a bucket's strays is held against the other
+    # members; first the likeliest of them are compared, which connects most, then all that could be linked.
+    member = buckets.select("sig", "key", "n").join(nodes, F.col("key") == F.col("k")).select("sig", "n", "node")
+    sketches = None
+    for likeliest in (LIKELIEST, None):
+        at = labels.withColumnRenamed("node", "at")
+        member = stored(member.join(at, F.col("node") == F.col("at"), "left").select("sig", "n", "node", F.coalesce("component", "node").alias("c")), "ngram-members")
+        open_ = member.groupBy("sig").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("g")).where("low <> high and g > 2").select("sig")
+        member = stored(member.join(open_, "sig", "left_semi"), "ngram-members")
+        if sketches is None:
+            wanted = member.select("node").distinct().withColumnRenamed("node", "want_node")
+            sketches = stored(_sketched(texts.join(wanted, F.col("node") == F.col("want_node"), "left_semi"), width), "ngram-sketches")
+        rest = _near(member, sketches, percent, likeliest).distinct().join(tested, ["a", "b"], "left_anti")
+        rest = stored(rest, "ngram-tested")
+        new = stored(_verified(rest, texts, width, percent), "ngram-links")
+        tested = tested.unionByName(rest)
+        labels = stored(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new)), "ngram-labels")
+        member = member.drop("c")
 
     ends = classes.join(labels.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left").select("key", "check", F.coalesce("component", "node").alias("class_id"))
     out = named.join(ends, ["key", "check"], "left").join(sizes, "key", "left")
