@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lookfuse import enrich, restrict_to_requests
 from lookfuse.catalog.registry import query
-from lookfuse.catalog.shared import EVENTS_SQL, event_requests, status_sql
+from lookfuse.catalog.shared import EVENTS_SQL, event_requests, missing_sql, status_sql, with_missing
 
 
 @query(f"""
@@ -25,13 +25,13 @@ def enrich_composite_key(t):
     )
 
 
-_RICH = "(SELECT * FROM customer WHERE c_acctbal > 0)"
+_ASKING = f"(SELECT event_id, {missing_sql('user_id')} AS user_id FROM ({EVENTS_SQL}))"
 
 
 def _events_to_customer(t, **options):
     return enrich(
-        event_requests(t.events).select("event_id", "user_id"),
-        t.customer.where("c_acctbal > 0"),
+        event_requests(t.events).select("event_id", with_missing("user_id")),
+        t.customer,
         join_key="user_id",
         column_names=["c_custkey as user_id", "c_name"],
         **options,
@@ -40,7 +40,7 @@ def _events_to_customer(t, **options):
 
 @query(f"""
     SELECT event_id, user_id, c_name, {status_sql("c_custkey IS NOT NULL")}
-    FROM ({EVENTS_SQL}) LEFT JOIN {_RICH} ON c_custkey = user_id WHERE user_id IS NOT NULL
+    FROM {_ASKING} LEFT JOIN customer ON c_custkey = user_id WHERE user_id IS NOT NULL
 """)
 def null_key_drop(t):
     return _events_to_customer(t, null_keys="drop")
@@ -48,7 +48,7 @@ def null_key_drop(t):
 
 @query(f"""
     SELECT event_id, user_id, c_name, {status_sql("c_custkey IS NOT NULL")}
-    FROM ({EVENTS_SQL}) LEFT JOIN {_RICH} ON c_custkey = user_id
+    FROM {_ASKING} LEFT JOIN customer ON c_custkey = user_id
 """)
 def null_key_keep(t):
     return _events_to_customer(t, null_keys="keep")

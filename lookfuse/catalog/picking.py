@@ -4,15 +4,17 @@ from pyspark.sql import functions as F
 
 from lookfuse import ColumnSelector, KeyedEnrichment, LookupHandler, PythonSelector, enrich
 from lookfuse.catalog.registry import query
-from lookfuse.catalog.shared import EVENTS_SQL, event_requests, status_sql
+from lookfuse.catalog.shared import EVENTS_SQL, event_requests, missing_sql, status_sql, with_missing
+
+_CUSTOMER = f"SELECT * REPLACE ({missing_sql('c_custkey')} AS c_custkey) FROM main.customer"
 
 _COLUMNS = ["o_orderkey", "o_custkey as c_custkey", "o_totalprice", "o_orderstatus", "o_orderdate"]
 
 
 def _customer_to_orders(t, select, **options):
     enriched = enrich(
-        t.customer.select("c_custkey", "c_acctbal"),
-        t.orders.where("o_orderdate >= timestamp_ntz'1999-01-01'"),
+        t.customer.select(with_missing("c_custkey"), "c_acctbal"),
+        t.orders,
         join_key="c_custkey",
         column_names=_COLUMNS,
         select=select,
@@ -23,11 +25,11 @@ def _customer_to_orders(t, select, **options):
 
 def _picked_sql(order: str, where: str = "TRUE") -> str:
     return f"""
-        WITH found AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'),
+        WITH customer AS ({_CUSTOMER}),
         best AS (
             SELECT c_custkey AS k, o.*, row_number() OVER (PARTITION BY c_custkey ORDER BY {order}) AS rn
-            FROM found o JOIN customer ON o_custkey = c_custkey WHERE {where}),
-        hits AS (SELECT DISTINCT o_custkey AS h FROM found)
+            FROM orders o JOIN customer ON o_custkey = c_custkey WHERE {where}),
+        hits AS (SELECT DISTINCT o_custkey AS h FROM orders)
         SELECT c_custkey, o_orderkey, o_totalprice,
                CASE WHEN h IS NULL THEN 'NO_BQ_DATA' WHEN k IS NULL THEN 'BQ_SELECTION_FAILED' ELSE 'SUCCESS' END
                    AS "__enrichment_status"
@@ -76,17 +78,17 @@ def select_with_request(t):
 
 
 def _last_of_few(rows):
-    if len(rows) > 4:
+    if len(rows) > 10:
         raise ValueError("too many")
     return rows[-1]
 
 
-@query("""
-    WITH found AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'),
-    best AS (SELECT o_custkey AS k, CASE WHEN count(*) > 4 THEN min(o_orderkey) ELSE max(o_orderkey) END AS pick
-             FROM found GROUP BY o_custkey)
+@query(f"""
+    WITH customer AS ({_CUSTOMER}),
+    best AS (SELECT o_custkey AS k, CASE WHEN count(*) > 10 THEN min(o_orderkey) ELSE max(o_orderkey) END AS pick
+             FROM orders GROUP BY o_custkey)
     SELECT c_custkey, o_orderkey, o_totalprice, CASE WHEN k IS NULL THEN 'NO_BQ_DATA' ELSE 'SUCCESS' END AS "__enrichment_status"
-    FROM customer LEFT JOIN best ON k = c_custkey LEFT JOIN found ON o_orderkey = pick
+    FROM customer LEFT JOIN best ON k = c_custkey LEFT JOIN orders ON o_orderkey = pick
 """)
 def select_python_fallback(t):
     return _customer_to_orders(t, PythonSelector(_last_of_few))

@@ -4,56 +4,46 @@ from pyspark.sql import functions as F
 
 from lookfuse import enrich, group_rows, restrict_to_requests
 from lookfuse.catalog.registry import query
-from lookfuse.catalog.shared import EVENTS_SQL, event_requests, status_sql
+from lookfuse.catalog.shared import EVENTS_SQL, event_requests, missing_sql, status_sql, with_missing
 from lookfuse.operators.requests import distinct_probes as distinct
 
 
-def _summary(groups, key, item, name):
-    """Facts about each key's arrays; a key may have several."""
-    values = F.transform("rows", lambda r: r[item])
-    return (
-        groups.select(
-            key,
-            F.size("rows").alias("n"),
-            F.array_min(values).alias("low"),
-            F.reduce(values, F.lit(0).cast("bigint"), lambda a, v: a + v).alias("total"),
-        )
-        .groupBy(key)
-        .agg(
-            F.sum("n").alias("n_rows"), F.min("low").alias(f"min_{name}"), F.sum("total").alias(f"sum_{name}")
-        )
-    )
+def _chunks(groups, key, item):
+    """Each chunk's size and its items in order."""
+    items = F.transform("rows", lambda r: r[item].cast("string"))
+    return groups.select(key, "chunk", F.size("rows").cast("bigint").alias("n_rows"), F.array_join(items, " ").alias("items"))
 
 
-@query(f"""
-    SELECT user_id, CAST(count(*) AS BIGINT) AS n_rows, min(event_id) AS min_event, CAST(sum(event_id) AS BIGINT) AS sum_event
-    FROM ({EVENTS_SQL}) WHERE user_id IS NOT NULL GROUP BY user_id
-""")
+def _chunks_sql(source: str, key: str, item: str, order: str, size: int) -> str:
+    return f"""
+        SELECT {key}, chunk, CAST(count(*) AS BIGINT) AS n_rows, string_agg(CAST({item} AS VARCHAR), ' ' ORDER BY rn) AS items
+        FROM (SELECT *, CAST(floor((rn - 1) / {size}) AS BIGINT) AS chunk FROM (
+            SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn FROM {source} WHERE {key} IS NOT NULL))
+        GROUP BY {key}, chunk"""
+
+
+@query(_chunks_sql(f"({EVENTS_SQL})", "user_id", "event_id", "event_id", 2))
 def group_requests(t):
-    groups = group_rows(event_requests(t.events), ["user_id"], ["event_id"], chunk_rows=64)
-    return _summary(groups, "user_id", "event_id", "event")
+    return _chunks(group_rows(event_requests(t.events), ["user_id"], ["event_id"], chunk_rows=2), "user_id", "event_id")
 
 
-@query("""
-    SELECT o_custkey, CAST(count(*) AS BIGINT) AS n_rows, min(o_orderkey) AS min_order, CAST(sum(o_orderkey) AS BIGINT) AS sum_order
-    FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY o_custkey
-""")
+@query(_chunks_sql("(SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer))", "o_custkey", "o_orderkey", "o_orderdate, o_orderkey", 8))
 def collect_matches(t):
-    asked = restrict_to_requests(t.orders, t.customer.where("c_acctbal > 0"), {"c_custkey": "o_custkey"})
+    asked = restrict_to_requests(t.orders, t.customer, {"c_custkey": "o_custkey"})
     groups = group_rows(asked, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderkey", "o_orderdate"], 8)
-    return _summary(groups, "o_custkey", "o_orderkey", "order")
+    return _chunks(groups, "o_custkey", "o_orderkey")
 
 
 @query(f"""
-    WITH counts AS (SELECT o_custkey, count(*) AS n, min(o_orderkey) AS o_orderkey FROM orders
-                    WHERE o_orderstatus = 'F' GROUP BY o_custkey)
+    WITH customer AS (SELECT {missing_sql("c_custkey")} AS c_custkey FROM main.customer),
+    counts AS (SELECT o_custkey, count(*) AS n, min(o_orderkey) AS o_orderkey FROM orders GROUP BY o_custkey)
     SELECT c_custkey, o_orderkey, CAST(coalesce(n, 0) AS BIGINT) AS "__match_count", {status_sql("n IS NOT NULL")}
     FROM customer LEFT JOIN counts ON o_custkey = c_custkey
 """)
 def match_count(t):
     return enrich(
-        t.customer.select("c_custkey"),
-        t.orders.where("o_orderstatus = 'F'"),
+        t.customer.select(with_missing("c_custkey")),
+        t.orders,
         join_key="c_custkey",
         column_names=["o_orderkey", "o_custkey as c_custkey"],
         match_count=True,

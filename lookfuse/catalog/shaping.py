@@ -4,7 +4,10 @@ from pyspark.sql import functions as F
 
 from lookfuse import enrich, requests_from_rows, resolve_lookup, scan_lookup
 from lookfuse.catalog.registry import query
-from lookfuse.catalog.shared import EVENTS_SQL, event_requests, status_sql
+from lookfuse.catalog.shared import EVENTS_SQL, event_requests, missing_sql, status_sql, with_missing
+
+_ORDERS = f"(SELECT o_orderkey, {missing_sql('o_custkey')} AS o_custkey FROM orders)"
+_LINEITEM = f"(SELECT * REPLACE ({missing_sql('l_partkey')} AS l_partkey) FROM lineitem)"
 
 
 @query("SELECT c_custkey AS id, c_name AS customer FROM customer WHERE c_mktsegment = 'BUILDING'")
@@ -45,12 +48,12 @@ def enrich_no_valid_probe(t):
 
 @query(f"""
     SELECT o_orderkey, o_custkey, c_name AS customer, c_acctbal AS balance, {status_sql("c_custkey IS NOT NULL")}
-    FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON c_custkey = o_custkey
+    FROM {_ORDERS} LEFT JOIN customer ON c_custkey = o_custkey
 """)
 def project_aliases(t):
     return enrich(
-        t.orders.select("o_orderkey", "o_custkey"),
-        t.customer.where("c_acctbal > 0"),
+        t.orders.select("o_orderkey", with_missing("o_custkey")),
+        t.customer,
         join_key="o_custkey",
         column_names=["c_custkey as o_custkey", "c_name AS customer", " c_acctbal  As  balance "],
     )
@@ -59,12 +62,12 @@ def project_aliases(t):
 @query(f"""
     SELECT o_orderkey, o_custkey, c_custkey, c_name AS customer, c_nationkey, c_acctbal, c_mktsegment,
            {status_sql("c_custkey IS NOT NULL")}
-    FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON c_custkey = o_custkey
+    FROM {_ORDERS} LEFT JOIN customer ON c_custkey = o_custkey
 """)
 def project_all(t):
     return enrich(
-        t.orders.select("o_orderkey", "o_custkey"),
-        t.customer.where("c_acctbal > 0"),
+        t.orders.select("o_orderkey", with_missing("o_custkey")),
+        t.customer,
         keys={"o_custkey": "c_custkey"},
         column_names=["c_name as customer", "*", "c_acctbal as not read"],
     )
@@ -72,12 +75,12 @@ def project_all(t):
 
 @query(f"""
     SELECT o_orderkey, c.c_custkey AS key_read, c.c_name AS name_read, {status_sql("c.c_custkey IS NOT NULL")}
-    FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON c.c_custkey = o_custkey
+    FROM {_ORDERS} LEFT JOIN customer c ON c.c_custkey = o_custkey
 """)
 def project_ensured_key(t):
     nested = enrich(
-        t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey")),
-        t.customer.where("c_acctbal > 0"),
+        t.orders.select("o_orderkey", with_missing("o_custkey").alias("c_custkey")),
+        t.customer,
         join_key="c_custkey",
         column_names=["c_name"],
         mode="add_nested",
@@ -134,12 +137,12 @@ def enrich_overwrite(t):
 @query(f"""
     SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, p_name, p_brand, p_retailprice,
            {status_sql("p_partkey IS NOT NULL")}
-    FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 5) ON p_partkey = l_partkey
+    FROM {_LINEITEM} LEFT JOIN part ON p_partkey = l_partkey
 """)
 def enrich_lineitem_part(t):
     return enrich(
-        t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"),
-        t.part.where("p_size > 5"),
+        t.lineitem.select("l_orderkey", "l_linenumber", with_missing("l_partkey"), "l_quantity"),
+        t.part,
         join_key="l_partkey",
         column_names=["p_partkey as l_partkey", "p_name", "p_brand", "p_retailprice"],
     )
@@ -162,12 +165,12 @@ def lookup_pairs(t):
 
 @query(f"""
     SELECT o_orderkey, o_custkey, c_name, {status_sql("c_custkey IS NOT NULL")}
-    FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON c_custkey = o_custkey
+    FROM {_ORDERS} LEFT JOIN customer ON c_custkey = o_custkey
 """)
 def enrich_key_alias(t):
     return enrich(
-        t.orders.select("o_orderkey", "o_custkey"),
-        t.customer.where("c_acctbal > 0"),
+        t.orders.select("o_orderkey", with_missing("o_custkey")),
+        t.customer,
         join_key="o_custkey",
         fields=["o_custkey"],
         restriction="c_custkey = {o_custkey}",

@@ -1,6 +1,6 @@
 """Request tables several queries start from, in both languages."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Every fiftieth event has no user.
@@ -23,6 +23,15 @@ def event_requests(events: DataFrame) -> DataFrame:
     )
 
 
+# Every seventh customer is asked for by a number that none has.
+def missing_sql(key: str) -> str:
+    return f"CASE WHEN {key} % 7 = 0 THEN -1 - {key} ELSE {key} END"
+
+
+def with_missing(key: str) -> Column:
+    return F.when(F.col(key) % 7 == 0, -1 - F.col(key)).otherwise(F.col(key)).alias(key)
+
+
 STATUS_SQL = "CASE WHEN {hit} THEN 'SUCCESS' ELSE 'NO_BQ_DATA' END AS \"__enrichment_status\""
 
 

@@ -2,7 +2,7 @@
 
 from lookfuse import enrich_stream, read_sink, requests_from_files, scratch_folder
 from lookfuse.catalog.registry import query
-from lookfuse.catalog.shared import EVENTS_SQL, event_requests, status_sql
+from lookfuse.catalog.shared import EVENTS_SQL, event_requests, missing_sql, status_sql, with_missing
 
 
 def _stream(t):
@@ -19,14 +19,14 @@ def _run(t, requests, lookup, **options):
 
 @query(f"""
     SELECT event_id, user_id, c_name, {status_sql("c_custkey IS NOT NULL")}
-    FROM ({EVENTS_SQL}) LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON c_custkey = user_id
+    FROM (SELECT event_id, {missing_sql("user_id")} AS user_id FROM ({EVENTS_SQL})) LEFT JOIN customer ON c_custkey = user_id
     WHERE user_id IS NOT NULL
 """)
 def stream_enrich(t):
     return _run(
         t,
-        _stream(t).select("event_id", "user_id"),
-        t.customer.where("c_acctbal > 0"),
+        _stream(t).select("event_id", with_missing("user_id")),
+        t.customer,
         join_key="user_id",
         column_names=["c_custkey as user_id", "c_name"],
     )

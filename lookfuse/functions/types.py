@@ -31,9 +31,14 @@ def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
     if a == b:
         return a
     if family(a) != family(b):
-        return T.DoubleType() if {family(a), family(b)} == {"integral", "fractional"} and not any(
-            isinstance(t, T.DecimalType) for t in (a, b)
-        ) else None
+        if {family(a), family(b)} != {"integral", "fractional"}:
+            return None
+        decimal = next((t for t in (a, b) if isinstance(t, T.DecimalType)), None)
+        if decimal is None:
+            return T.DoubleType()
+        # 19 digits hold any integral value.
+        whole = max(19, decimal.precision - decimal.scale)
+        return T.DecimalType(whole + decimal.scale, decimal.scale) if whole + decimal.scale <= 38 else None
     if family(a) == "integral":
         return T.LongType()
     if family(a) == "string":
@@ -50,6 +55,11 @@ def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
     return None
 
 
+def has_exact_literals(dtype: T.DataType) -> bool:
+    """Whether values come back from Python as the literals they were, in any time zone."""
+    return isinstance(dtype, (*_INTEGRAL, T.StringType, T.BooleanType, T.DateType, T.DecimalType))
+
+
 def is_orderable(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.ArrayType):
         return is_orderable(dtype.elementType)

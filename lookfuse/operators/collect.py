@@ -1,7 +1,7 @@
 """Groups as arrays, for callers and selectors that want to see all rows of a key.
 
-No array holds an unbounded group. Groups are cut into chunks, first within each input partition, so a hot key
-is spread over the tasks that read it; each row is in exactly one chunk.
+Groups are cut into chunks of their own order, so what comes out depends on the rows and not on where they lie; each
+row is in exactly one chunk.
 """
 
 from __future__ import annotations
@@ -17,12 +17,10 @@ from lookfuse.functions.ordering import parse_order
 from lookfuse.functions.types import is_orderable
 
 CHUNK_ROWS = 1000
-MAX_GROUP_ROWS = 10_000
 
 _PARTITION = "__partition"
 _CHUNK = "__chunk"
 _RANK = "__rank"
-_RANK_IN_PARTITION = "__rank_in_partition"
 _ROWS = "__rows"
 
 
@@ -31,28 +29,21 @@ def group_rows(
     keys: Sequence[str],
     order: str | Sequence[str],
     columns: Sequence[str] | None = None,
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_rows: int | None = CHUNK_ROWS,
 ) -> DataFrame:
-    """The rows of each key as ``rows`` arrays of at most ``chunk_rows``, numbered by ``source`` and ``chunk``.
+    """The rows of each key, in the given order, as ``rows`` arrays of ``chunk_rows``, numbered from 0 by ``chunk``.
 
-    ``source`` is the input partition, so a key that lies in several partitions has several chunks; within a
-    chunk rows are in the given order. A key column that is NULL forms no group.
+    Only the last chunk of a key is shorter; with ``chunk_rows=None`` each key has one array, whatever its size. The
+    result depends on the rows alone if ``order`` leaves no ties. A key column that is NULL forms no group.
     """
     sort = [t.sort() for t in parse_order(order)]
     names = list(columns or [c for c in df.columns if c not in keys])
     present = F.lit(True)
     for key in keys:
         present = present & col(key).isNotNull()
-    numbered = _number(
-        df.where(present).withColumn(_PARTITION, F.spark_partition_id()), [*keys, _PARTITION], sort, chunk_rows
-    )
-    gathered = _gather(numbered, [*keys, _PARTITION, _CHUNK], F.struct(*[col(n).alias(n) for n in names]))
-    return gathered.select(
-        *[col(k) for k in keys],
-        col(_PARTITION).alias("source"),
-        col(_CHUNK).alias("chunk"),
-        col(_ROWS).alias("rows"),
-    )
+    numbered = _number(df.where(present), keys, sort, chunk_rows)
+    gathered = _gather(numbered, [*keys, _CHUNK], F.struct(*[col(n).alias(n) for n in names]))
+    return gathered.select(*[col(k) for k in keys], col(_CHUNK).alias("chunk"), col(_ROWS).alias("rows"))
 
 
 def select_from_groups(
@@ -64,19 +55,23 @@ def select_from_groups(
     decomposable: bool,
     hot: Column | None,
     chunk_rows: int = CHUNK_ROWS,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Apply ``choose`` (array of rows to one row or NULL) to each group: ``keys``, HIT, CHOSEN, COUNT.
 
     A decomposable selector (best of a group = best of the bests of its parts) runs over chunks, then over the
-    chunks' choices; for groups that are ``hot`` both happen within each input partition first, so that a hot key
-    is spread over the tasks that read it and sends one row from each. Any other selector needs its group whole;
-    a group above ``max_group_rows`` fails the job before it is gathered, rather than being cut.
+    chunks' choices. Groups that are ``hot`` are cut by ranges of key and order first, so that a hot key is spread
+    over tasks, each has an unbroken stretch of it, and the stretches' choices stand in the group's own order: the
+    answer is that of the unsplit group. Any other selector needs its group whole; with ``max_group_rows`` a larger
+    group fails the job before it is gathered, rather than being cut.
     """
-    partition = F.lit(-1) if hot is None else F.when(hot, F.spark_partition_id()).otherwise(F.lit(-1))
+    partition = F.lit(-1)
+    if hot is not None and decomposable:
+        df = df.repartitionByRange(*[col(k) for k in keys], *sort)
+        partition = F.when(hot, F.spark_partition_id()).otherwise(F.lit(-1))
     df = df.withColumn(_PARTITION, partition).withColumn(COUNT, F.lit(1).cast("bigint"))
     if not decomposable:
-        return _choose(_whole_groups(df, keys, sort, max_group_rows, hot is not None), keys, row, choose)
+        return _choose(_whole_groups(df, keys, sort, max_group_rows), keys, row, choose)
     if hot is not None:
         local = [*keys, _PARTITION]
         chunks = _choose(_number(df, local, sort, chunk_rows), [*local, _CHUNK], row, choose)
@@ -88,30 +83,24 @@ def select_from_groups(
     return _choose_again(chunks, keys, _CHUNK, choose)
 
 
-def _number(df: DataFrame, group: Sequence[str], sort: Sequence[Column], chunk_rows: int) -> DataFrame:
+def _number(df: DataFrame, group: Sequence[str], sort: Sequence[Column], chunk_rows: int | None) -> DataFrame:
     window = Window.partitionBy(*[col(g) for g in group]).orderBy(*sort)
-    return df.withColumn(_RANK, F.row_number().over(window)).withColumn(
-        _CHUNK, F.floor((col(_RANK) - 1) / chunk_rows)
-    )
+    chunk = F.lit(0).cast("bigint") if chunk_rows is None else F.floor((col(_RANK) - 1) / chunk_rows)
+    return df.withColumn(_RANK, F.row_number().over(window)).withColumn(_CHUNK, chunk)
 
 
-def _whole_groups(
-    df: DataFrame, keys: Sequence[str], sort: Sequence[Column], limit: int, by_partition: bool
-) -> DataFrame:
+def _whole_groups(df: DataFrame, keys: Sequence[str], sort: Sequence[Column], limit: int | None) -> DataFrame:
+    window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*sort)
+    ranked = df.withColumn(_RANK, F.row_number().over(window))
+    if limit is None:
+        return ranked
     message = (
         f"A group has more than {limit} matching rows. Use an order, a selector declared decomposable, "
         "or a larger max_group_rows."
     )
-    if by_partition:
-        # Ranks beyond the limit go within each partition already; one of them is kept as evidence.
-        local = Window.partitionBy(*[col(k) for k in keys], col(_PARTITION)).orderBy(*sort)
-        df = df.withColumn(_RANK_IN_PARTITION, F.row_number().over(local)).where(
-            col(_RANK_IN_PARTITION) <= limit + 1
-        )
-    window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*sort)
-    ranked = df.withColumn(_RANK, F.row_number().over(window)).where(col(_RANK) <= limit + 1)
+    # One rank beyond the limit is kept as evidence.
     too_many = F.raise_error(F.lit(message)).cast("int")
-    return ranked.withColumn(_RANK, F.when(col(_RANK) > limit, too_many).otherwise(col(_RANK)))
+    return ranked.where(col(_RANK) <= limit + 1).withColumn(_RANK, F.when(col(_RANK) > limit, too_many).otherwise(col(_RANK)))
 
 
 def _gather(df: DataFrame, group: Sequence[str], row: Column, place: str = _RANK) -> DataFrame:

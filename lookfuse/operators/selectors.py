@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lookfuse.operators.collect import CHUNK_ROWS, MAX_GROUP_ROWS
+from lookfuse.operators.collect import CHUNK_ROWS
 
 
 def takes_request(fn: Callable) -> bool:
@@ -40,7 +40,7 @@ class ColumnSelector:
     fn: Callable[..., Column]
     decomposable: bool = False
     chunk_rows: int = CHUNK_ROWS
-    max_group_rows: int = MAX_GROUP_ROWS
+    max_group_rows: int | None = None
 
     @property
     def with_request(self) -> bool:
@@ -71,7 +71,7 @@ class PythonSelector:
     none_means: str = "decline"
     schema: T.StructType | None = None
     chunk_rows: int = CHUNK_ROWS
-    max_group_rows: int = MAX_GROUP_ROWS
+    max_group_rows: int | None = None
 
     def __post_init__(self):
         if self.rows_as not in ("dict", "row"):

@@ -28,7 +28,7 @@ from lookfuse.constants import (
 from lookfuse.functions.columns import output_columns, parse_column_names
 from lookfuse.functions.names import NameIndex, col
 from lookfuse.functions.ordering import parse_order
-from lookfuse.functions.types import is_orderable
+from lookfuse.functions.types import has_exact_literals, is_orderable
 from lookfuse.operators.attach import attach
 from lookfuse.operators.collect import select_from_groups
 from lookfuse.operators.lookup import Payload, best_per_key
@@ -408,7 +408,7 @@ class _Plan:
         if self.constant_key or rows.isStreaming or (wanted is False and not most):
             return lookup
         asked = distinct_probes(_all_present(rows, self.request_keys), self.request_keys)
-        if most:
+        if most and all(has_exact_literals(asked.schema[k].dataType) for k in self.request_keys):
             found = asked.limit(most + 1).collect()
             if len(found) <= most:
                 # Literal lists reach the source; with several key columns they are a superset the join narrows.
@@ -556,6 +556,11 @@ def _admitted(plan: _Plan, template: Condition, rows: DataFrame, splitter: Split
             probes = F.broadcast(probes)  # one row by construction
             splitter = Splitter(False)
     else:
+        if asking.constant_key and not plan.options.allow_theta:
+            raise ValueError(
+                "scope='any_request' tests this restriction on every lookup row with every request, as it has no "
+                "equality; give allow_theta=True if that is wanted"
+            )
         bounds = []
         for i, bound in enumerate(template.bounds):
             rows = rows.withColumn(f"{BOUND}{i}", bound.request)

@@ -71,7 +71,7 @@ class Options:
         if self.restriction is not None and not (self.fields or self.condition_value_fn):
             raise ValueError("A `restriction` needs exactly one of `fields` or `condition_value_fn`")
         if self.additional_condition_fields and self.condition_value_fn:
-            raise ValueError("`additional_condition_fields` cannot be used with `condition_value_fn`")
+            raise ValueError("A `condition_value_fn` supplies all condition values, so `additional_condition_fields` has no use beside it")
         if isinstance(self.restriction, str) and not self.restriction.strip():
             raise ValueError("The restriction template is empty")
         if isinstance(self.restriction, Mapping):

@@ -28,7 +28,8 @@ def _exactly_one_source(fields, condition_value_fn) -> None:
 class KeyedEnrichment:
     """Rows in, enriched rows out: ``requests.transform(KeyedEnrichment(...))``.
 
-    One key; requests without it are dropped, unmatched ones are kept and say so in the status column.
+    One key; requests without it are dropped, unmatched ones are kept and say so in the status column. ``more`` has
+    further options of :func:`lookfuse.enrich` (representative, duplicates, scope, pushdown_keys, split and so on).
     """
 
     table_name: str | DataFrame
@@ -43,6 +44,7 @@ class KeyedEnrichment:
     enrichment_mode: str = MERGE_NEW
     nested_key: str | None = None
     reader: dict = field(default_factory=dict)
+    more: dict = field(default_factory=dict)
 
     def __post_init__(self):
         if not self.join_key_field:
@@ -66,6 +68,7 @@ class KeyedEnrichment:
             select=self.select,
             mode=self.enrichment_mode,
             nested_key=self.nested_key,
+            **self.more,
         )
 
     def __call__(self, requests: DataFrame) -> DataFrame:
@@ -77,7 +80,8 @@ class LookupHandler:
     """Answers requests with (request, response) pairs; the response is NULL where nothing matched.
 
     The key is all ``fields``, or the values of ``condition_value_fn``. With ``by_key=False`` the restriction
-    alone decides, as for single requests.
+    alone decides, as for single requests; ``allow_theta=False`` then refuses one without an equality. ``more`` has
+    further options of :func:`lookfuse.enrich`.
     """
 
     table_name: str | DataFrame
@@ -91,7 +95,9 @@ class LookupHandler:
     primary_keys: Sequence[str] | None = None
     by_key: bool = True
     max_parallel_streams: int | None = None
+    allow_theta: bool | None = None
     reader: dict = field(default_factory=dict)
+    more: dict = field(default_factory=dict)
 
     def __post_init__(self):
         if self.table_name is None or self.table_name == "":
@@ -114,8 +120,8 @@ class LookupHandler:
             column_names=self.column_names,
             select=self.latest_value_selector,
             mode=mode,
-            null_keys="keep",
-            allow_theta=not self.by_key,
+            allow_theta=not self.by_key if self.allow_theta is None else self.allow_theta,
+            **{"null_keys": "keep", **self.more},
         )
 
     def __call__(self, requests: DataFrame, mode: str = PAIRS) -> DataFrame:

@@ -26,9 +26,12 @@ def session(app_name: str = "lookfuse", settings: dict[str, str] | None = None)
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which a cluster sets to storage all executors share.
 
-    Where it is unset, as in a local test, a new folder below the system's temporary one is used.
+    Where it is unset, a local session uses a new folder below the system's temporary one, which all its tasks see; on
+    a cluster that would be another folder on every machine, so it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"run-{purpose}-")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lookfuse.functions.names import NameIndex, col
-from lookfuse.functions.types import common_type
+from lookfuse.functions.types import common_type, has_exact_literals
 
 
 def resolve_lookup(
@@ -62,7 +62,8 @@ def restrict_to_requests(
     """Lookup rows whose key some request has. ``keys`` maps request fields to lookup columns.
 
     Up to ``max_keys`` values of a single key become a literal list, which a source can apply while it reads; no
-    more than that many are ever brought to the driver. More keys, or several columns, become a semi-join.
+    more than that many are ever brought to the driver. More keys, several columns, and types that don't come back
+    from Python as they were (timestamps, floats, binary, nested ones) become a semi-join.
     """
     mine, theirs = NameIndex.of(requests), NameIndex.of(lookup)
     names = {}
@@ -80,11 +81,11 @@ def restrict_to_requests(
     for name in asked.columns:
         asked = asked.where(col(name).isNotNull())
     asked = asked.distinct()
-    if len(names) == 1:
-        (column,) = names.values()
+    if len(names) == 1 and has_exact_literals(next(iter(casts.values()))):
+        ((mine_, column),) = names.items()
         found = [r[0] for r in asked.limit(max_keys + 1).collect()]
         if len(found) <= max_keys:
-            return lookup.where(col(column).isin(found))
+            return lookup.where(col(column).cast(casts[mine_]).isin(found))
     condition = F.lit(True)
     for i, (m, t) in enumerate(names.items()):
         condition = condition & (col(t).cast(casts[m]) == col(f"__asked{i}"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -36,9 +37,9 @@ def enrich_stream(
     ``DataStreamWriter.trigger``. ``lookup`` as a function is called for each batch, so changes of the table are
     seen; as a DataFrame it is planned once. The lookup must not be a stream.
 
-    A lookup that can be broadcast and is matched on keys, or on keys and a bound, is joined as a static side. Otherwise each
-    micro-batch runs the batch plan, and its keys, if there are at most ``pushdown_keys`` (1000) of them, go to the
-    lookup's source as a filter.
+    Each micro-batch runs the batch plan and writes a folder of its own. Unless the lookup can be broadcast, a batch's
+    keys, if there are at most ``pushdown_keys`` (1000) of them, go to the lookup's source as a filter: lay a large
+    lookup out by key. To the console, a small lookup matched on keys is joined as a static side.
     """
     if not requests.isStreaming:
         raise ValueError("`requests` is not a stream; use enrich()")
@@ -50,10 +51,11 @@ def enrich_stream(
     checkpoint = checkpoint or scratch_folder(spark, "stream-checkpoint")
     trigger = trigger or DEFAULT_TRIGGER
 
-    if not by_batch:
-        writer = build(requests, sample, chosen).writeStream.outputMode("append")
-        writer = writer.format("console") if sink == CONSOLE else writer.format("parquet").option("path", sink)
+    if not by_batch and sink == CONSOLE:
+        writer = build(requests, sample, chosen).writeStream.outputMode("append").format("console")
     else:
+        # A folder is laid out the same for every plan, so a lookup may outgrow broadcasting between two runs.
+        chosen = chosen if by_batch else replace(chosen, pushdown_keys=options.get("pushdown_keys", 0))
 
         def run(batch: DataFrame, batch_id: int) -> None:
             batch = batch.persist()

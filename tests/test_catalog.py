@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lookfuse.catalog import QUERIES
 
 FOLDER = os.environ.get("CATALOG_SF_DIR", "/root/testdata/sf0.01")
 
@@ -31,7 +32,7 @@ def comparable(names, rows):
     return [names[i] for i in order], sorted((tuple(value(r[i]) for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     result = entry.queries()[name](spark, FOLDER)
     got = comparable(result.columns, result.collect())

@@ -37,7 +37,7 @@ def test_names_example(spark, names):
     people = ["James", "Mary", "John", "O'Brien", "Susan"]
     requests = requests_from_rows(
         spark,
-        [{"id": i, "name": n, "extra_info": f"some_data_{i}"} for i, n in enumerate(people)],
+        [{"id": i, "name": n, "extra_info": f"note-{i}"} for i, n in enumerate(people)],
         "id bigint, name string, extra_info string",
     )
     enrichment = KeyedEnrichment(
@@ -50,17 +50,17 @@ def test_names_example(spark, names):
     enriched = requests.transform(enrichment)
     assert enriched.columns == ["id", "name", "extra_info", "number", "state", STATUS]
     assert rows(enriched, "id") == [
-        (0, "James", "some_data_0", None, None, "NO_BQ_DATA"),
-        (1, "Mary", "some_data_1", 3, "NY", "SUCCESS"),
-        (2, "John", "some_data_2", 4, "TX", "SUCCESS"),
-        (3, "O'Brien", "some_data_3", 1, "WA", "SUCCESS"),
-        (4, "Susan", "some_data_4", None, None, "NO_BQ_DATA"),
+        (0, "James", "note-0", None, None, "NO_BQ_DATA"),
+        (1, "Mary", "note-1", 3, "NY", "SUCCESS"),
+        (2, "John", "note-2", 4, "TX", "SUCCESS"),
+        (3, "O'Brien", "note-3", 1, "WA", "SUCCESS"),
+        (4, "Susan", "note-4", None, None, "NO_BQ_DATA"),
     ]
 
 
 def test_handler_example(spark, names):
     requests = spark.createDataFrame(
-        [("Mary", 1980), ("John", 1990), ("NonExistentName", 2020), (None, 2000)], "name string, source_year bigint"
+        [("Mary", 1980), ("John", 1990), ("Nobody", 2020), (None, 2000)], "name string, source_year bigint"
     )
     handler = LookupHandler(
         table_name=names,
@@ -69,7 +69,7 @@ def test_handler_example(spark, names):
         column_names=["name as found_name", "number", "state"],
     )
     pairs = handler(requests).orderBy("request.source_year").collect()
-    assert [p.request.name for p in pairs] == ["Mary", "John", None, "NonExistentName"]
+    assert [p.request.name for p in pairs] == ["Mary", "John", None, "Nobody"]
     assert pairs[0].response == Row(found_name="Mary", number=3, state="NY")
     assert [p.response is None for p in pairs] == [False, False, True, True]
     merged = handler(requests, mode="overwrite").orderBy("source_year")
@@ -78,16 +78,16 @@ def test_handler_example(spark, names):
 
 def test_profiles_example(spark):
     requests = spark.createDataFrame(
-        [("user123", "US", "foo"), ("user456", "EU", "bar"), ("user123", "US", "foo_updated"), ("user789", "US", "baz")],
+        [("u-17", "US", "early"), ("u-18", "EU", "middle"), ("u-17", "US", "later"), ("u-19", "US", "none")],
         "user_id string, region string, other_data string",
     )
     profiles = spark.createDataFrame(
         [
-            ("user123", "US", "old@x", "active", None),
-            ("user123", "US", "new@x", "active", "2023-01-02"),
-            ("user123", "EU", "eu@x", "active", "2024-01-02"),
-            ("user456", "EU", "b@x", "idle", "2022-05-05"),
-            ("user456", "US", "wrong@x", "idle", "2025-05-05"),
+            ("u-17", "US", "old@x", "active", None),
+            ("u-17", "US", "new@x", "active", "2023-01-02"),
+            ("u-17", "EU", "eu@x", "active", "2024-01-02"),
+            ("u-18", "EU", "b@x", "idle", "2022-05-05"),
+            ("u-18", "US", "wrong@x", "idle", "2025-05-05"),
         ],
         "profile_id string, user_region string, email string, status string, last_login string",
     )
@@ -98,7 +98,7 @@ def test_profiles_example(spark):
         row_restriction_template="profile_id = '{user_id}' AND user_region = '{region}'",
         column_names=["profile_id as user_id", "email", "status", "last_login"],
     )
-    want = [("bar", "b@x"), ("baz", None), ("foo", "new@x"), ("foo_updated", "new@x")]
+    want = [("early", "new@x"), ("later", "new@x"), ("middle", "b@x"), ("none", None)]
 
     def latest(matches):
         return max(matches, key=lambda r: r["last_login"] or "")
