@@ -36,14 +36,16 @@ CLASSES = 128
 SYMBOLS = WORD_SYMBOLS + CLASSES + 1
 END = SYMBOLS - 1
 BEGIN = SYMBOLS
-#: Words whose counts every task has; the others are joined.
-FREQUENT = 200_000
+#: At most so many words, the most frequent, whose counts every task has; the others are joined.
+FREQUENT = 1 << 17
 CONTEXT = 2
 DIMENSIONS = 24
 NOISE = 64
 BATCH = 2048
 BUFFER = 1 << 16
 RATE = 0.15
+#: Tokens that a task takes its model through at least, by going over its texts again.
+LEAST_TRAINED = 400_000
 #: Distinct words that a task counts before it hands them on.
 HELD_WORDS = 400_000
 
@@ -216,16 +218,25 @@ def train(docs: DataFrame, shared: _Shared, shares: np.ndarray) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, trainer = _vocabulary(shared), Trainer(Model.start(shares), shares, TaskContext.get().partitionId())
-        held, size, total = [], 0, 0
+        held, size, total, kept = [], 0, 0, []
         for batch in batches:
             for text in batch.column(0):
                 held.append(np.append(vocabulary.encode(words(text.as_py()))[1], END))
                 size += len(held[-1])
                 if size >= BUFFER:
                     trainer.run(held)
+                    if total < LEAST_TRAINED:
+                        kept.append(held)
                     held, total, size = [], total + size, 0
         trainer.run(held)
+        kept.append(held)
         total += size
+        # A task with few texts goes over them again.
+        trained = total
+        while 0 < trained < LEAST_TRAINED:
+            for part in kept:
+                trainer.run(part)
+            trained += total
         if total:
             flat = trainer.m.flat().astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * total), pa.array(np.full(len(flat), float(total)))], names=["at", "v", "w"])
@@ -252,8 +263,14 @@ def score(docs: DataFrame, training: DataFrame, keep: list[str] | None = None) -
     n, v = total + n_texts, distinct + bool(n_texts)
     base_unit = math.log10(n + v + 1)
 
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    frequent, frequent_counts = [bytes(r.word) for r in top], np.array([r.n for r in top], np.float64)
+    # Counts in steps of a sixteenth of a doubling; as many of the upper steps as hold at most FREQUENT words.
+    step = F.floor(F.log2("n") * 16).cast("long")
+    steps = sorted(((r.step, r["count"]) for r in counts.groupBy(step.alias("step")).count().collect()), reverse=True)
+    held = np.cumsum([c for _, c in steps]) <= FREQUENT
+    least = min((s for (s, _), h in zip(steps, held, strict=True) if h), default=1 << 20)
+    top = counts.where(step >= least).toArrow()
+    order = sorted(zip(top["n"].to_pylist(), top["word"].to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
+    frequent, frequent_counts = [w for _, w in order], np.array([c for c, _ in order], np.float64)
     ending = F.expr("crc32(substring(word, greatest(octet_length(word) - 2, 1), 3))") % CLASSES
     class_counts, class_words = np.zeros(CLASSES), np.zeros(CLASSES)
     for row in counts.groupBy(ending.alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
@@ -306,11 +323,9 @@ def score(docs: DataFrame, training: DataFrame, keep: list[str] | None = None) -
 
     schema = ", ".join([*fields, "__row bigint", "n_tokens bigint", "__known bigint", "__base double", "__score double", "__words array<binary>", "__times array<int>"])
     rows = stored(source.mapInArrow(run, schema), "lm-rows")
-    # Counts of at most the least frequent of the frequent words: nothing else can be missing from them.
-    least = int(frequent_counts[-1]) if len(frequent) == FREQUENT else 0
     pairs = rows.select("__row", F.explode(F.arrays_zip(F.col("__words").alias("word"), F.col("__times").alias("times"))).alias("x")).select("__row", "x.word", "x.times")
     extra = (
-        pairs.join(counts.where(F.col("n") <= least), "word")
+        pairs.join(counts.where(step < least), "word")
         .groupBy("__row")
         .agg(F.sum("times").alias("__more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("__logs"))
     )
