@@ -257,15 +257,6 @@ def _close(a: str, b: str, percent: int) -> Column:
     return 100 * small >= percent * large
 
 
-def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of nodes that are not of one component yet."""
-    at = labels.select(F.col("node").alias("x"), F.col("component").alias("cx"))
-    for end in ("a", "b"):
-        pairs = pairs.join(at.withColumnsRenamed({"x": f"x_{end}", "cx": f"c_{end}"}), F.col(end) == F.col(f"x_{end}"), "left")
-    apart = F.coalesce("c_a", "a") != F.coalesce("c_b", "b")
-    return pairs.where(apart).select("a", "b")
-
-
 def sketch(tokens: np.ndarray) -> bytes:
     """The parity of how many elements fall on each bit: two sketches differ in no more bits than the sets in elements.
 
@@ -428,12 +419,6 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataF
     links = stored(_verified(tested, texts, width, percent).unionByName(by_id), "ngram-links")
     labels = stored(components(links), "ngram-labels")
 
-    # The other pivots, for texts that are not connected with them yet; then all members of other components.
-    more = stored(_labelled(as_nodes(stars, "pivot", "key"), labels).join(tested, ["a", "b"], "left_anti"), "ngram-tested")
-    new = stored(_verified(more, texts, width, percent), "ngram-links")
-    links, tested = links.unionByName(new), tested.unionByName(more)
-    labels = stored(components(links), "ngram-labels")
-
     # What is left are buckets whose members are not all connected. Each of a bucket's strays is held against the other
     # members; first the likeliest of them are compared, which connects most, then all that could be linked.
     member = buckets.select("sig", "key", "n").join(nodes, F.col("key") == F.col("k")).select("sig", "n", "node")
@@ -441,7 +426,7 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataF
     for likeliest in (LIKELIEST, None):
         at = labels.withColumnRenamed("node", "at")
         member = stored(member.join(at, F.col("node") == F.col("at"), "left").select("sig", "n", "node", F.coalesce("component", "node").alias("c")), "ngram-members")
-        open_ = member.groupBy("sig").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("g")).where("low <> high and g > 2").select("sig")
+        open_ = member.groupBy("sig").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("sig")
         member = stored(member.join(open_, "sig", "left_semi"), "ngram-members")
         if sketches is None:
             wanted = member.select("node").distinct().withColumnRenamed("node", "want_node")
@@ -450,7 +435,8 @@ def link_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataF
         rest = stored(rest, "ngram-tested")
         new = stored(_verified(rest, texts, width, percent), "ngram-links")
         tested = tested.unionByName(rest)
-        labels = stored(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new)), "ngram-labels")
+        if not new.isEmpty():
+            labels = stored(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new)), "ngram-labels")
         member = member.drop("c")
 
     ends = classes.join(labels.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left").select("key", "check", F.coalesce("component", "node").alias("class_id"))
