@@ -44,8 +44,9 @@ NOISE = 64
 BATCH = 2048
 BUFFER = 1 << 16
 RATE = 0.15
-#: Tokens that a task takes its model through at least, by going over its texts again.
+#: Tokens that a task takes its model through at least, by going over its texts again, but not more often than this.
 LEAST_TRAINED = 400_000
+MOST_PASSES = 20
 #: Distinct words that a task counts before it hands them on.
 HELD_WORDS = 400_000
 
@@ -232,11 +233,9 @@ def train(docs: DataFrame, shared: _Shared, shares: np.ndarray) -> Model:
         kept.append(held)
         total += size
         # A task with few texts goes over them again.
-        trained = total
-        while 0 < trained < LEAST_TRAINED:
+        for _ in range(min(MOST_PASSES, -(-LEAST_TRAINED // max(total, 1))) - 1):
             for part in kept:
                 trainer.run(part)
-            trained += total
         if total:
             flat = trainer.m.flat().astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * total), pa.array(np.full(len(flat), float(total)))], names=["at", "v", "w"])
