@@ -9,7 +9,7 @@ INVALID_CACHE_KEY = "__invalid_key__"
 
 MATCH_COUNT_COLUMN = "__match_count"
 
-# Internal column prefixes. A request column may not start with any of them.
+# Internal column prefixes. No column of either side may start with any of them.
 VALUE_PREFIX = "__rqv_"  # condition values
 FIELD_PREFIX = "__rqf_"  # request fields read by a restriction function or selector
 KEY_PREFIX = "__rqk_"  # request side of the equality keys

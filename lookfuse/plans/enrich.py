@@ -46,7 +46,7 @@ from lookfuse.plans.condition import (
     declared_keys,
     with_condition_columns,
 )
-from lookfuse.plans.options import Options, check_request_columns
+from lookfuse.plans.options import Options, check_column_names
 
 _LIMIT_FIELD = "__limit"
 _MAX_INTERVALS = 1000
@@ -57,7 +57,7 @@ _FIRST = "__rqk_first"
 
 
 def build(requests: DataFrame, lookup: DataFrame, options: Options) -> DataFrame:
-    check_request_columns(requests)
+    check_column_names(requests, lookup)
     if isinstance(options.restriction, Mapping):
         return _build_choice(requests, lookup, options)
     rows, side, plan = _prepare(requests, lookup, options)

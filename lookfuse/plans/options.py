@@ -107,7 +107,8 @@ def _one_of(name: str, value, allowed) -> None:
         raise ValueError(f"{name} must be one of {list(allowed)}, not {value!r}")
 
 
-def check_request_columns(requests: DataFrame) -> None:
-    reserved = [c for c in requests.columns if c.startswith(RESERVED_PREFIXES)]
-    if reserved:
-        raise ValueError(f"Request columns {reserved} have names used internally; rename them")
+def check_column_names(requests: DataFrame, lookup: DataFrame) -> None:
+    for side, rows in (("Request", requests), ("Lookup", lookup)):
+        reserved = [c for c in rows.columns if c.startswith(RESERVED_PREFIXES)]
+        if reserved:
+            raise ValueError(f"{side} columns {reserved} have names used internally; rename them")

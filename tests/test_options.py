@@ -115,6 +115,13 @@ def test_reserved_request_columns(tables):
         enrich(requests.withColumn("__hit", F.lit(1)), lookup, join_key="k")
 
 
+@pytest.mark.parametrize("name", ["__lk_k", "__hit"])
+def test_reserved_lookup_columns(spark, name):
+    requests, lookup = spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([(1, 2)], f"k int, {name} int")
+    with pytest.raises(ValueError, match="Lookup columns .* internally"):
+        enrich(requests, lookup, join_key="k")
+
+
 @pytest.mark.parametrize("names", [[""], ["  "], [" as b"], ["a as "], ["*", ""][1:]])
 def test_empty_names(names):
     with pytest.raises(ValueError):
