@@ -15,6 +15,9 @@ from lookfuse.llm.common import stored
 
 MIN_SITES = 10
 MIN_WORDS = 3
+#: What the pipeline asks of a long line: a passage of so many words on so many sites is no coincidence.
+LONG_SITES = 3
+LONG_WORDS = 20
 #: log2 of a sketch's registers: a standard error of 1.6%.
 SKETCH_BITS = 12
 #: Estimates within this share of the threshold are counted exactly; over nine standard errors.
@@ -38,37 +41,43 @@ def _eligible(line: Column, min_words: int) -> Column:
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """Of rows (line, site, doc), all bigint: the lines on at least ``min_sites`` distinct sites, with their first doc."""
+    """Of rows (line, site, doc), all bigint: the lines on at least ``min_sites`` distinct sites, with their first doc.
+
+    A further column ``need``, the same for all rows of a line, has a line's own number of sites instead.
+    """
+    need = F.max("need") if "need" in lines.columns else F.lit(min_sites)
     often = (
         lines.groupBy("line")
-        .agg(F.count("*").alias("n"), F.min("site").alias("low"), F.max("site").alias("high"))
-        .where((F.col("n") >= min_sites) & ((F.col("low") != F.col("high")) | F.lit(min_sites <= 1)))
+        .agg(F.count("*").alias("n"), F.min("site").alias("low"), F.max("site").alias("high"), need.alias("need"))
+        .where((F.col("n") >= F.col("need")) & ((F.col("low") != F.col("high")) | (F.col("need") <= 1)))
         .select("line")
     )
     spread = (
         lines.join(often, "line", "left_semi")
         .groupBy("line")
-        .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", SKETCH_BITS)).alias("sites"), F.min("doc").alias("first_doc"))
+        .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", SKETCH_BITS)).alias("sites"), F.min("doc").alias("first_doc"), need.alias("need"))
     )
-    spread = stored(spread.where(F.col("sites") >= (1 - NEAR) * min_sites), "line-spread")
-    sure = F.col("sites") > (1 + NEAR) * min_sites
+    spread = stored(spread.where(F.col("sites") >= (1 - NEAR) * F.col("need")), "line-spread")
+    sure = F.col("sites") > (1 + NEAR) * F.col("need")
     exact = (
         lines.join(spread.where(~sure).select("line"), "line", "left_semi")
         .groupBy("line")
-        .agg(F.count_distinct("site").alias("exact_sites"))
-        .where(F.col("exact_sites") >= min_sites)
+        .agg(F.count_distinct("site").alias("exact_sites"), need.alias("need"))
+        .where(F.col("exact_sites") >= F.col("need"))
     )
     counted = spread.where(~sure).join(exact.select("line"), "line")
     return spread.where(sure).select("line", "first_doc").unionByName(counted.select("line", "first_doc"))
 
 
 def drop_boilerplate(
-    docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, text: str = "text", site: str = "source", doc_id: str = "doc_id"
+    docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, text: str = "text", site: str = "source", doc_id: str = "doc_id",
+    long_sites: int | None = None, long_words: int = LONG_WORDS,
 ) -> DataFrame:
     """``docs`` with ``text`` less its boilerplate lines, and n_lines and n_removed.
 
     A line (between newlines; outer spaces don't count) of ``min_words`` words or more that stands on at least
-    ``min_sites`` distinct sites is boilerplate. The document of smallest id that has it keeps it; it goes from every
+    ``min_sites`` distinct sites is boilerplate; with ``long_sites``, one of ``long_words`` words or more that stands on
+    that many is too. The document of smallest id that has it keeps it; it goes from every
     other. Nothing else of a text changes. A null site is a site of its own. A null text stays null with 0 lines, an
     empty one has one line. Rows without an id never keep a boilerplate line as the first, unless all are without.
     Rows that repeat an id keep or lose a line together. Columns named n_lines or n_removed are replaced. An empty
@@ -77,10 +86,11 @@ def drop_boilerplate(
     body = F.col(f"`{text}`").cast("string")
     # A document's list of lines to drop may be shared by rows of equal keys: every line in it goes wherever it stands.
     key = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(2**63 - 1))
+    need = [] if long_sites is None else [F.when(_eligible(F.col("raw"), long_words), long_sites).otherwise(min_sites).alias("need")]
     lines = (
         docs.select(key.alias("doc"), F.xxhash64(F.coalesce(F.col(f"`{site}`").cast("string"), F.lit("\u0000none"))).alias("site"), F.explode(_lines(body)).alias("raw"))
         .where(_eligible(F.col("raw"), min_words))
-        .select(_hash(F.col("raw")).alias("line"), "site", "doc")
+        .select(_hash(F.col("raw")).alias("line"), "site", "doc", *need)
     )
     lines = stored(lines, "lines")
     found = stored(boilerplate(lines, min_sites), "boilerplate")
