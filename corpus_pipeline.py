@@ -19,7 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the lines that many sites share, or three if they are long; one left without a word goes, unless it had none before."""
-    cleaned = line_dedup.drop_boilerplate(docs, long_sites=line_dedup.LONG_SITES)
+    cleaned = line_dedup.drop_boilerplate(docs, long_sites=line_dedup.LONG_SITES, min_chars=line_dedup.LINE_CHARS, long_chars=line_dedup.LONG_CHARS)
     return cleaned.where("n_removed = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'").select(docs.columns)
 
 

@@ -17,3 +17,11 @@ def test_long_passage_on_few_sites(spark):
     for i in range(len(rows)):
         n, k = 2 + i // 30, i % 30
         assert texts[i] == ([passage(n)] if n < 3 or k == 0 else []) + [f"short line {n}", f"only here {n} {k}"]
+
+
+def test_lines_without_spaces(spark):
+    line, passage = "本站所有内容版权归原作者所有转载请注明出处", "长" * 130
+    rows = [(k, f"{line}\n首页\n正文{k}") for k in range(12)] + [(k % 4, f"{passage}\n别的{k}") for k in range(8)]
+    texts = {r.doc_id: r.text for r in corpus_pipeline.line_deduplication(spark, _documents(spark, rows), "").collect()}
+    assert [texts[k] for k in range(12)] == [f"{line}\n首页\n正文0"] + [f"首页\n正文{k}" for k in range(1, 12)]
+    assert [texts[12 + k] for k in range(8)] == [f"{passage}\n别的0"] + [f"别的{k}" for k in range(1, 8)]
