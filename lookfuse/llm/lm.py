@@ -1,14 +1,17 @@
 """Log-bilinear language model, trained with noise-contrastive estimation, scoring whole texts.
 
 Words are counted over all training texts. The model predicts symbols: each of the most frequent words, the end of a
-text, and classes of the other words by their ending; a word of a class then has the share of its count in its class,
-one unit being kept for unseen words. The next symbol's score is bilinear in the vectors of the two symbols before
-it and its own, plus a bias.
+text, and classes of the other words by their ending. The next symbol's score is bilinear in the vectors of the two
+symbols before it and its own, plus a bias. Inside a class a second softmax chooses the word: each of the words that
+every task has (FREQUENT at most) has a vector of its own, as have all others of the class together, and its score is
+bilinear in that and in a vector of the symbol before, plus the log of its share of the class. Only the words beyond
+have the share of their count among the others, one unit being kept for unseen words.
 
 Every task takes the training texts it reads through noise-contrastive estimation in numpy, from a common start
 (small random vectors, biases of the symbols' shares), and the tasks' parameters are averaged by their tokens. The
 normaliser depends on the two symbols before only: batched matrix products give it for all pairs of symbols once, and
-every token's log probability is then normalised exactly.
+every token's log probability is then normalised exactly. Inside a class it depends on the symbol before only, and is
+had in the same way. A word's vector is averaged by how often each task has the word, so a task gives only words it has.
 
 Words beyond the most frequent ones are scored by a join with the counts: no single word of them is frequent, so no
 key of that join is hot.
@@ -44,6 +47,8 @@ NOISE = 64
 BATCH = 2048
 BUFFER = 1 << 16
 RATE = 0.15
+#: Noise words for the words of one class in a buffer.
+INSIDE_NOISE = 32
 #: Tokens that a task takes its model through at least, by going over its texts again, but not more often than this.
 LEAST_TRAINED = 400_000
 MOST_PASSES = 20
@@ -148,6 +153,73 @@ class Trainer:
             self.step(near[at], far[at], target[at])
 
 
+class Inside:
+    """Words inside classes: vectors ``a`` of the symbol before, ``r`` of words; the rows of a class lie together."""
+
+    def __init__(self, a: np.ndarray, r: np.ndarray, starts: np.ndarray, biases: np.ndarray):
+        self.a, self.r, self.starts, self.biases = a, r, starts, biases
+        self.norms: np.ndarray | None = None
+
+    @classmethod
+    def start(cls, starts: np.ndarray, biases: np.ndarray) -> Inside:
+        """All words at their shares: vectors of words are zero."""
+        a = np.random.default_rng(8).normal(0, 0.1, (SYMBOLS + 1, DIMENSIONS)).astype(np.float32)
+        return cls(a, np.zeros((len(biases), DIMENSIONS), np.float32), starts, biases)
+
+    def normalise(self) -> Inside:
+        """Log normalisers: rows of the symbol before, columns of the class."""
+        self.norms = np.empty((SYMBOLS + 1, CLASSES), np.float32)
+        for k in range(CLASSES):
+            at = slice(self.starts[k], self.starts[k + 1])
+            scores = self.a @ self.r[at].T + self.biases[at]
+            top = scores.max(1, keepdims=True)
+            self.norms[:, k] = top[:, 0] + np.log(np.exp(scores - top).sum(1))
+        return self
+
+    def log_probabilities(self, near: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Natural log probability of each row in its class after the symbol before."""
+        return np.einsum("ij,ij->i", self.a[near], self.r[rows], dtype=np.float64) + self.biases[rows] - self.norms[near, classes]
+
+
+class InsideTrainer:
+    """Noise-contrastive estimation class by class; a class's words in a buffer share noise drawn by the class's counts."""
+
+    def __init__(self, model: Inside, seed: int):
+        self.m, self.rng = model, np.random.default_rng(seed)
+        self.noise = np.cumsum(np.exp(model.biases.astype(np.float64)))
+        self.seen = np.zeros(len(model.r))
+        self.sums = [np.ones_like(model.a), np.ones_like(model.r)]
+
+    def step(self, k: int, near: np.ndarray, rows: np.ndarray) -> None:
+        """``rows``, sorted, are all of class ``k``."""
+        m, first, end = self.m, self.m.starts[k], self.m.starts[k + 1]
+        before = self.noise[first - 1] if first else 0.0
+        noise = np.minimum(np.searchsorted(self.noise, before + self.rng.random(INSIDE_NOISE) * (self.noise[end - 1] - before)), end - 1)
+        hidden, r_target, r_noise = m.a[near], m.r[rows], m.r[noise]
+        # Noise has the shares that are the biases, so they cancel.
+        right = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", hidden, r_target) - math.log(INSIDE_NOISE), -30, 30)))
+        wrong = -1 / (1 + np.exp(-np.clip(hidden @ r_noise.T - math.log(INSIDE_NOISE), -30, 30)))
+        g_r = np.zeros((end - first, DIMENSIONS), np.float32)
+        runs = np.flatnonzero(np.diff(rows, prepend=-1))
+        g_r[rows[runs] - first] = np.add.reduceat(right[:, None] * hidden, runs)
+        np.add.at(g_r, noise - first, (wrong.T @ hidden).astype(np.float32))
+        g_a = Trainer._gather(near, right[:, None] * r_target + wrong @ r_noise, SYMBOLS + 1)
+        self.seen[rows[runs]] += np.diff(runs, append=len(rows))
+        for value, total, gradient in ((m.a, self.sums[0], g_a), (m.r[first:end], self.sums[1][first:end], g_r)):
+            total += gradient * gradient
+            value += RATE * gradient / np.sqrt(total)
+
+    def run(self, texts: list[np.ndarray], rows: list[np.ndarray]) -> None:
+        if not texts:
+            return
+        near, row = np.concatenate([contexts(t)[0] for t in texts]), np.concatenate(rows)
+        order = np.argsort(row, kind="stable")
+        bounds = np.searchsorted(row[order], self.m.starts)
+        for k in np.flatnonzero(np.diff(bounds)).tolist():
+            at = order[bounds[k] : bounds[k + 1]]
+            self.step(k, near[at], row[at])
+
+
 class Vocabulary:
     """The frequent words, in order, with counts; the first have symbols of their own."""
 
@@ -155,8 +227,21 @@ class Vocabulary:
         self.at = {w: i for i, w in enumerate(frequent)}
         self.symbols = np.array([i if i < WORD_SYMBOLS else word_class(w) for i, w in enumerate(frequent)] + [-1], np.int64)
         self.log_counts = np.concatenate([np.log10(counts + 1.0), [0.0]])
-        #: log10 of what a class's counts are divided by, and 0 for symbols that are words.
-        self.log_units = np.concatenate([np.zeros(WORD_SYMBOLS), np.log10(class_units), [0.0]])
+        # Rows inside classes: a class's words by their place, then all its other words together.
+        classes = self.symbols[WORD_SYMBOLS:-1] - WORD_SYMBOLS
+        sizes = np.bincount(classes, minlength=CLASSES) + 1
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.other = self.starts[1:] - 1
+        order = np.argsort(classes, kind="stable")
+        self.rows = np.full(len(self.symbols), -1, np.int64)
+        self.rows[WORD_SYMBOLS + order] = np.arange(len(order)) + classes[order]
+        units = np.empty(self.starts[-1])
+        units[self.rows[WORD_SYMBOLS:-1]] = counts[WORD_SYMBOLS:] + 1.0
+        rest = class_units - np.bincount(classes, counts[WORD_SYMBOLS:] + 1.0, CLASSES)
+        units[self.other] = rest
+        self.biases = np.log(units / np.repeat(class_units, sizes)).astype(np.float32)
+        #: log10 of what the counts of a class's other words are divided by.
+        self.log_rest = np.log10(rest)
 
     def encode(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(place among the frequent words or -1, symbol) of each word."""
@@ -167,6 +252,10 @@ class Vocabulary:
             symbols[i] = word_class(found[i])
         return places, symbols
 
+    def inside(self, places: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The row of each word inside its class; -1 for words that have symbols of their own."""
+        return np.where(places < 0, self.other[np.maximum(symbols - WORD_SYMBOLS, 0)], self.rows[places])
+
 
 _SHARED: dict[str, Vocabulary] = {}
 
@@ -214,35 +303,55 @@ def count_words(docs: DataFrame) -> DataFrame:
     return _texts(docs).mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, shared: _Shared, shares: np.ndarray) -> Model:
-    """The average over tasks of what each learns from its texts. Each gives as many numbers as the model has."""
+def train(docs: DataFrame, shared: _Shared, shares: np.ndarray) -> tuple[Model, Inside]:
+    """The average over tasks of what each learns from its texts: the model, and each word the task has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, trainer = _vocabulary(shared), Trainer(Model.start(shares), shares, TaskContext.get().partitionId())
-        held, size, total, kept = [], 0, 0, []
+        vocabulary, seed = _vocabulary(shared), TaskContext.get().partitionId()
+        trainer, inner = Trainer(Model.start(shares), shares, seed), InsideTrainer(Inside.start(vocabulary.starts, vocabulary.biases), seed)
+        held, rows, size, total, kept = [], [], 0, 0, []
         for batch in batches:
             for text in batch.column(0):
-                held.append(np.append(vocabulary.encode(words(text.as_py()))[1], END))
+                places, symbols = vocabulary.encode(words(text.as_py()))
+                held.append(np.append(symbols, END))
+                rows.append(np.append(vocabulary.inside(places, symbols), -1))
                 size += len(held[-1])
                 if size >= BUFFER:
                     trainer.run(held)
+                    inner.run(held, rows)
                     if total < LEAST_TRAINED:
-                        kept.append(held)
-                    held, total, size = [], total + size, 0
+                        kept.append((held, rows))
+                    held, rows, total, size = [], [], total + size, 0
         trainer.run(held)
-        kept.append(held)
+        inner.run(held, rows)
+        kept.append((held, rows))
         total += size
         # A task with few texts goes over them again.
         for _ in range(min(MOST_PASSES, -(-LEAST_TRAINED // max(total, 1))) - 1):
-            for part in kept:
+            for part, inside in kept:
                 trainer.run(part)
+                inner.run(part, inside)
         if total:
-            flat = trainer.m.flat().astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * total), pa.array(np.full(len(flat), float(total)))], names=["at", "v", "w"])
-
-    found = _texts(docs).mapInArrow(run, "at bigint, v double, w double").groupBy("at").agg((F.sum("v") / F.sum("w")).alias("v"))
-    rows = found.orderBy("at").collect()
-    return (Model.unflat(np.array([r.v for r in rows])) if rows else Model.start(shares)).normalise()
+            # The model in rows of as many numbers as a vector has, then the vectors of words.
+            flat = np.concatenate([trainer.m.flat(), inner.m.a.ravel()])
+            flat = np.append(flat, np.zeros(-len(flat) % DIMENSIONS)).reshape(-1, DIMENSIONS)
+            had = np.flatnonzero(inner.seen)
+            at, weight = np.concatenate([np.arange(len(flat)), len(flat) + had]), np.concatenate([np.full(len(flat), float(total)), inner.seen[had]])
+            values = np.concatenate([flat, inner.m.r[had]]) * weight[:, None]
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(weight), *(pa.array(v) for v in values.T.copy())], names=["at", "w", *columns])
+
+    columns = [f"v{i}" for i in range(DIMENSIONS)]
+    found = _texts(docs).mapInArrow(run, "at bigint, w double, " + ", ".join(f"{c} double" for c in columns))
+    found = found.groupBy("at").agg(*[(F.sum(c) / F.sum("w")).cast("float").alias(c) for c in columns]).toArrow()
+    vocabulary = _vocabulary(shared)
+    model, inside = Model.start(shares), Inside.start(vocabulary.starts, vocabulary.biases)
+    if found.num_rows:
+        length, size = len(model.flat()), len(model.flat()) + inside.a.size
+        values = np.zeros((-(-size // DIMENSIONS) + len(inside.r), DIMENSIONS), np.float32)
+        values[found["at"].to_numpy()] = np.stack([found[c].to_numpy() for c in columns], 1)
+        flat = values[: len(values) - len(inside.r)].ravel()
+        model, inside.a, inside.r = Model.unflat(flat[:length]), flat[length:size].reshape(inside.a.shape), values[len(values) - len(inside.r) :]
+    return model.normalise(), inside.normalise()
 
 
 def score(docs: DataFrame, training: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -284,8 +393,8 @@ def score(docs: DataFrame, training: DataFrame, keep: list[str] | None = None) -
 
     vocabulary = (frequent, frequent_counts, class_counts + class_words + 1.0)
     shared = _Shared(spark, {"vocabulary": vocabulary})
-    model = train(training, shared, shares)
-    fitted = spark.sparkContext.broadcast((model.flat(), model.norms))
+    model, inside = train(training, shared, shares)
+    fitted = spark.sparkContext.broadcast((model.flat(), model.norms, inside.a, inside.r, inside.norms))
     end_log = math.log10(n_texts + 1)
 
     source = _texts(docs, *[F.col(f"`{c}`") for c in keep])
@@ -295,7 +404,8 @@ def score(docs: DataFrame, training: DataFrame, keep: list[str] | None = None) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared)
         lbl = Model.unflat(fitted.value[0])
-        lbl.norms = fitted.value[1]
+        inner = Inside(*fitted.value[2:4], vocabulary.starts, vocabulary.biases)
+        lbl.norms, inner.norms = fitted.value[1], fitted.value[4]
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             values, rare = [], []
@@ -303,11 +413,13 @@ def score(docs: DataFrame, training: DataFrame, keep: list[str] | None = None) -
                 found = words(text.as_py())
                 places, symbols = vocabulary.encode(found)
                 ids = np.append(symbols, END)
-                outside = symbols >= WORD_SYMBOLS
+                outside = np.flatnonzero(symbols >= WORD_SYMBOLS)
+                classes = symbols[outside] - WORD_SYMBOLS
+                within = inner.log_probabilities(contexts(ids)[0][outside], vocabulary.inside(places, symbols)[outside], classes)
                 logs = vocabulary.log_counts[places]
                 lone = Counter(found[i] for i in np.flatnonzero(places < 0).tolist())
                 rare.append(lone)
-                model_score = lbl.log_probabilities(ids).sum() / math.log(10) + logs[outside].sum() - vocabulary.log_units[symbols].sum()
+                model_score = (lbl.log_probabilities(ids).sum() + within.sum()) / math.log(10) - vocabulary.log_rest[classes[places[outside] < 0]].sum()
                 values.append((row, len(ids), int((places >= 0).sum()) + (n_texts > 0), logs.sum() + end_log - len(ids) * base_unit, model_score))
                 row += 1
             columns = list(zip(*values, strict=True)) if values else [[]] * 5

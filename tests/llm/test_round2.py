@@ -1,6 +1,9 @@
 """Cases of the second round's review."""
 
+import numpy as np
+
 import corpus_pipeline
+from lookfuse.llm import lm
 
 
 def _documents(spark, rows):
@@ -25,3 +28,36 @@ def test_lines_without_spaces(spark):
     texts = {r.doc_id: r.text for r in corpus_pipeline.line_deduplication(spark, _documents(spark, rows), "").collect()}
     assert [texts[k] for k in range(12)] == [f"{line}\n首页\n正文0"] + [f"首页\n正文{k}" for k in range(1, 12)]
     assert [texts[12 + k] for k in range(8)] == [f"{passage}\n别的0"] + [f"别的{k}" for k in range(1, 8)]
+
+
+def _inside():
+    rng = np.random.default_rng(5)
+    found = [f"w{i}".encode() for i in range(3000)]
+    counts = np.sort(rng.integers(2, 500, 3000))[::-1].astype(float)
+    units = np.bincount([lm.word_class(w) - lm.WORD_SYMBOLS for w in found[lm.WORD_SYMBOLS :]], counts[lm.WORD_SYMBOLS :] + 1, lm.CLASSES) + 7.0
+    return found, lm.Vocabulary(found, counts, units)
+
+
+def test_words_inside_classes_normalise_and_learn():
+    found, vocabulary = _inside()
+    pair = found[2000:2002]
+    places, symbols = vocabulary.encode((pair + found[:1] + [b"unseen"]) * 300)
+    rows = vocabulary.inside(places, symbols)
+    assert (rows[:4] >= 0).tolist() == [True, True, False, True]
+    ids = [np.append(symbols, lm.END)]
+    trainer = lm.InsideTrainer(lm.Inside.start(vocabulary.starts, vocabulary.biases), 1)
+    own, k = rows[1], symbols[1] - lm.WORD_SYMBOLS
+
+    def score():
+        m = trainer.m.normalise()
+        return m.log_probabilities(symbols[:1], np.array([own]), np.array([k]))[0]
+
+    before = score()
+    assert abs(before - vocabulary.biases[own]) < 1e-5
+    for _ in range(20):
+        trainer.run(ids, [np.append(rows, -1)])
+    # A word beyond the 383 is scored by what stands before it, which its count alone could not tell.
+    assert score() > before + 0.5
+    m, block = trainer.m, np.arange(vocabulary.starts[k], vocabulary.starts[k + 1])
+    for near in (lm.BEGIN, int(symbols[0]), 3):
+        assert abs(np.exp(m.log_probabilities(np.full(len(block), near), block, np.full(len(block), k))).sum() - 1) < 1e-4
