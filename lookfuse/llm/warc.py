@@ -6,7 +6,8 @@ members. Files are committed as any of Spark's, so a lost executor leaves no hal
 
 The reader takes an archive as a whole, goes record by record, and checks each: the member's own checksum, the
 version line, the header block, the length, the payload digest. After a check fails it looks for the next member or
-version line from which a whole record can be read, goes on there, and logs the bytes between as a gap.
+version line from which a whole record can be read, goes on there, and logs the bytes between as a gap. It does so with
+the unpacked bytes of a member too, also with what could be unpacked of a damaged one.
 """
 
 from __future__ import annotations
@@ -172,62 +173,113 @@ def _fields(headers: dict, block: bytes) -> dict | str:
     return out
 
 
+def _unpacked(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """(bytes, end, what is wrong) of the member at ``at``: of a damaged one, all that comes before the damage shows."""
+    view, size = memoryview(data), len(data)
+    for step in (CHUNK, 1):
+        unpack, parts, fed = zlib.decompressobj(31), [], at
+        try:
+            # An error takes a chunk's bytes with it: up to the chunk it is in whole chunks, then single bytes.
+            while not unpack.eof and fed < size:
+                width = CHUNK if step == CHUNK or fed + CHUNK <= safe else 1
+                parts.append(unpack.decompress(view[fed : fed + width]))
+                fed = min(fed + width, size)
+        except zlib.error as e:
+            safe, problem = fed, f"member: {e}"
+            continue
+        return b"".join(parts), fed - len(unpack.unused_data), "" if unpack.eof else "member is cut off"
+    return b"".join(parts), fed, problem
+
+
+def _named(headers: dict) -> bool:
+    """Whether the headers of a record of :func:`record` are those its name was made of; True for other records."""
+    if "x-page-id" not in headers:
+        return True
+    digest = headers.get("warc-payload-digest", "").partition(":")[2]
+    name = uuid.uuid5(_SPACE, f"{headers['x-page-id']}\n{headers.get('warc-target-uri')}\n{digest}")
+    return headers.get("warc-record-id") == f"<urn:uuid:{name}>"
+
+
+def _inside(plain: bytes, checked: bool) -> Iterator[tuple[int, int, dict | str]]:
+    """(start, end, record or reason of a gap) over a member's bytes. Unless they are ``checked`` by its checksum, a
+    record must have a digest of its payload, and headers that fit its name."""
+    at, gap_start, reason = 0, None, ""
+    while at < len(plain):
+        one = _parse(plain, at)
+        got = one if isinstance(one, str) else _fields(one[0], one[1])
+        if isinstance(got, dict) and not checked and not (_named(one[0]) and re.match(r"sha(1|256):", one[0].get("warc-payload-digest", ""), re.I)):
+            got = "record can't be checked"
+        if isinstance(got, dict):
+            if gap_start is not None:
+                yield gap_start, at, reason
+                gap_start = None
+            yield at, one[2], got
+            at = one[2]
+            continue
+        if gap_start is None:
+            gap_start, reason = at, got
+        line = _VERSION_LINE.search(plain, at + 1)
+        at = line.start() if line else len(plain)
+    if gap_start is not None:
+        yield gap_start, len(plain), reason
+
+
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | str]]:
-    """(offset, length, record or reason of a gap) from start to end of an archive; what is whole is never skipped."""
-    at, size, gap_start, reason, view = 0, len(data), None, "", memoryview(data)
+    """(offset, length, record or reason of a gap) from start to end of an archive; what is whole is never skipped.
+
+    Offsets and lengths are of the archive. The records of a member all have the member's; so has a gap inside one,
+    whose reason then says which of the unpacked bytes it is. A damaged member reaches up to what is whole after it.
+    """
+    at, size, gap_start, reasons = 0, len(data), None, []
+    # Of a damaged member: its records, their bytes, and how far it was read.
+    parts, raw, reached = [], set(), 0
     while at < size:
-        found = None
+        found, damaged = None, None
         if data.startswith(MAGIC, at):
-            unpack, unpacked, fed = zlib.decompressobj(31), [], at
-            try:
-                while not unpack.eof and fed < size:
-                    unpacked.append(unpack.decompress(view[fed : fed + CHUNK]))
-                    fed = min(fed + CHUNK, size)
-                plain = b"".join(unpacked)
-            except zlib.error as e:
-                problem = f"member: {e}"
-            else:
-                end = fed - len(unpack.unused_data)
-                if not unpack.eof:
-                    problem = "member is cut off"
-                elif not plain:
-                    found = (end, [])
-                else:
-                    inside, parts, problem = 0, [], ""
-                    while inside < len(plain):
-                        one = _parse(plain, inside)
-                        got = one if isinstance(one, str) else _fields(one[0], one[1])
-                        if isinstance(got, str):
-                            problem = got
-                            break
-                        parts.append(got)
-                        inside = one[2]
-                    if not problem:
-                        found = (end, parts)
+            plain, end, problem = _unpacked(data, at)
+            inside = list(_inside(plain, not problem or problem == "member is cut off"))
+            whole = [x for x in inside if isinstance(x[2], dict)]
+            reached = end if problem else reached
+            gaps = [f"bytes {a} to {b} of the unpacked member: {x}" for a, b, x in inside if isinstance(x, str)]
+            if not problem and (whole or not plain):
+                found = (end, [*(x[2] for x in whole), *gaps])
+            elif whole:
+                damaged = ([x[2] for x in whole], {plain[a:b] for a, b, _ in whole}, [problem, *gaps])
+            elif not problem:
+                problem = inside[0][2]
         elif _VERSION_LINE.match(data, at):
             one = _parse(data, at)
             got = one if isinstance(one, str) else _fields(one[0], one[1])
             if isinstance(got, str):
                 problem = got
+            elif at < reached and data[at : one[2]] in raw:
+                problem = "record of a damaged member that holds it unpacked"
+            elif at < reached and not _named(one[0]):
+                problem = "record can't be checked"
             else:
                 found = (one[2], [got])
         else:
             problem = "neither a member nor a version line"
-        if found:
+        if found or damaged:
             if gap_start is not None:
-                yield gap_start, at - gap_start, reason
-                gap_start = None
+                for one in [*parts, *reasons]:
+                    yield gap_start, at - gap_start, one
+                gap_start, parts, raw = None, [], set()
+        if found:
             for one in found[1]:
                 yield at, found[0] - at, one
             at = found[0]
             continue
+        if damaged:
+            gap_start, (parts, raw, reasons) = at, damaged
         if gap_start is None:
-            gap_start, reason = at, problem
+            gap_start, reasons = at, [problem]
         line = _VERSION_LINE.search(data, at + 1)
         places = [p for p in (data.find(MAGIC, at + 1), line.start() if line else -1) if p >= 0]
         at = min(places, default=size)
     if gap_start is not None:
-        yield gap_start, size - gap_start, reason
+        for one in [*parts, *reasons]:
+            yield gap_start, size - gap_start, one
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:

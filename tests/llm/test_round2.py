@@ -1,9 +1,14 @@
 """Cases of the second round's review."""
 
+import hashlib
+import random
+import zlib
+
 import numpy as np
+import pytest
 
 import corpus_pipeline
-from lookfuse.llm import lm
+from lookfuse.llm import lm, warc
 
 
 def _documents(spark, rows):
@@ -61,3 +66,50 @@ def test_words_inside_classes_normalise_and_learn():
     m, block = trainer.m, np.arange(vocabulary.starts[k], vocabulary.starts[k + 1])
     for near in (lm.BEGIN, int(symbols[0]), 3):
         assert abs(np.exp(m.log_probabilities(np.full(len(block), near), block, np.full(len(block), k))).sum() - 1) < 1e-4
+
+
+def _records(payloads):
+    return [warc.record(i, f"http://x/{i}", p, hashlib.sha256(p).hexdigest(), len(p), None, False) for i, p in enumerate(payloads)]
+
+
+def _packed(data, level=6):
+    packer = zlib.compressobj(level, zlib.DEFLATED, 31)
+    return packer.compress(data) + packer.flush()
+
+
+def _ids(data):
+    found = list(warc.salvage(data))
+    spans = sorted({(o, n) for o, n, _ in found})
+    assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:]))  # noqa: B905
+    assert sum(spans[-1]) == len(data)
+    return [r["page_id"] for _, _, r in found if isinstance(r, dict)], [r for _, _, r in found if isinstance(r, str)]
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_members_of_many_records(level):
+    rnd = random.Random(9)
+    records = _records([bytes(rnd.randrange(97, 123) for _ in range(3000)) for _ in range(30)])
+    bad = bytearray(records[11])
+    bad[-100] ^= 1
+    after = warc.member(_records([b"x"] * 41)[40])
+    broken = _packed(b"".join(records[:11]) + bytes(bad) + b"".join(records[12:]), level)
+    ids, gaps = _ids(broken + after)
+    assert ids == [*range(11), *range(12, 30), 40]
+    start = sum(map(len, records[:11]))
+    assert gaps == [f"bytes {start} to {start + len(bad)} of the unpacked member: payload digest differs"]
+    whole = _packed(b"".join(records), level)
+    for tail in (b"", after):
+        ids, gaps = _ids(whole[: len(whole) // 2] + tail)
+        assert ids[:14] == list(range(14)) and (not tail or ids[-1] == 40) and gaps
+        assert len(set(ids)) == len(ids)
+    checksum = bytearray(whole)
+    checksum[-6] ^= 1
+    ids, gaps = _ids(bytes(checksum) + after)
+    assert ids == [*range(30), 40] and gaps
+
+
+def test_damaged_headers_are_not_believed():
+    whole = bytearray(_packed(b"".join(_records([b"a" * 200, b"b" * 200])), 0))
+    at = whole.index(b"http://x/1")
+    whole[at + 7] ^= 1
+    assert _ids(bytes(whole))[0] == [0]
