@@ -15,6 +15,7 @@ import numpy as np
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = set("script style noscript template head title iframe object svg math canvas audio video select textarea button option datalist".split())
 RAW = set("script style textarea title iframe noscript template".split())
+IN_HEAD = set("base basefont bgsound head html link meta noframes noscript script style template title".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label map mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = set(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split()
@@ -135,6 +136,8 @@ class Page:
             del stack[to:]
 
         def text(raw: str) -> None:
+            if stack[-1][0] == "head" and not raw.isspace() and raw:
+                close(len(stack) - 1)
             if unseen or not raw:
                 return
             value = html.unescape(raw) if "&" in raw else raw
@@ -164,6 +167,9 @@ class Page:
                         close(i)
                         break
                 continue
+            # The end of a head may be left out: at <body>, text, or a tag that can't stand in a head.
+            if tag not in IN_HEAD and any(x == "head" for x, _ in stack) and (tag == "body" or stack[-1][0] == "head"):
+                close(next(i for i, x in enumerate(stack) if x[0] == "head"))
             if tag in ("html", "body"):
                 hints, hidden, label = _attributes(raw)
                 stack[0][1].hints |= hints

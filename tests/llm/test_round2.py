@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from lookfuse.llm import lm, warc
+from lookfuse.llm import dom, lm, warc
 
 
 def _documents(spark, rows):
@@ -113,3 +113,9 @@ def test_damaged_headers_are_not_believed():
     at = whole.index(b"http://x/1")
     whole[at + 7] ^= 1
     assert _ids(bytes(whole))[0] == [0]
+
+
+@pytest.mark.parametrize("start", ["<html><head><title>t</title><body>", "<head><title>t</title>", "<title>t</title>", "<html><head><meta charset=utf-8>"])
+def test_left_out_head_and_body_tags(start):
+    assert [t for _, t in dom.Page(f"{start}<p>One two.<p>Three").blocks] == ["One two.", "Three"]
+    assert [t for _, t in dom.Page(f"{start}\nFour <b>five</b>").blocks] == ["Four five"]
