@@ -7,7 +7,7 @@ every task has (FREQUENT at most) has a vector of its own, as have all others of
 bilinear in that and in a vector of the symbol before, plus the log of its share of the class. Only the words beyond
 have the share of their count among the others, one unit being kept for unseen words.
 
-Every task takes the training texts it reads through noise-contrastive estimation in numpy, from a common start
+Every task takes the training texts it reads once, whatever its size, through noise-contrastive estimation in numpy, from a common start
 (small random vectors, biases of the symbols' shares), and the tasks' parameters are averaged by their tokens. The
 normaliser depends on the two symbols before only: batched matrix products give it for all pairs of symbols once, and
 every token's log probability is then normalised exactly. Inside a class it depends on the symbol before only, and is
@@ -49,9 +49,6 @@ BUFFER = 1 << 16
 RATE = 0.15
 #: Noise words for the words of one class in a buffer.
 INSIDE_NOISE = 32
-#: Tokens that a task takes its model through at least, by going over its texts again, but not more often than this.
-LEAST_TRAINED = 400_000
-MOST_PASSES = 20
 #: Distinct words that a task counts before it hands them on.
 HELD_WORDS = 400_000
 
@@ -309,7 +306,7 @@ def train(docs: DataFrame, shared: _Shared, shares: np.ndarray) -> tuple[Model,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, seed = _vocabulary(shared), TaskContext.get().partitionId()
         trainer, inner = Trainer(Model.start(shares), shares, seed), InsideTrainer(Inside.start(vocabulary.starts, vocabulary.biases), seed)
-        held, rows, size, total, kept = [], [], 0, 0, []
+        held, rows, size, total = [], [], 0, 0
         for batch in batches:
             for text in batch.column(0):
                 places, symbols = vocabulary.encode(words(text.as_py()))
@@ -319,18 +316,10 @@ def train(docs: DataFrame, shared: _Shared, shares: np.ndarray) -> tuple[Model,
                 if size >= BUFFER:
                     trainer.run(held)
                     inner.run(held, rows)
-                    if total < LEAST_TRAINED:
-                        kept.append((held, rows))
                     held, rows, total, size = [], [], total + size, 0
         trainer.run(held)
         inner.run(held, rows)
-        kept.append((held, rows))
         total += size
-        # A task with few texts goes over them again.
-        for _ in range(min(MOST_PASSES, -(-LEAST_TRAINED // max(total, 1))) - 1):
-            for part, inside in kept:
-                trainer.run(part)
-                inner.run(part, inside)
         if total:
             # The model in rows of as many numbers as a vector has, then the vectors of words.
             flat = np.concatenate([trainer.m.flat(), inner.m.a.ravel()])

@@ -119,3 +119,30 @@ def test_damaged_headers_are_not_believed():
 def test_left_out_head_and_body_tags(start):
     assert [t for _, t in dom.Page(f"{start}<p>One two.<p>Three").blocks] == ["One two.", "Three"]
     assert [t for _, t in dom.Page(f"{start}\nFour <b>five</b>").blocks] == ["Four five"]
+
+
+def test_lm_reads_every_text_once(spark, monkeypatch):
+    from pyspark import TaskContext
+
+    read = []
+    monkeypatch.setattr(lm.Trainer, "run", lambda self, texts: read.append(sum(map(len, texts))))
+    monkeypatch.setattr(lm.InsideTrainer, "run", lambda self, texts, rows: None)
+    monkeypatch.setattr(TaskContext, "get", classmethod(lambda cls: type("Task", (), {"partitionId": lambda self: 0})()))
+    caught = []
+
+    class Frame:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            import pyarrow as pa
+
+            list(run(iter([pa.RecordBatch.from_arrays([pa.array([b"one two three"] * 10)], names=["text"])])))
+            caught.append(True)
+            raise StopIteration
+
+    _, vocabulary = _inside()
+    monkeypatch.setattr(lm, "_vocabulary", lambda shared: vocabulary)
+    with pytest.raises(StopIteration):
+        lm.train(Frame(), None, np.full(lm.SYMBOLS, 1 / lm.SYMBOLS))
+    assert caught and sum(read) == 40
