@@ -6,6 +6,8 @@ as UTF-8 bytes, which gives the same words as on characters, since bytes of othe
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -24,6 +26,34 @@ def words(text: bytes | None, lower: bool = True) -> list[bytes]:
     return (text.lower() if lower else text).split()
 
 
+def term_table(digits: bool) -> bytes:
+    """For ``bytes.translate``: A-Z to a-z, every other byte below 0x80 that is no letter (or digit) to a space."""
+    stays = set(b"abcdefghijklmnopqrstuvwxyz") | (set(b"0123456789") if digits else set())
+    return bytes(i + 32 if 0x41 <= i <= 0x5A else i if i >= 0x80 or i in stays else 0x20 for i in range(256))
+
+
+def term_lists(text: bytes | None, table: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The terms of a text in order, in lists of about ``size`` bytes of it, so a long text needs no list of all its terms.
+
+    Spaces, as ``table`` makes them, end a term; cuts are made at spaces only.
+    """
+    at, end = 0, len(text or b"")
+    while at < end:
+        stop, piece = min(at + size, end), b""
+        while True:
+            piece += text[at:stop].translate(table)
+            at = stop
+            if at == end:
+                break
+            cut = piece.rfind(b" ")
+            if cut >= 0:
+                at -= len(piece) - cut
+                piece = piece[:cut]
+                break
+            stop = min(at + size, end)
+        yield piece.split()
+
+
 def word_hashes(found: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
 

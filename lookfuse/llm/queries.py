@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lookfuse.llm import decontamination, html_text, language, line_dedup, lm, mixture, ngram_join, quality, token_counts, warc
+from lookfuse.llm import chat, decontamination, html_text, language, line_dedup, lm, mixture, ngram_join, quality, token_counts, warc
 from lookfuse.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@_query
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as a log of streamed messages, folded, rendered and read back."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_conversations(chat.turn_events(turns.unionByName(more))))
+
+
 _WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -175,3 +184,12 @@ ORACLES["op8_decontamination"] = f"""
     h AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN q USING (s) GROUP BY doc_id, item_id)
     SELECT doc_id, item_id, item_shingles, shared, shared / item_shingles AS containment FROM h JOIN n USING (item_id)
     WHERE shared >= {decontamination.THRESHOLD} * item_shingles - 1e-9"""
+
+_ESCAPED = r"replace(replace(replace({0}, '\', '\\'), '#', '\#'), '</', '<\/')"
+ORACLES["op11_chat"] = rf"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    e AS (SELECT *, replace({_ESCAPED.format("role")}, chr(10), '\n') AS r, {_ESCAPED.format("text")} AS t FROM c),
+    g AS (SELECT conv_id, count(*) AS n, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS said,
+            coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss, sum(len(r) + len(t) + 13)::BIGINT AS chars FROM e GROUP BY conv_id)
+    SELECT conv_id, n AS n_turns, sha256(said) AS turns_sha256, len(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, chars AS formatted_chars FROM g"""
