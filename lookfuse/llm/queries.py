@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lookfuse.llm import chat, decontamination, html_text, language, line_dedup, lm, mixture, ngram_join, quality, token_counts, warc
+from lookfuse.llm import chat, decontamination, divergence, html_text, language, line_dedup, lm, mixture, ngram_join, quality, token_counts, warc
 from lookfuse.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,12 @@ def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(chat.turn_events(turns.unionByName(more))))
 
 
+@_query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms most typical of each."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 _WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -193,3 +199,26 @@ ORACLES["op11_chat"] = rf"""
     g AS (SELECT conv_id, count(*) AS n, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS said,
             coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss, sum(len(r) + len(t) + 13)::BIGINT AS chars FROM e GROUP BY conv_id)
     SELECT conv_id, n AS n_turns, sha256(said) AS turns_sha256, len(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, chars AS formatted_chars FROM g"""
+
+
+def _share_sql(count: str, total: str) -> str:
+    return f"1 + ({divergence.SCALE}::HUGEINT * ({count} + {divergence.SMOOTHING})) // ({total} + {divergence.SMOOTHING} * v)"
+
+
+ORACLES["op12_divergence"] = rf"""
+    WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+    t AS (SELECT row, lang, source, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+    k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= {divergence.MIN_DOCS}),
+    v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+    c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+    n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source),
+    g AS (SELECT lang, source, coalesce(n, 0) AS n, coalesce(v, 0) AS v FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN n USING (lang, source) LEFT JOIN v USING (lang)),
+    p AS (SELECT lang, source, term, c, {_share_sql("coalesce(c, 0)", "n")} AS p FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+    q AS (SELECT lang, term, {_share_sql("c", "n")} AS q FROM (SELECT lang, term, sum(c) AS c FROM c GROUP BY lang, term)
+            JOIN (SELECT lang, sum(n) AS n, max(v) AS v FROM g GROUP BY lang) USING (lang)),
+    f AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS f FROM p x JOIN p y USING (lang, term) GROUP BY ALL),
+    r AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(f, 0) AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+            LEFT JOIN f ON f.lang = x.lang AND f.source = x.source AND f.item = y.source
+        UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q),
+    o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+    SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM o WHERE part = 'pair' OR rank <= {divergence.TOP}"""
