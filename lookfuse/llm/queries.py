@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lookfuse.llm import chat, decontamination, divergence, html_text, language, line_dedup, lm, mixture, ngram_join, quality, token_counts, warc
+from lookfuse.llm import chat, decontamination, divergence, html_text, language, lexical, line_dedup, lm, mixture, ngram_join, quality, token_counts, warc
 from lookfuse.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +108,12 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that score highest for each benchmark item."""
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 _WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -222,3 +228,22 @@ ORACLES["op12_divergence"] = rf"""
         UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q),
     o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
     SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM o WHERE part = 'pair' OR rank <= {divergence.TOP}"""
+
+
+def _terms_sql(table: str, key: str) -> str:
+    found = _LOWER.format("text")
+    return f"SELECT {key}, unnest(regexp_extract_all({found}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM {table} WHERE text IS NOT NULL"
+
+
+ORACLES["op13_search"] = f"""
+    WITH t AS ({_terms_sql("documents", "doc_id")}),
+    f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+    d AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id),
+    s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM d),
+    w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, s GROUP BY term, docs),
+    m AS (SELECT doc_id, 50 + (50 * n * docs) // terms AS m FROM d, s),
+    q AS (SELECT DISTINCT * FROM ({_terms_sql("benchmark", "item_id")})),
+    r AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+        FROM q JOIN f USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+    SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score FROM r
+    WHERE score > 0 QUALIFY rank <= {lexical.TOP}"""
