@@ -269,7 +269,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFram
 
     blocks = F.expr(f"flatten(transform(sequence(0, n div {SOURCES}), a -> transform(sequence(a, n div {SOURCES}), b -> struct(a, b))))")
     inside = f"filter(cells, c -> c.number div {SOURCES} = a or c.number div {SOURCES} = b)"
-    last = groups.groupBy("lang").agg(F.max("number").alias("n"), cell(_share("0", "size", "kept")).alias("cells")).where("n > 0")
+    last = groups.where("kept > 0").groupBy("lang").agg(F.max("number").alias("n"), cell(_share("0", "size", "kept")).alias("cells")).where("n > 0")
     first = last.select("lang", F.explode(blocks).alias("at"), "cells").select("lang", F.col("at.a").cast("int").alias("a"), F.col("at.b").cast("int").alias("b"), "cells")
     first = first.select("lang", "a", "b", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(True).alias("first"), F.expr(inside).alias("cells"))
     shares = sized.groupBy("lang", "term").agg(cell(F.col("p")).alias("cells")).join(last.select("lang", "n"), "lang")
