@@ -47,7 +47,7 @@ def term_lists(text: bytes | None, table: bytes, size: int = 1 << 20) -> Iterato
                 break
             cut = piece.rfind(b" ")
             if cut >= 0:
-                at -= len(piece) - cut
+                at -= len(piece) - cut - 1
                 piece = piece[:cut]
                 break
             stop = min(at + size, end)
