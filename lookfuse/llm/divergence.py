@@ -17,7 +17,6 @@ into terms piece by piece.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,12 +33,13 @@ TOP = 50
 SMOOTHING = 5
 SCALE = 1_000_000_000
 #: Bytes of the shortest prefix.
-FIRST_LENGTH = 4
+FIRST_LENGTH = 6
 #: Bits a prefix gets in the filter, and the largest filter (16 MB).
 BITS_EACH = 16
 MAX_BITS = 1 << 27
-#: Counts a task holds before it hands them on.
-HELD = 500_000
+#: Occurrences of terms a task holds before it hands their counts on, and answers of a filter it remembers.
+HELD = 4_000_000
+REMEMBERED = 500_000
 #: Sources compared at once, and the tasks each language's terms are dealt to for that.
 SOURCES = 256
 SALTS = 64
@@ -78,42 +78,65 @@ class _Known(dict):
         self.test, self.lang = test, lang
 
     def __missing__(self, unit: bytes) -> bool:
-        if len(self) > HELD:
+        if len(self) >= REMEMBERED:
             self.clear()
         self[unit] = answer = self.test(self.lang, unit)
         return answer
 
 
+class _Numbers(dict):
+    """Terms by number, in the order they come."""
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = number = len(self)
+        return number
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], str, list[np.ndarray], list[tuple]]]:
+    """For documents of about ``HELD`` occurrences at a time, and each language of them: all terms, the documents' terms by number, and their other columns."""
+    numbers, langs, held = _Numbers(), {}, 0
+
+    def found():
+        names = list(numbers)
+        for lang, (texts, rows) in langs.items():
+            yield names, lang, texts, rows
+
+    for batch in batches:
+        for text, lang, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            lists = [np.fromiter(map(numbers.__getitem__, terms), np.int32, len(terms)) for terms in term_lists(text, _TERMS)]
+            terms = np.concatenate(lists) if lists else np.zeros(0, np.int32)
+            texts, rows = langs.setdefault(lang, ([], []))
+            texts.append(terms)
+            rows.append(row)
+            held += len(terms)
+            if held > HELD:
+                yield from found()
+                numbers, langs, held = _Numbers(), {}, 0
+    yield from found()
+
+
 def _level(shorter: int, length: int, passed):
     """Counts of documents by terms of up to ``length`` bytes and by longer terms' prefixes, behind the prefixes of the level before."""
     schema = pa.schema([("lang", pa.string()), ("unit", pa.binary()), ("whole", pa.bool_()), ("docs", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, known = {}, {}
-        test = passed.value if passed is not None else None
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            for (lang, whole), found in counts.items():
-                n = len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * n, pa.string()), pa.array(list(found), pa.binary()), pa.array([whole] * n), pa.array(list(found.values()), pa.int64())], schema=schema
-                )
-            counts.clear()
-
-        for batch in batches:
-            for text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if lang not in known:
-                    known[lang] = _Known(test, lang.encode()) if test else None
-                alive, distinct = known[lang], set()
-                for terms in term_lists(text, _TERMS):
-                    distinct.update(terms)
-                if alive is not None:
-                    distinct = [t for t in distinct if len(t) > shorter and alive[t[:shorter]]]
-                counts.setdefault((lang, True), Counter()).update([t for t in distinct if len(t) <= length])
-                counts.setdefault((lang, False), Counter()).update({t[:length] for t in distinct if len(t) > length})
-                if sum(map(len, counts.values())) > HELD:
-                    yield from rows()
-        yield from rows()
+        known = {}
+        for names, lang, texts, _ in _runs(batches):
+            if passed is not None and lang not in known:
+                known[lang] = _Known(passed.value, lang.encode())
+            alive = known.get(lang)
+            terms = np.concatenate(texts)
+            unit_of, units = np.full(len(names), -1, np.int64), _Numbers()
+            for term in np.flatnonzero(np.bincount(terms, minlength=len(names))).tolist():
+                name = names[term]
+                if alive is None or (len(name) > shorter and alive[name[:shorter]]):
+                    unit_of[term] = units[name[:length], len(name) <= length]
+            # A document counts once for a unit, however many of its terms have it.
+            unit = unit_of[terms]
+            rows = np.repeat(np.arange(len(texts)), [len(t) for t in texts])[unit >= 0]
+            docs = np.bincount(np.unique(rows * max(len(units), 1) + unit[unit >= 0]) % max(len(units), 1), minlength=len(units))
+            found, whole = ([u[i] for u in units] for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(units), pa.string()), pa.array(found, pa.binary()), pa.array(whole, pa.bool_()), pa.array(docs)], schema=schema)
 
     return run
 
@@ -145,32 +168,20 @@ def _occurrences(passed):
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("count", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, known, test, held = {}, {}, passed.value, 0
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            for (lang, source), found in counts.items():
-                alive = known[lang]
-                pairs = [(t, c) for t, c in found.items() if alive[t]]
-                n = len(pairs)
-                terms, each = zip(*pairs, strict=True) if pairs else ((), ())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()), pa.array(terms, pa.binary()), pa.array(each, pa.int64())], schema=schema
-                )
-            counts.clear()
-
-        for batch in batches:
-            for text, lang, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if lang not in known:
-                    known[lang] = _Known(test, lang.encode())
-                own = counts.setdefault((lang, source), Counter())
-                held -= len(own)
-                for terms in term_lists(text, _TERMS):
-                    own.update(terms)
-                held += len(own)
-                if held > HELD:
-                    yield from rows()
-                    held = 0
-        yield from rows()
+        known = {}
+        for names, lang, texts, rows in _runs(batches):
+            alive = known.setdefault(lang, _Known(passed.value, lang.encode()))
+            terms = np.concatenate(texts)
+            kept = np.zeros(len(names), bool)
+            for term in np.flatnonzero(np.bincount(terms, minlength=len(names))).tolist():
+                kept[term] = alive[names[term]]
+            sources = _Numbers()
+            of = np.repeat([sources[row[0]] for row in rows], [len(t) for t in texts])
+            stays = kept[terms]
+            cells, counts = np.unique(of[stays].astype(np.int64) * len(names) + terms[stays], return_counts=True)
+            source = pa.array(list(sources), pa.string()).take(pa.array(cells // max(len(names), 1)))
+            term = pa.array(names, pa.binary()).take(pa.array(cells % max(len(names), 1)))
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cells), pa.string()), source, term, pa.array(counts)], schema=schema)
 
     return run
 

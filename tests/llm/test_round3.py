@@ -126,8 +126,7 @@ def _texts(seed, n, sources):
 
 
 @pytest.mark.parametrize("block", [256, 2])
-def test_divergence_against_plain_counts(spark, monkeypatch, block):
-    monkeypatch.setattr(divergence, "HELD", 40)
+def test_divergence_against_plain_counts(spark, block):
     rows = _texts(block, 260, ["a", "b", "c", "d", "e", None])
     docs = spark.createDataFrame(rows, "lang string, source string, text string").withColumns({c: F.lit("clash") for c in ("doc_id", "term", "count", "number", "unit", "rank", "value")})
     if block != 256:
@@ -179,6 +178,23 @@ def test_divergence_discards_rare_prefixes(spark):
     assert passed(b"en", b"freq") and not passed(b"fr", b"freq") and not passed(b"en", b"rare")
 
 
+def test_divergence_counts_in_runs(monkeypatch):
+    """What a task hands on in many runs adds up to what it hands on in one."""
+    import pyarrow as pa
+
+    rows = [(t.encode() if t else b"", lang or "", source or "") for lang, source, t in _texts(7, 120, ["a", "b"])]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["text", "lang", "source"])
+    totals = []
+    for held in (10**6, 25):
+        monkeypatch.setattr(divergence, "HELD", held)
+        total = Counter()
+        for found in divergence._level(0, 6, None)(iter([batch.select(["text", "lang"])])):
+            for lang, unit, whole, docs in zip(*(c.to_pylist() for c in found.columns), strict=True):
+                total[lang, unit, whole] += docs
+        totals.append(total)
+    assert totals[0] == totals[1] and totals[0]["en", b"thence", False] > 0 and totals[0]["en", b"thence", True] > 0
+
+
 # Lexical search.
 
 
