@@ -17,10 +17,12 @@ into terms piece by piece.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,8 +39,8 @@ FIRST_LENGTH = 6
 #: Bits a prefix gets in the filter, and the largest filter (16 MB).
 BITS_EACH = 16
 MAX_BITS = 1 << 27
-#: Occurrences of terms a task holds before it hands their counts on, and answers of a filter it remembers.
-HELD = 4_000_000
+#: Bytes of text a task holds before it hands their counts on, and answers of a filter it remembers.
+HELD = 32_000_000
 REMEMBERED = 500_000
 #: Sources compared at once, and the tasks each language's terms are dealt to for that.
 SOURCES = 256
@@ -84,59 +86,75 @@ class _Known(dict):
         return answer
 
 
-class _Numbers(dict):
-    """Terms by number, in the order they come."""
+class _Run:
+    """The terms of documents of one language: their names, and each occurrence's name and row by number."""
 
-    def __missing__(self, term: bytes) -> int:
-        self[term] = number = len(self)
-        return number
+    def __init__(self, texts: list[bytes]):
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        coded = lists.flatten().dictionary_encode()
+        self.names = coded.dictionary.view(pa.large_binary()).to_pylist()
+        # Space at the ends of a text leaves an empty name, which is no term.
+        self.names = self.names or [b""]
+        self.term = coded.indices.to_numpy()
+        self.row = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], str, list[np.ndarray], list[tuple]]]:
-    """For documents of about ``HELD`` occurrences at a time, and each language of them: all terms, the documents' terms by number, and their other columns."""
-    numbers, langs, held = _Numbers(), {}, 0
+def _runs(batches: Iterator[pa.RecordBatch], long_text) -> Iterator[tuple[str, _Run, list[tuple]]]:
+    """For documents of about ``HELD`` bytes at a time, each language's terms and other columns.
+
+    A text of more than ``HELD`` bytes goes through ``long_text``, which gives another text for it or none.
+    """
+    langs, held = {}, 0
 
     def found():
-        names = list(numbers)
         for lang, (texts, rows) in langs.items():
-            yield names, lang, texts, rows
+            yield lang, _Run(texts), rows
 
     for batch in batches:
         for text, lang, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            lists = [np.fromiter(map(numbers.__getitem__, terms), np.int32, len(terms)) for terms in term_lists(text, _TERMS)]
-            terms = np.concatenate(lists) if lists else np.zeros(0, np.int32)
+            text = (text or b"").translate(_TERMS) if len(text or b"") <= HELD else long_text(text, lang, *row)
             texts, rows = langs.setdefault(lang, ([], []))
-            texts.append(terms)
+            texts.append(text)
             rows.append(row)
-            held += len(terms)
+            held += len(text)
             if held > HELD:
                 yield from found()
-                numbers, langs, held = _Numbers(), {}, 0
+                langs, held = {}, 0
     yield from found()
 
 
+def _sorted_counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of ``keys`` and how often each is there."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.append(first, len(keys)))
+
+
+def _distinct(text: bytes, *_) -> bytes:
+    return b" ".join({t for terms in term_lists(text, _TERMS) for t in terms})
+
+
 def _level(shorter: int, length: int, passed):
     """Counts of documents by terms of up to ``length`` bytes and by longer terms' prefixes, behind the prefixes of the level before."""
     schema = pa.schema([("lang", pa.string()), ("unit", pa.binary()), ("whole", pa.bool_()), ("docs", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {}
-        for names, lang, texts, _ in _runs(batches):
+        for lang, found, _ in _runs(batches, _distinct):
             if passed is not None and lang not in known:
                 known[lang] = _Known(passed.value, lang.encode())
             alive = known.get(lang)
-            terms = np.concatenate(texts)
-            unit_of, units = np.full(len(names), -1, np.int64), _Numbers()
-            for term in np.flatnonzero(np.bincount(terms, minlength=len(names))).tolist():
-                name = names[term]
-                if alive is None or (len(name) > shorter and alive[name[:shorter]]):
-                    unit_of[term] = units[name[:length], len(name) <= length]
+            unit_of, units = np.full(len(found.names), -1, np.int64), {}
+            for number, name in enumerate(found.names):
+                if name and (alive is None or (len(name) > shorter and alive[name[:shorter]])):
+                    unit_of[number] = units.setdefault((name[:length], len(name) <= length), len(units))
             # A document counts once for a unit, however many of its terms have it.
-            unit = unit_of[terms]
-            rows = np.repeat(np.arange(len(texts)), [len(t) for t in texts])[unit >= 0]
-            docs = np.bincount(np.unique(rows * max(len(units), 1) + unit[unit >= 0]) % max(len(units), 1), minlength=len(units))
-            found, whole = ([u[i] for u in units] for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(units), pa.string()), pa.array(found, pa.binary()), pa.array(whole, pa.bool_()), pa.array(docs)], schema=schema)
+            unit = unit_of[found.term]
+            stays = unit >= 0
+            each, _ = _sorted_counts(found.row[stays] * max(len(units), 1) + unit[stays])
+            docs = np.bincount(each % max(len(units), 1), minlength=len(units))
+            names, whole = ([u[i] for u in units] for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(units), pa.string()), pa.array(names, pa.binary()), pa.array(whole, pa.bool_()), pa.array(docs)], schema=schema)
 
     return run
 
@@ -168,20 +186,34 @@ def _occurrences(passed):
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("count", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {}
-        for names, lang, texts, rows in _runs(batches):
-            alive = known.setdefault(lang, _Known(passed.value, lang.encode()))
-            terms = np.concatenate(texts)
-            kept = np.zeros(len(names), bool)
-            for term in np.flatnonzero(np.bincount(terms, minlength=len(names))).tolist():
-                kept[term] = alive[names[term]]
-            sources = _Numbers()
-            of = np.repeat([sources[row[0]] for row in rows], [len(t) for t in texts])
-            stays = kept[terms]
-            cells, counts = np.unique(of[stays].astype(np.int64) * len(names) + terms[stays], return_counts=True)
-            source = pa.array(list(sources), pa.string()).take(pa.array(cells // max(len(names), 1)))
-            term = pa.array(names, pa.binary()).take(pa.array(cells % max(len(names), 1)))
+        known, long = {}, []
+
+        def alive(lang: str) -> _Known:
+            return known.setdefault(lang, _Known(passed.value, lang.encode()))
+
+        def counted(text: bytes, lang: str, source: str) -> bytes:
+            # A long text's terms are counted piece by piece, and it leaves none to count with the others'.
+            counts = Counter()
+            for terms in term_lists(text, _TERMS):
+                counts.update(terms)
+            kept = {t: c for t, c in counts.items() if alive(lang)[t]}
+            n = len(kept)
+            long.append(pa.RecordBatch.from_arrays([pa.array([lang] * n), pa.array([source] * n), pa.array(kept, pa.binary()), pa.array(kept.values(), pa.int64())], schema=schema))
+            return b""
+
+        for lang, found, rows in _runs(batches, counted):
+            known_terms = alive(lang)
+            kept = np.array([bool(name) and known_terms[name] for name in found.names])
+            sources = {}
+            of = np.array([sources.setdefault(row[0], len(sources)) for row in rows], np.int64)
+            stays = kept[found.term]
+            cells, counts = _sorted_counts(of[found.row[stays]] * len(kept) + found.term[stays])
+            source = pa.array(list(sources), pa.string()).take(pa.array(cells // len(kept)))
+            term = pa.array(found.names, pa.binary()).take(pa.array(cells % len(kept)))
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cells), pa.string()), source, term, pa.array(counts)], schema=schema)
+            yield from long
+            long.clear()
+        yield from long
 
     return run
 

@@ -185,7 +185,7 @@ def test_divergence_counts_in_runs(monkeypatch):
     rows = [(t.encode() if t else b"", lang or "", source or "") for lang, source, t in _texts(7, 120, ["a", "b"])]
     batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["text", "lang", "source"])
     totals = []
-    for held in (10**6, 25):
+    for held in (10**6, 25, 3):
         monkeypatch.setattr(divergence, "HELD", held)
         total = Counter()
         for found in divergence._level(0, 6, None)(iter([batch.select(["text", "lang"])])):
