@@ -40,7 +40,7 @@ FIRST_LENGTH = 6
 BITS_EACH = 16
 MAX_BITS = 1 << 27
 #: Bytes of text a task holds before it hands their counts on, and answers of a filter it remembers.
-HELD = 32_000_000
+HELD = 12_000_000
 REMEMBERED = 500_000
 #: Sources compared at once, and the tasks each language's terms are dealt to for that.
 SOURCES = 256
@@ -96,7 +96,7 @@ class _Run:
         # Space at the ends of a text leaves an empty name, which is no term.
         self.names = self.names or [b""]
         self.term = coded.indices.to_numpy()
-        self.row = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+        self.row = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
 
 
 def _runs(batches: Iterator[pa.RecordBatch], long_text) -> Iterator[tuple[str, _Run, list[tuple]]]:
@@ -107,8 +107,12 @@ def _runs(batches: Iterator[pa.RecordBatch], long_text) -> Iterator[tuple[str, _
     langs, held = {}, 0
 
     def found():
-        for lang, (texts, rows) in langs.items():
-            yield lang, _Run(texts), rows
+        # What is handed on is let go.
+        while langs:
+            lang, (texts, rows) = langs.popitem()
+            terms = _Run(texts)
+            del texts
+            yield lang, terms, rows
 
     for batch in batches:
         for text, lang, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -119,7 +123,7 @@ def _runs(batches: Iterator[pa.RecordBatch], long_text) -> Iterator[tuple[str, _
             held += len(text)
             if held > HELD:
                 yield from found()
-                langs, held = {}, 0
+                held = 0
     yield from found()
 
 
@@ -151,7 +155,7 @@ def _level(shorter: int, length: int, passed):
             # A document counts once for a unit, however many of its terms have it.
             unit = unit_of[found.term]
             stays = unit >= 0
-            each, _ = _sorted_counts(found.row[stays] * max(len(units), 1) + unit[stays])
+            each, _ = _sorted_counts(found.row[stays].astype(np.int64) * max(len(units), 1) + unit[stays])
             docs = np.bincount(each % max(len(units), 1), minlength=len(units))
             names, whole = ([u[i] for u in units] for i in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(units), pa.string()), pa.array(names, pa.binary()), pa.array(whole, pa.bool_()), pa.array(docs)], schema=schema)
