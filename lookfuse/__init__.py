@@ -12,11 +12,13 @@ from lookfuse.plans.options import Options
 from lookfuse.presets import KeyedEnrichment, LookupHandler
 from lookfuse.session import scratch_folder, session
 from lookfuse.sources.lookup import resolve_lookup, restrict_to_requests, scan_lookup
-from lookfuse.sources.requests import requests_from_files, requests_from_rows
-from lookfuse.streaming.stream import enrich_stream, read_sink
+from lookfuse.sources.requests import Flush, requests_from_files, requests_from_rows
+from lookfuse.streaming.sink import read_sink
+from lookfuse.streaming.stream import enrich_stream
 
 __all__ = [
     "ColumnSelector",
+    "Flush",
     "KeyedEnrichment",
     "LookupHandler",
     "PythonSelector",

@@ -1,19 +1,24 @@
 """Streams of requests, run to the end of what is there."""
 
-from lookfuse import enrich_stream, read_sink, requests_from_files, scratch_folder
+from lookfuse import Flush, enrich_stream, read_sink, requests_from_files, scratch_folder
 from lookfuse.catalog.registry import query
 from lookfuse.catalog.shared import EVENTS_SQL, event_requests, missing_sql, status_sql, with_missing
 
 
+BATCHES = 3
+
+
 def _stream(t):
-    return event_requests(
-        requests_from_files(t.spark, t.path("events"), t.events.schema, max_files_per_batch=100)
-    )
+    """All events from several files, a file a micro-batch."""
+    path = scratch_folder(t.spark, "stream-requests")
+    t.events.repartition(BATCHES, "event_id").write.parquet(path)
+    return event_requests(requests_from_files(t.spark, path, t.events.schema, flush=Flush(files=1)))
 
 
 def _run(t, requests, lookup, **options):
     sink = scratch_folder(t.spark, "stream-result")
-    enrich_stream(requests, lookup, sink=sink, trigger={"availableNow": True}, **options).awaitTermination()
+    query = enrich_stream(requests, lookup, sink=sink, trigger={"availableNow": True}, **options)
+    query.awaitTermination()
     return read_sink(t.spark, sink)
 
 

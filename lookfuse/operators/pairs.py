@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lookfuse.constants import SALT
 from lookfuse.functions.names import col
+from lookfuse.operators.ranges import Range, enter_ranges
 from lookfuse.operators.skew import Splitter, copy_to_salts, find_hot_grid, key_hash, salt_rows
 
 _PROBE_SALT = SALT + "_probe"
@@ -22,6 +23,8 @@ def matching_pairs(
     residual: Column | None,
     splitter: Splitter,
     how: str = "inner",
+    ranges: tuple[Range, Range] | None = None,
+    raw_probes: DataFrame | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Pairs (``how="inner"``) or lookup rows with any partner (``how="left_semi"``) with equal keys that pass the
     residual test, and the names of the salt columns they carry.
@@ -29,7 +32,15 @@ def matching_pairs(
     A hot key's rows form a grid: parts of its probes by parts of its lookup rows, one task for each cell. Its
     tests then run in many tasks, and a pick is made first within a part of the lookup, then over all. For a
     semi-join only the probes are repeated, so that no lookup row comes out twice.
+
+    ``ranges`` of the probes and of the lookup have to meet wherever the residual test holds; then only rows whose
+    ranges are near each other are tested. They don't serve a semi-join, which would find a lookup row in several places.
+    ``raw_probes`` are rows with the probes' columns to take statistics from.
     """
+    if ranges is not None:
+        probes, mine, lookup, theirs, meet = enter_ranges(probes, ranges[0], lookup, ranges[1], raw_probes)
+        probe_keys, lookup_keys = [*probe_keys, *mine], [*lookup_keys, *theirs]
+        residual = meet if residual is None else meet & residual
     salts: list[str] = []
     condition = F.lit(True)
     for mine, theirs in zip(probe_keys, lookup_keys):

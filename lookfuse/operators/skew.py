@@ -196,22 +196,27 @@ def copy_to_salts(df: DataFrame, parts: Column, name: str = SALT) -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), parts - 1)))
 
 
+def common_prefix(values: DataFrame) -> int:
+    """How many bytes all strings of a one-column DataFrame begin with; 0 for other types."""
+    (field,) = values.schema.fields
+    if not isinstance(field.dataType, T.StringType):
+        return 0
+    ends = values.agg(F.min(col(field.name)).alias("a"), F.max(col(field.name)).alias("b")).first()
+    a, b, skip = (ends["a"] or "").encode(), (ends["b"] or "").encode(), 0
+    while skip < min(len(a), len(b)) and a[skip] == b[skip]:
+        skip += 1
+    return skip
+
+
 def range_cuts(values: DataFrame, parts: int) -> tuple[int, list[float]]:
     """Cut points that divide a one-column DataFrame evenly, for :func:`range_part`.
 
     Strings are cut on the six bytes that follow the prefix common to all of them.
     """
     (field,) = values.schema.fields
-    skip = 0
-    if isinstance(field.dataType, T.StringType):
-        ends = values.agg(F.min(col(field.name)).alias("a"), F.max(col(field.name)).alias("b")).first()
-        if ends["a"] is None:
-            return 0, []
-        a, b = ends["a"].encode(), ends["b"].encode()
-        while skip < min(len(a), len(b)) and a[skip] == b[skip]:
-            skip += 1
-    shares = _numbers(i / parts for i in range(1, parts))
-    number = _range_number(col(field.name), field.dataType, skip)
+    skip = common_prefix(values)
+    shares = literal_numbers(i / parts for i in range(1, parts))
+    number = range_number(col(field.name), field.dataType, skip)
     cuts = values.agg(F.percentile_approx(number, shares, F.lit(4 * parts)).alias("cuts")).first()["cuts"]
     return skip, sorted({c for c in cuts or [] if c == c})
 
@@ -221,8 +226,8 @@ def range_part(value: Column, dtype: T.DataType, cuts: tuple[int, list[float]])
     skip, points = cuts
     if not points:
         return F.lit(0)
-    table = _numbers(points)
-    number = _range_number(value, dtype, skip)
+    table = literal_numbers(points)
+    number = range_number(value, dtype, skip)
     steps = []
     step = 1 << (len(points).bit_length() - 1)
     while step:
@@ -238,12 +243,13 @@ def range_part(value: Column, dtype: T.DataType, cuts: tuple[int, list[float]])
     return F.when(number.isNull(), F.lit(0)).otherwise(found)
 
 
-def _numbers(values) -> Column:
-    """A literal array; thousands of numbers are parsed faster than made one by one."""
-    return F.expr("array(" + ", ".join(f"cast('{v!r}' as double)" for v in values) + ")")
+def literal_numbers(values) -> Column:
+    """A literal array, as one string that is folded once: thousands of literals would be analysed again with every step of a plan."""
+    text = ",".join(repr(float(v)) for v in values)
+    return F.expr(f"cast(split('{text}', ',') as array<double>)" if text else "cast(array() as array<double>)")
 
 
-def _range_number(value: Column, dtype: T.DataType, skip: int) -> Column:
+def range_number(value: Column, dtype: T.DataType, skip: int) -> Column:
     if isinstance(dtype, T.StringType):
         digits = F.rpad(F.substring(F.hex(value), 2 * skip + 1, 12), 12, "0")
         return F.conv(digits, 16, 10).cast("double")

@@ -17,7 +17,7 @@ from lookfuse.functions.names import NameIndex, col
 from lookfuse.functions.ordering import OrderTerm
 from lookfuse.functions.rows import ColumnRow
 from lookfuse.functions.template import read_template
-from lookfuse.functions.types import common_type, family
+from lookfuse.functions.types import common_type, family, is_numeric
 from lookfuse.plans.options import CONDITION_VALUES, Options
 
 
@@ -85,6 +85,23 @@ class Condition:
         return None, None
 
 
+def two_sided(bounds: Sequence[Bound]) -> tuple[Bound, Bound] | None:
+    """An upper and a lower bound whose values compare with each other, on one column if there are such."""
+    found = [
+        (a, b)
+        for a in bounds
+        for b in bounds
+        if a.is_upper and not b.is_upper and all(_has_scale(x.dtype) for x in (a, b))
+        if a.dtype == b.dtype or (is_numeric(a.dtype) and is_numeric(b.dtype))
+    ]
+    return min(found, key=lambda pair: pair[0].column != pair[1].column, default=None)
+
+
+def _has_scale(dtype: T.DataType) -> bool:
+    """Whether values have numbers that grow with them; strings under a collation have not."""
+    return family(dtype) in ("integral", "fractional", "date-time") or dtype == T.StringType()
+
+
 def condition_values(requests: DataFrame, options: Options) -> dict[str, Column]:
     """Condition values by name, over the request columns."""
     if options.condition_value_fn:

@@ -27,7 +27,7 @@ from lookfuse.constants import (
 )
 from lookfuse.functions.columns import output_columns, parse_column_names
 from lookfuse.functions.names import NameIndex, col
-from lookfuse.functions.ordering import parse_order
+from lookfuse.functions.ordering import OrderTerm, parse_order
 from lookfuse.functions.types import has_exact_literals, is_orderable
 from lookfuse.operators.attach import attach
 from lookfuse.operators.collect import select_from_groups
@@ -35,6 +35,7 @@ from lookfuse.operators.lookup import Payload, best_per_key
 from lookfuse.operators.merge import merge
 from lookfuse.operators.pairs import matching_pairs
 from lookfuse.operators.prefix import best_intervals, in_interval, pick_by_bound
+from lookfuse.operators.ranges import Range
 from lookfuse.operators.reduce import count_per_key, first_per_key
 from lookfuse.operators.requests import distinct_probes, mark_first, total_order
 from lookfuse.operators.selectors import ColumnSelector, PythonSelector
@@ -44,6 +45,7 @@ from lookfuse.plans.condition import (
     Condition,
     build_condition,
     declared_keys,
+    two_sided,
     with_condition_columns,
 )
 from lookfuse.plans.options import Options, check_column_names
@@ -376,9 +378,18 @@ class _Plan:
             read |= {c for c in sortable if c.startswith(FIELD_PREFIX)}
         null_safe = [c for c in rows.columns if c in read]
         probe = [*self.request_keys, *bounds, *null_safe]
-        probes = distinct_probes(_all_present(rows, [*self.request_keys, *bounds]), probe)
+        present = _all_present(rows, [*self.request_keys, *bounds])
         lookup = self._reduced_to(rows, self.lookup_side(everything=True))
-        pairs, salts = matching_pairs(probes, self.request_keys, lookup, self.lookup_keys, test, splitter)
+        pairs, salts = matching_pairs(
+            distinct_probes(present, probe),
+            self.request_keys,
+            lookup,
+            self.lookup_keys,
+            test,
+            splitter,
+            ranges=_ranges(condition.bounds, bounds),
+            raw_probes=present,
+        )
         pairs = pairs.select(*[col(c) for c in [*probe, *salts, *self._payload_columns]])
         return pairs, probe, null_safe, _without_condition_columns(rows, keep=probe)
 
@@ -423,6 +434,16 @@ class _Plan:
         return lookup.join(asked, same, "left_semi")
 
 
+def _ranges(bounds: list[Bound], names: list[str]) -> tuple[Range, Range] | None:
+    """The ranges of requests (``names`` hold their bounds' values) and of lookup rows that a two-sided condition makes meet."""
+    pair = two_sided(bounds)
+    if pair is None:
+        return None
+    dtype = pair[0].dtype if pair[0].dtype == pair[1].dtype else T.DoubleType()
+    asked = [col(names[bounds.index(b)]) for b in pair]
+    return Range(*asked, dtype), Range(*[col(b.column).cast(b.dtype) for b in pair], dtype)
+
+
 def _without_condition_columns(rows: DataFrame, keep=()) -> DataFrame:
     """Drop the copies that only callbacks and templates read, before rows are packed or hashed whole."""
     return rows.drop(*[c for c in rows.columns if c.startswith((VALUE_PREFIX, FIELD_PREFIX)) and c not in keep])
@@ -516,7 +537,7 @@ def _any_request(plan: _Plan, side: DataFrame, splitter: Splitter) -> DataFrame:
     if _FIRST in rows.columns:
         rows = rows.where(col(_FIRST))
     template = replace(condition, equalities=[e for e in condition.equalities if not e.declared])
-    admitted = _admitted(plan, template, rows, splitter)
+    admitted = _admitted(plan, template, rows, side, splitter)
     keys_only = replace(
         condition,
         equalities=[e for e in condition.equalities if e.declared],
@@ -536,13 +557,41 @@ def _own(side: DataFrame) -> list[Column]:
     return [col(c) for c in side.columns if not c.startswith((VALUE_PREFIX, FIELD_PREFIX))]
 
 
-def _admitted(plan: _Plan, template: Condition, rows: DataFrame, splitter: Splitter) -> DataFrame:
+def _within_any(asking: _Plan, upper: Bound, lower: Bound, rows: DataFrame, lookup: DataFrame, splitter: Splitter) -> DataFrame:
+    """Lookup rows that lie between the two bounds of any request of their key, by one sorted run.
+
+    Of the requests whose lower bound a lookup row reaches, one with the largest upper bound admits it if any does.
+    """
+    far = "far"
+    payload = Payload(T.StructType([T.StructField(far, upper.dtype)]), (OrderTerm(far, descending=True),), {far: upper.dtype})
+    keys = asking.request_keys
+    asked = rows.select(
+        *[col(k) for k in keys],
+        lower.request.alias(LOOKUP_BOUND),
+        upper.request.alias(LOOKUP_PREFIX + far),
+        upper.request.alias(ORDER_PREFIX + far),
+    )
+    asked = _all_present(asked, [*keys, LOOKUP_BOUND, LOOKUP_PREFIX + far])
+    lookup = lookup.withColumns({BOUND: col(lower.column).cast(lower.dtype), LIMIT: col(upper.column).cast(upper.dtype)})
+    lookup = _all_present(lookup, [BOUND, LIMIT])
+    op = "<=" if "=" in lower.op else "<"
+    found = pick_by_bound(lookup, asking.lookup_keys, BOUND, op, asked, keys, payload, splitter)
+    return found.where(col(HIT) & upper.test(col(LIMIT), col(LOOKUP_PREFIX + far)))
+
+
+def _admitted(plan: _Plan, template: Condition, rows: DataFrame, requests: DataFrame, splitter: Splitter) -> DataFrame:
     asking = _Plan(
         plan.options, plan._lookup, plan.payload, plan._payload_columns, plan.order_source, template, None
     )
     rows = asking.request_side(rows)
     lookup = asking.lookup_side(everything=True)
     keys, test = asking.request_keys, template.residual_test
+    pair = two_sided(template.bounds) if test is None and len(template.bounds) == 2 else None
+    if pair is not None:
+        if asking.constant_key:
+            splitter = Splitter.plan(plan.options.split, requests, plan._lookup, one_group=True)
+        admitted = _within_any(asking, *pair, rows, lookup, splitter)
+        return admitted.select(*[col(c) for c in plan._lookup.columns])
     if test is None and len(template.bounds) <= 1:
         # The widest bound of each key admits what any of its requests admits.
         probes, widest = _all_present(rows, keys), []
