@@ -16,7 +16,7 @@ from lookfuse.functions.columns import ColumnList
 from lookfuse.functions.names import NameIndex, col
 from lookfuse.functions.ordering import OrderTerm
 from lookfuse.functions.rows import ColumnRow
-from lookfuse.functions.template import read_template
+from lookfuse.functions.template import disjuncts, read_template
 from lookfuse.functions.types import common_type, family, is_numeric
 from lookfuse.plans.options import CONDITION_VALUES, Options
 
@@ -62,6 +62,14 @@ class Condition:
     residual: list[Column] = field(default_factory=list)
     residual_columns: set[str] = field(default_factory=set)  # request-side columns the residual reads
     valid: Column | None = None  # over the request side; None when every request is valid
+    arms: list[Condition] = field(default_factory=list)  # the same as a disjunction, each arm with an equality
+
+    @property
+    def whole_test(self) -> Column:
+        """All that has to hold, as one test of a pair."""
+        tests = [e.request == e.lookup for e in self.equalities]
+        tests += [b.test(col(b.column).cast(b.dtype), b.request) for b in self.bounds]
+        return reduce(lambda a, b: a & b, [*tests, *self.lookup_tests, *self.residual])
 
     @property
     def residual_test(self) -> Column | None:
@@ -177,6 +185,8 @@ def build_condition(
     if restriction is not None:
         for item in _conjuncts(side, restriction, value_types, options):
             _add(condition, side, lookup, item, value_types, covered)
+    if isinstance(restriction, str) and not condition.equalities:
+        condition.arms = _arms(side, lookup, restriction, value_types)
 
     nulls_pass = callable(restriction) and options.fields
     if value_types and restriction is not None and not nulls_pass:
@@ -186,6 +196,18 @@ def build_condition(
     return condition
 
 
+def _arms(side, lookup, restriction: str, value_types) -> list[Condition]:
+    """The arms of a disjunction, if each of them has an equality to join by."""
+    texts, arms = disjuncts(restriction), []
+    for text in texts if len(texts) > 1 else []:
+        arm = Condition()
+        _add(arm, side, lookup, (text, None), value_types, set())
+        if not arm.equalities:
+            return []
+        arms.append(arm)
+    return arms
+
+
 def _conjuncts(side, restriction, value_types, options) -> list:
     """Restriction items, each with the request columns it reads (None: found out from the text)."""
     if isinstance(restriction, str):

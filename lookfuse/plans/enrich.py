@@ -40,6 +40,7 @@ from lookfuse.operators.reduce import count_per_key, first_per_key
 from lookfuse.operators.requests import distinct_probes, mark_first, total_order
 from lookfuse.operators.selectors import ColumnSelector, PythonSelector
 from lookfuse.operators.skew import Splitter, find_hot_keys, fits_broadcast, key_hash, too_large_to_broadcast
+from lookfuse.plans.choice import ROW, combine
 from lookfuse.plans.condition import (
     Bound,
     Condition,
@@ -52,16 +53,12 @@ from lookfuse.plans.options import Options, check_column_names
 
 _LIMIT_FIELD = "__limit"
 _MAX_INTERVALS = 1000
-_TEMPLATE = KEY_PREFIX + "template"
-_LOOKUP_TEMPLATE = LOOKUP_KEY_PREFIX + "template"
 _RAW_KEY = "__rqk_raw"
 _FIRST = "__rqk_first"
 
 
 def build(requests: DataFrame, lookup: DataFrame, options: Options) -> DataFrame:
     check_column_names(requests, lookup)
-    if isinstance(options.restriction, Mapping):
-        return _build_choice(requests, lookup, options)
     rows, side, plan = _prepare(requests, lookup, options)
     splitter = Splitter.plan(options.split, requests, lookup, one_group=plan.constant_key)
     if options.duplicates == "first":
@@ -75,65 +72,6 @@ def build(requests: DataFrame, lookup: DataFrame, options: Options) -> DataFrame
     return merge(joined, rows.columns, plan.result_schema, options)
 
 
-def _build_choice(requests: DataFrame, lookup: DataFrame, options: Options) -> DataFrame:
-    """Each request has its own template out of several."""
-    chosen, plans = col(options.template_id), {}
-    for identity, template in options.restriction.items():
-        one = replace(options, restriction=template, template_id=None)
-        rows, side, plans[identity] = _prepare(requests, lookup, one)
-    same_types = len({plan.key_types(side) for plan in plans.values()}) == 1
-    if same_types and all(plan.by_key_alone for plan in plans.values()):
-        splitter = Splitter.plan(options.split, requests, lookup)
-        joined = _by_key_and_template(plans, side, chosen, splitter)
-        return merge(joined, rows.columns, _schema_of(plans), options)
-    branches = []
-    for identity, template in options.restriction.items():
-        one = replace(options, restriction=template, template_id=None)
-        branches.append(build(requests.where(chosen == F.lit(identity)), lookup, one))
-    none = rows.where(chosen.isNull() | ~chosen.isin(list(plans))).select(
-        "*",
-        F.lit(None).cast("boolean").alias(HIT),
-        F.lit(0).cast("bigint").alias(COUNT),
-        *[F.lit(None).cast(f.dataType).alias(LOOKUP_PREFIX + f.name) for f in _schema_of(plans).fields],
-    )
-    branches.append(merge(none, rows.columns, _schema_of(plans), options))
-    return reduce(lambda a, b: a.unionByName(b), branches)
-
-
-def _schema_of(plans: Mapping) -> T.StructType:
-    return next(iter(plans.values())).result_schema
-
-
-def _by_key_and_template(plans: Mapping, side: DataFrame, chosen: Column, splitter: Splitter) -> DataFrame:
-    """Templates that only state equal keys: one pass over the requests, with the template as a further key."""
-    first = next(iter(plans.values()))
-    keys = {identity: plan.request_key_values() for identity, plan in plans.items()}
-
-    def by_template(values: Mapping) -> Column:
-        chain = None
-        for identity, value in values.items():
-            test = chosen == F.lit(identity)
-            chain = F.when(test, value) if chain is None else chain.when(test, value)
-        return chain
-
-    rows = side.select(
-        "*",
-        *[by_template({t: k[i] for t, k in keys.items()}).alias(n) for i, n in enumerate(first.request_keys)],
-        by_template({t: F.lit(i) for i, t in enumerate(plans)}).alias(_TEMPLATE),
-    )
-    picked = [
-        plan.picked_by_key(rows, splitter).withColumn(_LOOKUP_TEMPLATE, F.lit(i))
-        for i, plan in enumerate(plans.values())
-    ]
-    return first._attach(
-        _without_condition_columns(rows),
-        [*first.request_keys, _TEMPLATE],
-        reduce(lambda a, b: a.unionByName(b), picked),
-        [*first.lookup_keys, _LOOKUP_TEMPLATE],
-        splitter,
-    )
-
-
 def _prepare(requests: DataFrame, lookup: DataFrame, options: Options) -> tuple[DataFrame, DataFrame, "_Plan"]:
     """Requests that take part, the same with the columns conditions read, and the plan."""
     parsed = parse_column_names(options.column_names)
@@ -142,14 +80,19 @@ def _prepare(requests: DataFrame, lookup: DataFrame, options: Options) -> tuple[
     payload, payload_columns, order_source = _payload(lookup, parsed, options, keys, selector)
     if keys and options.null_keys == "drop":
         requests = requests.where(reduce(lambda a, b: a & b, [mine.isNotNull() for _, mine, _ in keys]))
-    reads_fields = callable(options.restriction) or (selector is not None and selector.with_request)
+    templates = options.restriction if isinstance(options.restriction, Mapping) else {None: options.restriction}
+    reads_fields = any(callable(t) for t in templates.values()) or (selector is not None and selector.with_request)
     side, value_types = with_condition_columns(requests, options, reads_fields)
-    condition = build_condition(side, lookup, keys, value_types, options.restriction, options)
-    if not condition.equalities and not options.allow_theta:
+    conditions = {i: build_condition(side, lookup, keys, value_types, template, options) for i, template in templates.items()}
+    if not all(c.equalities or c.arms for c in conditions.values()) and not options.allow_theta:
         raise ValueError(
             "The restriction has no equality with a request value, so every request faces the whole lookup; "
             "add one, or say allow_theta=True"
         )
+    condition = conditions[next(iter(conditions))]
+    if isinstance(options.restriction, Mapping):
+        chosen = col(NameIndex.of(requests).find(options.template_id) or options.template_id)
+        condition, lookup = combine(conditions, chosen, side, lookup, options.scope == "any_request")
     plan = _Plan(options, lookup, payload, payload_columns, order_source, condition, selector)
     return requests, side, plan
 
@@ -162,8 +105,6 @@ def needs_micro_batches(requests: DataFrame, lookup: DataFrame, options: Options
     """
     if options.representative or options.duplicates == "first" or options.scope == "any_request":
         return True
-    if isinstance(options.restriction, Mapping):
-        return True
     return not _prepare(requests, lookup, options)[2].can_stream()
 
 
@@ -379,6 +320,11 @@ class _Plan:
         null_safe = [c for c in rows.columns if c in read]
         probe = [*self.request_keys, *bounds, *null_safe]
         present = _all_present(rows, [*self.request_keys, *bounds])
+        if condition.arms:
+            probes = distinct_probes(present, probe)
+            pairs = [self._arm_pairs(number, probes, probe, splitter) for number in range(len(condition.arms))]
+            pairs = reduce(lambda a, b: a.unionByName(b), pairs)
+            return pairs, probe, null_safe, _without_condition_columns(rows, keep=probe)
         lookup = self._reduced_to(rows, self.lookup_side(everything=True))
         pairs, salts = matching_pairs(
             distinct_probes(present, probe),
@@ -393,6 +339,21 @@ class _Plan:
         pairs = pairs.select(*[col(c) for c in [*probe, *salts, *self._payload_columns]])
         return pairs, probe, null_safe, _without_condition_columns(rows, keep=probe)
 
+    def _arm_pairs(self, number: int, probes: DataFrame, probe: list[str], splitter: Splitter) -> DataFrame:
+        """Pairs that one arm of a disjunction finds by its equalities, and none before it."""
+        arms = self.condition.arms
+        keys = [f"{KEY_PREFIX}arm{i}" for i in range(len(arms[number].equalities))]
+        asked = probes.select("*", *[e.request.alias(k) for k, e in zip(keys, arms[number].equalities)])
+        asked = _all_present(asked, keys)
+        lookup_keys = [f"{LOOKUP_KEY_PREFIX}arm{i}" for i in range(len(keys))]
+        lookup = self.lookup_side(everything=True)
+        for test in arms[number].lookup_tests:
+            lookup = lookup.where(test)
+        lookup = _all_present(lookup.select("*", *[e.lookup.alias(k) for k, e in zip(lookup_keys, arms[number].equalities)]), lookup_keys)
+        test = reduce(lambda a, b: a & ~F.coalesce(b, F.lit(False)), [a.whole_test for a in arms[:number]], arms[number].whole_test)
+        pairs, _ = matching_pairs(asked, keys, lookup, lookup_keys, test, splitter)
+        return pairs.select(*[col(c) for c in [*probe, *self._payload_columns]])
+
     def _first(self, candidates: DataFrame, keys: list[str]) -> DataFrame:
         """One row for each key, with a match count if the caller wants one."""
         if self.options.match_count and self.payload.can_take_minimum():
@@ -538,6 +499,9 @@ def _any_request(plan: _Plan, side: DataFrame, splitter: Splitter) -> DataFrame:
         rows = rows.where(col(_FIRST))
     template = replace(condition, equalities=[e for e in condition.equalities if not e.declared])
     admitted = _admitted(plan, template, rows, side, splitter)
+    if ROW in admitted.columns:
+        # A row that several templates admit is there once.
+        admitted = admitted.dropDuplicates([ROW])
     keys_only = replace(
         condition,
         equalities=[e for e in condition.equalities if e.declared],

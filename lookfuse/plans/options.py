@@ -77,11 +77,6 @@ class Options:
         if isinstance(self.restriction, Mapping):
             if not self.restriction or not self.template_id:
                 raise ValueError("A choice of templates needs templates and a `template_id` column")
-            if self.representative or self.duplicates == "first" or self.scope == "any_request":
-                raise ValueError(
-                    "A choice of templates cannot be combined with representative, duplicates='first' "
-                    "or scope='any_request'"
-                )
         elif self.template_id:
             raise ValueError("`template_id` needs a dict of templates as `restriction`")
         if self.scope == "any_request" and not (self.has_keys and self.restriction is not None):

@@ -27,7 +27,6 @@ VALUES = lambda row: {"k": row.k}
         dict(join_key="k", restriction={"a": "a = {k}"}, fields=["k"]),
         dict(join_key="k", restriction={}, fields=["k"], template_id="t"),
         dict(join_key="k", restriction="a = {k}", fields=["k"], template_id="t"),
-        dict(join_key="k", restriction={"a": "a = {k}"}, fields=["k"], template_id="t", representative=["k"]),
         dict(restriction="a = {k}", fields=["k"], scope="any_request"),
         dict(join_key="k", scope="any_request"),
         dict(join_key="k", representative=[]),
