@@ -7,11 +7,13 @@ every task has (FREQUENT at most) has a vector of its own, as have all others of
 bilinear in that and in a vector of the symbol before, plus the log of its share of the class. Only the words beyond
 have the share of their count among the others, one unit being kept for unseen words.
 
-Every task takes the training texts it reads once, whatever its size, through noise-contrastive estimation in numpy, from a common start
-(small random vectors, biases of the symbols' shares), and the tasks' parameters are averaged by their tokens. The
+Texts are cut and numbered once, for learning and for scoring. Training texts are dealt by a hash to learners of about
+LEARNER_TOKENS tokens each, in the order of the hash, so what is learned does not depend on how files or partitions lie. Every
+learner takes its texts once through noise-contrastive estimation in numpy, from a common start
+(small random vectors, biases of the symbols' shares), and the learners' parameters are averaged by their tokens. The
 normaliser depends on the two symbols before only: batched matrix products give it for all pairs of symbols once, and
 every token's log probability is then normalised exactly. Inside a class it depends on the symbol before only, and is
-had in the same way. A word's vector is averaged by how often each task has the word, so a task gives only words it has.
+had in the same way. A word's vector is averaged by how often each learner has the word, so a learner gives only words it has.
 
 Words beyond the most frequent ones are scored by a join with the counts: no single word of them is frequent, so no
 key of that join is hot.
@@ -20,6 +22,7 @@ key of that join is hot.
 from __future__ import annotations
 
 import math
+import re
 import uuid
 import zlib
 from collections import Counter
@@ -27,11 +30,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lookfuse.llm.common import stored, words
+from lookfuse.llm.common import stored
 
 #: Symbols: frequent words, classes of other words, the end. One more, the begin, is only ever a context.
 WORD_SYMBOLS = 383
@@ -46,11 +50,15 @@ DIMENSIONS = 24
 NOISE = 64
 BATCH = 2048
 BUFFER = 1 << 16
+#: Symbols scored at once.
+SCORED = 1 << 16
 RATE = 0.15
 #: Noise words for the words of one class in a buffer.
 INSIDE_NOISE = 32
-#: Distinct words that a task counts before it hands them on.
-HELD_WORDS = 400_000
+#: Tokens of one learner, about.
+LEARNER_TOKENS = 8_000_000
+#: Bytes of text that are cut into words at once.
+HELD_BYTES = 8_000_000
 
 
 def word_class(word: bytes) -> int:
@@ -95,15 +103,15 @@ class Model:
         self.norms = norms
         return self
 
-    def log_probabilities(self, ids: np.ndarray) -> np.ndarray:
-        """Natural log probability of each symbol of a text (its end included) after those before it."""
-        near, far = contexts(ids)
+    def log_probabilities(self, ids: np.ndarray, before=(BEGIN, BEGIN)) -> np.ndarray:
+        """Natural log probability of each symbol of a text (its end included) after those before it; ``before`` are the two before the first."""
+        near, far = contexts(ids, before)
         hidden = self.e[near] * self.c[0] + self.e[far] * self.c[1]
         return np.einsum("ij,ij->i", hidden, self.r[ids], dtype=np.float64) + self.b[ids] - self.norms[far, near]
 
 
-def contexts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    padded = np.concatenate([[BEGIN, BEGIN], ids[:-1]])
+def contexts(ids: np.ndarray, before=(BEGIN, BEGIN)) -> tuple[np.ndarray, np.ndarray]:
+    padded = np.concatenate([before, ids[:-1]])
     return padded[1:], padded[:-1]
 
 
@@ -249,6 +257,12 @@ class Vocabulary:
             symbols[i] = word_class(found[i])
         return places, symbols
 
+    def decode(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(symbol, row inside its class or -1) of each word, from its place or -1 - class."""
+        places = np.where(codes < 0, -1, codes)
+        symbols = np.where(codes < 0, WORD_SYMBOLS - 1 - codes.astype(np.int64), self.symbols[places])
+        return symbols, self.inside(places, symbols)
+
     def inside(self, places: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """The row of each word inside its class; -1 for words that have symbols of their own."""
         return np.where(places < 0, self.other[np.maximum(symbols - WORD_SYMBOLS, 0)], self.rows[places])
@@ -280,58 +294,113 @@ def _texts(docs: DataFrame, *more) -> DataFrame:
     return docs.select(*more, F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
 
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _pieces(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """(numbers, pieces) of texts in order, of about ``HELD_BYTES`` at a time; longer texts are cut at spaces."""
+    numbers, pieces, held = [], [], 0
+    for number, text in enumerate(texts):
+        at = 0
+        while True:
+            cut = _SPACE.search(text, at + HELD_BYTES) if len(text) - at > HELD_BYTES else None
+            end = cut.start() if cut else len(text)
+            numbers.append(number)
+            pieces.append(text[at:end].lower())
+            held += end - at
+            if held >= HELD_BYTES:
+                yield numbers, pieces
+                numbers, pieces, held = [], [], 0
+            if end == len(text):
+                break
+            at = end
+    if pieces:
+        yield numbers, pieces
+
+
+def cut_words(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """For texts of about ``HELD_BYTES`` at a time: the distinct words, each word in order by number, and the number of its text."""
+    for numbers, pieces in _pieces(texts):
+        lists = pc.ascii_split_whitespace(pa.array(pieces, pa.large_binary()).view(pa.large_string()))
+        coded = lists.flatten().dictionary_encode()
+        names = coded.dictionary.view(pa.large_binary()).to_pylist()
+        word, of = coded.indices.to_numpy(), np.repeat(np.array(numbers, np.int64), np.diff(lists.offsets.to_numpy()))
+        if b"" in names:  # space at the ends of a text
+            some = word != names.index(b"")
+            word, of = word[some], of[some]
+        yield names, word, of
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts: summed in each task, then over tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        for batch in batches:
+            for names, word, _ in cut_words(batch.column(0).to_pylist()):
+                counts = np.bincount(word, minlength=len(names))
+                had = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in had.tolist()], pa.binary()), pa.array(counts[had])], names=["word", "n"])
+
+    return _texts(docs).mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], names=["word", "n"])
 
+def encode(source: DataFrame, shared: _Shared) -> DataFrame:
+    """``source`` with, for its text: a row number, each word's place among the frequent ones or -1 - class, and the other words with their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, row = _vocabulary(shared), TaskContext.get().partitionId() << 36
+        get = vocabulary.at.get
         for batch in batches:
-            for text in batch.column(0):
-                held.update(words(text.as_py()))
-                if len(held) > HELD_WORDS:
-                    yield rows()
-                    held.clear()
-        yield rows()
+            codes, rare = [[] for _ in range(batch.num_rows)], [Counter() for _ in range(batch.num_rows)]
+            for names, word, of in cut_words(batch.column(batch.num_columns - 1).to_pylist()):
+                places = np.array([get(name, -1) for name in names], np.int32) if names else np.zeros(0, np.int32)
+                for i in np.flatnonzero(places < 0).tolist():
+                    places[i] = -1 - (word_class(names[i]) - WORD_SYMBOLS)
+                code = places[word]
+                starts = np.flatnonzero(np.diff(of, prepend=-1))
+                for text, part in zip(of[starts].tolist(), np.split(code, starts[1:]) if len(starts) else [], strict=True):
+                    codes[text].append(part)
+                lone = np.flatnonzero(code < 0)
+                for text, number in zip(of[lone].tolist(), word[lone].tolist(), strict=True):
+                    rare[text][names[number]] += 1
+            ends = np.cumsum([0, *(sum(map(len, parts)) for parts in codes)]).astype(np.int32)
+            flat = [part for parts in codes for part in parts]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32)))
+            lone = [pa.array([list(x) for x in rare], pa.list_(pa.binary())), pa.array([list(x.values()) for x in rare], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.arange(row, row + batch.num_rows)), lists, *lone], names=[*batch.schema.names[:-1], *_CODED])
+            row += batch.num_rows
 
-    return _texts(docs).mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("text").schema]
+    return source.mapInArrow(run, ", ".join([*fields, "__row bigint", "__codes array<int>", "__words array<binary>", "__times array<int>"]))
+
+
+_CODED = ["__row", "__codes", "__words", "__times"]
 
 
-def train(docs: DataFrame, shared: _Shared, shares: np.ndarray) -> tuple[Model, Inside]:
-    """The average over tasks of what each learns from its texts: the model, and each word the task has."""
+def train(coded: DataFrame, n_learners: int, shared: _Shared, shares: np.ndarray) -> tuple[Model, Inside]:
+    """The average over learners of what each learns from its texts: the model, and each word the learner has.
+
+    ``coded`` are rows (order, __codes); ``order`` is a hash that tells the learner and a text's turn.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, seed = _vocabulary(shared), TaskContext.get().partitionId()
-        trainer, inner = Trainer(Model.start(shares), shares, seed), InsideTrainer(Inside.start(vocabulary.starts, vocabulary.biases), seed)
-        held, rows, size, total = [], [], 0, 0
+        vocabulary, learner, state = _vocabulary(shared), None, None
         for batch in batches:
-            for text in batch.column(0):
-                places, symbols = vocabulary.encode(words(text.as_py()))
-                held.append(np.append(symbols, END))
-                rows.append(np.append(vocabulary.inside(places, symbols), -1))
-                size += len(held[-1])
-                if size >= BUFFER:
-                    trainer.run(held)
-                    inner.run(held, rows)
-                    held, rows, total, size = [], [], total + size, 0
-        trainer.run(held)
-        inner.run(held, rows)
-        total += size
-        if total:
-            # The model in rows of as many numbers as a vector has, then the vectors of words.
-            flat = np.concatenate([trainer.m.flat(), inner.m.a.ravel()])
-            flat = np.append(flat, np.zeros(-len(flat) % DIMENSIONS)).reshape(-1, DIMENSIONS)
-            had = np.flatnonzero(inner.seen)
-            at, weight = np.concatenate([np.arange(len(flat)), len(flat) + had]), np.concatenate([np.full(len(flat), float(total)), inner.seen[had]])
-            values = np.concatenate([flat, inner.m.r[had]]) * weight[:, None]
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(weight), *(pa.array(v) for v in values.T.copy())], names=["at", "w", *columns])
+            for number, _, codes in zip(*(batch.column(i) for i in range(3)), strict=True):
+                if number.as_py() != learner:
+                    if state is not None:
+                        yield state.learned(columns)
+                    learner = number.as_py()
+                    state = _Learner(vocabulary, shares, learner)
+                state.read(codes.values.to_numpy(zero_copy_only=False))
+        if state is not None:
+            yield state.learned(columns)
 
     columns = [f"v{i}" for i in range(DIMENSIONS)]
-    found = _texts(docs).mapInArrow(run, "at bigint, w double, " + ", ".join(f"{c} double" for c in columns))
-    found = found.groupBy("at").agg(*[(F.sum(c) / F.sum("w")).cast("float").alias(c) for c in columns]).toArrow()
+    dealt = coded.select(F.pmod("order", F.lit(n_learners)).alias("learner"), "order", "__codes")
+    dealt = dealt.repartition(n_learners, "learner").sortWithinPartitions("learner", "order", "__codes")
+    found = dealt.mapInArrow(run, "at bigint, w double, " + ", ".join(f"{c} float" for c in columns))
+    found = found.groupBy("at").agg(*[(F.sum(F.col(c) * F.col("w")) / F.sum("w")).cast("float").alias(c) for c in columns]).toArrow()
     vocabulary = _vocabulary(shared)
     model, inside = Model.start(shares), Inside.start(vocabulary.starts, vocabulary.biases)
     if found.num_rows:
@@ -343,19 +412,54 @@ def train(docs: DataFrame, shared: _Shared, shares: np.ndarray) -> tuple[Model,
     return model.normalise(), inside.normalise()
 
 
-def score(docs: DataFrame, training: DataFrame, keep: list[str] | None = None) -> DataFrame:
+class _Learner:
+    """Both models on their way through one learner's texts."""
+
+    def __init__(self, vocabulary: Vocabulary, shares: np.ndarray, seed: int):
+        self.vocabulary = vocabulary
+        self.trainer = Trainer(Model.start(shares), shares, seed)
+        self.inner = InsideTrainer(Inside.start(vocabulary.starts, vocabulary.biases), seed)
+        self.held, self.rows, self.size, self.total = [], [], 0, 0
+
+    def read(self, codes: np.ndarray) -> None:
+        symbols, rows = self.vocabulary.decode(codes)
+        self.held.append(np.append(symbols, END))
+        self.rows.append(np.append(rows, -1))
+        self.size += len(codes) + 1
+        if self.size >= BUFFER:
+            self._learn()
+
+    def _learn(self) -> None:
+        self.trainer.run(self.held)
+        self.inner.run(self.held, self.rows)
+        self.held, self.rows, self.size, self.total = [], [], 0, self.total + self.size
+
+    def learned(self, columns: list[str]) -> pa.RecordBatch:
+        """The model in rows of as many numbers as a vector has, then the vectors of words, and what each row weighs."""
+        self._learn()
+        flat = np.concatenate([self.trainer.m.flat(), self.inner.m.a.ravel()])
+        flat = np.append(flat, np.zeros(-len(flat) % DIMENSIONS)).reshape(-1, DIMENSIONS)
+        had = np.flatnonzero(self.inner.seen)
+        at, weight = np.concatenate([np.arange(len(flat)), len(flat) + had]), np.concatenate([np.full(len(flat), float(self.total)), self.inner.seen[had]])
+        values = np.concatenate([flat, self.inner.m.r[had]]).astype(np.float32)
+        return pa.RecordBatch.from_arrays([pa.array(at), pa.array(weight), *(pa.array(v) for v in values.T.copy())], names=["at", "w", *columns])
+
+
+def score(docs: DataFrame, training: DataFrame | Column, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (doc_id by default) with n_tokens, n_known, train_tokens, base_score and score for each row.
 
     Tokens are the words of the whole text (A-Z lower-cased) and one end. base_score adds log10((c + 1) / (N + V + 1))
-    over tokens, with c a token's count in ``training``, N and V its tokens and distinct tokens; score adds the
+    over tokens, with c a token's count in ``training`` (a table of texts, or a test of the rows of ``docs`` to learn from,
+    which are then cut into words once for both), N and V its tokens and distinct tokens; score adds the
     model's log10 probabilities. A null or empty text is an end alone. Repeated rows are scored alike; other columns
     don't matter. Without training texts nothing is known and every score still normalises. An empty table gives an
     empty result.
     """
     spark = docs.sparkSession
     keep = ["doc_id"] if keep is None else keep
-    counts = stored(count_words(training), "word-counts")
-    n_texts = training.count()
+    texts = docs.where(training) if isinstance(training, Column) else training
+    counts = stored(count_words(texts), "word-counts")
+    n_texts = texts.count()
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n, v = total + n_texts, distinct + bool(n_texts)
     base_unit = math.log10(n + v + 1)
@@ -382,54 +486,60 @@ def score(docs: DataFrame, training: DataFrame, keep: list[str] | None = None) -
 
     vocabulary = (frequent, frequent_counts, class_counts + class_words + 1.0)
     shared = _Shared(spark, {"vocabulary": vocabulary})
-    model, inside = train(training, shared, shares)
+    order = F.xxhash64(*[F.col(f"`{c}`") for c in keep], "text")
+    learns = training if isinstance(training, Column) else F.lit(False)
+    source = _texts(docs, *[F.col(f"`{c}`") for c in keep], learns.alias("__learns"))
+    source = source.select(*[F.col(f"`{c}`") for c in keep], "__learns", order.alias("order"), "text")
+    coded = stored(encode(source, shared), "lm-coded")
+    if isinstance(training, Column):
+        learning = coded.where("__learns")
+    else:
+        learning = stored(encode(_texts(training).select(F.xxhash64("text").alias("order"), "text"), shared), "lm-coded")
+    model, inside = train(learning.select("order", "__codes"), max(1, round(n / LEARNER_TOKENS)), shared, shares)
     fitted = spark.sparkContext.broadcast((model.flat(), model.norms, inside.a, inside.r, inside.norms))
     end_log = math.log10(n_texts + 1)
-
-    source = _texts(docs, *[F.col(f"`{c}`") for c in keep])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("text").schema]
-    names = [*keep, "__row", "n_tokens", "__known", "__base", "__score", "__words", "__times"]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in coded.select(*[F.col(f"`{c}`") for c in keep]).schema]
+    names = [*keep, "__row", "n_tokens", "__known", "__base", "__score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared)
         lbl = Model.unflat(fitted.value[0])
         inner = Inside(*fitted.value[2:4], vocabulary.starts, vocabulary.biases)
         lbl.norms, inner.norms = fitted.value[1], fitted.value[4]
-        row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            values, rare = [], []
-            for text in batch.column(len(keep)):
-                found = words(text.as_py())
-                places, symbols = vocabulary.encode(found)
-                ids = np.append(symbols, END)
-                outside = np.flatnonzero(symbols >= WORD_SYMBOLS)
-                classes = symbols[outside] - WORD_SYMBOLS
-                within = inner.log_probabilities(contexts(ids)[0][outside], vocabulary.inside(places, symbols)[outside], classes)
-                logs = vocabulary.log_counts[places]
-                lone = Counter(found[i] for i in np.flatnonzero(places < 0).tolist())
-                rare.append(lone)
-                model_score = (lbl.log_probabilities(ids).sum() + within.sum()) / math.log(10) - vocabulary.log_rest[classes[places[outside] < 0]].sum()
-                values.append((row, len(ids), int((places >= 0).sum()) + (n_texts > 0), logs.sum() + end_log - len(ids) * base_unit, model_score))
-                row += 1
-            columns = list(zip(*values, strict=True)) if values else [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:-1], *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True)),
-                    pa.array([list(x) for x in rare], pa.list_(pa.binary())), pa.array([list(x.values()) for x in rare], pa.list_(pa.int32())),
-                ],
-                names=names,
-            )
-
-    schema = ", ".join([*fields, "__row bigint", "n_tokens bigint", "__known bigint", "__base double", "__score double", "__words array<binary>", "__times array<int>"])
-    rows = stored(source.mapInArrow(run, schema), "lm-rows")
+            values = []
+            for codes in batch.column(len(keep) + 1):
+                codes = codes.values.to_numpy(zero_copy_only=False)
+                symbols, rows = vocabulary.decode(codes)
+                total = 0.0
+                for first in range(0, len(symbols) + 1, SCORED):
+                    # A long text goes in stretches, each with the two symbols before it.
+                    before = np.concatenate([[BEGIN, BEGIN], symbols[max(first - 2, 0) : first]])[-2:]
+                    ids = symbols[first : first + SCORED]
+                    ids = np.append(ids, END) if first + SCORED > len(symbols) else ids
+                    total += lbl.log_probabilities(ids, before).sum()
+                    outside = np.flatnonzero((ids >= WORD_SYMBOLS) & (ids != END))
+                    near = contexts(ids, before)[0][outside]
+                    total += inner.log_probabilities(near, rows[first:][outside], ids[outside] - WORD_SYMBOLS).sum()
+                unseen = codes < 0
+                model_score = total / math.log(10) - vocabulary.log_rest[-1 - codes[unseen]].sum()
+                logs = vocabulary.log_counts[np.where(unseen, -1, codes)].sum()
+                size = len(codes) + 1
+                values.append((size, int((~unseen).sum()) + (n_texts > 0), logs + end_log - size * base_unit, model_score))
+            columns = list(zip(*values, strict=True)) if values else [[]] * 4
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=names)
+
+    schema = ", ".join([*fields, "__row bigint", "n_tokens bigint", "__known bigint", "__base double", "__score double"])
+    scored = coded.select(*[F.col(f"`{c}`") for c in keep], "__row", "__codes").mapInArrow(run, schema)
+    rows = coded.select("__row", "__words", "__times")
     pairs = rows.select("__row", F.explode(F.arrays_zip(F.col("__words").alias("word"), F.col("__times").alias("times"))).alias("x")).select("__row", "x.word", "x.times")
     extra = (
         pairs.join(counts.where(step < least), "word")
         .groupBy("__row")
         .agg(F.sum("times").alias("__more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("__logs"))
     )
-    out = rows.drop("__words", "__times").join(extra, "__row", "left")
+    out = scored.join(extra, "__row", "left")
     more, logs = F.coalesce("__more", F.lit(0)), F.coalesce("__logs", F.lit(0.0))
     return out.select(
         *[F.col(f"`{c}`") for c in keep], "n_tokens", (F.col("__known") + more).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),

@@ -68,7 +68,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents under a model of those that are not held out."""
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id"), 7, 2))
-    return lm.score(docs, docs.where(~F.col("held_out")), keep=["doc_id", "held_out"])
+    return lm.score(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
 
 
 @_query

@@ -122,27 +122,30 @@ def test_left_out_head_and_body_tags(start):
 
 
 def test_lm_reads_every_text_once(spark, monkeypatch):
-    from pyspark import TaskContext
-
     read = []
     monkeypatch.setattr(lm.Trainer, "run", lambda self, texts: read.append(sum(map(len, texts))))
     monkeypatch.setattr(lm.InsideTrainer, "run", lambda self, texts, rows: None)
-    monkeypatch.setattr(TaskContext, "get", classmethod(lambda cls: type("Task", (), {"partitionId": lambda self: 0})()))
     caught = []
 
     class Frame:
+        """Dealt and sorted as Spark would: two learners' texts, one after the other."""
+
         def select(self, *_):
             return self
 
+        repartition = sortWithinPartitions = select
+
         def mapInArrow(self, run, schema):
             import pyarrow as pa
 
-            list(run(iter([pa.RecordBatch.from_arrays([pa.array([b"one two three"] * 10)], names=["text"])])))
+            codes = pa.array([[0, 1, -3]] * 10, pa.list_(pa.int32()))
+            batch = pa.RecordBatch.from_arrays([pa.array([0] * 4 + [1] * 6, pa.int64()), pa.array(range(10)), codes], names=["learner", "order", "__codes"])
+            assert len(list(run(iter([batch.slice(0, 3), batch.slice(3)])))) == 2
             caught.append(True)
             raise StopIteration
 
     _, vocabulary = _inside()
     monkeypatch.setattr(lm, "_vocabulary", lambda shared: vocabulary)
     with pytest.raises(StopIteration):
-        lm.train(Frame(), None, np.full(lm.SYMBOLS, 1 / lm.SYMBOLS))
+        lm.train(Frame(), 2, None, np.full(lm.SYMBOLS, 1 / lm.SYMBOLS))
     assert caught and sum(read) == 40

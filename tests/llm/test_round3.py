@@ -262,3 +262,101 @@ def test_term_lists_cut_at_spaces_only():
         for size in (1, 2, 7, 1000):
             assert [t for found in common.term_lists(text, table, size) for t in found] == whole
     assert list(common.term_lists(None, table)) == []
+
+
+# Language model.
+
+
+def _model_rows(spark, docs, monkeypatch, partitions):
+    from lookfuse.llm import lm
+
+    caught, train = {}, lm.train
+
+    def catching(coded, n_learners, shared, shares):
+        caught["fitted"] = train(coded, n_learners, shared, shares)
+        caught["vocabulary"] = lm._vocabulary(shared)
+        return caught["fitted"]
+
+    monkeypatch.setattr(lm, "train", catching)
+    monkeypatch.setattr(lm, "LEARNER_TOKENS", 4000)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(partitions, "doc_id")
+    rows = {r.doc_id: r for r in lm.score(frame, F.col("doc_id") % 7 != 2).collect()}
+    monkeypatch.undo()
+    return rows, caught
+
+
+def _prose(seed, n):
+    pick = random.Random(seed)
+    words = [f"w{int(pick.paretovariate(0.6)) % 3000}" for _ in range(4000)] + ["É", "日本"]
+    return [(i, " ".join(pick.choice(words) for _ in range(pick.choice([0, 1, 30, 120])))) for i in range(n)]
+
+
+def test_lm_is_the_same_in_any_layout(spark, monkeypatch):
+    docs = _prose(1, 300)
+    want, _ = _model_rows(spark, docs, monkeypatch, 1)
+    for partitions in (8, 32):
+        got, _ = _model_rows(spark, docs, monkeypatch, partitions)
+        assert got.keys() == want.keys()
+        for k, r in got.items():
+            assert (r.n_tokens, r.n_known, r.train_tokens) == (want[k].n_tokens, want[k].n_known, want[k].train_tokens)
+            assert abs(r.score - want[k].score) <= 1e-4 * abs(want[k].score) and abs(r.base_score - want[k].base_score) < 1e-6
+
+
+def test_lm_scores_by_both_softmaxes(spark, monkeypatch):
+    """A text's score reckoned word by word from the fitted vectors: symbols over all symbols, words over their class."""
+    import numpy as np
+
+    from lookfuse.llm import lm
+
+    docs = _prose(2, 200)
+    monkeypatch.setattr(lm, "FREQUENT", 900)
+    rows, caught = _model_rows(spark, docs, monkeypatch, 4)
+    (model, inside), vocabulary = caught["fitted"], caught["vocabulary"]
+    counts = Counter(w for k, t in docs if k % 7 != 2 for w in t.split())
+    checked = 0
+    for k, text in docs[:40]:
+        found, before, total = text.split(), [lm.BEGIN, lm.BEGIN], 0.0
+        for word in [*found, None]:
+            encoded = None if word is None else word.encode()
+            place = vocabulary.at.get(encoded, -1) if encoded else -1
+            symbol = lm.END if word is None else place if 0 <= place < lm.WORD_SYMBOLS else lm.word_class(encoded)
+            hidden = model.e[before[1]] * model.c[0] + model.e[before[0]] * model.c[1]
+            scores = (model.r @ hidden + model.b).astype(float)
+            total += scores[symbol] - math.log(np.exp(scores).sum())
+            if word is not None and symbol >= lm.WORD_SYMBOLS:
+                block = slice(vocabulary.starts[symbol - lm.WORD_SYMBOLS], vocabulary.starts[symbol - lm.WORD_SYMBOLS + 1])
+                scores = (inside.r[block] @ inside.a[before[1]] + vocabulary.biases[block]).astype(float)
+                row = vocabulary.rows[place] if place >= 0 else block.stop - 1
+                total += scores[row - block.start] - math.log(np.exp(scores).sum())
+                if place < 0:
+                    total += math.log(counts[word] + 1) - vocabulary.log_rest[symbol - lm.WORD_SYMBOLS] * math.log(10)
+                    checked += 1
+            before = [before[1], symbol]
+        assert abs(rows[k].score - total / math.log(10)) < 1e-3 * max(1, abs(rows[k].score))
+    assert checked > 50
+
+
+def test_lm_cuts_long_texts_anywhere(monkeypatch):
+    from lookfuse.llm import lm
+
+    pick = random.Random(4)
+    texts = ["".join(pick.choice(["a", "B", "é", " ", "\n", " ", "\t", "\u0000"]) for _ in range(pick.randrange(40))).encode() for _ in range(60)]
+    for size in (1, 7, 10**6):
+        monkeypatch.setattr(lm, "HELD_BYTES", size)
+        got = [[] for _ in texts]
+        for names, word, of in lm.cut_words(texts):
+            for n, i in zip(of.tolist(), word.tolist(), strict=True):
+                got[n].append(names[i])
+        assert got == [t.lower().split() for t in texts]
+
+
+def test_lm_scores_long_texts_in_stretches(spark, monkeypatch):
+    import numpy as np
+
+    from lookfuse.llm import lm
+
+    model = lm.Model.start(np.full(lm.SYMBOLS, 1 / lm.SYMBOLS)).normalise()
+    ids = np.append(np.random.default_rng(1).integers(0, lm.END, 50), lm.END)
+    whole = model.log_probabilities(ids).sum()
+    parts = sum(model.log_probabilities(ids[i : i + 7], np.concatenate([[lm.BEGIN] * 2, ids[max(i - 2, 0) : i]])[-2:]).sum() for i in range(0, len(ids), 7))
+    assert abs(whole - parts) < 1e-6
