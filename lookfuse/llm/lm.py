@@ -55,10 +55,12 @@ SCORED = 1 << 16
 RATE = 0.15
 #: Noise words for the words of one class in a buffer.
 INSIDE_NOISE = 32
+_LOG_INSIDE = np.float32(math.log(INSIDE_NOISE))
 #: Tokens of one learner, about.
 LEARNER_TOKENS = 8_000_000
-#: Bytes of text that are cut into words at once.
+#: Bytes of text that are cut into words at once, and texts.
 HELD_BYTES = 8_000_000
+HELD_TEXTS = 1000
 
 
 def word_class(word: bytes) -> int:
@@ -107,7 +109,16 @@ class Model:
         """Natural log probability of each symbol of a text (its end included) after those before it; ``before`` are the two before the first."""
         near, far = contexts(ids, before)
         hidden = self.e[near] * self.c[0] + self.e[far] * self.c[1]
-        return np.einsum("ij,ij->i", hidden, self.r[ids], dtype=np.float64) + self.b[ids] - self.norms[far, near]
+        return np.einsum("ij,ij->i", hidden, self.r[ids]).astype(np.float64) + self.b[ids] - self.norms[far, near]
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), in place."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def contexts(ids: np.ndarray, before=(BEGIN, BEGIN)) -> tuple[np.ndarray, np.ndarray]:
@@ -125,22 +136,26 @@ class Trainer:
 
     @staticmethod
     def _gather(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-        wide = rows.shape[1]
-        flat = (at[:, None] * wide + np.arange(wide)).ravel()
-        return np.bincount(flat, rows.ravel(), size * wide).reshape(size, wide).astype(np.float32)
+        """Sums of the rows that go to each place."""
+        order = np.argsort(at.astype(np.int16), kind="stable")
+        sorted_at = at[order]
+        first = np.flatnonzero(np.concatenate([[True], sorted_at[1:] != sorted_at[:-1]]))
+        out = np.zeros((size, rows.shape[1]), np.float32)
+        out[sorted_at[first]] = np.add.reduceat(rows[order], first)
+        return out
 
     def step(self, near: np.ndarray, far: np.ndarray, target: np.ndarray) -> None:
         m, n = self.m, len(target)
         noise = np.minimum(np.searchsorted(self.noise, self.rng.random(NOISE)), SYMBOLS - 1)
         e_near, e_far, r_target, r_noise = m.e[near], m.e[far], m.r[target], m.r[noise]
         hidden = e_near * m.c[0] + e_far * m.c[1]
-        right = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", hidden, r_target) + m.b[target] - self.log_noise[target], -30, 30)))
-        wrong = -1 / (1 + np.exp(-np.clip(hidden @ r_noise.T + (m.b[noise] - self.log_noise[noise]), -30, 30)))
+        right = _sigmoid(self.log_noise[target] - m.b[target] - np.einsum("ij,ij->i", hidden, r_target))
+        wrong = -_sigmoid(hidden @ r_noise.T + (m.b[noise] - self.log_noise[noise]))
         g_hidden = right[:, None] * r_target + wrong @ r_noise
         g_r = self._gather(target, right[:, None] * hidden, SYMBOLS)
         np.add.at(g_r, noise, wrong.T @ hidden)
         g_b = np.bincount(target, right, SYMBOLS) + np.bincount(noise, wrong.sum(0), SYMBOLS)
-        g_e = self._gather(np.concatenate([near, far]), np.concatenate([g_hidden * m.c[0], g_hidden * m.c[1]]), SYMBOLS + 1)
+        g_e = self._gather(near, g_hidden * m.c[0], SYMBOLS + 1) + self._gather(far, g_hidden * m.c[1], SYMBOLS + 1)
         g_c = np.stack([(g_hidden * e_near).sum(0), (g_hidden * e_far).sum(0)])
         for value, total, gradient in zip((m.e, m.r, m.c, m.b), self.sums, (g_e, g_r, g_c, g_b.astype(np.float32)), strict=True):
             gradient /= n
@@ -183,7 +198,7 @@ class Inside:
 
     def log_probabilities(self, near: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """Natural log probability of each row in its class after the symbol before."""
-        return np.einsum("ij,ij->i", self.a[near], self.r[rows], dtype=np.float64) + self.biases[rows] - self.norms[near, classes]
+        return np.einsum("ij,ij->i", self.a[near], self.r[rows]).astype(np.float64) + self.biases[rows] - self.norms[near, classes]
 
 
 class InsideTrainer:
@@ -202,14 +217,14 @@ class InsideTrainer:
         noise = np.minimum(np.searchsorted(self.noise, before + self.rng.random(INSIDE_NOISE) * (self.noise[end - 1] - before)), end - 1)
         hidden, r_target, r_noise = m.a[near], m.r[rows], m.r[noise]
         # Noise has the shares that are the biases, so they cancel.
-        right = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", hidden, r_target) - math.log(INSIDE_NOISE), -30, 30)))
-        wrong = -1 / (1 + np.exp(-np.clip(hidden @ r_noise.T - math.log(INSIDE_NOISE), -30, 30)))
+        right = _sigmoid(_LOG_INSIDE - np.einsum("ij,ij->i", hidden, r_target))
+        wrong = -_sigmoid(hidden @ r_noise.T - _LOG_INSIDE)
         g_r = np.zeros((end - first, DIMENSIONS), np.float32)
-        runs = np.flatnonzero(np.diff(rows, prepend=-1))
+        runs = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
         g_r[rows[runs] - first] = np.add.reduceat(right[:, None] * hidden, runs)
         np.add.at(g_r, noise - first, (wrong.T @ hidden).astype(np.float32))
         g_a = Trainer._gather(near, right[:, None] * r_target + wrong @ r_noise, SYMBOLS + 1)
-        self.seen[rows[runs]] += np.diff(runs, append=len(rows))
+        self.seen[rows[runs]] += np.append(runs[1:], len(rows)) - runs
         for value, total, gradient in ((m.a, self.sums[0], g_a), (m.r[first:end], self.sums[1][first:end], g_r)):
             total += gradient * gradient
             value += RATE * gradient / np.sqrt(total)
@@ -331,11 +346,17 @@ def cut_words(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray, np.
         yield names, word, of
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for start in range(0, whole.num_rows, HELD_TEXTS):
+            yield whole.slice(start, HELD_TEXTS)
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts: summed in each task, then over tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             for names, word, _ in cut_words(batch.column(0).to_pylist()):
                 counts = np.bincount(word, minlength=len(names))
                 had = np.flatnonzero(counts)
@@ -350,7 +371,7 @@ def encode(source: DataFrame, shared: _Shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, row = _vocabulary(shared), TaskContext.get().partitionId() << 36
         get = vocabulary.at.get
-        for batch in batches:
+        for batch in _slices(batches):
             codes, rare = [[] for _ in range(batch.num_rows)], [Counter() for _ in range(batch.num_rows)]
             for names, word, of in cut_words(batch.column(batch.num_columns - 1).to_pylist()):
                 places = np.array([get(name, -1) for name in names], np.int32) if names else np.zeros(0, np.int32)
