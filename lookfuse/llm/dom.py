@@ -32,6 +32,13 @@ CLOSES = {
     "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"}),
 }
 P_BOUNDS = {"td", "th", "caption", "table", "body", "html"}
+# Searches for an open element: what is sought, and beyond what not. Each tag with the searches it counts for.
+_SEARCHES = {"p": ({"p"}, P_BOUNDS), **CLOSES}
+_COUNTS_FOR = {
+    tag: [(name, tag in bounds) for name, (sought, bounds) in _SEARCHES.items() if tag in sought or tag in bounds]
+    for sought, bounds in _SEARCHES.values()
+    for tag in sought | bounds
+}
 
 # Words in class, id and role attributes, by what they tell.
 HINTS = {
@@ -47,6 +54,7 @@ HINTS = {
     "form": "contact field form input login password register search searchbox".split(),
 }
 HINT_NAMES = list(HINTS)
+_ADVERT = HINT_NAMES.index("advert")
 _HINT_OF = {word: [i for i, n in enumerate(HINT_NAMES) if word in HINTS[n]] for words in HINTS.values() for word in words}
 TAG_GROUPS = [
     {"nav", "menu"}, {"header", "hgroup"}, {"footer"}, {"aside"}, {"form", "fieldset"}, {"article"}, {"main"}, {"section"}, {"div", "center"},
@@ -55,9 +63,10 @@ TAG_GROUPS = [
 ]
 _TAG_GROUP = {tag: [i for i, g in enumerate(TAG_GROUPS) if tag in g] for group in TAG_GROUPS for tag in group}
 
-_TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>", re.S)
-_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?")
-_ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+# Possessive, so that what doesn't match is seen in one pass.
+_TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)([^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+)>", re.S)
+_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>?")
+_ATTRIBUTE = re.compile(r"""(?<![-\w:.])([a-zA-Z_:][-\w:.]*+)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""")
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
@@ -76,7 +85,8 @@ COUNTED = [{"p"}, {"li"}, {"a"}, {"input", "button", "select", "textarea", "labe
 _COUNTED = {tag: i for i, group in enumerate(COUNTED) for tag in group}
 
 
-def _attributes(raw: str) -> tuple[set[int], bool, int]:
+def _attributes(raw: str, labelled: bool) -> tuple[set[int], bool, int]:
+    """(hints, whether hidden, label); only training pages carry labels."""
     hints, hidden, label = set(), False, -1
     for name, a, b, c in _ATTRIBUTE.findall(raw):
         value, name = a or b or c, name.lower()
@@ -87,15 +97,20 @@ def _attributes(raw: str) -> tuple[set[int], bool, int]:
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
         elif name == "aria-hidden":
             hidden |= value.lower() == "true"
-        elif name == "data-truth":
+        elif labelled and name == "data-truth":
             label = int(value)
     return hints, hidden or bool(re.search(r"(?:^|\s)hidden(?=\s|=|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", raw), re.I)), label
 
 
 class Page:
-    """The nodes of a page in order, and its blocks: (node, text) of runs of text between block boundaries."""
+    """The nodes of a page in order, and its blocks: (node, text) of runs of text between block boundaries.
+
+    An inline element with telling attributes is a node, for features, but ends no block: its text belongs to the block it
+    stands in, unless it is hidden or an advert there. ``labelled``: read the marks of training pages.
+    """
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, labelled: bool = False):
+        self.labelled = labelled
         self.nodes = [Node("html", None, set(), False, 1)]
         self.blocks: list[tuple[int, str]] = []
         self.numbers = {id(self.nodes[0]): 0}
@@ -103,38 +118,81 @@ class Page:
         self._read(source)
 
     def _flush(self) -> None:
-        """Ends a block. Text of different nodes inside one block stays apart only if the nodes differ."""
+        """Ends a block."""
         run, self._run = self._run, []
-        i = 0
+        i, inside = 0, []
         while i < len(run):
             k = i
             while k < len(run) and run[k][0] is run[i][0]:
                 k += 1
-            text = " ".join("".join(x[1] for x in run[i:k]).split())
+            raw = "".join(x[1] for x in run[i:k])
+            inside.append((run[i][0], raw))
+            text = " ".join(raw.split())
             if text:
                 node = run[i][0]
-                self.blocks.append((self.numbers[id(node)], text))
                 node.blocks += 1
                 node.chars += len(text)
                 node.words += text.count(" ") + 1
                 node.stops += text.count(". ") + text.endswith((".", "!", "?", "…"))
                 node.marks += text.count(",") + text.count("©") + text.count("|")
             i = k
+        owners = {id(node): node for node, raw in inside if not raw.isspace()}
+        if len(owners) > 1:
+            block = inside[0][0]
+            while block.tag in INLINE and block.parent:
+                block = block.parent
+            inside = [(node, raw) for node, raw in inside if node is block or not self._left_out(node, block)]
+        elif owners:
+            (block,) = owners.values()
+        text = " ".join("".join(raw for _, raw in inside).split())
+        if text:
+            self.blocks.append((self.numbers[id(block)], text))
+
+    @staticmethod
+    def _left_out(node: Node, block: Node) -> bool:
+        while node is not block and node.parent:
+            if node.hidden or (node.tag in INLINE and _ADVERT in node.hints):
+                return True
+            node = node.parent
+        return False
 
     def _read(self, source: str) -> None:
         # The stack holds (tag, node that text goes to).
         stack: list[tuple[str, Node]] = [("html", self.nodes[0])]
         at, size, links, unseen = 0, len(source), 0, 0
+        # Open elements by tag, and those each search could find before its bound: no walk over the stack finds nothing.
+        opened: dict[str, int] = {}
+        findable = {name: [0] for name in _SEARCHES}
+        heads: list[int] = []
 
         def close(to: int) -> None:
             nonlocal links, unseen
-            for tag, _ in stack[to:]:
+            for tag, _ in reversed(stack[to:]):
                 links -= tag == "a"
                 unseen -= tag in UNSEEN
+                opened[tag] -= 1
+                if tag == "head":
+                    heads.pop()
+                for name, bounds in _COUNTS_FOR.get(tag, ()):
+                    if bounds:
+                        findable[name].pop()
+                    else:
+                        findable[name][-1] -= 1
                 if tag not in INLINE:
                     self._flush()
             del stack[to:]
 
+        def push(tag: str, node: Node) -> None:
+            stack.append((tag, node))
+            opened[tag] = opened.get(tag, 0) + 1
+            if tag == "head":
+                heads.append(len(stack) - 1)
+            for name, bounds in _COUNTS_FOR.get(tag, ()):
+                if bounds:
+                    findable[name].append(0)
+                else:
+                    findable[name][-1] += 1
+
         def text(raw: str) -> None:
             if stack[-1][0] == "head" and not raw.isspace() and raw:
                 close(len(stack) - 1)
@@ -162,35 +220,26 @@ class Page:
                 continue
             tag, raw = found[2].lower(), found[3]
             if found[1]:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        close(i)
-                        break
+                if opened.get(tag):
+                    close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag))
                 continue
             # The end of a head may be left out: at <body>, text, or a tag that can't stand in a head.
-            if tag not in IN_HEAD and any(x == "head" for x, _ in stack) and (tag == "body" or stack[-1][0] == "head"):
-                close(next(i for i, x in enumerate(stack) if x[0] == "head"))
+            if tag not in IN_HEAD and heads and (tag == "body" or stack[-1][0] == "head"):
+                close(heads[0])
             if tag in ("html", "body"):
-                hints, hidden, label = _attributes(raw)
+                hints, hidden, label = _attributes(raw, self.labelled)
                 stack[0][1].hints |= hints
                 continue
-            if tag in CLOSES_P:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in P_BOUNDS:
-                        break
-                    if stack[i][0] == "p":
-                        close(i)
-                        break
-            elif tag in CLOSES:
-                ends, bounds = CLOSES[tag]
-                lowest = None
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in bounds:
-                        break
-                    if stack[i][0] in ends:
-                        lowest = i
-                if lowest is not None:
-                    close(lowest)
+            search = "p" if tag in CLOSES_P else tag if tag in CLOSES else None
+            if search and findable[search][-1]:
+                sought, bounds = _SEARCHES[search]
+                lowest, i = None, len(stack) - 1
+                left = 1 if search == "p" else findable[search][-1]
+                while left:
+                    if stack[i][0] in sought:
+                        lowest, left = i, left - 1
+                    i -= 1
+                close(lowest)
             here = stack[-1][1]
             if tag in _COUNTED and not unseen:
                 here.counts[_COUNTED[tag]] += 1
@@ -202,13 +251,13 @@ class Page:
                 continue
             node = here
             if not unseen and tag not in UNSEEN:
-                hints, hidden, label = _attributes(raw) if raw.strip(" /") else (set(), False, -1)
+                hints, hidden, label = _attributes(raw, self.labelled) if raw.strip(" /") else (set(), False, -1)
                 if tag not in INLINE or hidden or (hints and tag != "a" and min(hints) > 0):
                     node = Node(tag, here, hints, hidden, label)
                     here.children.append(node)
                     self.numbers[id(node)] = len(self.nodes)
                     self.nodes.append(node)
-            stack.append((tag, node))
+            push(tag, node)
             links += tag == "a"
             unseen += tag in UNSEEN
             if tag in RAW:

@@ -27,7 +27,7 @@ NODES = 20_000
 def train(pages: int = TRAINING_PAGES, seed: int = SEED) -> boosting.BoostedTrees:
     layouts, rows, labels = Layouts(seed), [], []
     for _ in range(pages):
-        page = dom.Page(layouts.page())
+        page = dom.Page(layouts.page(), labelled=True)
         rows.append(dom.features(page))
         labels.extend(n.label for n in page.nodes)
     y = np.array(labels)
@@ -62,7 +62,7 @@ def extract(pages: DataFrame, html: str = "html", keep: list[str] | None = None)
 
     The text is that of the article, without menus, headers, footers, sidebars, notices, adverts, forms, scripts,
     styles and comments; references are decoded and white space in a block is one space. A null or empty page, or one
-    without an article, has an empty text. Repeated rows get equal texts; other columns don't matter; an empty table
+    without an article, has an empty text. Very long pages are read whole, in time that grows with their length. Repeated rows get equal texts; other columns don't matter; an empty table
     gives an empty result.
     """
     keep = ["page_id", "url"] if keep is None else keep
