@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from lookfuse.functions.keys import cache_key, row_key
 from lookfuse.operators.collect import group_rows
-from lookfuse.operators.selectors import ColumnSelector, PythonSelector
+from lookfuse.operators.selectors import ColumnSelector, PythonSelector, StreamSelector
 from lookfuse.plans.enrich import build
 from lookfuse.plans.options import Options
 from lookfuse.presets import KeyedEnrichment, LookupHandler
@@ -22,6 +22,7 @@ __all__ = [
     "KeyedEnrichment",
     "LookupHandler",
     "PythonSelector",
+    "StreamSelector",
     "cache_key",
     "enrich",
     "enrich_stream",
@@ -60,7 +61,7 @@ def enrich(requests: DataFrame, lookup: DataFrame | str, **options) -> DataFrame
 
     Picking
         ``select``: ``"first"``; an order such as ``["ts desc", "id"]``; a function of an array column (and the
-        request struct) or a :class:`ColumnSelector`; or a :class:`PythonSelector`. Names are output names.
+        request struct) or a :class:`ColumnSelector`; a :class:`PythonSelector`, or a :class:`StreamSelector` for groups of any size. Names are output names.
 
     Output
         ``column_names``: lookup columns with optional aliases; all by default. ``primary_keys`` are added.

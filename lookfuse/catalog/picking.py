@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lookfuse import ColumnSelector, KeyedEnrichment, LookupHandler, PythonSelector, enrich
+from lookfuse import ColumnSelector, KeyedEnrichment, LookupHandler, PythonSelector, StreamSelector, enrich
 from lookfuse.catalog.registry import query
 from lookfuse.catalog.shared import EVENTS_SQL, event_requests, missing_sql, status_sql, with_missing
 
@@ -94,6 +94,50 @@ def select_python_fallback(t):
     return _customer_to_orders(t, PythonSelector(_last_of_few))
 
 
+def _reached_sql(limit: str) -> str:
+    return _picked_sql(
+        "o_orderdate, o_orderkey",
+        f"""o_orderkey IN (
+            SELECT o_orderkey FROM (
+                SELECT o_orderkey, o_custkey AS k, sum(CAST(round(o_totalprice * 100) AS BIGINT)) OVER
+                    (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS total FROM orders)
+            JOIN customer ON c_custkey = k WHERE total > {limit})""",
+    )
+
+
+_IN_TIME = ["o_orderdate", "o_orderkey"]
+
+
+@query(_reached_sql("100000000"))
+def select_streamed(t):
+    """The order with which a customer's total reaches a million; none if it does not."""
+
+    def reached(rows):
+        total = 0
+        for row in rows:
+            total += round(row["o_totalprice"] * 100)
+            if total > 100_000_000:
+                return row
+        return {}
+
+    return _customer_to_orders(t, StreamSelector(reached, order=_IN_TIME))
+
+
+@query(_reached_sql("CAST(c_acctbal AS BIGINT) * 20000"))
+def select_streamed_with_request(t):
+    """The same with a limit of the customer's own."""
+
+    def reached(rows, request):
+        total = 0
+        for row in rows:
+            total += round(row.o_totalprice * 100)
+            if total > round(request.c_acctbal) * 20_000:
+                return row
+        return None
+
+    return _customer_to_orders(t, StreamSelector(reached, order=_IN_TIME, rows_as="row"))
+
+
 @query(_picked_sql("o_orderkey", "o_orderstatus = 'P'"))
 def select_declined(t):
     def first_pending(rows):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import inspect
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -97,16 +97,7 @@ class PythonSelector:
             if not rows:
                 return None
             offered = rows if as_dict else [Row(**r) for r in rows]
-            try:
-                chosen = fn(offered, *[Row(**r) for r in request])
-            except Exception:
-                chosen = offered[0]
-            if chosen is None:
-                chosen = offered[0] if none_first else {}
-            elif not isinstance(chosen, (Mapping, Row)):
-                chosen = offered[0]
-            values = chosen.asDict() if isinstance(chosen, Row) else chosen
-            return {n: values.get(n) for n in names} if values else None
+            return outcome(lambda: fn(offered, *[Row(**r) for r in request]), offered[0], names, none_first)
 
         def pick_all(groups: pa.Array, *requests: pa.Array) -> pa.Array:
             columns = [c.to_pylist() for c in (groups, *requests)]
@@ -114,3 +105,58 @@ class PythonSelector:
 
         # Whole groups travel as Arrow lists; rows become dicts at once, without one pickle for each.
         return F.arrow_udf(pick_all, result)
+
+
+@dataclass(frozen=True)
+class StreamSelector:
+    """``fn(rows[, request])`` as a Python function over an iterator of rows, in the stated ``order``.
+
+    For choices that need a key's rows one after the other and can do so without holding them: running totals, the first
+    change, the longest stretch. Rows and request are as for :class:`PythonSelector`, and so is what comes of raising, of an
+    empty dict and of ``None``. A function may stop early. No group becomes a list, so its size is bounded by nothing but time.
+    """
+
+    fn: Callable[..., Any]
+    order: Sequence[str] = ()
+    rows_as: str = "dict"
+    none_means: str = "decline"
+    schema: T.StructType | None = None
+    decomposable = False
+
+    def __post_init__(self):
+        if self.rows_as not in ("dict", "row"):
+            raise ValueError("rows_as must be 'dict' or 'row'")
+        if self.none_means not in ("decline", "first"):
+            raise ValueError("none_means must be 'decline' or 'first'")
+
+    @property
+    def with_request(self) -> bool:
+        return takes_request(self.fn)
+
+    def result_type(self, schema: T.StructType) -> T.StructType:
+        return self.schema or schema
+
+    def picker(self, schema: T.StructType) -> Callable[..., dict | None]:
+        """``pick(first row, iterator of all rows[, request])``."""
+        fn, as_dict, none_first = self.fn, self.rows_as == "dict", self.none_means == "first"
+        names = self.result_type(schema).names
+
+        def pick(first: dict, rows: Iterator[dict], *request: dict) -> dict | None:
+            offered = rows if as_dict else (Row(**r) for r in rows)
+            return outcome(lambda: fn(offered, *[Row(**r) for r in request]), first, names, none_first)
+
+        return pick
+
+
+def outcome(choose: Callable[[], Any], first: Any, names: Sequence[str], none_first: bool) -> dict | None:
+    """The row a selector chose, by name: the first row if it fails or returns something that is no row; None if it declines."""
+    try:
+        chosen = choose()
+    except Exception:
+        chosen = first
+    if chosen is None:
+        chosen = first if none_first else {}
+    elif not isinstance(chosen, (Mapping, Row)):
+        chosen = first
+    values = chosen.asDict() if isinstance(chosen, Row) else chosen
+    return {n: values.get(n) for n in names} if values else None

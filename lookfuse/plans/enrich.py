@@ -38,8 +38,9 @@ from lookfuse.operators.prefix import best_intervals, in_interval, pick_by_bound
 from lookfuse.operators.ranges import Range
 from lookfuse.operators.reduce import count_per_key, first_per_key
 from lookfuse.operators.requests import distinct_probes, mark_first, total_order
-from lookfuse.operators.selectors import ColumnSelector, PythonSelector
+from lookfuse.operators.selectors import ColumnSelector, PythonSelector, StreamSelector
 from lookfuse.operators.skew import Splitter, find_hot_keys, fits_broadcast, key_hash, too_large_to_broadcast
+from lookfuse.operators.streams import select_from_streams
 from lookfuse.plans.choice import ROW, combine
 from lookfuse.plans.condition import (
     Bound,
@@ -275,6 +276,9 @@ class _Plan:
     ) -> DataFrame:
         """The selector's choice for each group; ``match_keys`` are those of ``keys`` that equal lookup keys."""
         selector, hot = self.selector, None
+        if isinstance(selector, StreamSelector):
+            picked = select_from_streams(matches, keys, self.payload.sort_order(), self.payload.row(), selector, self.payload.schema)
+            return self._unpacked(picked, keys)
         if splitter.enabled:
             # Only a key with many lookup rows can have many matches.
             found = find_hot_keys(self.lookup_side().select(key_hash(self.lookup_keys).alias("h")), splitter)
@@ -294,6 +298,9 @@ class _Plan:
             selector.chunk_rows,
             selector.max_group_rows,
         )
+        return self._unpacked(picked, keys)
+
+    def _unpacked(self, picked: DataFrame, keys: list[str]) -> DataFrame:
         return picked.select(
             *[col(k) for k in keys],
             HIT,
@@ -420,7 +427,7 @@ def _as_lookup_keys(picked: DataFrame, probe: list[str]) -> tuple[DataFrame, lis
 
 
 def _selector(select):
-    if isinstance(select, (ColumnSelector, PythonSelector)):
+    if isinstance(select, (ColumnSelector, PythonSelector, StreamSelector)):
         return select
     if callable(select):
         return ColumnSelector(select)
@@ -439,7 +446,10 @@ def _payload(lookup, parsed, options, keys, selector):
     selected = output_columns(parsed, index, lookup.columns, required, wanted)
     source_of = {out: source for source, out in selected}
     schema = T.StructType([T.StructField(out, lookup.schema[source].dataType) for source, out in selected])
-    terms = () if selector is not None or options.select == "first" else tuple(parse_order(options.select))
+    if isinstance(selector, StreamSelector):
+        terms = tuple(parse_order(selector.order)) if selector.order else ()
+    else:
+        terms = () if selector is not None or options.select == "first" else tuple(parse_order(options.select))
 
     def order_source(name: str) -> str:
         source = source_of.get(name) or index.find(name)
