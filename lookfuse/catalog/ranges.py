@@ -109,3 +109,26 @@ def range_any_request(t):
         scope="any_request",
         select=["o_totalprice desc", "o_orderkey"],
     ).drop("o_totalprice")
+
+
+@query(f"""
+    WITH pairs AS (
+        SELECT event_id, p_partkey, p_size, count(*) OVER (PARTITION BY event_id) AS n,
+               row_number() OVER (PARTITION BY event_id ORDER BY p_size, p_partkey) AS rn
+        FROM events JOIN part ON abs(p_retailprice - value * 3) < 2.5)
+    SELECT e.event_id, e.value * 3 AS price, p_partkey, p_size, coalesce(n, 0) AS "__match_count",
+           {status_sql("p_partkey IS NOT NULL")}
+    FROM events e LEFT JOIN pairs ON pairs.event_id = e.event_id AND rn = 1
+""")
+def range_distance(t):
+    """The smallest part whose price is near."""
+    return enrich(
+        t.events.select("event_id", (F.col("value") * 3).alias("price")),
+        t.part,
+        restriction="abs(p_retailprice - {price}) < 2.5",
+        fields=["price"],
+        column_names=["p_partkey", "p_size"],
+        select=["p_size", "p_partkey"],
+        match_count=True,
+        allow_theta=True,
+    )

@@ -52,6 +52,21 @@ class Bound:
         }[self.op]
 
 
+@dataclass(frozen=True)
+class Nearby:
+    """A numeric lookup column that has to be at most ``distance`` away from a request value."""
+
+    column: str
+    value: Column
+    distance: Column
+
+    def ends(self) -> tuple[Column, Column]:
+        """Between what the column lies, as doubles; a little too far, so that rounding leaves nothing out."""
+        value, distance = self.value.cast("double"), F.abs(self.distance.cast("double"))
+        wide = distance + (F.abs(value) + distance) * 1e-9
+        return value - wide, value + wide
+
+
 @dataclass
 class Condition:
     """What has to hold between a request and a lookup row."""
@@ -62,6 +77,7 @@ class Condition:
     residual: list[Column] = field(default_factory=list)
     residual_columns: set[str] = field(default_factory=set)  # request-side columns the residual reads
     valid: Column | None = None  # over the request side; None when every request is valid
+    nearby: list[Nearby] = field(default_factory=list)  # what the residual tests imply
     arms: list[Condition] = field(default_factory=list)  # the same as a disjunction, each arm with an equality
 
     @property
@@ -246,6 +262,12 @@ def _add(condition: Condition, side, lookup, item, value_types, covered) -> None
             condition, side, lookup, comparison.column, comparison.op, F.expr(comparison.value_sql), used, covered
         )
     condition.lookup_tests += [F.expr(sql) for sql in parsed.lookup_sql]
+    for near in parsed.distances:
+        name = index.find(near.column)
+        value, distance = F.expr(near.value_sql), F.expr(near.distance_sql)
+        kinds = [f.dataType for f in side.select(value.alias("v"), distance.alias("d")).schema]
+        if name is not None and all(is_numeric(kind) for kind in (*kinds, lookup.schema[name].dataType)):
+            condition.nearby.append(Nearby(name, value, distance))
     for sql in parsed.residual_sql:
         condition.residual.append(F.expr(sql))
         condition.residual_columns |= used

@@ -340,7 +340,7 @@ class _Plan:
             self.lookup_keys,
             test,
             splitter,
-            ranges=_ranges(condition.bounds, bounds),
+            ranges=_ranges(condition, bounds),
             raw_probes=present,
         )
         pairs = pairs.select(*[col(c) for c in [*probe, *salts, *self._payload_columns]])
@@ -402,9 +402,13 @@ class _Plan:
         return lookup.join(asked, same, "left_semi")
 
 
-def _ranges(bounds: list[Bound], names: list[str]) -> tuple[Range, Range] | None:
+def _ranges(condition: Condition, names: list[str]) -> tuple[Range, Range] | None:
     """The ranges of requests (``names`` hold their bounds' values) and of lookup rows that a two-sided condition makes meet."""
-    pair = two_sided(bounds)
+    bounds, pair = condition.bounds, two_sided(condition.bounds)
+    if pair is None and condition.nearby:
+        near = condition.nearby[0]
+        there = col(near.column).cast("double")
+        return Range(*near.ends(), T.DoubleType()), Range(there, there, T.DoubleType())
     if pair is None:
         return None
     dtype = pair[0].dtype if pair[0].dtype == pair[1].dtype else T.DoubleType()

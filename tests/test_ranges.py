@@ -108,6 +108,29 @@ def test_with_other_tests_and_selectors(spark, no_broadcast):
             assert got[q["id"]] == want
 
 
+@pytest.mark.parametrize("split", [False, True])
+@pytest.mark.parametrize("text,kind", [
+    ("abs(x - {b}) < 3", "bigint"), ("ABS( {b} - x ) <= {m}", "double"), ("abs(x - {b}) <= 0.25", "decimal(10,2)"),
+    ("abs(x - {b}) < 0", "bigint"), ("k = {k} AND abs(x - {b}) <= {m} AND v > 1", "double"),
+])
+def test_distances(spark, no_broadcast, split, text, kind):
+    requests, lookup, rq, lk = two_values(spark, kind, hash_seed(kind, text))
+    df = enrich(
+        rq, lk, restriction=text, fields=["b", "m"] + ["k"] * ("{k}" in text), allow_theta=True, select=["o_v desc"], split=split,
+        match_count=True, column_names=["x as o_x", "v as o_v", "p as o_p"],
+    )
+    shown = tree(df)
+    assert "Cartesian" not in shown and "NestedLoop" not in shown
+    far = {"abs(x - {b}) < 3": lambda d, q: d < 3, "abs(x - {b}) <= 0.25": lambda d, q: d * 4 <= 1, "abs(x - {b}) < 0": lambda d, q: False}.get(text, lambda d, q: d <= q["m"])
+
+    def test(q, r):
+        if None in (q["b"], r["x"]) or ("{k}" in text and (q["k"] is None or q["k"] != r["k"] or r["v"] is None or r["v"] <= 1)):
+            return False
+        return far(abs(r["x"] - q["b"]), q)
+
+    assert rows(df) == expected(requests, lookup, test, [("v", True)])
+
+
 def test_odd_numbers(spark, no_broadcast):
     """Infinities, NaN and values beyond the precision of doubles."""
     odd = [float("inf"), float("-inf"), float("nan"), 0.0, -0.0, 1e308, 5e-324, 1.5]
