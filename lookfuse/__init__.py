@@ -72,7 +72,8 @@ def enrich(requests: DataFrame, lookup: DataFrame | str, **options) -> DataFrame
         ``split``: ``"auto"`` splits hot keys when the inputs are larger than one task should hold, which reads
         key statistics when the plan is built; ``True`` and ``False`` force it.
         ``semi_reduce``: cut the lookup to requested keys before reducing it; ``"auto"`` does so when the keys
-        are small enough to be broadcast and the lookup is not.
+        are small enough to be broadcast and the lookup is not; ``"bloom"`` by a filter of bounded size that drops
+        rows at the scan, for keys too many to be broadcast.
         ``pushdown_keys``: send the keys to the lookup's source as a literal list if there are at most this many.
 
     Plans for large inputs read their sources once for the result and, narrowly, for key statistics; store

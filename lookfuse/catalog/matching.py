@@ -76,6 +76,26 @@ def semi_reduce(t):
     return kept.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+@query(f"""
+    WITH best AS (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderdate DESC, o_orderkey) AS rn
+        FROM orders)
+    SELECT event_id, user_id, wanted_status, o_orderkey, {status_sql("o_orderkey IS NOT NULL")}
+    FROM ({EVENTS_SQL}) LEFT JOIN best ON o_custkey = user_id AND o_orderstatus = wanted_status AND rn = 1
+    WHERE user_id IS NOT NULL AND event_id % 3 = 0
+""")
+def bloom_reduce(t):
+    """A lookup cut to the composite keys that are asked for, by a filter at its scan."""
+    return enrich(
+        event_requests(t.events).select("event_id", "user_id", "wanted_status").where("event_id % 3 = 0"),
+        t.orders,
+        keys={"user_id": "o_custkey", "wanted_status": "o_orderstatus"},
+        column_names=["o_orderkey", "o_orderdate", "o_custkey as user_id", "o_orderstatus as wanted_status"],
+        select=["o_orderdate desc", "o_orderkey"],
+        semi_reduce="bloom",
+    ).drop("o_orderdate")
+
+
 @query("""
     SELECT c_custkey, c_name, c_nationkey FROM customer
     WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 2)

@@ -24,6 +24,9 @@ from lookfuse.functions.types import is_orderable
 
 MAX_PARTS = 16384
 MIN_PARTS = 8
+#: Pairs that a cell of a hot key's grid tests, and how often its rows are repeated for that at most, on average.
+CELL_PAIRS = 10_000_000
+MAX_COPIES = 32
 _TRACKED_KEYS = 100_000  # the sketch's error, 3.5 / 131072 of the rows, is then below one part
 
 _UNKNOWN_SIZE = 1 << 60
@@ -162,21 +165,24 @@ def find_hot_keys(hashes: DataFrame, splitter: Splitter) -> HotKeys:
 
 
 def find_hot_grid(left: DataFrame, right: DataFrame, splitter: Splitter, split_left: bool) -> tuple[HotKeys, HotKeys]:
-    """Parts of the left and of the right side of hot keys, for joins that test every pair of a key.
+    """Parts of the left and of the right side of keys whose pairs are too many for a task, for joins that test them all.
 
-    Rows of one side are repeated for each part of the other, so parts are in proportion to the sides' sizes,
-    which keeps the repeated rows fewest for a given number of tasks.
+    A key gets cells by its pairs, ``CELL_PAIRS`` to a cell, and by its rows, where they are more than a task's share. Rows of one
+    side are repeated for each part of the other, so parts are in proportion to the sides' sizes, which keeps the
+    repeated rows fewest for a number of cells; more than ``MAX_COPIES`` of each row on average are never made.
     """
     (mine, my_total, _), (theirs, their_total, _) = _frequent(left), _frequent(right)
     floor = (my_total + their_total) / splitter.parts
     rows, columns = {}, {}
     for item in {*mine, *theirs}:
         a, b = max(mine.get(item, 0), 1), max(theirs.get(item, 0), 1)
-        if a + b <= floor:
+        cells = max(a * b / CELL_PAIRS, 2 * (a + b) / floor if a + b > floor else 1)
+        if cells <= 1:
             continue
-        tasks = 2 * (a + b) / floor
-        rows[item] = min(max(math.sqrt(tasks * a / b), 1), tasks) if split_left else 1
-        columns[item] = tasks / rows[item]
+        most = MAX_COPIES * (a + b)
+        cells = min(cells, MAX_PARTS, most * most / (4 * a * b) if split_left else max((most - b) / a, 1))
+        rows[item] = min(max(math.sqrt(cells * a / b), 1), cells) if split_left else 1
+        columns[item] = cells / rows[item]
     return _from_parts(rows), _from_parts(columns)
 
 

@@ -31,6 +31,7 @@ from lookfuse.functions.ordering import OrderTerm, parse_order
 from lookfuse.functions.types import has_exact_literals, is_orderable
 from lookfuse.operators.attach import attach
 from lookfuse.operators.collect import select_from_groups
+from lookfuse.operators.keyfilter import filter_by_keys
 from lookfuse.operators.lookup import Payload, best_per_key
 from lookfuse.operators.merge import merge
 from lookfuse.operators.pairs import matching_pairs
@@ -394,6 +395,8 @@ class _Plan:
                 for i, name in enumerate(self.lookup_keys):
                     lookup = lookup.where(col(name).isin(list({r[i] for r in found})))
                 return lookup
+        if wanted == "bloom":
+            return filter_by_keys(lookup, self.lookup_keys, _all_present(rows, self.request_keys), self.request_keys)
         if wanted is False or wanted == "auto" and (not fits_broadcast(asked) or fits_broadcast(self._lookup)):
             return lookup
         same = reduce(

@@ -52,7 +52,7 @@ class Options:
         _one_of("null_keys", self.null_keys, ("drop", "keep"))
         _one_of("scope", self.scope, ("own_request", "any_request"))
         _one_of("duplicates", self.duplicates, ("all", "first"))
-        _one_of("semi_reduce", self.semi_reduce, ("auto", True, False))
+        _one_of("semi_reduce", self.semi_reduce, ("auto", True, False, "bloom"))
         _one_of("split", self.split, ("auto", True, False))
         if self.pushdown_keys < 0:
             raise ValueError("`pushdown_keys` is the largest number of keys sent to the source, or 0")

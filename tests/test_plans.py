@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lookfuse import enrich, group_rows, restrict_to_requests
+from lookfuse.operators import keyfilter
+from lookfuse.operators.keyfilter import filter_by_keys
 
 SF = "/root/testdata/sf0.01"
 
@@ -129,3 +131,25 @@ def test_repartitioning_changes_nothing(t):
     )
     a, b = pick(orders), pick(orders.repartition(7, "o_totalprice"))
     assert a.exceptAll(b).isEmpty() and a.count() == customer.count()
+
+
+def test_a_key_filter_drops_lookup_rows_before_they_are_shuffled(spark, no_broadcast):
+    """Keys of several columns, of types no literal list takes; every asked key stays."""
+    key = [(F.col("id") % 997).cast("double").alias("a"), F.timestamp_micros("id").alias("b")]
+    lookup = spark.range(50_000).select(*key, "id")
+    asked = spark.range(0, 50_000, 100).select(*key, F.col("id").alias("n"))
+    filtered = filter_by_keys(lookup, ["a", "b"], asked, ["a", "b"])
+    assert "Exchange" not in tree(filtered).split("Subquery")[0]
+    kept = {r.id for r in filtered.collect()}
+    assert kept >= set(range(0, 50_000, 100)) and len(kept) < 500 + 2_000
+    none = filter_by_keys(lookup, ["a", "b"], asked.where("false"), ["a", "b"])
+    assert none.count() == 0
+    got = enrich(asked, lookup, keys=["a", "b"], column_names=["a", "b", "id"], semi_reduce="bloom")
+    assert {r.n: r.id for r in got.collect()} == {n: n for n in range(0, 50_000, 100)}
+
+
+def test_a_full_key_filter_lets_rows_through(spark, monkeypatch):
+    monkeypatch.setattr(keyfilter, "MAX_BITS", 1 << 12)
+    lookup, asked = spark.range(20_000).withColumnRenamed("id", "k"), spark.range(0, 20_000, 2).withColumnRenamed("id", "k")
+    kept = {r.k for r in filter_by_keys(lookup, ["k"], asked, ["k"]).collect()}
+    assert kept >= set(range(0, 20_000, 2))

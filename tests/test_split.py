@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lookfuse import PythonSelector, enrich
+from lookfuse.operators.skew import MAX_COPIES, Splitter, find_hot_grid
 from reference_model import pick
 
 REQUEST = "id bigint, k bigint, b {t}, m int"
@@ -341,3 +342,22 @@ def test_bound_with_a_lookup_small_enough_to_broadcast(spark, tmp_path, kind, op
         [(name[2:], direction == "desc")],
     )
     assert rows(got) == want
+
+
+def test_grids_follow_the_pairs(spark):
+    """As many rows, but other pairs: one key with 10^5 on both sides, one with 10^5 on one."""
+
+    def grid(a, b, split_left=True):
+        left, right = (spark.range(n).select(F.lit(7).cast("bigint").alias("h")) for n in (a, b))
+        others = spark.range(1000, 400_000).select(F.col("id").alias("h"))
+        found = find_hot_grid(left.union(others), right.union(others), Splitter(True, 8), split_left)
+        return [max((parts for parts, hashes in side.classes if 7 in hashes), default=1) for side in found]
+
+    assert grid(100_000, 1) == [1, 1]
+    rows, columns = grid(100_000, 100_000)
+    assert rows * columns >= 1000 and rows == columns
+    # Rows are repeated for the other side's parts: no more than MAX_COPIES times on average.
+    for a, b in ((100_000, 100_000), (400_000, 2_000), (2_000, 400_000)):
+        rows, columns = grid(a, b)
+        assert a * columns + b * rows <= 2 * MAX_COPIES * (a + b)
+    assert grid(100_000, 100_000, split_left=False)[0] == 1
