@@ -107,7 +107,10 @@ class Model:
 
     def log_probabilities(self, ids: np.ndarray, before=(BEGIN, BEGIN)) -> np.ndarray:
         """Natural log probability of each symbol of a text (its end included) after those before it; ``before`` are the two before the first."""
-        near, far = contexts(ids, before)
+        return self.of_symbols(ids, *contexts(ids, before))
+
+    def of_symbols(self, ids: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+        """The same with the symbols one and two before each given."""
         hidden = self.e[near] * self.c[0] + self.e[far] * self.c[1]
         return np.einsum("ij,ij->i", hidden, self.r[ids]).astype(np.float64) + self.b[ids] - self.norms[far, near]
 
@@ -123,7 +126,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def contexts(ids: np.ndarray, before=(BEGIN, BEGIN)) -> tuple[np.ndarray, np.ndarray]:
     padded = np.concatenate([before, ids[:-1]])
-    return padded[1:], padded[:-1]
+    return padded[1:], padded[:-1].copy()
 
 
 class Trainer:
@@ -466,6 +469,35 @@ class _Learner:
         return pa.RecordBatch.from_arrays([pa.array(at), pa.array(weight), *(pa.array(v) for v in values.T.copy())], names=["at", "w", *columns])
 
 
+def _scored(lbl: Model, inner: Inside, symbols: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Natural log probability of each of some texts, end to end in ``symbols``, of which ``sizes`` are theirs."""
+    if len(sizes) == 1 and sizes[0] > SCORED:
+        ids, rows, total = np.append(symbols, END), np.append(rows, -1), 0.0
+        for first in range(0, len(ids), SCORED):
+            # Each stretch with the two symbols before it.
+            before = np.concatenate([[BEGIN, BEGIN], ids[max(first - 2, 0) : first]])[-2:]
+            part = ids[first : first + SCORED]
+            total += _of_each(lbl, inner, part, rows[first : first + SCORED], *contexts(part, before)).sum()
+        return np.array([total])
+    ends = np.cumsum(sizes + 1) - 1
+    starts = ends - sizes
+    ids, inside = np.full(ends[-1] + 1, END, np.int64), np.full(ends[-1] + 1, -1, np.int64)
+    words = np.ones(len(ids), bool)
+    words[ends] = False
+    ids[words], inside[words] = symbols, rows
+    near, far = contexts(ids)
+    near[starts] = far[starts] = BEGIN
+    far[(starts + 1)[sizes > 0]] = BEGIN
+    return np.add.reduceat(_of_each(lbl, inner, ids, inside, near, far), starts)
+
+
+def _of_each(lbl: Model, inner: Inside, ids: np.ndarray, rows: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+    out = lbl.of_symbols(ids, near, far)
+    outside = np.flatnonzero((ids >= WORD_SYMBOLS) & (ids != END))
+    out[outside] += inner.log_probabilities(near[outside], rows[outside], ids[outside] - WORD_SYMBOLS)
+    return out
+
+
 def score(docs: DataFrame, training: DataFrame | Column, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (doc_id by default) with n_tokens, n_known, train_tokens, base_score and score for each row.
 
@@ -528,26 +560,23 @@ def score(docs: DataFrame, training: DataFrame | Column, keep: list[str] | None
         inner = Inside(*fitted.value[2:4], vocabulary.starts, vocabulary.biases)
         lbl.norms, inner.norms = fitted.value[1], fitted.value[4]
         for batch in batches:
-            values = []
-            for codes in batch.column(len(keep) + 1):
-                codes = codes.values.to_numpy(zero_copy_only=False)
-                symbols, rows = vocabulary.decode(codes)
-                total = 0.0
-                for first in range(0, len(symbols) + 1, SCORED):
-                    # A long text goes in stretches, each with the two symbols before it.
-                    before = np.concatenate([[BEGIN, BEGIN], symbols[max(first - 2, 0) : first]])[-2:]
-                    ids = symbols[first : first + SCORED]
-                    ids = np.append(ids, END) if first + SCORED > len(symbols) else ids
-                    total += lbl.log_probabilities(ids, before).sum()
-                    outside = np.flatnonzero((ids >= WORD_SYMBOLS) & (ids != END))
-                    near = contexts(ids, before)[0][outside]
-                    total += inner.log_probabilities(near, rows[first:][outside], ids[outside] - WORD_SYMBOLS).sum()
-                unseen = codes < 0
-                model_score = total / math.log(10) - vocabulary.log_rest[-1 - codes[unseen]].sum()
-                logs = vocabulary.log_counts[np.where(unseen, -1, codes)].sum()
-                size = len(codes) + 1
-                values.append((size, int((~unseen).sum()) + (n_texts > 0), logs + end_log - size * base_unit, model_score))
-            columns = list(zip(*values, strict=True)) if values else [[]] * 4
+            lists = batch.column(len(keep) + 1)
+            ends, codes = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy(zero_copy_only=False)
+            sizes = np.diff(ends)
+            model_scores, base_logs, known = (np.zeros(len(sizes)) for _ in range(3))
+            first = 0
+            while first < len(sizes):
+                # Texts go together up to SCORED symbols; a longer one goes alone, in stretches.
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] + SCORED, "right")) - 1)
+                at, own = slice(first, last), codes[ends[first] : ends[last]]
+                symbols, rows = vocabulary.decode(own)
+                model_scores[at] = _scored(lbl, inner, symbols, rows, sizes[at]) / math.log(10)
+                text, unseen = np.repeat(np.arange(last - first), sizes[at]), own < 0
+                model_scores[at] -= np.bincount(text[unseen], vocabulary.log_rest[-1 - own[unseen]], last - first)
+                base_logs[at] = np.bincount(text, vocabulary.log_counts[np.where(unseen, -1, own)], last - first)
+                known[at] = np.bincount(text[~unseen], minlength=last - first)
+                first = last
+            columns = (sizes + 1, known.astype(np.int64) + (n_texts > 0), base_logs + end_log - (sizes + 1) * base_unit, model_scores)
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=names)
 

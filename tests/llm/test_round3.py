@@ -287,7 +287,7 @@ def _model_rows(spark, docs, monkeypatch, partitions):
 
 def _prose(seed, n):
     pick = random.Random(seed)
-    words = [f"w{int(pick.paretovariate(0.6)) % 3000}" for _ in range(4000)] + ["É", "日本"]
+    words = [f"w{int(pick.paretovariate(0.6)) % 3000}" for _ in range(4000)] + ["É", "日本", *(f"u{i}" for i in range(800))]
     return [(i, " ".join(pick.choice(words) for _ in range(pick.choice([0, 1, 30, 120])))) for i in range(n)]
 
 
