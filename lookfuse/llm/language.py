@@ -16,12 +16,18 @@ from pyspark.sql import functions as F
 
 PROFILE = 400
 ORDERS = (1, 2, 3)
-#: Characters counted at once; a longer text is cut into such pieces and its counts added up.
+#: Characters counted at once; a longer text goes in stretches, whose counts add up to those of the whole.
 PIECE = 1 << 20
 _BITS = 21
 _SPACE = 32
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """One count for each gram of several counts."""
+    grams, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return grams, np.bincount(inverse, np.concatenate([p[1] for p in parts]), len(grams)).astype(np.int64)
+
+
 def _letters(codes: np.ndarray, known: dict[int, bool]) -> np.ndarray:
     values, inverse = np.unique(codes, return_inverse=True)
     for v in values.tolist():
@@ -39,34 +45,39 @@ class GramCounter:
         self.table = np.array([chr(i).isalpha() if not 0xD800 <= i < 0xE000 else False for i in range(1 << 16)])
 
     def grams(self, text: str) -> np.ndarray:
-        """All grams of the text, in order of their length; empty without a letter."""
-        codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-        low = codes < (1 << 16)
-        letter = self.table[np.where(low, codes, 0)]
-        if not low.all():
-            letter = np.where(low, letter, _letters(codes, self.known))
-        if not letter.any():
-            return np.zeros(0, np.uint64)
-        # Anything but letters is one space.
-        spaced = np.concatenate([[_SPACE], np.where(letter, codes, _SPACE), [_SPACE]]).astype(np.uint64)
-        keep = np.ones(len(spaced), bool)
-        keep[1:] = (spaced[1:] != _SPACE) | (spaced[:-1] != _SPACE)
-        spaced = spaced[keep]
-        out = [spaced[spaced != _SPACE]]
-        pairs = (spaced[:-1] << np.uint64(_BITS)) | spaced[1:]
-        out.append(pairs)
-        middle = spaced[1:-1] != _SPACE  # no gram across two words
-        out.append(((pairs[:-1] << np.uint64(_BITS)) | spaced[2:])[middle])
-        return np.concatenate(out)
+        """All grams of the text; empty without a letter."""
+        return np.concatenate([np.zeros(0, np.uint64), *self.pieces(text)])
+
+    def pieces(self, text: str) -> Iterator[np.ndarray]:
+        """The same in parts, each of a stretch of the text and of the two characters before it."""
+        text = text.lower()
+        before = np.array([_SPACE], np.uint64)
+        for start in range(0, len(text), PIECE):
+            codes = np.frombuffer(text[start : start + PIECE].encode("utf-32-le", "replace"), np.uint32)
+            low = codes < (1 << 16)
+            letter = self.table[np.where(low, codes, 0)]
+            if not low.all():
+                letter = np.where(low, letter, _letters(codes, self.known))
+            # Anything but letters is one space.
+            end = [_SPACE] if start + PIECE >= len(text) else []
+            spaced = np.concatenate([before, np.where(letter, codes, _SPACE), end]).astype(np.uint64)
+            keep = np.ones(len(spaced), bool)
+            keep[1:] = (spaced[1:] != _SPACE) | (spaced[:-1] != _SPACE)
+            spaced, n = spaced[keep], len(before)
+            before = spaced[-2:]
+            pairs = (spaced[:-1] << np.uint64(_BITS)) | spaced[1:]
+            triples = (pairs[:-1] << np.uint64(_BITS)) | spaced[2:]
+            first = max(n - 2, 0)
+            middle = spaced[first + 1 : -1] != _SPACE  # no gram across two words
+            own = spaced[n:]
+            yield np.concatenate([own[own != _SPACE], pairs[n - 1 :], triples[first:][middle]])
 
     def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         if not text:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         if len(text) <= PIECE:
             return np.unique(self.grams(text), return_counts=True)
-        parts = [np.unique(self.grams(text[i : i + PIECE]), return_counts=True) for i in range(0, len(text), PIECE)]
-        grams, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        return grams, np.bincount(inverse, np.concatenate([p[1] for p in parts]), len(grams)).astype(np.int64)
+        return _summed([np.unique(grams, return_counts=True) for grams in self.pieces(text)])
 
     def ranked(self, text: str | None, size: int = PROFILE) -> np.ndarray:
         grams, counts = self.count(text)
@@ -87,14 +98,14 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = P
             for one in dict.fromkeys(langs):
                 grams, pending, parts = [], 0, []
                 for i in np.flatnonzero(langs == one):
-                    grams.append(counter.grams(texts[int(i)].as_py()))
-                    pending += len(grams[-1])
-                    if pending > 4 * PIECE:
-                        parts.append(np.unique(np.concatenate(grams), return_counts=True))
-                        grams, pending = [], 0
+                    for found in counter.pieces(texts[int(i)].as_py()):
+                        grams.append(found)
+                        pending += len(found)
+                        if pending > 4 * PIECE:
+                            parts.append(np.unique(np.concatenate(grams), return_counts=True))
+                            grams, pending = [], 0
                 parts.append(np.unique(np.concatenate([*grams, np.zeros(0, np.uint64)]), return_counts=True))
-                values, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-                counts = np.bincount(inverse, np.concatenate([p[1] for p in parts]), len(values)).astype(np.int64)
+                values, counts = _summed(parts)
                 yield pa.RecordBatch.from_arrays([pa.array([one] * len(values), pa.string()), pa.array(values.astype(np.int64)), pa.array(counts)], names=["lang", "gram", "n"])
 
     counts = rows.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))

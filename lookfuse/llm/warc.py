@@ -231,6 +231,8 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | str]]:
     whose reason then says which of the unpacked bytes it is. A damaged member reaches up to what is whole after it.
     """
     at, size, gap_start, reasons = 0, len(data), None, []
+    # The next places to go on at, remembered until they are passed: a search to the end is made once.
+    magic = line = 0
     # Of a damaged member: its records, their bytes, and how far it was read.
     parts, raw, reached = [], set(), 0
     while at < size:
@@ -274,9 +276,13 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | str]]:
             gap_start, (parts, raw, reasons) = at, damaged
         if gap_start is None:
             gap_start, reasons = at, [problem]
-        line = _VERSION_LINE.search(data, at + 1)
-        places = [p for p in (data.find(MAGIC, at + 1), line.start() if line else -1) if p >= 0]
-        at = min(places, default=size)
+        if magic <= at:
+            magic = data.find(MAGIC, at + 1)
+            magic = size if magic < 0 else magic
+        if line <= at:
+            found = _VERSION_LINE.search(data, at + 1)
+            line = found.start() if found else size
+        at = min(magic, line)
     if gap_start is not None:
         for one in [*parts, *reasons]:
             yield gap_start, size - gap_start, one

@@ -455,3 +455,57 @@ def test_searches_find_what_a_walk_finds():
         tags = [(pick.random() < 0.3, pick.choice(names)) for _ in range(40)]
         page = dom.Page("".join(f"</{t}>" if end else f"<{t}>" for end, t in tags))
         assert [(n.tag, n.depth) for n in page.nodes[1:]] == walked(tags)
+
+
+# Language.
+
+
+def test_language_counts_do_not_depend_on_cuts(monkeypatch):
+    from lookfuse.llm import language
+
+    pick = random.Random(9)
+    counter = language.GramCounter()
+
+    def plain(text):
+        found, words = Counter(), re.findall(r"[^\W\d_]+", text.lower())
+        for word in words:
+            for c in word:
+                found[c] += 1
+            padded = f" {word} "
+            for n in (2, 3):
+                for i in range(len(padded) - n + 1):
+                    found[padded[i : i + n]] += 1
+        return found
+
+    for _ in range(200):
+        text = "".join(pick.choice(["a", "B", "é", " ", ".", "Σ", "日", "🎉", "1", "İ", "\n"]) for _ in range(pick.randrange(40)))
+        results = []
+        for size in (1 << 20, 1, 2, 3, 7):
+            monkeypatch.setattr(language, "PIECE", size)
+            grams, counts = counter.count(text)
+            results.append(dict(zip(grams.tolist(), counts.tolist(), strict=True)))
+        assert all(r == results[0] for r in results)
+        if text.isascii():
+            coded = {sum(ord(c) << (21 * (len(g) - 1 - i)) for i, c in enumerate(g)): n for g, n in plain(text).items()}
+            assert results[0] == coded
+
+
+# Archives.
+
+
+def test_salvage_of_many_damaged_records_takes_linear_time():
+    import hashlib
+    import time
+
+    from lookfuse.llm import warc
+
+    def seconds(n):
+        parts = [warc.record(i, f"http://x/{i}", b"p" * 300, hashlib.sha256(b"p" * 300).hexdigest(), 300, None, False) for i in range(n)]
+        data = b"".join(p.replace(b"sha256:", b"sha256:0", 1) if i % 2 else p for i, p in enumerate(parts))
+        start = time.perf_counter()
+        found = list(warc.salvage(data))
+        assert len([x for x in found if isinstance(x[2], dict)]) == n // 2
+        return time.perf_counter() - start
+
+    small, large = min(seconds(500) for _ in range(2)), seconds(8000)
+    assert large < 40 * small + 0.5
