@@ -11,6 +11,7 @@ from lookfuse.plans.enrich import build
 from lookfuse.plans.options import Options
 from lookfuse.presets import KeyedEnrichment, LookupHandler
 from lookfuse.session import scratch_folder, session
+from lookfuse.sources.bucketed import open_lookup, store_lookup
 from lookfuse.sources.lookup import resolve_lookup, restrict_to_requests, scan_lookup
 from lookfuse.sources.requests import Flush, requests_from_files, requests_from_rows
 from lookfuse.streaming.sink import read_sink
@@ -27,6 +28,7 @@ __all__ = [
     "enrich",
     "enrich_stream",
     "group_rows",
+    "open_lookup",
     "read_sink",
     "requests_from_files",
     "requests_from_rows",
@@ -36,6 +38,7 @@ __all__ = [
     "scan_lookup",
     "scratch_folder",
     "session",
+    "store_lookup",
 ]
 
 

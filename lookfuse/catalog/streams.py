@@ -1,6 +1,8 @@
 """Streams of requests, run to the end of what is there."""
 
-from lookfuse import Flush, enrich_stream, read_sink, requests_from_files, scratch_folder
+import uuid
+
+from lookfuse import Flush, enrich_stream, read_sink, requests_from_files, scratch_folder, store_lookup
 from lookfuse.catalog.registry import query
 from lookfuse.catalog.shared import EVENTS_SQL, event_requests, missing_sql, status_sql, with_missing
 
@@ -55,3 +57,25 @@ def stream_enrich_restricted(t):
         column_names=["o_custkey as user_id", "o_orderkey", "o_orderdate"],
         select=["o_orderdate desc", "o_orderkey"],
     ).drop("o_orderdate")
+
+
+@query(f"""
+    WITH best AS (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders)
+    SELECT event_id, user_id, o_orderkey, {status_sql("o_orderkey IS NOT NULL")}
+    FROM ({EVENTS_SQL}) LEFT JOIN best ON o_custkey = user_id AND rn = 1 WHERE user_id IS NOT NULL
+""")
+def stream_bucketed_lookup(t):
+    """Micro-batches against a lookup that lies in buckets of the key."""
+    place = scratch_folder(t.spark, "orders-by-customer")
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    orders = store_lookup(t.orders, f"orders_{uuid.uuid4().hex}", ["o_custkey"], buckets, path=place)
+    return _run(
+        t,
+        _stream(t).select("event_id", "user_id"),
+        orders,
+        join_key="user_id",
+        column_names=["o_custkey as user_id", "o_orderkey", "o_totalprice"],
+        select=["o_totalprice desc", "o_orderkey"],
+        pushdown_keys=0,
+    ).drop("o_totalprice")

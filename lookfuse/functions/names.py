@@ -8,9 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """A literal name in SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col(name: str) -> Column:
     """A column by its literal name: dots and spaces are part of the name."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 class NameIndex:

@@ -148,6 +148,32 @@ def test_a_key_filter_drops_lookup_rows_before_they_are_shuffled(spark, no_broad
     assert {r.n: r.id for r in got.collect()} == {n: n for n in range(0, 50_000, 100)}
 
 
+def test_a_lookup_in_buckets_is_not_shuffled(spark, no_broadcast, tmp_path):
+    from lookfuse import enrich_stream, open_lookup, requests_from_files, store_lookup
+
+    lookup = spark.range(5_000).select((F.col("id") % 700).alias("k 1"), (F.col("id") % 3).alias("j"), "id")
+    path = str(tmp_path / "lookup")
+    stored = store_lookup(lookup, "by_key", ["k 1", "j"], 8, path=path)
+    options = dict(keys={"a": "k 1", "b": "j"}, column_names=["id"], select=["id desc"], pushdown_keys=0)
+    requests = spark.range(900).select(F.col("id").alias("a"), (F.col("id") % 3).alias("b"), F.col("id").alias("n"))
+    want = {r.n: r.id for r in enrich(requests, lookup, **options).collect()}
+    plans = []
+    for table in (stored, open_lookup(spark, "by_key_again", path, ["k 1", "j"], 8)):
+        df = enrich(requests, table, **options)
+        plans.append(tree(df))
+        assert {r.n: r.id for r in df.collect()} == want
+    # The same in a micro-batch.
+    requests.write.parquet(str(tmp_path / "requests"))
+    stream = requests_from_files(spark, str(tmp_path / "requests"), requests.schema)
+    enrich_stream(stream, stored, sink=lambda df, i: plans.append(tree(df)), trigger={"availableNow": True}, **options).awaitTermination()
+    assert len(plans) >= 3
+    for text in plans:
+        exchanges = [i for i, line in enumerate(text.splitlines()) if "Exchange" in line]
+        assert len(exchanges) == 1 and "Bucketed: true" in text
+    spark.sql("DROP TABLE by_key")
+    spark.sql("DROP TABLE by_key_again")
+
+
 def test_a_full_key_filter_lets_rows_through(spark, monkeypatch):
     monkeypatch.setattr(keyfilter, "MAX_BITS", 1 << 12)
     lookup, asked = spark.range(20_000).withColumnRenamed("id", "k"), spark.range(0, 20_000, 2).withColumnRenamed("id", "k")
