@@ -92,9 +92,9 @@ class _Run:
     def __init__(self, texts: list[bytes]):
         lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
         coded = lists.flatten().dictionary_encode()
-        self.names = coded.dictionary.view(pa.large_binary()).to_pylist()
+        self.names = coded.dictionary.view(pa.large_binary())
         # Space at the ends of a text leaves an empty name, which is no term.
-        self.names = self.names or [b""]
+        self.length = pc.binary_length(self.names).to_numpy()
         self.term = coded.indices.to_numpy()
         self.row = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
 
@@ -147,18 +147,25 @@ def _level(shorter: int, length: int, passed):
         for lang, found, _ in _runs(batches, _distinct):
             if passed is not None and lang not in known:
                 known[lang] = _Known(passed.value, lang.encode())
-            alive = known.get(lang)
-            unit_of, units = np.full(len(found.names), -1, np.int64), {}
-            for number, name in enumerate(found.names):
-                if name and (alive is None or (len(name) > shorter and alive[name[:shorter]])):
-                    unit_of[number] = units.setdefault((name[:length], len(name) <= length), len(units))
+            taken = found.length > shorter
+            if passed is not None:
+                # Each prefix of the level before is looked up once.
+                alive, prefix = known[lang], pc.binary_slice(found.names, 0, shorter).dictionary_encode()
+                passes = np.array([alive[p] for p in prefix.dictionary.to_pylist()], bool)
+                taken &= passes[prefix.indices.to_numpy()] if len(passes) else taken
+            whole, longer = np.flatnonzero(taken & (found.length <= length)), np.flatnonzero(taken & (found.length > length))
+            prefix = pc.binary_slice(found.names.take(pa.array(longer)), 0, length).dictionary_encode()
+            number = len(whole) + len(prefix.dictionary)
+            unit_of = np.full(len(found.names), -1, np.int64)
+            unit_of[whole], unit_of[longer] = np.arange(len(whole)), len(whole) + prefix.indices.to_numpy()
             # A document counts once for a unit, however many of its terms have it.
             unit = unit_of[found.term]
             stays = unit >= 0
-            each, _ = _sorted_counts(found.row[stays].astype(np.int64) * max(len(units), 1) + unit[stays])
-            docs = np.bincount(each % max(len(units), 1), minlength=len(units))
-            names, whole = ([u[i] for u in units] for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(units), pa.string()), pa.array(names, pa.binary()), pa.array(whole, pa.bool_()), pa.array(docs)], schema=schema)
+            each, _ = _sorted_counts(found.row[stays].astype(np.int64) * max(number, 1) + unit[stays])
+            docs = np.bincount(each % max(number, 1), minlength=number)
+            names = pa.concat_arrays([found.names.take(pa.array(whole)), prefix.dictionary]).cast(pa.binary())
+            columns = [pa.array([lang] * number, pa.string()), names, pa.array(np.arange(number) < len(whole)), pa.array(docs)]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
 
@@ -207,13 +214,15 @@ def _occurrences(passed):
 
         for lang, found, rows in _runs(batches, counted):
             known_terms = alive(lang)
-            kept = np.array([bool(name) and known_terms[name] for name in found.names])
+            kept = np.array([bool(name) and known_terms[name] for name in found.names.to_pylist()], bool)
+            if not kept.any():
+                continue
             sources = {}
             of = np.array([sources.setdefault(row[0], len(sources)) for row in rows], np.int64)
             stays = kept[found.term]
             cells, counts = _sorted_counts(of[found.row[stays]] * len(kept) + found.term[stays])
             source = pa.array(list(sources), pa.string()).take(pa.array(cells // len(kept)))
-            term = pa.array(found.names, pa.binary()).take(pa.array(cells % len(kept)))
+            term = found.names.take(pa.array(cells % len(kept))).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cells), pa.string()), source, term, pa.array(counts)], schema=schema)
             yield from long
             long.clear()
