@@ -94,6 +94,11 @@ class Payload:
         return values
 
 
+def merged(df: DataFrame, keys: Sequence[str], payload: Payload) -> DataFrame:
+    """One row for each key of rows with minimum columns and COUNT: the smallest, and the sum."""
+    return df.groupBy(*[col(k) for k in keys]).agg(*[a.alias(n) for n, a in payload.minimum()], F.sum(col(COUNT)).alias(COUNT))
+
+
 def best_per_key(df: DataFrame, keys: Sequence[str], payload: Payload) -> DataFrame:
     """First row and match count of each key in one aggregation with map-side merging."""
     return (

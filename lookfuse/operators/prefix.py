@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lookfuse.constants import COUNT, HIT, LOOKUP_BOUND
 from lookfuse.functions.names import col
-from lookfuse.operators.lookup import Payload
+from lookfuse.operators.lookup import Payload, merged
 from lookfuse.operators.skew import Splitter, find_hot_keys, key_hash, range_cuts, range_part
 
 _AT = "__at"
@@ -67,7 +67,7 @@ def pick_by_bound(
             )
         )
         # Copies of a lookup row are merged before they meet in one task.
-        candidates = _merge(candidates, [*keys, _AT], payload)
+        candidates = merged(candidates, [*keys, _AT], payload)
         part, carried = _split_hot_keys(candidates, raw, keys, payload, ascending, splitter)
 
     run = (
@@ -105,7 +105,7 @@ def best_intervals(lookup: DataFrame, lookup_keys: Sequence[str], op: str, paylo
     requests are answered as they are read, without a shuffle.
     """
     ascending = op in ("<", "<=")
-    candidates = _merge(
+    candidates = merged(
         lookup.select(
             *[col(k) for k in lookup_keys],
             col(LOOKUP_BOUND),
@@ -141,12 +141,6 @@ def in_interval(bound: str, op: str) -> Column:
     return started & (end.isNull() | ~ended)
 
 
-def _merge(df: DataFrame, keys: Sequence[str], payload: Payload) -> DataFrame:
-    return df.groupBy(*[col(k) for k in keys]).agg(
-        *[a.alias(n) for n, a in payload.minimum()], F.sum(col(COUNT)).alias(COUNT)
-    )
-
-
 def _split_hot_keys(
     candidates: DataFrame,
     raw: DataFrame,
@@ -170,13 +164,13 @@ def _split_hot_keys(
     # A key with fewer parts than there are cuts joins neighbours.
     part = F.when(parts > 1, F.floor(fine.cast("bigint") * parts / F.lit(fine_parts)).cast("int")).otherwise(F.lit(0))
 
-    sums = _merge(candidates.where(hot.has(keys)).withColumn(_PART, part), [*keys, _PART], payload)
+    sums = merged(candidates.where(hot.has(keys)).withColumn(_PART, part), [*keys, _PART], payload)
     every_part = (
         sums.select(*keys)
         .distinct()
         .select("*", F.explode(F.sequence(F.lit(0), parts - 1)).alias(_PART))
     )
-    sums = _merge(sums.unionByName(every_part, allowMissingColumns=True), [*keys, _PART], payload)
+    sums = merged(sums.unionByName(every_part, allowMissingColumns=True), [*keys, _PART], payload)
     order = col(_PART).asc() if ascending else col(_PART).desc()
     earlier = (
         Window.partitionBy(*[col(k) for k in keys]).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

@@ -39,7 +39,7 @@ class Range:
 
 
 @dataclass(frozen=True)
-class _Scale:
+class Scale:
     """From values to cells: cut points that share the values out evenly, even steps between them."""
 
     dtype: T.DataType
@@ -48,7 +48,7 @@ class _Scale:
     bits: int
 
     @classmethod
-    def of(cls, values: DataFrame) -> _Scale:
+    def of(cls, values: DataFrame) -> Scale:
         """For a one-column DataFrame; the driver sees at most ``_CUTS`` numbers and a count."""
         (field,) = values.schema.fields
         skip = common_prefix(values)
@@ -87,7 +87,7 @@ class _Scale:
         return df.drop(*[f"{name}_{part}" for name in values for part in ("from", "to", "share")])
 
 
-def _with_cells(df: DataFrame, scale: _Scale, span: Range) -> DataFrame:
+def _with_cells(df: DataFrame, scale: Scale, span: Range) -> DataFrame:
     one, other = f"{SALT}_one", f"{SALT}_other"
     df = scale.with_cells(df, {one: span.one.cast(span.dtype), other: span.other.cast(span.dtype)})
     return df.withColumns({_LOW: F.least(col(one), col(other)), _HIGH: F.greatest(col(one), col(other))}).drop(one, other)
@@ -133,7 +133,7 @@ def enter_ranges(
     def values(df: DataFrame, span: Range) -> DataFrame:
         return df.select(F.explode(F.array(span.one.cast(span.dtype), span.other.cast(span.dtype))).alias("value"))
 
-    scale = _Scale.of(values(raw, probe_range).unionByName(values(lookup, lookup_range)))
+    scale = Scale.of(values(raw, probe_range).unionByName(values(lookup, lookup_range)))
     probes, lookup, raw = _with_cells(probes, scale, probe_range), _with_cells(lookup, scale, lookup_range), _with_cells(raw, scale, probe_range)
     levels = raw.select(F.lit(0).alias("side"), _home().alias("level")).unionByName(lookup.select(F.lit(1).alias("side"), _home().alias("level")))
     homes = [{0}, {0}]

@@ -30,6 +30,7 @@ from lookfuse.functions.names import NameIndex, col
 from lookfuse.functions.ordering import OrderTerm, parse_order
 from lookfuse.functions.types import has_exact_literals, is_orderable
 from lookfuse.operators.attach import attach
+from lookfuse.operators.blocks import best_in_ranges
 from lookfuse.operators.collect import select_from_groups
 from lookfuse.operators.keyfilter import filter_by_keys
 from lookfuse.operators.lookup import Payload, best_per_key
@@ -183,8 +184,37 @@ class _Plan:
         bound, limit = self._usable_bounds()
         if bound is not None:
             return self._by_bound(rows, bound, limit, splitter)
+        inside = self._usable_range()
+        if inside is not None:
+            return self._by_range(rows, *inside, splitter)
         return self._by_pairs(rows, splitter)
 
+    def _usable_range(self) -> tuple[Bound, Bound] | None:
+        """The upper and the lower bound of one lookup column, if they alone decide beside the keys."""
+        pair = two_sided(self.condition.bounds) if len(self.condition.bounds) == 2 and not self.condition.residual else None
+        alike = pair is not None and pair[0].column == pair[1].column and pair[0].dtype == pair[1].dtype
+        return pair if alike and self.payload.can_take_minimum() else None
+
+    def _by_range(self, rows: DataFrame, upper: Bound, lower: Bound, splitter: Splitter) -> DataFrame:
+        high, low = f"{BOUND}0", f"{BOUND}1"
+        rows = _without_condition_columns(rows.withColumns({high: upper.request, low: lower.request}))
+        lookup = self._reduced_to(rows, self.lookup_side(col(upper.column).cast(upper.dtype).alias(LOOKUP_BOUND)))
+        probe = [*self.request_keys, high, low]
+        present = _all_present(rows, probe)
+        picked = best_in_ranges(
+            distinct_probes(present, probe),
+            self.request_keys,
+            low,
+            high,
+            lookup.where(col(LOOKUP_BOUND).isNotNull()),
+            self.lookup_keys,
+            upper.test(col(LOOKUP_BOUND), col(high)) & lower.test(col(LOOKUP_BOUND), col(low)),
+            self.payload,
+            splitter,
+            present,
+        )
+        return self._attach(rows, probe, *_as_lookup_keys(picked, probe), splitter)
+
     def _usable_bounds(self) -> tuple[Bound | None, Bound | None]:
         """The bound that alone decides beside the keys, and the one to test on the picked row."""
         bound, limit = self.condition.split_bounds(self.payload.terms, self.order_source)
