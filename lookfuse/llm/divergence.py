@@ -39,8 +39,9 @@ FIRST_LENGTH = 6
 #: Bits a prefix gets in the filter, and the largest filter (16 MB).
 BITS_EACH = 16
 MAX_BITS = 1 << 27
-#: Bytes of text a task holds before it hands their counts on, and answers of a filter it remembers.
-HELD = 12_000_000
+#: Bytes of text a task holds before it hands their counts on, texts it takes out of a batch at once, and answers of a filter it remembers.
+HELD = 8_000_000
+HELD_TEXTS = 1000
 REMEMBERED = 500_000
 #: Sources compared at once, and the tasks each language's terms are dealt to for that.
 SOURCES = 256
@@ -114,7 +115,7 @@ def _runs(batches: Iterator[pa.RecordBatch], long_text) -> Iterator[tuple[str, _
             del texts
             yield lang, terms, rows
 
-    for batch in batches:
+    for batch in (whole.slice(start, HELD_TEXTS) for whole in batches for start in range(0, whole.num_rows, HELD_TEXTS)):
         for text, lang, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             text = (text or b"").translate(_TERMS) if len(text or b"") <= HELD else long_text(text, lang, *row)
             texts, rows = langs.setdefault(lang, ([], []))
