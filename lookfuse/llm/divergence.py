@@ -40,7 +40,7 @@ FIRST_LENGTH = 6
 BITS_EACH = 16
 MAX_BITS = 1 << 27
 #: Bytes of text a task holds before it hands their counts on, texts it takes out of a batch at once, and answers of a filter it remembers.
-HELD = 8_000_000
+HELD = 14_000_000
 HELD_TEXTS = 1000
 REMEMBERED = 500_000
 #: Sources compared at once, and the tasks each language's terms are dealt to for that.
@@ -165,7 +165,7 @@ def _level(shorter: int, length: int, passed):
             each, _ = _sorted_counts(found.row[stays].astype(np.int64) * max(number, 1) + unit[stays])
             docs = np.bincount(each % max(number, 1), minlength=number)
             names = pa.concat_arrays([found.names.take(pa.array(whole)), prefix.dictionary]).cast(pa.binary())
-            columns = [pa.array([lang] * number, pa.string()), names, pa.array(np.arange(number) < len(whole)), pa.array(docs)]
+            columns = [pa.repeat(lang, number), names, pa.array(np.arange(number) < len(whole)), pa.array(docs)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
@@ -224,7 +224,7 @@ def _occurrences(passed):
             cells, counts = _sorted_counts(of[found.row[stays]] * len(kept) + found.term[stays])
             source = pa.array(list(sources), pa.string()).take(pa.array(cells // len(kept)))
             term = found.names.take(pa.array(cells % len(kept))).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cells), pa.string()), source, term, pa.array(counts)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(cells)), source, term, pa.array(counts)], schema=schema)
             yield from long
             long.clear()
         yield from long
