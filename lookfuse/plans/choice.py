@@ -58,6 +58,9 @@ def combine(
     if all(len(p.bounds) <= 1 for p in parts) and len(kinds) == 1 and all(family(b.dtype) in _APART for p in parts for b in p.bounds):
         bound, tagged = _one_bound(parts, numbers, chosen, tagged)
         combined.bounds.append(bound)
+    elif with_row and kinds and not any(tests) and all(len(p.bounds) <= 1 for p in parts):
+        # Of any number of requests only the widest bound of each template matters.
+        combined.cases = [(col(TAG) == number, p.bounds[0] if p.bounds else None) for number, p in enumerate(parts)]
     else:
         for number, part in enumerate(parts):
             tests[number] += [b.test(col(b.column).cast(b.dtype), b.request) for b in part.bounds]

@@ -78,6 +78,7 @@ class Condition:
     residual_columns: set[str] = field(default_factory=set)  # request-side columns the residual reads
     valid: Column | None = None  # over the request side; None when every request is valid
     nearby: list[Nearby] = field(default_factory=list)  # what the residual tests imply
+    cases: list[tuple[Column, Bound | None]] = field(default_factory=list)  # the bound that alone decides for lookup rows that pass a test
     arms: list[Condition] = field(default_factory=list)  # the same as a disjunction, each arm with an equality
 
     @property

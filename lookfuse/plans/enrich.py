@@ -553,6 +553,7 @@ def _any_request(plan: _Plan, side: DataFrame, splitter: Splitter) -> DataFrame:
         condition,
         equalities=[e for e in condition.equalities if e.declared],
         bounds=[],
+        cases=[],
         lookup_tests=[],
         residual=[],
         # With representatives a key is asked for once, and all its requests share what comes.
@@ -606,14 +607,23 @@ def _admitted(plan: _Plan, template: Condition, rows: DataFrame, requests: DataF
     if test is None and len(template.bounds) <= 1:
         # The widest bound of each key admits what any of its requests admits.
         probes, widest = _all_present(rows, keys), []
+        for number, (case, bound) in enumerate(template.cases):
+            passes = case
+            if bound is not None:
+                name = f"{BOUND}{number}"
+                # A request has the values of all templates, but its key has the tag of its own.
+                probes = probes.withColumn(name, bound.request)
+                widest.append((F.max if bound.is_upper else F.min)(col(name)).alias(name))
+                passes = case & bound.test(col(bound.column).cast(bound.dtype), col(name))
+            test = passes if test is None else test | passes
         for bound in template.bounds:
             probes = probes.withColumn(BOUND, bound.request).where(col(BOUND).isNotNull())
             widest = [(F.max if bound.is_upper else F.min)(col(BOUND)).alias(BOUND)]
             test = bound.test(col(bound.column).cast(bound.dtype), col(BOUND))
         grouped = probes.groupBy(*[col(k) for k in keys])
         probes = grouped.agg(*widest) if widest else grouped.agg(F.count("*").alias(COUNT)).drop(COUNT)
-        if asking.constant_key:
-            probes = F.broadcast(probes)  # one row by construction
+        if asking.constant_key or template.cases and len(keys) == 1:
+            probes = F.broadcast(probes)  # one row by construction, or one for each template
             splitter = Splitter(False)
     else:
         if asking.constant_key and not plan.options.allow_theta:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lookfuse import enrich
 from lookfuse.functions.template import MAX_ARMS, disjuncts
+from lookfuse.plans import enrich as planned
 
 SF = "/root/testdata/sf0.01"
 
@@ -141,3 +142,35 @@ def test_disjuncts():
     assert disjuncts("CASE WHEN a OR b THEN 1 END = {x} OR s = ' OR '") == ["CASE WHEN a OR b THEN 1 END = {x}", "s = ' OR '"]
     many = " AND ".join(f"(a{i} = 1 OR b{i} = 1)" for i in range(10))
     assert disjuncts(many) == [many] and 2**10 > MAX_ARMS
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_any_request_asks_by_the_widest_bound_of_each_template(spark, no_broadcast, split, monkeypatch):
+    """Bounds of two kinds and a template without one: a probe for each template, however many requests."""
+    requests = [(i, i % 50, ["a", "b", "c", None][i % 4] if i < 300 else "zz", i * 7 % 40 + 30, i % 9 - 4.5 if i % 13 else None) for i in range(400)]
+    lookup = [(i % 50, i * 3 % 60 if i % 8 else None, i % 17 / 2.0 if i % 5 else None, "pq"[i % 2], i) for i in range(500)]
+    rq = spark.createDataFrame(requests, "id int, k int, t string, b int, f double").repartition(4)
+    lk = spark.createDataFrame(lookup, "k int, x int, y double, s string, v int").repartition(4)
+    seen, pairs = [], planned.matching_pairs
+
+    def counted(probes, *args, **more):
+        seen.append(probes.count())
+        return pairs(probes, *args, **more)
+
+    monkeypatch.setattr(planned, "matching_pairs", counted)
+    df = enrich(
+        rq, lk, keys=["k"], template_id="t", fields=["b", "f"], restriction={"a": "x >= {b} AND s = 'p'", "b": "y < {f}", "c": "v = 77"},
+        scope="any_request", column_names=["k", "v as o_v"], select=["o_v desc"], match_count=True, allow_theta=True, split=split,
+    )
+    asking = [r for r in requests if r[4] is not None and r[2] in ("a", "b", "c")]
+    found = {}
+    for k, x, y, s, v in lookup:
+        if any(
+            x is not None and x >= b and s == "p" if t == "a" else y is not None and y < f if t == "b" else v == 77
+            for _, _, t, b, f in asking
+        ):
+            found.setdefault(k, []).append(v)
+    valid = {r[0] for r in asking}
+    want = {r[0]: (max(found[r[1]]), len(found[r[1]])) if r[0] in valid and r[1] in found else (None, 0) for r in requests}
+    assert got(df) == want and len({n for _, n in want.values()}) > 2
+    assert seen == [3]
