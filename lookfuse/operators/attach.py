@@ -20,14 +20,16 @@ def attach(
     splitter: Splitter,
     null_safe: Sequence[str] = (),
     single_row: bool = False,
+    entered: bool = False,
 ) -> DataFrame:
     """Left join with at most one picked row for each combination of ``picked_columns``.
 
     The first request column is NULL for requests that cannot match. If these are many, or a key is hot, their
     requests are spread over salts, unless the picked side is small enough to be broadcast. Without either, the
-    picked side keeps the partitioning it has.
+    picked side keeps the partitioning it has. With ``entered`` sides hold several entries for each row, more than Spark
+    reckons, and neither is broadcast.
     """
-    salted = splitter.enabled and not single_row and not fits_broadcast(picked)
+    salted = splitter.enabled and not single_row and (entered or not fits_broadcast(picked))
     if salted:
         # xxhash64 skips NULLs, so requests that cannot match are told apart here.
         hashed = F.when(col(request_columns[0]).isNotNull(), key_hash(request_columns))
@@ -40,6 +42,8 @@ def attach(
         picked = copy_to_salts(picked, hot.parts(picked_columns), SALT + "_p")
     if single_row:
         picked = F.broadcast(picked)  # one row by construction
+    if entered:
+        picked = picked.hint("merge")
     condition = F.lit(True)
     for mine, theirs in zip(request_columns, picked_columns):
         same = col(mine).eqNullSafe(col(theirs)) if mine in null_safe else col(mine) == col(theirs)

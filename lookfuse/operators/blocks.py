@@ -16,6 +16,7 @@ from lookfuse.operators.ranges import Scale
 from lookfuse.operators.skew import Splitter
 
 _LOW, _HIGH, _CELL, _LEVEL, _AT = (f"{SALT}_{name}" for name in ("low", "high", "cell", "level", "entry"))
+_LOW_IN, _HIGH_IN = f"{_LOW}_in", f"{_HIGH}_in"
 
 
 def best_in_ranges(
@@ -29,6 +30,8 @@ def best_in_ranges(
     payload: Payload,
     splitter: Splitter,
     raw_probes: DataFrame,
+    inner: tuple[str, str] | None = None,
+    bound_as: Column | None = None,
 ) -> DataFrame:
     """The best lookup row, and the number of them, between two bounds of each probe: its columns, HIT, COUNT and the payload.
 
@@ -36,43 +39,67 @@ def best_in_ranges(
     those between are taken apart into blocks of 2**j cells that begin at multiples of their size, at most two a level, and each
     block's best and count are had once, by aggregation. Only rows in end cells are tested. The work of a probe grows with
     the logarithm of its range, however many rows match. ``lookup`` has ``LOOKUP_BOUND``, not NULL, as are the probes' columns.
+    Where the test passes everywhere only between the two columns ``inner``, all cells outside these are end cells. ``bound_as``
+    is the bound under the name and type that the test has for it.
     """
-    dtype = lookup.schema[LOOKUP_BOUND].dataType
-    scale = Scale.of(raw_probes.select(F.explode(F.array(col(lower), col(upper))).alias("value")).unionByName(lookup.select(col(LOOKUP_BOUND).alias("value"))))
+    scale = Scale.of(
+        raw_probes.select(F.explode(F.array(col(lower), col(upper))).alias("value")).unionByName(lookup.select(col(LOOKUP_BOUND).alias("value"))),
+        _most(lookup, lookup_keys),
+    )
     own = list(probes.columns)
-    probes = scale.with_cells(probes, {_LOW: col(lower), _HIGH: col(upper)})
-    lookup = scale.with_cells(lookup, {_CELL: col(LOOKUP_BOUND)})
-    raw = scale.with_cells(raw_probes, {_LOW: col(lower), _HIGH: col(upper)})
+    bounds = {_LOW: col(lower), _HIGH: col(upper)} | ({_LOW_IN: col(inner[0]), _HIGH_IN: col(inner[1])} if inner else {})
+    low, high = (_LOW_IN, _HIGH_IN) if inner else (_LOW, _HIGH)
+    probes = scale.with_cells(probes, bounds)
+    raw = scale.with_cells(raw_probes, bounds)
     keys = [f"{SALT}_key{i}" for i in range(len(lookup_keys))]
     one = F.lit(1).cast("bigint").alias(COUNT)
+    # Copies of a value are merged before they meet the probes.
+    lookup = lookup.select(*[col(k).alias(n) for k, n in zip(lookup_keys, keys)], col(LOOKUP_BOUND), *payload.minimum_columns(), one)
+    lookup = scale.with_cells(merged(lookup, [*keys, LOOKUP_BOUND], payload), {_CELL: col(LOOKUP_BOUND)})
+    tested = lookup if bound_as is None else lookup.select("*", bound_as)
 
-    ends = probes.withColumn(_CELL, F.explode(F.array_distinct(F.array(col(_LOW), col(_HIGH))))).withColumnRenamed(_CELL, _AT)
-    pairs, _ = matching_pairs(ends, [*probe_keys, _AT], lookup, [*lookup_keys, _CELL], test, splitter)
-    found = pairs.select(*[col(c) for c in own], *payload.minimum_columns(), one)
+    at_ends = F.array(col(_LOW), col(_HIGH))
+    if inner:
+        first, last = F.least(col(_LOW), col(_HIGH)), F.greatest(col(_LOW), col(_HIGH))
+        apart = (first <= col(low)) & (col(low) < col(high)) & (col(high) <= last)
+        at_ends = F.when(apart, F.concat(F.sequence(first, col(low)), F.sequence(col(high), last))).otherwise(F.sequence(first, last))
+    ends = probes.withColumn(_AT, F.explode(F.array_distinct(at_ends)))
+    pairs, _ = matching_pairs(ends, [*probe_keys, _AT], tested, [*keys, _CELL], test, splitter, entered=True)
+    found = pairs.select(*[col(c) for c in own], *[col(n) for n in payload.minimum_names()], col(COUNT))
 
     # Blocks between the end cells, and of the lookup those of the levels that are asked for.
-    levels = sorted(r[0] for r in raw.select(F.explode(_blocks()).alias("block")).select("block.level").distinct().collect())
-    if levels:
-        cells = lookup.select(*[col(k).alias(n) for k, n in zip(lookup_keys, keys)], col(_CELL), *payload.minimum_columns(), one)
-        cells = merged(cells, [*keys, _CELL], payload)
-        level = F.explode(F.array(*[F.lit(j) for j in levels])).alias(_LEVEL)
+    widest = raw.agg(F.max(col(high) - col(low))).first()[0] or 0
+    if widest > 1:
+        cells = merged(lookup, [*keys, _CELL], payload)
+        level = F.explode(F.array(*[F.lit(j) for j in range((widest - 1).bit_length())])).alias(_LEVEL)
         blocks = cells.select("*", level).withColumn(_CELL, F.call_function("shiftright", col(_CELL), col(_LEVEL)))
-        blocks = merged(blocks, [*keys, _LEVEL, _CELL], payload).withColumn(HIT, F.lit(True)).withColumnsRenamed({_LEVEL: _AT, _CELL: f"{_AT}_cell"})
-        asked = probes.select(*[col(c) for c in own], F.explode(_blocks()).alias("block")).select(*[col(c) for c in own], F.col("block.level").alias(_LEVEL), F.col("block.cell").alias(_CELL))
-        met = attach(asked, [*probe_keys, _LEVEL, _CELL], blocks, [*keys, _AT, f"{_AT}_cell"], splitter).where(col(HIT))
-        found = found.unionByName(met.select(*[col(c) for c in own], *[col(n) for n in payload.minimum_names()], col(COUNT)))
+        blocks = merged(blocks, [*keys, _LEVEL, _CELL], payload)
+        asked = probes.select(*[col(c) for c in own], F.explode(_blocks(low, high)).alias("block")).select(*[col(c) for c in own], F.col("block.level").alias(_LEVEL), F.col("block.cell").alias(_CELL))
+        found = found.unionByName(_met(asked, own, probe_keys, blocks, keys, payload, splitter))
     best = merged(found, own, payload)
     return best.select(*[col(c) for c in own], F.lit(True).alias(HIT), col(COUNT), *payload.unpack())
 
 
-def _blocks() -> Column:
-    """(level, cell) of the blocks that make up the cells between ``_LOW`` and ``_HIGH``, both left out."""
-    levels = F.sequence(F.lit(0), F.greatest(F.length(F.bin(F.greatest(col(_HIGH) - col(_LOW), F.lit(0)))), F.lit(1)))
+def _most(df: DataFrame, keys: Sequence[str]) -> int:
+    """The rows of the key that has most."""
+    return df.groupBy(*[col(k) for k in keys]).count().agg(F.max("count")).first()[0] or 0
+
+
+def _met(asked: DataFrame, own: Sequence[str], probe_keys: Sequence[str], blocks: DataFrame, keys: Sequence[str], payload: Payload, splitter: Splitter) -> DataFrame:
+    """The blocks that probes ask for by key, level and cell, with the probes' ``own`` columns."""
+    blocks = blocks.withColumn(HIT, F.lit(True)).withColumnsRenamed({_LEVEL: _AT, _CELL: f"{_AT}_cell"})
+    met = attach(asked, [*probe_keys, _LEVEL, _CELL], blocks, [*keys, _AT, f"{_AT}_cell"], splitter, entered=True).where(col(HIT))
+    return met.select(*[col(c) for c in own], *[col(n) for n in payload.minimum_names()], col(COUNT))
+
+
+def _blocks(low: str, high: str) -> Column:
+    """(level, cell) of the blocks that make up the cells between ``low`` and ``high``, both left out."""
+    levels = F.sequence(F.lit(0), F.greatest(F.length(F.bin(F.greatest(col(high) - col(low), F.lit(0)))), F.lit(1)))
 
     def of_level(level: Column) -> Column:
         size = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
-        first = F.call_function("shiftright", col(_LOW) + size, level)  # the next block's number, rounded up
-        end = F.call_function("shiftright", col(_HIGH), level)
+        first = F.call_function("shiftright", col(low) + size, level)  # the next block's number, rounded up
+        end = F.call_function("shiftright", col(high), level)
         left = F.when((first < end) & (first.bitwiseAND(1) == 1), F.struct(level.alias("level"), first.alias("cell")))
         right = F.when((first < end) & (end.bitwiseAND(1) == 1), F.struct(level.alias("level"), (end - 1).alias("cell")))
         return F.array_compact(F.array(left, right))

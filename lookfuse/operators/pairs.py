@@ -25,6 +25,7 @@ def matching_pairs(
     how: str = "inner",
     ranges: tuple[Range, Range] | None = None,
     raw_probes: DataFrame | None = None,
+    entered: bool = False,
 ) -> tuple[DataFrame, list[str]]:
     """Pairs (``how="inner"``) or lookup rows with any partner (``how="left_semi"``) with equal keys that pass the
     residual test, and the names of the salt columns they carry.
@@ -35,7 +36,8 @@ def matching_pairs(
 
     ``ranges`` of the probes and of the lookup have to meet wherever the residual test holds; then only rows whose
     ranges are near each other are tested. They don't serve a semi-join, which would find a lookup row in several places.
-    ``raw_probes`` are rows with the probes' columns to take statistics from.
+    ``raw_probes`` are rows with the probes' columns to take statistics from. ``entered`` says that a side has several entries
+    for each row already. Spark reckons such a side as if it had one, so it is never left to be broadcast.
     """
     if ranges is not None:
         probes, mine, lookup, theirs, meet = enter_ranges(probes, ranges[0], lookup, ranges[1], raw_probes)
@@ -60,4 +62,6 @@ def matching_pairs(
         salts = [SALT]
     if residual is not None:
         condition = condition & residual
+    if ranges is not None or entered:
+        probes = probes.hint("merge")
     return lookup.join(probes, condition, how), salts

@@ -48,15 +48,21 @@ class Scale:
     bits: int
 
     @classmethod
-    def of(cls, values: DataFrame) -> Scale:
-        """For a one-column DataFrame; the driver sees at most ``_CUTS`` numbers and a count."""
+    def of(cls, values: DataFrame, most: int | None = None) -> Scale:
+        """For a one-column DataFrame; the driver sees at most ``_CUTS`` numbers and a count.
+
+        Copies of a value lie in one cell however fine it is, so cells follow the number of different values, and ``most``,
+        where no key has more rows to be told apart.
+        """
         (field,) = values.schema.fields
         skip = common_prefix(values)
         number = range_number(col(field.name), field.dataType, skip)
         shares = literal_numbers(i / _CUTS for i in range(_CUTS + 1))
-        found = values.agg(F.percentile_approx(number, shares, F.lit(4 * _CUTS)).alias("cuts"), F.count("*").alias("n")).first()
-        cuts = tuple(sorted({c for c in found["cuts"] or [] if math.isfinite(c)}))
-        cells = found["n"] / _CELL_ROWS / max(len(cuts), 1)
+        found = values.agg(F.percentile_approx(number, shares, F.lit(4 * _CUTS)).alias("cuts"), F.approx_count_distinct(number).alias("n")).first()
+        cuts = sorted({c for c in found["cuts"] or [] if math.isfinite(c)})
+        wanted = max((found["n"] if most is None else min(found["n"], most)) / _CELL_ROWS, 1)
+        cuts = tuple(cuts[:: max(int(len(cuts) / wanted), 1)])
+        cells = wanted / max(len(cuts), 1)
         return cls(field.dataType, skip, cuts, min(_MAX_FINE_BITS, math.ceil(math.log2(cells))) if cells > 1 else 0)
 
     def with_cells(self, df: DataFrame, values: dict[str, Column]) -> DataFrame:

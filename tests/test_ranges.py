@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lookfuse import enrich
 from lookfuse.operators import blocks
 from lookfuse.operators.ranges import Range, enter_ranges
+from lookfuse.plans import enrich as planned
 from reference_model import pick
 from test_split import COMMON, KINDS, hash_seed, rows, tables
 
@@ -201,3 +202,40 @@ def test_pairs_tested_follow_the_matches(spark):
     kind = wide.schema["a"].dataType
     probes, *_ = enter_ranges(wide, Range(F.col("a"), F.col("b"), kind), points, Range(F.col("x"), F.col("x"), kind))
     assert probes.count() <= 400
+
+
+@pytest.fixture
+def made(monkeypatch):
+    """Pairs and blocks that are joined while plans are built."""
+    seen = []
+
+    def watch(module, name):
+        real = getattr(module, name)
+
+        def watched(*args, **more):
+            found = real(*args, **more)
+            seen.append(found[0] if isinstance(found, tuple) else found)
+            return found
+
+        monkeypatch.setattr(module, name, watched)
+
+    watch(blocks, "matching_pairs")
+    watch(blocks, "attach")
+    watch(planned, "matching_pairs")
+    return seen
+
+
+@pytest.mark.parametrize("split", [False, True])
+@pytest.mark.parametrize("options", [
+    dict(restriction="x >= {a} AND x < {c}", select=["v desc"]),
+    dict(restriction="abs(x - {a}) < 3", select=["v desc"]),
+    dict(restriction="abs(x - {a}) < 3", select=lambda found: F.get(found, 0)),
+])
+def test_sides_with_several_entries_are_not_broadcast(spark, options, split, made):
+    """Spark reckons an exploded side as if every row had one entry."""
+    lookup = spark.range(300).select(F.col("id").cast("double").alias("x"), (F.col("id") + 5.0).alias("y"), F.col("id").alias("v"))
+    requests = spark.range(100).select("id", (F.col("id") * 2.0).alias("a"), (F.col("id") * 2.0 + 9).alias("c"))
+    df = enrich(requests, lookup, fields=["a", "c"], allow_theta=True, column_names=["v"], split=split, **options)
+    assert df.count() == 100 and made
+    for joined in made:
+        assert "SortMergeJoin" in tree(joined) and "BroadcastHashJoin" not in tree(joined)
