@@ -59,12 +59,25 @@ class Nearby:
     column: str
     value: Column
     distance: Column
+    sure: bool  # whether types subtract as doubles do, or exactly
 
     def ends(self) -> tuple[Column, Column]:
         """Between what the column lies, as doubles; a little too far, so that rounding leaves nothing out."""
         value, distance = self.value.cast("double"), F.abs(self.distance.cast("double"))
         wide = distance + (F.abs(value) + distance) * 1e-9
-        return value - wide, value + wide
+        endless = wide == float("inf")
+        return F.when(endless, float("-inf")).otherwise(value - wide), F.when(endless, float("inf")).otherwise(value + wide)
+
+    def inner_ends(self) -> tuple[Column, Column]:
+        """Between what every value is near enough, where ``sure``."""
+        value, distance = self.value.cast("double"), self.distance.cast("double")
+        narrow = distance * (1 - 1e-12) - F.abs(value) * 1e-12
+        return value - narrow, value + narrow
+
+    def possible(self) -> Column:
+        """False for requests that no value is near enough to."""
+        value, distance = self.value.cast("double"), self.distance.cast("double")
+        return (distance >= 0) & ((F.abs(value) < float("inf")) | (distance >= float("inf")))
 
 
 @dataclass
@@ -268,7 +281,9 @@ def _add(condition: Condition, side, lookup, item, value_types, covered) -> None
         value, distance = F.expr(near.value_sql), F.expr(near.distance_sql)
         kinds = [f.dataType for f in side.select(value.alias("v"), distance.alias("d")).schema]
         if name is not None and all(is_numeric(kind) for kind in (*kinds, lookup.schema[name].dataType)):
-            condition.nearby.append(Nearby(name, value, distance))
+            sure = isinstance(lookup.schema[name].dataType, (T.DoubleType, T.IntegerType, T.ShortType, T.ByteType))
+            sure = sure and (family(kinds[0]) == "integral" or isinstance(kinds[0], T.DoubleType)) and not isinstance(kinds[1], T.FloatType)
+            condition.nearby.append(Nearby(name, value, distance, sure))
     for sql in parsed.residual_sql:
         condition.residual.append(F.expr(sql))
         condition.residual_columns |= used

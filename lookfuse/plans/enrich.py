@@ -47,6 +47,7 @@ from lookfuse.plans.choice import ROW, combine
 from lookfuse.plans.condition import (
     Bound,
     Condition,
+    Nearby,
     build_condition,
     declared_keys,
     two_sided,
@@ -187,6 +188,9 @@ class _Plan:
         inside = self._usable_range()
         if inside is not None:
             return self._by_range(rows, *inside, splitter)
+        near = self._usable_distance()
+        if near is not None:
+            return self._by_distance(rows, near, splitter)
         return self._by_pairs(rows, splitter)
 
     def _usable_range(self) -> tuple[Bound, Bound] | None:
@@ -215,6 +219,37 @@ class _Plan:
         )
         return self._attach(rows, probe, *_as_lookup_keys(picked, probe), splitter)
 
+    def _usable_distance(self) -> Nearby | None:
+        """The distance that alone decides beside the keys, if all rows well inside it are certain to pass."""
+        condition = self.condition
+        alone = not condition.bounds and not condition.arms and len(condition.residual) == len(condition.nearby) == 1
+        return condition.nearby[0] if alone and condition.nearby[0].sure and self.payload.can_take_minimum() else None
+
+    def _by_distance(self, rows: DataFrame, near: Nearby, splitter: Splitter) -> DataFrame:
+        names = [f"{BOUND}{i}" for i in range(4)]
+        possible = f"{BOUND}_possible"
+        rows = rows.withColumns(dict(zip(names, (*near.ends(), *near.inner_ends()))) | {possible: near.possible()})
+        read = [c for c in rows.columns if c in self.condition.residual_columns]
+        probe = [*self.request_keys, *names, *read]
+        present = _all_present(rows.where(col(possible)), [*self.request_keys, *names])
+        rows = _without_condition_columns(rows.drop(possible), keep=read)
+        lookup = self._reduced_to(rows, self.lookup_side(col(near.column).cast("double").alias(LOOKUP_BOUND)))
+        picked = best_in_ranges(
+            distinct_probes(present, probe),
+            self.request_keys,
+            names[0],
+            names[1],
+            lookup.where(col(LOOKUP_BOUND).isNotNull()),
+            self.lookup_keys,
+            self.condition.residual_test,
+            self.payload,
+            splitter,
+            present,
+            (names[2], names[3]),
+            col(LOOKUP_BOUND).cast(self._lookup.schema[near.column].dataType).alias(near.column),
+        )
+        return self._attach(rows, probe, *_as_lookup_keys(picked, probe), splitter, read)
+
     def _usable_bounds(self) -> tuple[Bound | None, Bound | None]:
         """The bound that alone decides beside the keys, and the one to test on the picked row."""
         bound, limit = self.condition.split_bounds(self.payload.terms, self.order_source)

@@ -239,3 +239,27 @@ def test_sides_with_several_entries_are_not_broadcast(spark, options, split, mad
     assert df.count() == 100 and made
     for joined in made:
         assert "SortMergeJoin" in tree(joined) and "BroadcastHashJoin" not in tree(joined)
+
+
+def test_wide_distances_make_few_pairs(spark, made):
+    n = 3_000
+    lookup = spark.range(n * 4).select((F.col("id") % n).cast("double").alias("x"), F.col("id").alias("v"))
+    requests = spark.range(500).select("id", (F.col("id") * 5.0).alias("a"))
+    df = enrich(
+        requests, lookup, restriction="abs(x - {a}) <= 700", fields=["a"], allow_theta=True, select=["v"], column_names=["v"],
+        match_count=True, split=False,
+    )
+    assert len(made) == 2 and sum(m.count() for m in made) < 500 * 60
+    got = {r.id: (r.v, r["__match_count"]) for r in df.collect()}
+    assert got == {i: (max(i * 5 - 700, 0), 4 * (min(i * 5 + 700, n - 1) - max(i * 5 - 700, 0) + 1)) for i in range(500)}
+
+
+def test_odd_distances(spark, no_broadcast):
+    odd = [float("inf"), float("-inf"), float("nan"), 0.0, -0.0, 1e308, 5e-324, 1.5, -3.0]
+    rq = spark.createDataFrame([(i * 100 + j, a, b) for i, a in enumerate(odd) for j, b in enumerate(odd) if b == b], "id long, b double, d double")
+    lk = spark.createDataFrame([(v, i) for i, v in enumerate([v for v in odd * 3 if v == v] + [float(x) for x in range(40)])], "x double, v long")
+    for op in ("<", "<="):
+        df = enrich(rq, lk, restriction=f"abs(x - {{b}}) {op} {{d}}", fields=["b", "d"], allow_theta=True, select=["v desc"], column_names=["v"], match_count=True)
+        pairs = rq.join(lk, F.expr(f"abs(x - b) {op} d")).groupBy("id").agg(F.count("*").alias("n"), F.max("v").alias("v"))
+        want = {r.id: (r.n, r.v) for r in pairs.collect()}
+        assert {r.id: (r["__match_count"], r.v) for r in df.collect()} == {r.id: want.get(r.id, (0, None)) for r in rq.select("id").collect()}
