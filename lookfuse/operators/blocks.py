@@ -80,6 +80,53 @@ def best_in_ranges(
     return best.select(*[col(c) for c in own], F.lit(True).alias(HIT), col(COUNT), *payload.unpack())
 
 
+def best_around(
+    probes: DataFrame,
+    probe_keys: Sequence[str],
+    at: str,
+    lookup: DataFrame,
+    lookup_keys: Sequence[str],
+    lower: str,
+    upper: str,
+    test: Column,
+    payload: Payload,
+    splitter: Splitter,
+    raw_probes: DataFrame,
+) -> DataFrame:
+    """The best lookup row, and the number of them, whose range from ``lower`` to ``upper`` holds the probe's value ``at``.
+
+    The same with the sides changed: a lookup row is entered in the blocks that make up its range, each block's best and count
+    are had by aggregation, and a probe asks for the one block of each level that holds it. Only the two end cells of a row
+    are tested. ``lookup`` has both ends, not NULL, as are the probes' columns.
+    """
+    lookup = lookup.where(col(lower) <= col(upper))
+    values = lookup.select(F.explode(F.array(col(lower), col(upper))).alias("value")).unionByName(raw_probes.select(col(at).alias("value")))
+    scale = Scale.of(values, _most(probes, probe_keys))
+    bounds = {_LOW: col(lower), _HIGH: col(upper)}
+    widest = scale.with_cells(lookup, bounds).agg(F.max(col(_HIGH) - col(_LOW))).first()[0] or 0
+    own = list(probes.columns)
+    keys = [f"{SALT}_key{i}" for i in range(len(lookup_keys))]
+    one = F.lit(1).cast("bigint").alias(COUNT)
+    best = payload.minimum_names()
+    # Copies of a range are merged before they meet the probes.
+    lookup = lookup.select(*[col(k).alias(n) for k, n in zip(lookup_keys, keys)], col(lower), col(upper), *payload.minimum_columns(), one)
+    lookup = scale.with_cells(merged(lookup, [*keys, lower, upper], payload), bounds)
+    probes = scale.with_cells(probes, {_AT: col(at)})
+
+    ends = lookup.withColumn(_CELL, F.explode(F.array_distinct(F.array(col(_LOW), col(_HIGH)))))
+    pairs, _ = matching_pairs(probes, [*probe_keys, _AT], ends, [*keys, _CELL], test, splitter, entered=True)
+    found = pairs.select(*[col(c) for c in own], *[col(n) for n in best], col(COUNT))
+    if widest > 1:
+        blocks = lookup.select(*[col(c) for c in [*keys, *best, COUNT]], F.explode(_blocks(_LOW, _HIGH)).alias("block"))
+        blocks = blocks.select(*[col(c) for c in [*keys, *best, COUNT]], F.col("block.level").alias(_LEVEL), F.col("block.cell").alias(_CELL))
+        blocks = merged(blocks, [*keys, _LEVEL, _CELL], payload)
+        level = F.explode(F.array(*[F.lit(j) for j in range((widest - 1).bit_length())])).alias(_LEVEL)
+        asked = probes.select("*", level).withColumn(_CELL, F.call_function("shiftright", col(_AT), col(_LEVEL))).drop(_AT)
+        found = found.unionByName(_met(asked, own, probe_keys, blocks, keys, payload, splitter))
+    picked = merged(found, own, payload)
+    return picked.select(*[col(c) for c in own], F.lit(True).alias(HIT), col(COUNT), *payload.unpack())
+
+
 def _most(df: DataFrame, keys: Sequence[str]) -> int:
     """The rows of the key that has most."""
     return df.groupBy(*[col(k) for k in keys]).count().agg(F.max("count")).first()[0] or 0

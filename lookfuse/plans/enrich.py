@@ -30,7 +30,7 @@ from lookfuse.functions.names import NameIndex, col
 from lookfuse.functions.ordering import OrderTerm, parse_order
 from lookfuse.functions.types import has_exact_literals, is_orderable
 from lookfuse.operators.attach import attach
-from lookfuse.operators.blocks import best_in_ranges
+from lookfuse.operators.blocks import best_around, best_in_ranges
 from lookfuse.operators.collect import select_from_groups
 from lookfuse.operators.keyfilter import filter_by_keys
 from lookfuse.operators.lookup import Payload, best_per_key
@@ -188,6 +188,9 @@ class _Plan:
         inside = self._usable_range()
         if inside is not None:
             return self._by_range(rows, *inside, splitter)
+        around = self._usable_range_around()
+        if around is not None:
+            return self._by_range_around(rows, *around, splitter)
         near = self._usable_distance()
         if near is not None:
             return self._by_distance(rows, near, splitter)
@@ -219,6 +222,34 @@ class _Plan:
         )
         return self._attach(rows, probe, *_as_lookup_keys(picked, probe), splitter)
 
+    def _usable_range_around(self) -> tuple[Bound, Bound] | None:
+        """The bounds of two lookup columns by one request value, if they alone decide beside the keys."""
+        pair = two_sided(self.condition.bounds) if len(self.condition.bounds) == 2 and not self.condition.residual else None
+        alike = pair is not None and str(pair[0].request) == str(pair[1].request) and pair[0].dtype == pair[1].dtype
+        return pair if alike and self.payload.can_take_minimum() else None
+
+    def _by_range_around(self, rows: DataFrame, upper: Bound, lower: Bound, splitter: Splitter) -> DataFrame:
+        rows = _without_condition_columns(rows.withColumn(BOUND, upper.request))
+        start, end = f"{LOOKUP_BOUND}_from", f"{LOOKUP_BOUND}_to"
+        ends = [col(b.column).cast(b.dtype).alias(n) for b, n in ((upper, start), (lower, end))]
+        lookup = _all_present(self._reduced_to(rows, self.lookup_side(*ends)), [start, end])
+        probe = [*self.request_keys, BOUND]
+        present = _all_present(rows, probe)
+        picked = best_around(
+            distinct_probes(present, probe),
+            self.request_keys,
+            BOUND,
+            lookup,
+            self.lookup_keys,
+            start,
+            end,
+            upper.test(col(start), col(BOUND)) & lower.test(col(end), col(BOUND)),
+            self.payload,
+            splitter,
+            present,
+        )
+        return self._attach(rows, probe, *_as_lookup_keys(picked, probe), splitter)
+
     def _usable_distance(self) -> Nearby | None:
         """The distance that alone decides beside the keys, if all rows well inside it are certain to pass."""
         condition = self.condition

@@ -230,6 +230,7 @@ def made(monkeypatch):
     dict(restriction="x >= {a} AND x < {c}", select=["v desc"]),
     dict(restriction="abs(x - {a}) < 3", select=["v desc"]),
     dict(restriction="abs(x - {a}) < 3", select=lambda found: F.get(found, 0)),
+    dict(restriction="x <= {a} AND y > {a}", select=["v desc"]),
 ])
 def test_sides_with_several_entries_are_not_broadcast(spark, options, split, made):
     """Spark reckons an exploded side as if every row had one entry."""
@@ -241,6 +242,37 @@ def test_sides_with_several_entries_are_not_broadcast(spark, options, split, mad
         assert "SortMergeJoin" in tree(joined) and "BroadcastHashJoin" not in tree(joined)
 
 
+@pytest.mark.parametrize("kind,split", [("bigint", True), ("double", False), ("timestamp_ntz", False)])
+def test_ranges_around_a_value(spark, no_broadcast, split, kind):
+    requests, lookup, rq, lk = two_values(spark, kind, hash_seed(kind, "around"))
+    for keyed, text, test in (
+        (True, "x <= {b} AND y > {b}", lambda q, r: r["x"] <= q["b"] < r["y"]),
+        (False, "x < {b} AND y >= {b}", lambda q, r: r["x"] < q["b"] <= r["y"]),
+    ):
+        more = dict(join_key="k") if keyed else dict(allow_theta=True)
+        text = text.replace("{b}", "'{b}'") if kind == "timestamp_ntz" else text
+        df = enrich(rq, lk, restriction=text, fields=["b"], select=["o_v desc"], split=split, match_count=True, column_names=COMMON["column_names"], **more)
+
+        def whole(q, r):
+            return None not in (q["b"], r["x"], r["y"]) and (not keyed or q["k"] == r["k"]) and test(q, r)  # noqa: B023
+
+        assert rows(df) == expected([q for q in requests if not keyed or q["k"] is not None], lookup, whole, [("v", True)])
+
+
+def test_wide_ranges_around_values_make_few_pairs(spark, made):
+    """Every lookup row holds a third of the values."""
+    n = 3_000
+    lookup = spark.range(n).select(F.col("id").alias("x"), (F.col("id") + n // 3).alias("y"), (F.col("id") * 7919 % n).alias("v"))
+    requests = spark.range(n).select("id", F.col("id").alias("a"))
+    df = enrich(
+        requests, lookup, restriction="x <= {a} AND y > {a}", fields=["a"], allow_theta=True, select=["v desc"], column_names=["v"],
+        match_count=True, split=False,
+    )
+    assert len(made) == 2 and sum(m.count() for m in made) < n * 40
+    got = {r.id: (r.v, r["__match_count"]) for r in df.collect()}
+    assert got == {a: (max(x * 7919 % n for x in range(max(a - n // 3 + 1, 0), a + 1)), min(a + 1, n // 3)) for a in range(n)}
+
+
 def test_wide_distances_make_few_pairs(spark, made):
     n = 3_000
     lookup = spark.range(n * 4).select((F.col("id") % n).cast("double").alias("x"), F.col("id").alias("v"))
