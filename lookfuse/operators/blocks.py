@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lookfuse.constants import COUNT, HIT, LOOKUP_BOUND, SALT
 from lookfuse.functions.names import col
+from lookfuse.functions.types import family
 from lookfuse.operators.attach import attach
 from lookfuse.operators.lookup import Payload, merged
 from lookfuse.operators.pairs import matching_pairs
 from lookfuse.operators.ranges import Scale
-from lookfuse.operators.skew import Splitter
+from lookfuse.operators.skew import MAX_PARTS, Splitter, literal_numbers, range_number, range_part
 
 _LOW, _HIGH, _CELL, _LEVEL, _AT = (f"{SALT}_{name}" for name in ("low", "high", "cell", "level", "entry"))
 _LOW_IN, _HIGH_IN = f"{_LOW}_in", f"{_HIGH}_in"
+_BLOCK = f"{SALT}_block"
+_LEVEL_BITS = 6
 
 
 def best_in_ranges(
@@ -127,6 +132,82 @@ def best_around(
     return picked.select(*[col(c) for c in own], F.lit(True).alias(HIT), col(COUNT), *payload.unpack())
 
 
+def few_values(values: DataFrame) -> list[float] | None:
+    """The numbers of a one-column DataFrame's different values, in order, if these are few and no other value has one of them."""
+    (field,) = values.schema.fields
+    kind = field.dataType
+    if family(kind) not in ("integral", "fractional", "date-time") or isinstance(kind, T.DecimalType):
+        return None
+    # Beyond, neighbours share a double; local timestamps are numbered in seconds, others that count in their smallest step.
+    exact = math.inf if isinstance(kind, (T.FloatType, T.DoubleType)) else 2**32 if isinstance(kind, T.TimestampNTZType) else 2**53
+    found = values.where(col(field.name).isNotNull()).distinct().select(range_number(col(field.name), kind, 0)).limit(MAX_PARTS + 1).collect()
+    numbers = sorted({number for (number,) in found if abs(number) < exact})
+    return numbers if numbers and len(numbers) == len(found) <= MAX_PARTS else None
+
+
+def best_around_values(
+    probes: DataFrame,
+    probe_keys: Sequence[str],
+    at: str,
+    values: Sequence[float],
+    lookup: DataFrame,
+    lookup_keys: Sequence[str],
+    lower: str,
+    lower_op: str,
+    upper: str,
+    upper_op: str,
+    payload: Payload,
+) -> DataFrame:
+    """The best lookup row whose range holds the probe's value ``at``, one of a few ``values``: the probe's columns, HIT and the payload.
+
+    A cell for each value: ends lie between cells, so no row is tested. As the best of overlapping parts is the best of all, a row is
+    entered in two parts of 2**j cells that cover its range, and only the parts' bests, merged where they are read, are taken
+    apart into blocks. A key, level and cell has as many probes as there are values at most, so no key is too hot for a task.
+    """
+    own, best = list(probes.columns), payload.minimum_names()
+    keys = [f"{SALT}_key{i}" for i in range(len(lookup_keys))]
+    dtype = probes.schema[at].dataType
+    one = F.lit(1).cast("bigint")
+    # In steps, so that Spark reckons what is used several times once.
+    rows = lookup.select(
+        *[col(k).alias(n) for k, n in zip(lookup_keys, keys)],
+        *payload.minimum_columns(),
+        range_number(col(lower), dtype, 0).alias(_LOW),
+        range_number(col(upper), dtype, 0).alias(_HIGH),
+    )
+    low, high = _place(col(_LOW), values, after=lower_op == "<"), _place(col(_HIGH), values, after=upper_op == ">=")
+    # Without an end, a range is empty: none below ``high``, or no ``low`` below its end.
+    rows = rows.withColumns({_LOW: F.when(col(_LOW).isNull(), F.lit(len(values)).cast("bigint")).otherwise(low), _HIGH: high})
+    rows = rows.withColumn(_LEVEL, F.when(col(_HIGH) > col(_LOW), F.length(F.bin(col(_HIGH) - col(_LOW))) - 1))
+    rows = rows.withColumn(_AT, col(_HIGH) - F.call_function("shiftleft", one, col(_LEVEL)))
+
+    def entry(start: str) -> Column:
+        return F.call_function("shiftleft", col(start), F.lit(_LEVEL_BITS)) + col(_LEVEL)
+
+    entries = F.when(col(_AT) == col(_LOW), F.array(entry(_LOW))).when(col(_AT) > col(_LOW), F.array(entry(_LOW), entry(_AT)))
+    parts = rows.select(*[col(c) for c in [*keys, *best]], F.explode(entries).alias(_BLOCK), one.alias(COUNT))
+    parts = merged(parts, [_BLOCK, *keys], payload)
+    size = F.call_function("shiftleft", one, col(_BLOCK).bitwiseAND((1 << _LEVEL_BITS) - 1).cast("int"))
+    start = F.call_function("shiftright", col(_BLOCK), F.lit(_LEVEL_BITS))
+    parts = parts.withColumns({_LOW: start - 1, _HIGH: start + size})
+    blocks = parts.select(*[col(c) for c in [*keys, *best, COUNT]], F.explode(_blocks(_LOW, _HIGH)).alias("block"))
+    blocks = blocks.select(*[col(c) for c in [*keys, *best, COUNT]], F.col("block.level").alias(_LEVEL), F.col("block.cell").alias(_CELL))
+    blocks = merged(blocks, [_CELL, _LEVEL, *keys], payload)
+    levels = F.explode(F.array(*[F.lit(j) for j in range(len(values).bit_length())])).alias(_LEVEL)
+    asked = probes.withColumn(_AT, range_number(col(at), dtype, 0)).withColumn(_AT, _place(col(_AT), values)).select("*", levels)
+    asked = asked.withColumn(_CELL, F.call_function("shiftright", col(_AT), col(_LEVEL))).drop(_AT)
+    picked = merged(_met(asked, own, probe_keys, blocks, keys, payload, Splitter(False)), own, payload)
+    return picked.select(*[col(c) for c in own], F.lit(True).alias(HIT), *payload.unpack())
+
+
+def _place(number: Column, values: Sequence[float], after: bool = False) -> Column:
+    """How many of ``values`` lie below a number, or, with ``after``, not above it."""
+    place = F.coalesce(range_part(number, T.DoubleType(), (0, list(values))), F.lit(0))  # never NULL, or joins would test it early
+    if after:
+        place = place + F.coalesce((F.get(literal_numbers(values), place) == number).cast("int"), F.lit(0))
+    return place.cast("bigint")
+
+
 def _most(df: DataFrame, keys: Sequence[str]) -> int:
     """The rows of the key that has most."""
     return df.groupBy(*[col(k) for k in keys]).count().agg(F.max("count")).first()[0] or 0

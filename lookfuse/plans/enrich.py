@@ -30,7 +30,7 @@ from lookfuse.functions.names import NameIndex, col
 from lookfuse.functions.ordering import OrderTerm, parse_order
 from lookfuse.functions.types import has_exact_literals, is_orderable
 from lookfuse.operators.attach import attach
-from lookfuse.operators.blocks import best_around, best_in_ranges
+from lookfuse.operators.blocks import best_around, best_around_values, best_in_ranges, few_values
 from lookfuse.operators.collect import select_from_groups
 from lookfuse.operators.keyfilter import filter_by_keys
 from lookfuse.operators.lookup import Payload, best_per_key
@@ -41,7 +41,7 @@ from lookfuse.operators.ranges import Range
 from lookfuse.operators.reduce import count_per_key, first_per_key
 from lookfuse.operators.requests import distinct_probes, mark_first, total_order
 from lookfuse.operators.selectors import ColumnSelector, PythonSelector, StreamSelector
-from lookfuse.operators.skew import Splitter, find_hot_keys, fits_broadcast, key_hash, too_large_to_broadcast
+from lookfuse.operators.skew import MAX_PARTS, Splitter, find_hot_keys, fits_broadcast, key_hash, too_large_to_broadcast
 from lookfuse.operators.streams import select_from_streams
 from lookfuse.plans.choice import ROW, combine
 from lookfuse.plans.condition import (
@@ -57,6 +57,7 @@ from lookfuse.plans.options import Options, check_column_names
 
 _LIMIT_FIELD = "__limit"
 _MAX_INTERVALS = 1000
+_MAX_CELLS = 16  # for a probe, on average, where every value has a cell
 _RAW_KEY = "__rqk_raw"
 _FIRST = "__rqk_first"
 
@@ -232,14 +233,34 @@ class _Plan:
         rows = _without_condition_columns(rows.withColumn(BOUND, upper.request))
         start, end = f"{LOOKUP_BOUND}_from", f"{LOOKUP_BOUND}_to"
         ends = [col(b.column).cast(b.dtype).alias(n) for b, n in ((upper, start), (lower, end))]
-        lookup = _all_present(self._reduced_to(rows, self.lookup_side(*ends)), [start, end])
         probe = [*self.request_keys, BOUND]
         present = _all_present(rows, probe)
+        hashes = {"keys": key_hash(self.request_keys), "values": key_hash([BOUND]), "probes": key_hash(probe)}
+        asked = present.agg(*[F.approx_count_distinct(h).alias(n) for n, h in hashes.items()]).first()
+        lookup = self._reduced_to(rows, self.lookup_side(*ends), asked["keys"])
+        # Cells of their own are for values that most keys have; counts need every row in parts that do not overlap.
+        own_cells = not self.options.match_count and asked["keys"] * asked["values"] <= _MAX_CELLS * asked["probes"]
+        values = few_values(present.select(col(BOUND))) if own_cells and asked["values"] <= 2 * MAX_PARTS else None
+        if values is not None:
+            picked = best_around_values(
+                distinct_probes(present, probe),
+                self.request_keys,
+                BOUND,
+                values,
+                lookup,
+                self.lookup_keys,
+                start,
+                upper.op,
+                end,
+                lower.op,
+                self.payload,
+            )
+            return self._attach(rows, probe, *_as_lookup_keys(picked, probe), splitter)
         picked = best_around(
             distinct_probes(present, probe),
             self.request_keys,
             BOUND,
-            lookup,
+            _all_present(lookup, [start, end]),
             self.lookup_keys,
             start,
             end,
@@ -478,8 +499,11 @@ class _Plan:
         joined = attach(rows, columns, picked, picked_columns, splitter, null_safe, single)
         return joined.drop(*picked_columns)
 
-    def _reduced_to(self, rows: DataFrame, lookup: DataFrame) -> DataFrame:
-        """Lookup rows with a key some request has, when the requests' keys are few enough to be sent to them."""
+    def _reduced_to(self, rows: DataFrame, lookup: DataFrame, asked_keys: int | None = None) -> DataFrame:
+        """Lookup rows with a key some request has, when the requests' keys are few enough to be sent to them.
+
+        Spark reckons keys as if every request had its own; ``asked_keys`` is about how many there are, where that is known.
+        """
         wanted, most = self.options.semi_reduce, self.options.pushdown_keys
         if self.constant_key or rows.isStreaming or (wanted is False and not most):
             return lookup
@@ -493,8 +517,12 @@ class _Plan:
                 return lookup
         if wanted == "bloom":
             return filter_by_keys(lookup, self.lookup_keys, _all_present(rows, self.request_keys), self.request_keys)
-        if wanted is False or wanted == "auto" and (not fits_broadcast(asked) or fits_broadcast(self._lookup)):
+        if wanted is False or wanted == "auto" and fits_broadcast(self._lookup):
             return lookup
+        if wanted == "auto" and not fits_broadcast(asked):
+            if asked_keys is None or asked_keys > MAX_PARTS:
+                return lookup
+            asked = F.broadcast(asked)
         same = reduce(
             lambda a, b: a & b, [col(m) == col(t) for m, t in zip(self.request_keys, self.lookup_keys)]
         )

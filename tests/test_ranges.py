@@ -295,3 +295,69 @@ def test_odd_distances(spark, no_broadcast):
         pairs = rq.join(lk, F.expr(f"abs(x - b) {op} d")).groupBy("id").agg(F.count("*").alias("n"), F.max("v").alias("v"))
         want = {r.id: (r.n, r.v) for r in pairs.collect()}
         assert {r.id: (r["__match_count"], r.v) for r in df.collect()} == {r.id: want.get(r.id, (0, None)) for r in rq.select("id").collect()}
+
+
+@pytest.mark.parametrize("kind,split", [("bigint", True), ("double", False), ("timestamp", False), ("timestamp_ntz", True), ("string", False)])
+def test_ranges_around_few_values(spark, no_broadcast, split, kind, made):
+    """Without a count, each of few values has a cell, so that no row is tested; types without exact numbers go the other way."""
+    requests, lookup, rq, lk = two_values(spark, kind, hash_seed(kind, "few"))
+    for keyed, first, last, test in (
+        (True, "<=", ">", lambda q, r: r["x"] <= q["b"] < r["y"]),
+        (False, "<", ">=", lambda q, r: r["x"] < q["b"] <= r["y"]),
+    ):
+        made.clear()
+        df = enrich(
+            rq, lk, restriction=lambda v, row: [("x", first, v["b"]), ("y", last, v["b"])], fields=["b"], select=["o_v desc"],  # noqa: B023
+            split=split, column_names=COMMON["column_names"], **(dict(join_key="k") if keyed else dict(allow_theta=True)),
+        )
+        assert len(made) == (2 if kind == "string" else 1)
+
+        def whole(q, r):
+            return None not in (q["b"], r["x"], r["y"]) and (not keyed or q["k"] == r["k"]) and test(q, r)  # noqa: B023
+
+        want = expected([q for q in requests if not keyed or q["k"] is not None], lookup, whole, [("v", True)])
+        assert {r["id"]: (r["o_x"], r["o_v"], r["o_p"], r["__enrichment_status"]) for r in df.collect()} == {i: w[:4] for i, w in want.items()}
+
+
+def test_few_values_that_doubles_tell_apart(spark, monkeypatch):
+    def found(values, kind):
+        return blocks.few_values(spark.createDataFrame([(v,) for v in values], f"b {kind}"))
+
+    assert found([3, None, -1, 3, 0], "bigint") == [-1, 0, 3]
+    assert found([2**53 - 1, 5], "bigint") == [5, 2**53 - 1]
+    for values, kind in (([2**53], "bigint"), ([float("nan"), 1.0], "double"), ([float("inf"), 1.0], "double"), ([None], "bigint"), (["a"], "string")):
+        assert found(values, kind) is None
+    monkeypatch.setattr(blocks, "MAX_PARTS", 3)
+    assert found([4, 4, 5, 6], "int") == [4, 5, 6] and found([4, 5, 6, 7], "int") is None
+
+
+def test_odd_ends_around_few_values(spark, no_broadcast):
+    """Infinities, NaN and numbers that share a double, around zeroes and numbers near the limit."""
+    odd = [float("inf"), float("-inf"), float("nan"), 0.0, -0.0, 1e308, 5e-324, 1.5]
+    big = [2**53 - 2, 2**53 - 1, 2**53, 2**53 + 1, 2**62, 2**62 + 1, -(2**63), 2**63 - 1, 0]
+    for kind, asked, ends in (("double", [0.0, -0.0, 5e-324, 1.5, None], odd), ("bigint", [2**53 - 2, 2**53 - 1, 0, None], big)):
+        rq = spark.createDataFrame([(i, b) for i, b in enumerate(asked * 2)], f"id long, b {kind}")
+        lk = spark.createDataFrame([(x, y, i * 20 + j) for i, x in enumerate([*ends, None]) for j, y in enumerate([*ends, None])], f"x {kind}, y {kind}, v long")
+        for first, last in (("<=", ">"), ("<", ">=")):
+            df = enrich(rq, lk, restriction=f"x {first} {{b}} AND y {last} {{b}}", fields=["b"], allow_theta=True, select=["v desc"], column_names=["v"])
+            want = rq.join(lk, F.expr(f"x {first} b and y {last} b"), "left").groupBy("id").agg(F.max("v").alias("v"))
+            assert sorted((r.id, r.v) for r in df.collect()) == sorted((r.id, r.v) for r in want.collect())
+
+
+def test_lookup_around_values_is_cut_to_few_keys(spark, no_broadcast):
+    """However many requests there are, their keys may be few; Spark reckons one for each."""
+    requests = spark.range(4_000).select("id", (F.col("id") % 3).alias("k"), (F.col("id") % 50).alias("a"))
+    lookup = spark.range(900).select((F.col("id") % 9).alias("k"), (F.col("id") % 40).alias("x"), (F.col("id") % 40 + 10).alias("y"), F.col("id").alias("v"))
+    df = enrich(requests, lookup, join_key="k", restriction="x <= {a} AND y > {a}", fields=["a"], select=["v desc"], column_names=["k", "v"])
+    assert "LeftSemi" in tree(df)
+    best = {(v % 9, a): v for v in range(900) for a in range(v % 40, v % 40 + 10)}
+    assert {r.id: r.v for r in df.collect()} == {i: best.get((i % 3, i % 50)) for i in range(4_000)}
+
+
+def test_values_that_few_keys_have_get_no_cell_each(spark, no_broadcast, monkeypatch):
+    """A cell for each of 2,000 values would be too fine for keys with two requests each."""
+    monkeypatch.setattr(planned, "best_around_values", None)
+    requests = spark.range(2_000).select("id", (F.col("id") % 1_000).alias("k"), (F.col("id") * 7).alias("a"))
+    lookup = spark.range(1_000).select(F.col("id").alias("k"), (F.col("id") * 7).alias("x"), (F.col("id") * 7 + 5).alias("y"), F.col("id").alias("v"))
+    df = enrich(requests, lookup, join_key="k", restriction="x <= {a} AND y > {a}", fields=["a"], select=["v desc"], column_names=["k", "v"], split=False)
+    assert {r.id: r.v for r in df.collect()} == {i: i if i < 1_000 else None for i in range(2_000)}
